@@ -34,7 +34,7 @@ def round_half_even_to_long(value) -> Column:
 
 
 def text_to_long(text) -> Column:
-    """Integer text casts directly; fractional text is rounded half to even."""
+    """Integer text casts directly; other numeric text is rounded half to even."""
     t = _c(text).cast("string")
     return F.when(t.rlike(INTEGER_PATTERN), F.trim(t).try_cast("bigint")).otherwise(
         round_half_even_to_long(text_to_double(t))

@@ -25,14 +25,16 @@ def damage_to_dollars(text) -> Column:
     """
     s = _c(text).cast("string")
     upper = F.upper(s)
-    expr = F.when(s.isNull() | (s == F.lit("")), F.lit(0.0))
-    for letter, scale in DAMAGE_SUFFIXES:
-        rest = F.replace(upper, F.lit(letter), F.lit(""))
-        expr = expr.when(
-            upper.endswith(letter),
-            F.when(rest == F.lit(""), F.lit(0.0)).otherwise(text_to_double(rest) * F.lit(scale)),
-        )
-    return expr.otherwise(F.coalesce(text_to_double(s), F.lit(0.0)))
+    last = F.substring(upper, -1, 1)
+    scale = F.lit(None).cast("double")
+    for letter, factor in reversed(DAMAGE_SUFFIXES):
+        scale = F.when(last == F.lit(letter), F.lit(factor)).otherwise(scale)
+    rest = F.replace(upper, last, F.lit(""))
+    return (
+        F.when(s.isNull() | (s == F.lit("")), F.lit(0.0))
+        .when(scale.isNotNull(), F.when(rest == F.lit(""), F.lit(0.0)).otherwise(text_to_double(rest) * scale))
+        .otherwise(F.coalesce(text_to_double(s), F.lit(0.0)))
+    )
 
 
 def damage_is_valid(text) -> Column:

@@ -1,20 +1,29 @@
-"""Year-month / day / hhmm integer parts to a wall-clock timestamp (no time zone)."""
+"""Year-month / day / hhmm integer parts to a wall-clock timestamp (no time zone).
+
+The rule is textual: the parts are joined as ``YYYYMM-DD HHMM`` with the day
+left-padded to 2 and the time to 4 characters (a longer value is cut to its
+leading characters) and that text is read as a time.  For integer parts the same
+rule is evaluated with arithmetic only, so no string is built per row:
+
+* year-month must have exactly 6 digits: year = ym div 100, month = ym mod 100;
+* day 0..99 is taken as is, a longer day keeps its first two digits;
+* hhmm 0..9999 gives hour = hhmm div 100, minute = hhmm mod 100, a longer value
+  keeps its first four digits; negative parts never form a valid text.
+Invalid calendar values (month 13, Feb 30, hour 24) give NULL, not an error.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: layout of the assembled text, 'yyyyMM-dd HHmm'.
-PARTS_PATTERN = r"^(\d{4})(\d{2})-(\d{2}) (\d{2})(\d{2})$"
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def parts_text(yearmonth, day, hhmm) -> Column:
-    """'YYYYMM-DD HHMM': day left-padded to 2 and time to 4 characters (longer input is cut)."""
+    """The textual form 'YYYYMM-DD HHMM' of the parts (for display and reports)."""
     return F.concat(
         _c(yearmonth).cast("string"),
         F.lit("-"),
@@ -24,17 +33,22 @@ def parts_text(yearmonth, day, hhmm) -> Column:
     )
 
 
-def parts_to_timestamp(yearmonth, day, hhmm) -> Column:
-    """TIMESTAMP_NTZ from the three parts; NULL when any part is NULL or the text is no valid time.
+def _leading_digits(value: Column, keep: int) -> Column:
+    """First ``keep`` digits of a non-negative integer with more than ``keep`` digits."""
+    return F.substring(value.cast("string"), 1, keep).cast("int")
 
-    Invalid calendar values (month 13, Feb 30, hour 24) give NULL instead of an
-    error; ``timestamp_is_valid`` tells them apart from missing parts.
-    """
-    text = parts_text(yearmonth, day, hhmm)
-    fields = [F.regexp_extract(text, PARTS_PATTERN, i).try_cast("int") for i in range(1, 6)]
-    any_null = _c(yearmonth).isNull() | _c(day).isNull() | _c(hhmm).isNull()
-    return F.when(any_null, F.lit(None).cast("timestamp_ntz")).when(
-        text.rlike(PARTS_PATTERN), F.try_make_timestamp_ntz(*fields, F.lit(0))
+
+def parts_to_timestamp(yearmonth, day, hhmm) -> Column:
+    """TIMESTAMP_NTZ from integer parts; NULL when a part is NULL or the parts form no valid time."""
+    ym, d, t = _c(yearmonth).cast("bigint"), _c(day).cast("bigint"), _c(hhmm).cast("bigint")
+    dd = F.when(d < 100, d.cast("int")).otherwise(_leading_digits(d, 2))
+    tt = F.when(t < 10000, t.cast("int")).otherwise(_leading_digits(t, 4))
+    valid_text = ym.between(100000, 999999) & (d >= 0) & (t >= 0)
+    return F.when(
+        valid_text,
+        F.try_make_timestamp_ntz(
+            (ym / 100).cast("int"), (ym % 100).cast("int"), dd, (tt / 100).cast("int"), tt % 100, F.lit(0)
+        ),
     )
 
 

@@ -42,28 +42,52 @@ def _present(src: Column) -> Column:
     return src.isNotNull() & (F.trim(src) != F.lit(""))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the input has fewer partitions than cores.
+
+    Typing costs microseconds per value, so a handful of large input splits (a
+    gzip file is one split) would leave most cores idle.  With enough input
+    partitions (any large table) this is a no-op and adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def typed_storms(raw: DataFrame) -> DataFrame:
-    """Typed storm columns plus ``reject_reasons`` and ``time_issues`` (arrays of column names)."""
+    """Typed storm columns plus ``reject_reasons`` and ``time_issues`` (comma-joined column names, '' if none).
+
+    Three projections, each expensive conversion computed once per row: the
+    checks in later steps refer to the converted columns, and Spark does not
+    inline an expensive column that is used more than once.  Reasons are joined
+    with ``concat_ws`` (skips NULLs) rather than array lambdas, which would drop
+    the projection out of whole-stage codegen.
+    """
     have = set(raw.columns)
-    cols, rejects = [], []
+    typed_cols, raw_cols, checks = [], [], []
     for f in STORM_EVENTS.fields:
         if f.name in TIME_COLUMNS:
             continue
         src = F.col(f.name).cast("string") if f.name in have else F.lit(None).cast("string")
-        typed = _typed(f.name, f.dataType, src)
-        cols.append(typed.alias(f.name))
-        if not isinstance(f.dataType, T.StringType):
-            rejects.append(F.when(_present(src) & typed.isNull(), F.lit(f.name)))
-    staged = raw.select(*cols, F.array_compact(F.array(*rejects)).alias("reject_reasons"))
-
-    times, issues = [], []
+        typed_cols.append(_typed(f.name, f.dataType, src).alias(f.name))
+        if not isinstance(f.dataType, T.StringType) and f.name in have:
+            raw_cols.append(src.alias(f"_raw_{f.name}"))
+            checks.append(F.when(_present(F.col(f"_raw_{f.name}")) & F.col(f.name).isNull(), F.lit(f.name)))
+    step1 = spread(raw).select(*typed_cols, *raw_cols)
+    times = [
+        parts_to_timestamp(F.col(ym), F.col(day), F.col(hhmm)).alias(name)
+        for name, (ym, day, hhmm) in TIME_COLUMNS.items()
+    ]
+    step2 = step1.select(
+        *[c for c in step1.columns if not c.startswith("_raw_")],
+        *times,
+        (F.concat_ws(",", *checks) if checks else F.lit("")).alias("reject_reasons"),
+    )
+    issues = []
     for name, (ym, day, hhmm) in TIME_COLUMNS.items():
-        ts = parts_to_timestamp(F.col(ym), F.col(day), F.col(hhmm))
         parts_known = F.col(ym).isNotNull() & F.col(day).isNotNull() & F.col(hhmm).isNotNull()
-        times.append(ts.alias(name))
-        issues.append(F.when(parts_known & ts.isNull(), F.lit(name)))
-    staged = staged.select("*", *times, F.array_compact(F.array(*issues)).alias("time_issues"))
-    return staged.select(*[F.col(f.name) for f in STORM_EVENTS.fields], "reject_reasons", "time_issues")
+        issues.append(F.when(parts_known & F.col(name).isNull(), F.lit(name)))
+    step3 = step2.select("*", F.concat_ws(",", *issues).alias("time_issues"))
+    return step3.select(*[F.col(f.name) for f in STORM_EVENTS.fields], "reject_reasons", "time_issues")
 
 
 def normalise_storms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,11 +99,16 @@ def normalise_storms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     once (see ``plans.tables.ingest_storms``).
     """
     typed = typed_storms(raw)
-    rows = typed.where(F.size("reject_reasons") == 0).select(*[f.name for f in STORM_EVENTS.fields])
-    issues = typed.where((F.size("reject_reasons") > 0) | (F.size("time_issues") > 0)).select(
+    rows = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
+    return rows, storm_issues(typed)
+
+
+def storm_issues(typed: DataFrame) -> DataFrame:
+    """EVENT_ID, YEAR, rejected, reasons for typed rows with any problem."""
+    rejected = F.col("reject_reasons") != ""
+    return typed.where(rejected | (F.col("time_issues") != "")).select(
         "EVENT_ID",
         "YEAR",
-        (F.size("reject_reasons") > 0).alias("rejected"),
-        F.concat("reject_reasons", "time_issues").alias("reasons"),
+        rejected.alias("rejected"),
+        F.concat_ws(",", F.nullif("reject_reasons", F.lit("")), F.nullif("time_issues", F.lit(""))).alias("reasons"),
     )
-    return rows, issues

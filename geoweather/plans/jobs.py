@@ -17,7 +17,7 @@ from geoweather.operators.coverage import coverage
 from geoweather.operators.metrics import daily_metrics
 from geoweather.operators.nearest import link_zipcodes_to_stations
 from geoweather.operators.preview import preview
-from geoweather.operators.storms import typed_storms
+from geoweather.operators.storms import storm_issues, typed_storms
 from geoweather.plans import tables
 from geoweather.plans.export import export_parquet, export_report
 from geoweather.schemas import STORM_EVENTS, STATIONS, ZIPCODES, conform
@@ -81,14 +81,10 @@ def ingest_storms(
     if not paths:
         return {"watermark_year": watermark, "files": 0, "rows_loaded": 0}
     typed = tables.stage(spark, typed_storms(read_storm_files(spark, paths)), "storm-typed")
-    good = typed.where(F.size("reject_reasons") == 0).select(*[f.name for f in STORM_EVENTS.fields])
+    good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
     counts = tables.replace_years(spark, good, target, "YEAR")
     if issues_target:
-        issues = typed.where((F.size("reject_reasons") > 0) | (F.size("time_issues") > 0)).select(
-            "EVENT_ID", "YEAR", (F.size("reject_reasons") > 0).alias("rejected"),
-            F.concat("reject_reasons", "time_issues").alias("reasons"),
-        )
-        tables.replace_years(spark, issues, issues_target, "YEAR")
+        tables.replace_years(spark, storm_issues(typed), issues_target, "YEAR")
     return {"watermark_year": watermark, "files": len(paths), **counts}
 
 

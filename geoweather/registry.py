@@ -268,7 +268,7 @@ def q_storm_normalise(spark, sf):
 
 def q_storm_issues(spark, sf):
     _, issues = normalise_storms(derived.storm_raw(spark, sf))
-    return issues.select("EVENT_ID", "YEAR", "rejected", F.array_join("reasons", ",").alias("reasons"))
+    return issues
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

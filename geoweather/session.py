@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide typed projections generate large methods; let the JIT compile them.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
