@@ -33,7 +33,7 @@ def _write_full(df: DataFrame, target: str) -> int:
     """Full reload (drop + create + load) with the row count observed during the write."""
     obs = Observation("full_reload")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-    return obs.get.get("rows", 0)
+    return tables.observed(obs, "rows")
 
 
 def load_stations(spark: SparkSession, source: str, target: str) -> dict:

@@ -18,6 +18,15 @@ from pyspark.sql import functions as F
 from geoweather.session import scratch_path
 
 
+def observed(obs: Observation, key: str) -> int:
+    """An observed count; 0 when the write produced no metrics (an empty input can be
+    planned away entirely, and then no metric row exists)."""
+    try:
+        return obs.get.get(key, 0) or 0
+    except Exception:  # noqa: BLE001
+        return 0
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None when it does not exist."""
     try:
@@ -66,7 +75,7 @@ def replace_years(spark: SparkSession, incoming: DataFrame, target: str, year_co
     obs = Observation("replace_years")
     counted = incoming.observe(obs, F.count(F.lit(1)).alias("rows_loaded"))
     overwrite_partitions(counted, target, [year_col], sort_within)
-    return {"rows_loaded": obs.get.get("rows_loaded", 0)}
+    return {"rows_loaded": observed(obs, "rows_loaded")}
 
 
 def _months(lo: dt.date, hi: dt.date) -> list[tuple[int, int]]:
@@ -109,7 +118,7 @@ def replace_date_range(
     if existing is None:
         obs = Observation("range_new")
         overwrite_partitions(new_rows.observe(obs, F.count(F.lit(1)).alias("rows_inserted")), target, list(partition_by))
-        return {"rows_deleted": 0, "rows_inserted": obs.get.get("rows_inserted", 0)}
+        return {"rows_deleted": 0, "rows_inserted": observed(obs, "rows_inserted")}
 
     months = _months(lo, hi)
     touched = F.lit(False)
@@ -127,8 +136,8 @@ def replace_date_range(
     emptied = [f"{partition_by[0]}={y}/{partition_by[1]}={m}" for y, m in months if (y, m) not in present]
     _delete_folders(spark, target, emptied)
     return {
-        "rows_deleted": counts.get.get("rows_deleted", 0),
-        "rows_inserted": inserted.get.get("rows_inserted", 0),
+        "rows_deleted": observed(counts, "rows_deleted"),
+        "rows_inserted": observed(inserted, "rows_inserted"),
         "partitions_removed": len(emptied),
     }
 
