@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoweather.functions.geo import cell_index, cell_range, haversine_miles, latitude_reach_deg
+from geoweather.operators.fence import filter_on_output
 
 # Smallest grid cell accepted: keeps the cell-statistics table (one row per cell)
 # bounded by 721 x 1441 rows, so broadcasting it is always safe.
@@ -143,7 +144,7 @@ def nearest_stations(
         ).alias("distance_miles"),
     )
     if max_miles is not None:
-        pairs = pairs.where(F.col("distance_miles") <= F.lit(float(max_miles)))
+        pairs = filter_on_output(pairs, F.col("distance_miles") <= F.lit(float(max_miles)))
 
     by_zip = Window.partitionBy("zipcode").orderBy("distance_miles", "station_id")
     ranked = pairs.withColumn("rank", F.row_number().over(by_zip)).where(F.col("rank") <= F.lit(k))

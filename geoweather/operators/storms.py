@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from geoweather.functions.casts import text_to_double, text_to_long
 from geoweather.functions.damage import damage_to_dollars
 from geoweather.functions.timeparts import parts_to_timestamp
+from geoweather.operators.fence import filter_on_output
 from geoweather.schemas import STORM_EVENTS
 
 DAMAGE_COLUMNS = ("DAMAGE_PROPERTY", "DAMAGE_CROPS")
@@ -99,14 +100,14 @@ def normalise_storms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     once (see ``plans.tables.ingest_storms``).
     """
     typed = typed_storms(raw)
-    rows = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
+    rows = filter_on_output(typed, F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
     return rows, storm_issues(typed)
 
 
 def storm_issues(typed: DataFrame) -> DataFrame:
     """EVENT_ID, YEAR, rejected, reasons for typed rows with any problem."""
     rejected = F.col("reject_reasons") != ""
-    return typed.where(rejected | (F.col("time_issues") != "")).select(
+    return filter_on_output(typed, rejected | (F.col("time_issues") != "")).select(
         "EVENT_ID",
         "YEAR",
         rejected.alias("rejected"),
