@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from geoweather.session import scratch_path
+from geoweather.session import scratch_path, shared_dir
 
 
 def observed(obs: Observation, key: str) -> int:
@@ -44,6 +44,16 @@ def require_table(spark: SparkSession, path: str, what: str) -> DataFrame:
     return df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint under the shared folder: computed once, lineage cut.
+
+    For a frame that several branches of one plan read (each branch would
+    otherwise recompute it, since nothing in between is an exchange Spark can reuse).
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> DataFrame:
     """Write ``df`` once under the shared folder and return the re-read copy."""
     path = scratch_path(spark, name)

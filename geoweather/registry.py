@@ -32,6 +32,7 @@ from geoweather.operators.preview import filter_rows, partition_values, preview
 from geoweather.operators.replace import refresh_audit, replace_date_range, replace_newest_year
 from geoweather.operators.storms import normalise_storms
 from geoweather.plans.export import export_parquet
+from geoweather.plans.tables import materialize
 from geoweather.schemas import CORE_ELEMENTS
 from geoweather.session import scratch_path
 from geoweather.sources.gazetteer import parse_zipcode_lines
@@ -78,8 +79,9 @@ def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=ME
 
 
 def storms(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalised storm rows, typed once per query (several queries read them in two branches)."""
     rows, _ = normalise_storms(derived.storm_raw(spark, sf))
-    return rows
+    return materialize(rows)
 
 
 def storm_table(spark: SparkSession, sf: str) -> DataFrame:
