@@ -80,7 +80,7 @@ def nearest_stations(
     k: int = 20,
     max_miles: float | None = 200.0,
     box_deg: float = 5.0,
-    cell_deg: float = 1.0,
+    cell_deg: float = 2.0,
     pairs_per_task: int = 4_000_000,
 ) -> DataFrame:
     """Top-``k`` stations per ZIP within the box and distance limit.
