@@ -22,11 +22,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoweather.operators.fence import broadcast_if_small
 from geoweather.schemas import CORE_ELEMENTS
 
 # Broadcast the distinct-date list only while the requested range is below this
 # many days (its row count can never exceed the number of days in the range).
 MAX_BROADCAST_DAYS = 500_000
+# Broadcast the near links (zipcode, station_id, distance) up to this many rows
+# (~64 MB as a hash relation); beyond it the readings join shuffles.
+MAX_BROADCAST_LINKS = 1_000_000
 
 
 def _as_date(value) -> dt.date:
@@ -124,6 +128,9 @@ def daily_metrics(
 ) -> DataFrame:
     """The ``zipcode_daily_metrics`` rows for [min_date, max_date]."""
     near = near_links(links, max_miles).select("zipcode", "station_id", "distance_miles")
+    # At most k links per ZIP: usually small enough to ship to every task, so the
+    # observations are joined where they are read and only aggregates shuffle.
+    near = broadcast_if_small(near, MAX_BROADCAST_LINKS)
     obs_r = in_date_range(obs, min_date, max_date)
     spine = zip_date_spine(near, obs_r, min_date, max_date).select(
         "zipcode",

@@ -61,8 +61,11 @@ def r6(c) -> F.Column:
 
 # ---------------------------------------------------------------- shared inputs
 def links(spark: SparkSession, sf: str) -> DataFrame:
-    return link_zipcodes_to_stations(
-        derived.zipcodes(spark, sf), derived.stations(spark, sf), k=K_NEAREST, max_miles=LINK_MAX_MILES, box_deg=BOX_DEG
+    """The zipcode_stations table, computed once per query (as the stored table is in production)."""
+    return materialize(
+        link_zipcodes_to_stations(
+            derived.zipcodes(spark, sf), derived.stations(spark, sf), k=K_NEAREST, max_miles=LINK_MAX_MILES, box_deg=BOX_DEG
+        )
     )
 
 
