@@ -225,3 +225,34 @@ def storm_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(".csv.gz"),
     )
     return o.select(name.alias("name")).distinct()
+
+
+def dly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly .dly records built from the observation stand-in.
+
+    One line per station, year, month and element; each day block is
+    value (5, right-aligned, -9999 when missing) + m/q/s flags (blank when none).
+    When a day has several readings the largest block text is used.
+    """
+    o = observations(spark, sf_dir)
+    block = F.concat(
+        F.coalesce(F.lpad(_s(F.col("data_value")), 5, " "), F.lit("-9999")),
+        F.coalesce(F.col("m_flag"), F.lit(" ")),
+        F.coalesce(F.col("q_flag"), F.lit(" ")),
+        F.coalesce(F.col("s_flag"), F.lit(" ")),
+    )
+    blocks = o.select(
+        "id", "element", F.year("date").alias("y"), F.month("date").alias("m"),
+        F.dayofmonth("date").alias("day"), block.alias("block"),
+    )
+    per_day = [F.max(F.when(F.col("day") == d, F.col("block"))).alias(f"d{d}") for d in range(1, 32)]
+    months = blocks.groupBy("id", "y", "m", "element").agg(*per_day)
+    missing = F.lit("-9999   ")
+    line = F.concat(
+        F.col("id"),
+        F.format_string("%04d", "y"),
+        F.format_string("%02d", "m"),
+        F.col("element"),
+        *[F.coalesce(F.col(f"d{d}"), missing) for d in range(1, 32)],
+    )
+    return months.select(line.alias("value"))

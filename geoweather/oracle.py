@@ -412,3 +412,60 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "storm_issues": _storm_issues(),
 }
+
+
+def _dly() -> str:
+    block = (
+        "COALESCE(lpad(CAST(data_value AS VARCHAR), 5, ' '), '-9999') || COALESCE(m_flag, ' ') || "
+        "COALESCE(q_flag, ' ') || COALESCE(s_flag, ' ')"
+    )
+    per_day = ", ".join(
+        f"max(CASE WHEN day(date) = {d} THEN {block} END) AS d{d}" for d in range(1, 32)
+    )
+    line = " || ".join(["id", "printf('%04d', y)", "printf('%02d', m)", "element"]
+                       + [f"COALESCE(d{d}, '-9999   ')" for d in range(1, 32)])
+    months = (
+        f"\nmonths AS (SELECT id, year(date) AS y, month(date) AS m, element, {per_day} "
+        f"FROM observations GROUP BY id, year(date), month(date), element)"
+    )
+    lines = f"\nlines AS (SELECT {line} AS value FROM months)"
+    blocks = (
+        "\nblocks AS (SELECT substring(value, 1, 11) AS id, TRY_CAST(substring(value, 12, 4) AS INTEGER) AS y, "
+        "TRY_CAST(substring(value, 16, 2) AS INTEGER) AS m, substring(value, 18, 4) AS element, d.day, "
+        "trim(substring(value, 22 + (d.day - 1) * 8, 5)) AS raw_value, "
+        "NULLIF(substring(value, 27 + (d.day - 1) * 8, 1), ' ') AS m_flag, "
+        "NULLIF(substring(value, 28 + (d.day - 1) * 8, 1), ' ') AS q_flag, "
+        "NULLIF(substring(value, 29 + (d.day - 1) * 8, 1), ' ') AS s_flag "
+        "FROM lines CROSS JOIN range(1, 32) d(day))"
+    )
+    return with_(OBSERVATIONS, months, lines, blocks) + (
+        "SELECT id, CAST(try_strptime(printf('%04d-%02d-%02d', y, m, day), '%Y-%m-%d') AS DATE) AS date, element, "
+        "TRY_CAST(raw_value AS INTEGER) AS data_value, m_flag, q_flag, s_flag, CAST(NULL AS VARCHAR) AS obs_time, "
+        "y AS year FROM blocks WHERE TRY_CAST(raw_value AS INTEGER) IS NULL OR TRY_CAST(raw_value AS INTEGER) <> -9999"
+    )
+
+
+SOURCE_PRIORITY = "Z,R,D,0,6,C,X,W,K,7,F,B,M,f,m,r,E,z,u,b,s,a,G,Q,I,A,N,T,U,H,S".split(",")
+
+
+def _source_pick() -> str:
+    prio = ", ".join(f"'{x}'" for x in SOURCE_PRIORITY)
+    rank = f"COALESCE(list_position([{prio}], s_flag) - 1, {len(SOURCE_PRIORITY)})"
+    return with_(OBSERVATIONS) + (
+        "SELECT id, date, element, data_value, m_flag, q_flag, s_flag, obs_time, year FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY id, date, element ORDER BY {rank} NULLS FIRST, "
+        "data_value NULLS FIRST, m_flag NULLS FIRST, q_flag NULLS FIRST, s_flag NULLS FIRST, obs_time NULLS FIRST) AS rn "
+        "FROM observations) t WHERE rn = 1"
+    )
+
+
+ORACLE_SQL.update({
+    "dly_parse": _dly(),
+    "element_inventory": with_(OBSERVATIONS, STATIONS) + (
+        "SELECT i.id, s.latitude, s.longitude, i.element, i.firstyear, i.lastyear FROM ("
+        "SELECT id, element, CAST(min(year(date)) AS INTEGER) AS firstyear, CAST(max(year(date)) AS INTEGER) AS lastyear "
+        "FROM observations WHERE q_flag IS NULL GROUP BY id, element) i LEFT JOIN stations s ON i.id = s.id"
+    ),
+    "source_priority_pick": _source_pick(),
+    "station_codes": with_(STATIONS) + "SELECT id, substring(id, 1, 2) AS country_code, substring(id, 3, 1) AS network_code FROM stations",
+})

@@ -30,12 +30,14 @@ from geoweather.operators.metrics import (
 from geoweather.operators.nearest import link_zipcodes_to_stations
 from geoweather.operators.preview import filter_rows, partition_values, preview
 from geoweather.operators.replace import refresh_audit, replace_date_range, replace_newest_year
+from geoweather.operators.stations import element_inventory, pick_by_source_priority, station_codes
 from geoweather.operators.storms import normalise_storms
 from geoweather.plans.export import export_parquet
 from geoweather.plans.tables import materialize
 from geoweather.schemas import CORE_ELEMENTS
 from geoweather.session import scratch_path
 from geoweather.sources.gazetteer import parse_zipcode_lines
+from geoweather.sources.ghcn_files import parse_dly_lines
 from geoweather.sources.lake import lake_view
 from geoweather.sources.listing import annotate_storm_files
 from geoweather.sources.observations import parse_observation_lines
@@ -276,6 +278,22 @@ def q_storm_issues(spark, sf):
     return issues
 
 
+def q_dly_parse(spark, sf):
+    return parse_dly_lines(derived.dly_lines(spark, sf))
+
+
+def q_element_inventory(spark, sf):
+    return element_inventory(derived.observations(spark, sf), derived.stations(spark, sf))
+
+
+def q_source_priority_pick(spark, sf):
+    return pick_by_source_priority(derived.observations(spark, sf))
+
+
+def q_station_codes(spark, sf):
+    return station_codes(derived.stations(spark, sf)).select("id", "country_code", "network_code")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "haversine_pairs": q_haversine_pairs,
     "nearest_k_stations": q_nearest_k_stations,
@@ -305,4 +323,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_roundtrip": q_lake_roundtrip,
     "storm_normalise": q_storm_normalise,
     "storm_issues": q_storm_issues,
+    "dly_parse": q_dly_parse,
+    "element_inventory": q_element_inventory,
+    "source_priority_pick": q_source_priority_pick,
+    "station_codes": q_station_codes,
 }
