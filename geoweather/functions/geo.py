@@ -38,12 +38,38 @@ def latitude_reach_deg(max_miles: float | None, box_deg: float, radius: float =
     return min(box_deg, math.degrees(max_miles / radius) + 1e-6)
 
 
+def longitude_reach_deg(lat, max_miles: float | None, box_deg: float, radius: float = EARTH_RADIUS_MILES) -> Column:
+    """Largest |dlon| (degrees) a point at latitude ``lat`` can have to a partner within
+    ``max_miles`` and the box, as a column.
+
+    From hav(d/R) = hav(dlat) + cos(lat1) cos(lat2) hav(dlon) >= cos(lat1) cos(lat2) hav(dlon),
+    with the partner's latitude at most d/R away.  Near the poles the bound
+    vanishes and the box applies.  A small margin absorbs float noise; the exact
+    predicates are applied after the join.
+    """
+    box = F.lit(float(box_deg))
+    if max_miles is None:
+        return box
+    ang = max_miles / radius
+    hav_d = math.sin(ang / 2) ** 2
+    phi = F.radians(F.abs(_c(lat)))
+    far = F.least(phi + F.lit(ang), F.lit(math.pi / 2))
+    denom = F.cos(phi) * F.cos(far)
+    ratio = F.try_divide(F.lit(hav_d), denom)
+    bound = F.degrees(F.lit(2.0) * F.asin(F.sqrt(ratio))) + F.lit(1e-6)
+    return F.when((denom > F.lit(0.0)) & (ratio < F.lit(1.0)), F.least(box, bound)).otherwise(box)
+
+
 def cell_index(coord, cell_deg: float) -> Column:
     """Integer grid index of a coordinate for square cells of ``cell_deg`` degrees."""
     return F.floor(_c(coord) / F.lit(float(cell_deg))).cast("int")
 
 
-def cell_range(coord, reach_deg: float, cell_deg: float) -> Column:
-    """Array of every cell index whose cell intersects [coord - reach, coord + reach]."""
+def cell_range(coord, reach_deg, cell_deg: float) -> Column:
+    """Array of every cell index whose cell intersects [coord - reach, coord + reach].
+
+    ``reach_deg`` is a number or a per-row column.
+    """
     c = _c(coord)
-    return F.sequence(cell_index(c - F.lit(float(reach_deg)), cell_deg), cell_index(c + F.lit(float(reach_deg)), cell_deg))
+    reach = reach_deg if isinstance(reach_deg, Column) else F.lit(float(reach_deg))
+    return F.sequence(cell_index(c - reach, cell_deg), cell_index(c + reach, cell_deg))

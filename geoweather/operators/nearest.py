@@ -9,9 +9,10 @@ by distance per ZIP, keeping ranks 1..k.
 Instead of a nested-loop join, both sides get integer grid cells:
 
 * a ZIP lives in exactly one cell ``(cy, cx)``;
-* a station is copied into every cell that can hold a ZIP passing the box (and the
-  latitude bound implied by ``max_miles``), so each candidate pair meets in the
-  ZIP's cell exactly once.
+* a station is copied into every cell that can hold a ZIP passing the box and the
+  distance limit (latitude gap <= max_miles / R; longitude gap bounded from the
+  haversine formula at the station's latitude), so each candidate pair meets in
+  the ZIP's cell exactly once.
 
 Cells are equi-join keys, so the join is a hash-partitioned shuffle join.  Dense
 cells are split: per cell, ``zip_salts x station_salts`` tasks share the pairs; a
@@ -27,7 +28,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoweather.functions.geo import cell_index, cell_range, haversine_miles, latitude_reach_deg
+from geoweather.functions.geo import (
+    cell_index,
+    cell_range,
+    haversine_miles,
+    latitude_reach_deg,
+    longitude_reach_deg,
+)
 from geoweather.operators.fence import filter_on_output
 
 # Smallest grid cell accepted: keeps the cell-statistics table (one row per cell)
@@ -92,7 +99,6 @@ def nearest_stations(
     if cell_deg < MIN_CELL_DEG:
         raise ValueError(f"cell_deg must be >= {MIN_CELL_DEG}")
     lat_reach = latitude_reach_deg(max_miles, box_deg)
-    lon_reach = float(box_deg)
 
     z = zips.where(F.col("zipcode_latitude").isNotNull() & F.col("zipcode_longitude").isNotNull()).select(
         "zipcode",
@@ -110,7 +116,12 @@ def nearest_stations(
             "station_longitude",
             F.explode(cell_range("station_latitude", lat_reach, cell_deg)).alias("cy"),
         )
-        .select("*", F.explode(cell_range("station_longitude", lon_reach, cell_deg)).alias("cx"))
+        .select(
+            "*",
+            F.explode(
+                cell_range("station_longitude", longitude_reach_deg("station_latitude", max_miles, box_deg), cell_deg)
+            ).alias("cx"),
+        )
     )
 
     salts = F.broadcast(_cell_salts(z, s, pairs_per_task))

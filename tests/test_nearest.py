@@ -94,3 +94,13 @@ def test_plan_has_no_nested_loop_and_limits_before_shuffle(spark):
     plan = plan_text(nearest_stations(zips, stns))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_high_latitudes_match_brute_force(spark):
+    rnd = random.Random(5)
+    zips = [(f"P{i:03d}", rnd.uniform(55, 89.9) * rnd.choice([1, -1]), rnd.uniform(-180, 180)) for i in range(150)]
+    stns = [(f"Q{i:03d}", "q", rnd.uniform(55, 90) * rnd.choice([1, -1]), rnd.uniform(-180, 180)) for i in range(600)]
+    z = spark.createDataFrame(zips, ZIP_SCHEMA)
+    s = spark.createDataFrame(stns, STN_SCHEMA)
+    for miles in (200.0, 400.0):
+        assert _rows(nearest_stations(z, s, k=20, max_miles=miles)) == _rows(brute_force(z, s, 20, miles, 5.0))
