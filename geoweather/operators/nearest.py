@@ -25,10 +25,13 @@ Spark plans it with a partial group limit before the shuffle on ``zipcode``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoweather.functions.geo import (
+    EARTH_RADIUS_MILES,
     cell_index,
     cell_range,
     haversine_miles,
@@ -89,13 +92,62 @@ def nearest_stations(
     box_deg: float = 5.0,
     cell_deg: float = 2.0,
     pairs_per_task: int = 4_000_000,
+    first_pass_miles: float | None = None,
 ) -> DataFrame:
     """Top-``k`` stations per ZIP within the box and distance limit.
 
     ``zips``: (zipcode, zipcode_latitude, zipcode_longitude);
     ``stations``: (station_id, station_name, station_latitude, station_longitude).
     Returns the ``zipcode_stations`` schema; ties in distance are broken by station_id.
+
+    With ``first_pass_miles`` (r1 < max_miles) the search runs in two passes: all
+    ZIPs against stations within r1 (small cells, few candidates), then only the
+    ZIPs that found fewer than k stations against the full limits.  A ZIP with k
+    stations within r1 is final: every station not seen is farther than r1, so
+    none can displace them.  The result is identical to the one-pass search.
+    """
+    if first_pass_miles is None or max_miles is None or first_pass_miles >= max_miles:
+        return _search(zips, stations, k, max_miles, box_deg, cell_deg, pairs_per_task)
+    first_cell = max(MIN_CELL_DEG, math.degrees(first_pass_miles / EARTH_RADIUS_MILES))
+    first = _search(zips, stations, k, first_pass_miles, box_deg, first_cell, pairs_per_task)
+    found = first.withColumn("_found", F.count(F.lit(1)).over(Window.partitionBy("zipcode")))
+    done = found.where(F.col("_found") == F.lit(k)).drop("_found")
+    rest = zips.join(done.select("zipcode").distinct(), "zipcode", "left_anti")
+    return done.unionByName(_search(rest, stations, k, max_miles, box_deg, cell_deg, pairs_per_task))
+
+
+def suggest_first_pass_miles(stations: DataFrame, k: int = 20, max_miles: float | None = 200.0) -> float | None:
+    """A first-pass radius expected to hold ~3k stations, from the stations' overall density.
+
+    One small aggregate (count and bounding box).  Returns None, meaning one pass,
+    when that radius would not be well below ``max_miles`` (sparse stations).
     """
+    agg = stations.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("station_latitude").alias("lat0"), F.max("station_latitude").alias("lat1"),
+        F.min("station_longitude").alias("lon0"), F.max("station_longitude").alias("lon1"),
+    ).first()
+    if max_miles is None or not agg or not agg["n"] or agg["lat0"] is None:
+        return None
+    miles_per_deg = math.radians(1.0) * EARTH_RADIUS_MILES
+    mid = math.radians((agg["lat0"] + agg["lat1"]) / 2)
+    area = max((agg["lat1"] - agg["lat0"]) * miles_per_deg, 1.0) * max(
+        (agg["lon1"] - agg["lon0"]) * miles_per_deg * math.cos(mid), 1.0
+    )
+    radius = math.sqrt(3 * k * area / (math.pi * agg["n"]))
+    return radius if radius < max_miles / 2 else None
+
+
+def _search(
+    zips: DataFrame,
+    stations: DataFrame,
+    k: int,
+    max_miles: float | None,
+    box_deg: float,
+    cell_deg: float,
+    pairs_per_task: int,
+) -> DataFrame:
+    """One grid pass: exact top-k within the box and ``max_miles``."""
     if cell_deg < MIN_CELL_DEG:
         raise ValueError(f"cell_deg must be >= {MIN_CELL_DEG}")
     lat_reach = latitude_reach_deg(max_miles, box_deg)

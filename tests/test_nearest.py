@@ -104,3 +104,15 @@ def test_high_latitudes_match_brute_force(spark):
     s = spark.createDataFrame(stns, STN_SCHEMA)
     for miles in (200.0, 400.0):
         assert _rows(nearest_stations(z, s, k=20, max_miles=miles)) == _rows(brute_force(z, s, 20, miles, 5.0))
+
+
+def test_two_pass_search_is_exact(spark):
+    zips, stns = _points(spark, 300, 1500, 13)
+    expected = _rows(brute_force(zips, stns, 20, 200.0, 5.0))
+    for r1 in (40.0, 90.0):
+        got = _rows(nearest_stations(zips, stns, k=20, max_miles=200.0, first_pass_miles=r1))
+        assert got == expected
+    from geoweather.operators.nearest import suggest_first_pass_miles
+
+    r = suggest_first_pass_miles(stns, 20, 200.0)
+    assert r is None or 0 < r < 100
