@@ -79,8 +79,9 @@ def near(spark: SparkSession, sf: str, max_miles: float = METRIC_MAX_MILES) -> D
     return near_links(links(spark, sf), max_miles)
 
 
-def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=METRIC_MAX_MILES) -> DataFrame:
-    return daily_metrics(derived.observations(spark, sf), links(spark, sf), lo, hi, max_miles=max_miles)
+def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=METRIC_MAX_MILES, lk=None) -> DataFrame:
+    lk = lk if lk is not None else links(spark, sf)
+    return daily_metrics(derived.observations(spark, sf), lk, lo, hi, max_miles=max_miles)
 
 
 def storms(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,8 +239,9 @@ def q_refresh_audit(spark, sf):
 
 
 def q_replace_date_range(spark, sf):
-    old = metrics(spark, sf)
-    new = metrics(spark, sf, RANGE_MIN, RANGE_MAX, max_miles=RANGE_MAX_MILES)
+    lk = links(spark, sf)
+    old = metrics(spark, sf, lk=lk)
+    new = metrics(spark, sf, RANGE_MIN, RANGE_MAX, max_miles=RANGE_MAX_MILES, lk=lk)
     return _rounded_metrics(replace_date_range(old, new, RANGE_MIN, RANGE_MAX))
 
 

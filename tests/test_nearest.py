@@ -116,3 +116,10 @@ def test_two_pass_search_is_exact(spark):
 
     r = suggest_first_pass_miles(stns, 20, 200.0)
     assert r is None or 0 < r < 100
+
+
+def test_distance_is_not_pushed_into_the_join(spark):
+    zips, stns = _points(spark, 20, 20, 1)
+    plan = nearest_stations(zips, stns)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join Inner" in line]
+    assert joins and not any("ASIN" in j for j in joins)

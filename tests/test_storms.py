@@ -42,3 +42,11 @@ def test_ingest_storms_replaces_newest_year(spark, tmp_path):
     table = jobs.read_storm_table(spark, target)
     assert sorted(r.EVENT_ID for r in table.collect()) == [1, 3, 4]
     assert spark.read.parquet(issues).where(F.col("EVENT_ID") == 4).count() == 1
+
+
+def test_reject_filter_is_not_pushed_into_the_casts(spark):
+    raw = spark.createDataFrame([("202401", "5", "905", "10K", "1")], "BEGIN_YEARMONTH string, BEGIN_DAY string, BEGIN_TIME string, DAMAGE_PROPERTY string, EVENT_ID string")
+    rows, _ = normalise_storms(raw)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("RLIKE" in f for f in filters)
