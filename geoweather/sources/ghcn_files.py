@@ -4,8 +4,8 @@
 * ``ghcnd-inventory.txt`` (station x element first/last year);
 * ``ghcnd-countries.txt`` / ``ghcnd-states.txt`` (code -> name).
 
-All are fixed-width text read with ``spark.read.text`` and sliced with
-``substring``; nothing is parsed in Python.
+All are fixed-width text read with ``spark.read.text`` and sliced by position;
+nothing is parsed in Python.
 """
 
 from __future__ import annotations
@@ -37,37 +37,36 @@ def _flag(piece: Column) -> Column:
 def parse_dly_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Monthly records -> one row per station, day and element (the yearly-file schema + ``year``).
 
-    Days marked missing (-9999, including the 29th-31st of short months) are
-    dropped; a non-missing value on a day the month does not have gets a NULL date.
+    Each line is exploded over its 31 day indexes and the day block is sliced by
+    position.  Days marked missing (-9999, including the 29th-31st of short
+    months) are dropped; a non-missing value on a day the month does not have
+    gets a NULL date.
     """
     v = F.col(col)
-    blocks = []
-    for day in range(1, DLY_DAYS + 1):
-        start = DLY_FIRST_BLOCK + (day - 1) * DLY_BLOCK_WIDTH
-        blocks.append(
-            F.struct(
-                F.lit(day).alias("day"),
-                F.trim(F.substring(v, start, 5)).alias("raw_value"),
-                _flag(F.substring(v, start + 5, 1)).alias("m_flag"),
-                _flag(F.substring(v, start + 6, 1)).alias("q_flag"),
-                _flag(F.substring(v, start + 7, 1)).alias("s_flag"),
-            )
-        )
     month = lines.select(
         F.substring(v, 1, 11).alias("id"),
         F.substring(v, 12, 4).try_cast("int").alias("y"),
         F.substring(v, 16, 2).try_cast("int").alias("m"),
         F.substring(v, 18, 4).alias("element"),
-        F.inline(F.array(*blocks)),
+        v.alias("_line"),
+        F.explode(F.sequence(F.lit(0), F.lit(DLY_DAYS - 1))).alias("_i"),
     )
-    value = F.col("raw_value").try_cast("int")
+    line, start = F.col("_line"), F.lit(DLY_FIRST_BLOCK) + F.col("_i") * F.lit(DLY_BLOCK_WIDTH)
+    blocks = month.select(
+        "id", "y", "m", "element",
+        (F.col("_i") + 1).alias("day"),
+        F.trim(line.substr(start, F.lit(5))).try_cast("int").alias("data_value"),
+        _flag(line.substr(start + 5, F.lit(1))).alias("m_flag"),
+        _flag(line.substr(start + 6, F.lit(1))).alias("q_flag"),
+        _flag(line.substr(start + 7, F.lit(1))).alias("s_flag"),
+    )
+    kept = F.col("data_value").isNull() | (F.col("data_value") != F.lit(MISSING_VALUE))
     date = F.try_make_timestamp_ntz(F.col("y"), F.col("m"), F.col("day"), F.lit(0), F.lit(0), F.lit(0)).cast("date")
-    days = month.where(value.isNull() | (value != F.lit(MISSING_VALUE)))
-    return days.select(
+    return blocks.where(kept).select(
         "id",
         date.alias("date"),
         "element",
-        value.alias("data_value"),
+        "data_value",
         "m_flag",
         "q_flag",
         "s_flag",
