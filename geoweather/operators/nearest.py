@@ -116,25 +116,33 @@ def nearest_stations(
     return done.unionByName(_search(rest, stations, k, max_miles, box_deg, cell_deg, pairs_per_task))
 
 
-def suggest_first_pass_miles(stations: DataFrame, k: int = 20, max_miles: float | None = 200.0) -> float | None:
-    """A first-pass radius expected to hold ~3k stations, from the stations' overall density.
-
-    One small aggregate (count and bounding box).  Returns None, meaning one pass,
-    when that radius would not be well below ``max_miles`` (sparse stations).
+def suggest_first_pass_miles(
+    zips: DataFrame, stations: DataFrame, k: int = 20, max_miles: float | None = 200.0
+) -> float | None:
+    """A first-pass radius expected to hold ~3k stations around a typical ZIP.
+
+    Station density is measured where the ZIPs are: the ZIP-weighted mean number
+    of stations in their 1-degree cells (two per-cell counts, each at most one
+    row per cell, and one small join).  Returns None, meaning one pass, when that
+    radius would not be well below ``max_miles`` (sparse stations).
     """
-    agg = stations.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("station_latitude").alias("lat0"), F.max("station_latitude").alias("lat1"),
-        F.min("station_longitude").alias("lon0"), F.max("station_longitude").alias("lon1"),
+    if max_miles is None:
+        return None
+    zc = zips.where(F.col("zipcode_latitude").isNotNull() & F.col("zipcode_longitude").isNotNull()).groupBy(
+        cell_index("zipcode_latitude", 1.0).alias("cy"), cell_index("zipcode_longitude", 1.0).alias("cx")
+    ).agg(F.count(F.lit(1)).alias("nz"))
+    sc = stations.groupBy(
+        cell_index("station_latitude", 1.0).alias("cy"), cell_index("station_longitude", 1.0).alias("cx")
+    ).agg(F.count(F.lit(1)).alias("ns"))
+    row = zc.join(sc, ["cy", "cx"], "left").agg(
+        (F.sum(F.col("nz") * F.coalesce(F.col("ns"), F.lit(0))) / F.sum("nz")).alias("per_cell"),
+        (F.sum(F.col("nz") * (F.col("cy") + F.lit(0.5))) / F.sum("nz")).alias("lat"),
     ).first()
-    if max_miles is None or not agg or not agg["n"] or agg["lat0"] is None:
+    if not row or not row["per_cell"]:
         return None
     miles_per_deg = math.radians(1.0) * EARTH_RADIUS_MILES
-    mid = math.radians((agg["lat0"] + agg["lat1"]) / 2)
-    area = max((agg["lat1"] - agg["lat0"]) * miles_per_deg, 1.0) * max(
-        (agg["lon1"] - agg["lon0"]) * miles_per_deg * math.cos(mid), 1.0
-    )
-    radius = math.sqrt(3 * k * area / (math.pi * agg["n"]))
+    cell_area = miles_per_deg * miles_per_deg * max(math.cos(math.radians(row["lat"])), 0.05)
+    radius = math.sqrt(3 * k * cell_area / (math.pi * row["per_cell"]))
     return radius if radius < max_miles / 2 else None
 
 

@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 
 from geoweather.operators.coverage import coverage
 from geoweather.operators.metrics import daily_metrics
-from geoweather.operators.nearest import link_zipcodes_to_stations, station_points, suggest_first_pass_miles
+from geoweather.operators.nearest import (
+    link_zipcodes_to_stations,
+    station_points,
+    suggest_first_pass_miles,
+    zipcode_points,
+)
 from geoweather.operators.preview import preview
 from geoweather.operators.storms import storm_issues, typed_storms
 from geoweather.plans import tables
@@ -101,7 +106,7 @@ def link_stations(
     stns = tables.require_table(spark, stations_path, "stations")
     if "first_pass_miles" not in kwargs:
         kwargs["first_pass_miles"] = suggest_first_pass_miles(
-            station_points(stns), k, kwargs.get("max_miles", 200.0)
+            zipcode_points(zips), station_points(stns), k, kwargs.get("max_miles", 200.0)
         )
     rows = _write_full(link_zipcodes_to_stations(zips, stns, k=k, **kwargs), target)
     sample = [r.asDict() for r in preview(spark.read.parquet(target), ["zipcode", "rank"], 5).collect()]

@@ -114,8 +114,9 @@ def test_two_pass_search_is_exact(spark):
         assert got == expected
     from geoweather.operators.nearest import suggest_first_pass_miles
 
-    r = suggest_first_pass_miles(stns, 20, 200.0)
-    assert r is None or 0 < r < 100
+    r = suggest_first_pass_miles(zips, stns, 20, 200.0)
+    assert r is not None and 0 < r < 100  # the dense cluster dominates where the ZIPs are
+    assert _rows(nearest_stations(zips, stns, k=20, max_miles=200.0, first_pass_miles=r)) == expected
 
 
 def test_distance_is_not_pushed_into_the_join(spark):
