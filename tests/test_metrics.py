@@ -100,3 +100,20 @@ def test_coverage(spark):
     empty = spark.createDataFrame([], ZIPCODE_DAILY_METRICS)
     rows = coverage(empty).collect()
     assert len(rows) == 5 and all(r.total == 0 and r.percentage is None for r in rows)
+
+
+def test_shuffle_join_path_gives_same_rows(spark, monkeypatch):
+    from geoweather.operators import metrics as m
+
+    obs, links = _fixture(spark)
+    broadcast_rows = sorted(map(tuple, daily_metrics(obs, links, D1, D3).collect()))
+    monkeypatch.setattr(m, "MAX_BROADCAST_LINKS", 0)
+    monkeypatch.setattr(m, "MAX_BROADCAST_DAYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = m.daily_metrics(obs, links, D1, D3)
+        plan = plan_text(q)
+        assert "BroadcastHashJoin" not in plan
+        assert sorted(map(tuple, q.collect())) == broadcast_rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
