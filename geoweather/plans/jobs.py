@@ -57,7 +57,7 @@ def ingest_observations(spark: SparkSession, source_folder: str, target: str, si
     replaced in one dynamic overwrite, so a failed run never leaves a year deleted.
     """
     existing = tables.read_table(spark, target)
-    watermark = existing.agg(F.max("year")).first()[0] if existing is not None else None
+    watermark = tables.newest_partition(existing, "year") if existing is not None else None
     listing = list_observation_files(spark, source_folder, since_year, watermark)
     paths = selected_paths(listing)
     if not paths:
@@ -78,8 +78,10 @@ def ingest_storms(
     """
     existing = tables.read_table(spark, target)
     watermark = None
-    if existing is not None:
-        newest = existing.agg(F.max("BEGIN_YEARMONTH")).first()[0]
+    newest_year = tables.newest_partition(existing, "YEAR") if existing is not None else None
+    if newest_year is not None:
+        # only the newest YEAR partition is scanned for the year-month high-water mark
+        newest = existing.where(F.col("YEAR") == newest_year).agg(F.max("BEGIN_YEARMONTH")).first()[0]
         watermark = newest // 100 if newest is not None else None
     listing = list_storm_files(spark, source_folder, since_year, watermark)
     paths = selected_paths(listing)

@@ -10,6 +10,7 @@ months keep their files.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,6 +38,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def newest_partition(df: DataFrame, col: str, within: str | None = None) -> int | None:
+    """Largest integer value of partition column ``col``, read from the file paths.
+
+    Uses the table's file listing (``col=value`` folders), so no rows are read;
+    ``within`` restricts the listing to paths containing that folder, e.g. ``year=2024``.
+    """
+    pattern = re.compile(rf"/{re.escape(col)}=(-?\d+)(/|$)")
+    files = [f for f in df.inputFiles() if within is None or f"/{within}/" in f]
+    values = [int(m.group(1)) for f in files if (m := pattern.search(f))]
+    return max(values) if values else None
+
+
 def require_table(spark: SparkSession, path: str, what: str) -> DataFrame:
     df = read_table(spark, path)
     if df is None:
@@ -156,13 +169,19 @@ def resume_from(spark: SparkSession, target: str, default_new=dt.date(2000, 1, 1
     """Start date for an incremental run.
 
     No table -> ``default_new``; table without dates -> ``default_empty``;
-    otherwise its newest date itself (the last day is recomputed).  Any error while
+    otherwise its newest date itself (the last day is recomputed).  For a table
+    partitioned by year/month only the newest partition is read.  Any error while
     reading falls back to ``default_new``.
     """
     try:
         existing = read_table(spark, target)
         if existing is None:
             return default_new
+        year = newest_partition(existing, "year") if "year" in existing.columns else None
+        month = newest_partition(existing, "month", within=f"year={year}") if year is not None else None
+        if year is not None and month is not None:
+            # only the newest (year, month) partition is read
+            existing = existing.where((F.col("year") == year) & (F.col("month") == month))
         newest = existing.agg(F.max("date")).first()[0]
         return newest if newest is not None else default_empty
     except Exception:  # noqa: BLE001 - unreadable table: start from the default
