@@ -144,9 +144,8 @@ def replace_date_range(
         return {"rows_deleted": 0, "rows_inserted": observed(obs, "rows_inserted")}
 
     months = _months(lo, hi)
-    touched = F.lit(False)
-    for y, m in months:
-        touched = touched | ((F.col("year") == y) & (F.col("month") == m))
+    month_no = F.col(partition_by[0]) * 12 + F.col(partition_by[1])
+    touched = month_no.between(lo.year * 12 + lo.month, hi.year * 12 + hi.month)  # prunes to the touched months
     old = existing.where(touched)
     counts = Observation("range_old")
     old = old.observe(counts, F.count(F.when(in_range, F.lit(1))).alias("rows_deleted"))
