@@ -469,3 +469,28 @@ ORACLE_SQL.update({
     "source_priority_pick": _source_pick(),
     "station_codes": with_(STATIONS) + "SELECT id, substring(id, 1, 2) AS country_code, substring(id, 3, 1) AS network_code FROM stations",
 })
+
+
+def _values(rows, alias: str, key: str, value: str) -> str:
+    def lit(v: str) -> str:
+        return "'" + v.replace("'", "''") + "'"
+
+    body = ", ".join(f"({lit(k)}, {lit(v)})" for k, v in rows)
+    return f"(VALUES {body}) AS {alias}({key}, {value})"
+
+
+def _flag_summary() -> str:
+    from geoweather.operators.dictionaries import M_FLAGS, Q_FLAGS, element_names
+
+    return with_(OBSERVATIONS) + (
+        "SELECT c.element, e.element_name, c.m_flag, m.m_flag_meaning, c.q_flag, q.q_flag_meaning, "
+        "c.readings, c.with_value FROM ("
+        "SELECT element, m_flag, q_flag, count(*) AS readings, count(data_value) AS with_value "
+        "FROM observations GROUP BY element, m_flag, q_flag) c "
+        f"LEFT JOIN {_values(element_names(), 'e', 'element', 'element_name')} ON c.element = e.element "
+        f"LEFT JOIN {_values(M_FLAGS, 'm', 'm_code', 'm_flag_meaning')} ON coalesce(c.m_flag, '') = m.m_code "
+        f"LEFT JOIN {_values(Q_FLAGS, 'q', 'q_code', 'q_flag_meaning')} ON coalesce(c.q_flag, '') = q.q_code"
+    )
+
+
+ORACLE_SQL["flag_summary"] = _flag_summary()

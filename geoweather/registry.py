@@ -18,6 +18,7 @@ from geoweather.functions.damage import damage_to_dollars
 from geoweather.functions.geo import haversine_miles
 from geoweather.functions.timeparts import parts_to_timestamp
 from geoweather.operators.coverage import coverage
+from geoweather.operators.dictionaries import flag_summary
 from geoweather.operators.metrics import (
     daily_metrics,
     element_stats_long,
@@ -292,6 +293,10 @@ def q_source_priority_pick(spark, sf):
     return pick_by_source_priority(derived.observations(spark, sf))
 
 
+def q_flag_summary(spark, sf):
+    return flag_summary(derived.observations(spark, sf))
+
+
 def q_station_codes(spark, sf):
     return station_codes(derived.stations(spark, sf)).select("id", "country_code", "network_code")
 
@@ -329,4 +334,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "element_inventory": q_element_inventory,
     "source_priority_pick": q_source_priority_pick,
     "station_codes": q_station_codes,
+    "flag_summary": q_flag_summary,
 }
