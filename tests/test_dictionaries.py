@@ -45,3 +45,11 @@ def test_flag_summary_matches_brute_force(spark):
     assert {(r["element"], r["m_flag"], r["q_flag"]): r["with_value"] for r in got} == {k: with_value.get(k, 0) for k in want}
     m = dict(M_FLAGS)
     assert all(r["m_flag_meaning"] == m[r["m_flag"] or ""] for r in got)
+
+
+def test_flag_summary_aggregates_before_decoding(spark):
+    plan = plan_text(flag_summary(derived.observations(spark, SF)))
+    assert "partial_count" in plan
+    assert "SortMergeJoin" not in plan
+    # the dictionary joins sit above the aggregate: the readings are not joined row by row
+    assert plan.index("BroadcastHashJoin") < plan.index("HashAggregate")
