@@ -87,11 +87,11 @@ def ingest_storms(
     paths = selected_paths(listing)
     if not paths:
         return {"watermark_year": watermark, "files": 0, "rows_loaded": 0}
-    typed = tables.stage(spark, typed_storms(read_storm_files(spark, paths)), "storm-typed")
-    good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
-    counts = tables.replace_years(spark, good, target, "YEAR")
-    if issues_target:
-        tables.replace_years(spark, storm_issues(typed), issues_target, "YEAR")
+    with tables.stage(spark, typed_storms(read_storm_files(spark, paths)), "storm-typed") as typed:
+        good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
+        counts = tables.replace_years(spark, good, target, "YEAR")
+        if issues_target:
+            tables.replace_years(spark, storm_issues(typed), issues_target, "YEAR")
     return {"watermark_year": watermark, "files": len(paths), **counts}
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -67,14 +69,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> DataFrame:
-    """Write ``df`` once under the shared folder and return the re-read copy."""
+@contextmanager
+def stage(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> Iterator[DataFrame]:
+    """Write ``df`` once under the shared folder and yield the re-read copy.
+
+    The staged folder is deleted when the block ends, so scheduled refreshes do not
+    leave a copy of their input behind on every run.
+    """
     path = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)
+    try:
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        _delete_path(spark, path)
+
+
+def _delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_by, sort_within=()) -> None:
@@ -110,13 +128,8 @@ def _months(lo: dt.date, hi: dt.date) -> list[tuple[int, int]]:
 
 
 def _delete_folders(spark: SparkSession, base: str, folders: list[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for rel in folders:
-        p = jvm.org.apache.hadoop.fs.Path(f"{base}/{rel}")
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
+        _delete_path(spark, f"{base}/{rel}")
 
 
 def replace_date_range(
@@ -150,11 +163,11 @@ def replace_date_range(
     counts = Observation("range_old")
     old = old.observe(counts, F.count(F.when(in_range, F.lit(1))).alias("rows_deleted"))
     merged = old.where(~in_range).unionByName(new_rows.select(*existing.columns))
-    staged = stage(spark, merged, "range-replace", partition_by)
     inserted = Observation("range_ins")
-    staged_new = staged.observe(inserted, F.count(F.when(in_range, F.lit(1))).alias("rows_inserted"))
-    overwrite_partitions(staged_new, target, list(partition_by))
-    present = {(r[0], r[1]) for r in staged.select(*partition_by).distinct().collect()}
+    with stage(spark, merged, "range-replace", partition_by) as staged:
+        staged_new = staged.observe(inserted, F.count(F.when(in_range, F.lit(1))).alias("rows_inserted"))
+        overwrite_partitions(staged_new, target, list(partition_by))
+        present = {(r[0], r[1]) for r in staged.select(*partition_by).distinct().collect()}
     emptied = [f"{partition_by[0]}={y}/{partition_by[1]}={m}" for y, m in months if (y, m) not in present]
     _delete_folders(spark, target, emptied)
     return {

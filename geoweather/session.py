@@ -29,6 +29,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove a checkpoint's files once the frame that reads it is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Wide typed projections generate large methods; let the JIT compile them.
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",

@@ -19,9 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geoweather.functions.files import storm_file_stamp, storm_file_year
 from geoweather.operators.storms import storm_issues, typed_storms
-from geoweather.plans.tables import overwrite_partitions
+from geoweather.plans.tables import overwrite_partitions, stage
 from geoweather.schemas import STORM_EVENTS, all_strings
-from geoweather.session import scratch_path
 from geoweather.sources.listing import STORM_GLOB
 from geoweather.sources.storms import csv_options
 
@@ -65,13 +64,11 @@ def _apply_batch(target: str, issues_target: str | None):
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         # Stage the typed batch once: it feeds both the table and the issue log.
-        staged_path = scratch_path(spark, f"storm-batch-{epoch_id}")
-        typed_storms(newest_versions(batch)).write.mode("overwrite").parquet(staged_path)
-        typed = spark.read.parquet(staged_path)
-        good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
-        overwrite_partitions(good, target, ["YEAR"])
-        if issues_target:
-            overwrite_partitions(storm_issues(typed), issues_target, ["YEAR"])
+        with stage(spark, typed_storms(newest_versions(batch)), f"storm-batch-{epoch_id}") as typed:
+            good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
+            overwrite_partitions(good, target, ["YEAR"])
+            if issues_target:
+                overwrite_partitions(storm_issues(typed), issues_target, ["YEAR"])
 
     return apply
 

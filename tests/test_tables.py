@@ -84,3 +84,14 @@ def test_export_partitions_where_and_row_groups(spark, tmp_path):
     # re-export of a partition replaces it whole
     export_parquet(df.where("id = 0"), dest)
     assert sorted(r.id for r in lake_view(spark, dest).collect()) == [0, 1, 3, 9, 100]
+
+
+def test_stage_removes_its_folder(spark):
+    from geoweather.plans.tables import stage
+
+    df = spark.range(100).withColumn("p", F.col("id") % 3)
+    with stage(spark, df, "stage-test", ["p"]) as staged:
+        files = [f.replace("file:", "") for f in staged.inputFiles()]
+        assert files and all(os.path.exists(f) for f in files)
+        assert staged.count() == 100
+    assert not any(os.path.exists(f) for f in files)
