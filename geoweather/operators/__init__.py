@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame transforms.  No operator triggers a job by itself."""
 
 from geoweather.operators.coverage import coverage
+from geoweather.operators.dictionaries import decode_flags, flag_summary
 from geoweather.operators.metrics import (
     daily_metrics,
     element_stats_long,
@@ -23,9 +24,11 @@ from geoweather.operators.storms import normalise_storms, typed_storms
 __all__ = [
     "coverage",
     "daily_metrics",
+    "decode_flags",
     "element_stats_long",
     "element_stats_wide",
     "filter_rows",
+    "flag_summary",
     "in_date_range",
     "link_zipcodes_to_stations",
     "near_links",
