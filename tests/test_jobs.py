@@ -15,6 +15,14 @@ def _write_obs(folder, year, lines):
         f.write("\n".join(lines) + "\n")
 
 
+def _staged(spark) -> set[str]:
+    """Staging folders of range refreshes currently under the shared folder."""
+    from geoweather.session import shared_dir
+
+    base = shared_dir(spark).replace("file:", "")
+    return {d for d in os.listdir(base) if d.startswith("range-replace-")}
+
+
 def test_end_to_end_jobs(spark, tmp_path):
     t = str(tmp_path)
     stations_txt = os.path.join(t, "stations.txt")
@@ -53,6 +61,7 @@ def test_end_to_end_jobs(spark, tmp_path):
     out = jobs.link_stations(spark, zip_t, stn_t, links_t, k=20)
     assert out["rows"] == 2 and out["sample"][0]["zipcode"] == "19001"  # the third station is ~340 miles away
 
+    staged_before = _staged(spark)
     res = jobs.compute_daily_metrics(spark, obs_t, links_t, met_t, "2023-12-01", "2024-01-31", max_miles=20.0)
     rows = {(r.zipcode, r.date): r for r in spark.read.parquet(met_t).collect()}
     assert set(rows) == {("19001", dt.date(2023, 12, 31)), ("19001", dt.date(2024, 1, 1)), ("19001", dt.date(2024, 1, 2))}
@@ -63,6 +72,8 @@ def test_end_to_end_jobs(spark, tmp_path):
     res2 = jobs.compute_daily_metrics(spark, obs_t, links_t, met_t, max_date="2024-01-31")
     assert res2["min_date"] == "2024-01-02" and res2["rows_deleted"] == 1 and res2["rows_inserted"] == 1
     assert spark.read.parquet(met_t).count() == 3
+    # the refreshes removed their staged copies from the shared folder
+    assert _staged(spark) == staged_before
 
     exp = jobs.export_table(spark, met_t, lake, ("year", "month"), where="prcp IS NOT NULL OR tmax > 0")
     assert exp["partitions"] == 2
