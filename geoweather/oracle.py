@@ -493,4 +493,16 @@ def _flag_summary() -> str:
     )
 
 
+def _flag_decode() -> str:
+    from geoweather.operators.dictionaries import M_FLAGS, Q_FLAGS, element_names
+
+    return with_(OBSERVATIONS) + (
+        "SELECT o.*, e.element_name, m.m_flag_meaning, q.q_flag_meaning FROM observations o "
+        f"LEFT JOIN {_values(element_names(), 'e', 'element', 'element_name')} ON o.element = e.element "
+        f"LEFT JOIN {_values(M_FLAGS, 'm', 'm_code', 'm_flag_meaning')} ON coalesce(o.m_flag, '') = m.m_code "
+        f"LEFT JOIN {_values(Q_FLAGS, 'q', 'q_code', 'q_flag_meaning')} ON coalesce(o.q_flag, '') = q.q_code"
+    )
+
+
 ORACLE_SQL["flag_summary"] = _flag_summary()
+ORACLE_SQL["flag_decode"] = _flag_decode()

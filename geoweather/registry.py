@@ -18,7 +18,7 @@ from geoweather.functions.damage import damage_to_dollars
 from geoweather.functions.geo import haversine_miles
 from geoweather.functions.timeparts import parts_to_timestamp
 from geoweather.operators.coverage import coverage
-from geoweather.operators.dictionaries import flag_summary
+from geoweather.operators.dictionaries import decode_flags, flag_summary
 from geoweather.operators.metrics import (
     daily_metrics,
     element_stats_long,
@@ -293,6 +293,10 @@ def q_source_priority_pick(spark, sf):
     return pick_by_source_priority(derived.observations(spark, sf))
 
 
+def q_flag_decode(spark, sf):
+    return decode_flags(derived.observations(spark, sf))
+
+
 def q_flag_summary(spark, sf):
     return flag_summary(derived.observations(spark, sf))
 
@@ -335,4 +339,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_priority_pick": q_source_priority_pick,
     "station_codes": q_station_codes,
     "flag_summary": q_flag_summary,
+    "flag_decode": q_flag_decode,
 }
