@@ -117,3 +117,17 @@ def test_shuffle_join_path_gives_same_rows(spark, monkeypatch):
         assert sorted(map(tuple, q.collect())) == broadcast_rows
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_date_range_reaches_the_parquet_scan(spark, tmp_path):
+    obs, links = _fixture(spark)
+    path = str(tmp_path / "obs")
+    obs.withColumn("year", F.year("date")).write.partitionBy("year").parquet(path)
+    stored = spark.read.parquet(path)
+    plan = plan_text(daily_metrics(stored, links, D1, D3))
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line and str(tmp_path) in line]
+    assert scans
+    for scan in scans:
+        # whole years are pruned by folder, the exact dates are pushed into the reader
+        assert "PartitionFilters: [isnotnull(year" in scan and "2024" in scan.split("PartitionFilters:")[1]
+        assert "GreaterThanOrEqual(date,2024-01-01)" in scan and "LessThanOrEqual(date,2024-01-03)" in scan
