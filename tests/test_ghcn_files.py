@@ -3,6 +3,7 @@ import datetime as dt
 from geoweather.operators.stations import element_inventory, pick_by_source_priority, station_codes
 from geoweather.schemas import OBSERVATIONS
 from geoweather.sources.ghcn_files import parse_dly_lines, parse_inventory_lines
+from tests.conftest import plan_text
 
 
 def _dly_line(id_, year, month, element, days):
@@ -59,3 +60,24 @@ def test_parse_inventory(spark):
     r = parse_inventory_lines(spark.createDataFrame([(line,)], "value string")).collect()[0]
     assert (r.id, r.latitude, r.longitude, r.element, r.firstyear, r.lastyear) == (
         "ACW00011604", 17.1167, -61.7833, "TMAX", 1949, 1949)
+
+
+def test_name_station_codes(spark, tmp_path):
+    from geoweather.operators.stations import name_station_codes
+    from geoweather.sources.ghcn_files import read_countries, read_states
+
+    (tmp_path / "countries.txt").write_text("US United States\nCA Canada\n")
+    (tmp_path / "states.txt").write_text("NY NEW YORK\nON ONTARIO\n")
+    stations = spark.createDataFrame(
+        [("USC00300001", "NY"), ("CA001000001", "ON"), ("ZZX00000001", "  ")], "id string, state string"
+    )
+    out = name_station_codes(
+        stations, read_countries(spark, str(tmp_path / "countries.txt")), read_states(spark, str(tmp_path / "states.txt"))
+    )
+    assert "SortMergeJoin" not in plan_text(out)
+    got = {r["id"]: (r["country_code"], r["network_code"], r["country_name"], r["state_name"]) for r in out.collect()}
+    assert got == {
+        "USC00300001": ("US", "C", "United States", "NEW YORK"),
+        "CA001000001": ("CA", "0", "Canada", "ONTARIO"),
+        "ZZX00000001": ("ZZ", "X", None, None),
+    }
