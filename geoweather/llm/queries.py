@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from geoweather.llm import mixing, urlfilter
+from geoweather.llm import bpe, mixing, quality, urlfilter
 
 QUERIES = {
+    "op2_byte_bpe": bpe.query,
     "op5_url_filter": urlfilter.query,
     "op6_mix_sources": mixing.query,
+    "op7_quality_rules": quality.query,
 }
 
 ORACLE_SQL = {
