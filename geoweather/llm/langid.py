@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ ROUNDS = 40
 LEXICON_COUNT = 3
 BLOCK = 32  # words
 GROUP_CHARS = 2_000_000
-MIN_SCORE = 0.5
+MIN_SCORE = 0.4
 LETTERS = re.compile(r"[^\W\d_]+")
 EDGE = 1  # code of a word's two ends
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -55,7 +55,10 @@ SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters; runs of other numeric characters only are left out."""
-    return [w for w in LETTERS.findall(text.lower()) if w.isascii() or any(map(str.isalpha, w))]
+    words = LETTERS.findall(text.lower())
+    if "".join(words).isalpha():
+        return words
+    return [w for w in words if any(map(str.isalpha, w))]
 
 
 def gram_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,16 +120,18 @@ class Model:
         x = np.ones((len(doc), BLOCK, n_labels))
         x[inside] = potentials[words[at[inside]]]
 
-        def scaled(m):
-            return m / m.max(axis=tuple(range(1, m.ndim)), keepdims=True)
+        def scaled(m, step=0):
+            """Each message or matrix divided by its largest entry, in every eighth step (potentials are at most 1)."""
+            return m if step % 8 else m / m.max(axis=tuple(range(1, m.ndim)), keepdims=True)
 
         transfer = np.broadcast_to(np.eye(n_labels), (len(doc), n_labels, n_labels)).copy()
         for t in range(BLOCK):
             moved = (transfer.reshape(-1, n_labels) @ moves).reshape(transfer.shape)
             if t == 0:
                 moved[nth == 0] = transfer[nth == 0]
-            live = inside[:, t]
-            transfer[live] = scaled(moved[live] * x[live, t][:, None, :])
+            moved *= x[:, t, None, :]
+            live = inside[:, t, None, None]
+            transfer = scaled(moved if live.all() else np.where(live, moved, transfer), t)
         # Running products of the blocks of a document, from its start and from its end.
         upto, onward, hop = transfer.copy(), transfer.copy(), 1
         while hop < blocks.max(initial=0):
@@ -147,11 +152,11 @@ class Model:
             moved = forward @ moves
             if t == 0:
                 moved[nth == 0] = 1.0
-            forward = np.where(inside[:, t, None], scaled(moved * x[:, t]), forward)
+            forward = scaled(np.where(inside[:, t, None], moved * x[:, t], forward), t)
             alpha[:, t] = forward
         for t in range(BLOCK - 1, -1, -1):
             alpha[:, t] *= backward
-            backward = np.where(inside[:, t, None], scaled((x[:, t] * backward) @ moves.T), backward)
+            backward = scaled(np.where(inside[:, t, None], (x[:, t] * backward) @ moves.T, backward), t)
         found = alpha[inside]
         return found / found.sum(axis=1, keepdims=True)
 
@@ -160,7 +165,7 @@ class Model:
         number = defaultdict(count().__next__)
         split = [words_of(t) for t in texts]
         lengths = np.fromiter(map(len, split), np.int64, len(split))
-        ids = np.fromiter((number[w] for ws in split for w in ws), np.int64, int(lengths.sum()))
+        ids = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
         if not len(ids) or not self.languages:
             return lengths, np.zeros((0, len(self.languages)))
         scores = self.emissions(self.features(list(number)))

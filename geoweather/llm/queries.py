@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from geoweather.llm import bpe, mixing, quality, urlfilter
+from geoweather.llm import bpe, langid, mixing, pii, quality, urlfilter, warc
 
 QUERIES = {
+    "op1_pii": pii.query,
     "op2_byte_bpe": bpe.query,
+    "op4_warc": warc.query,
     "op5_url_filter": urlfilter.query,
     "op6_mix_sources": mixing.query,
     "op7_quality_rules": quality.query,
+    "op10_language_id": langid.query,
 }
 
 ORACLE_SQL = {
