@@ -318,7 +318,9 @@ class Codec:
         return n, said.hexdigest(), back.hexdigest(), chars + bool(pending)
 
 
-codec = lru_cache(maxsize=2)(Codec)
+@lru_cache(maxsize=2)
+def codec(path: str, pattern: str) -> Codec:
+    return Codec(path, pattern)
 
 
 def encode_documents(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
