@@ -1,18 +1,31 @@
-"""Corpus pipeline: placeholder order of stages until all operators are in."""
+"""Corpus pipeline: five stages from raw documents to token digests.
+
+Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and
+reread as the next one's docs.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from geoweather.llm import mixing
+from pyspark.sql import DataFrame, SparkSession
 
-STAGES = [("mix sources", mixing.stage_mix)]
-ORACLE_SQL = None
+from geoweather.llm import bpe, langid, mixing, neardup, pii
+from geoweather.llm.common import stage, table
 
+STAGES = [
+    ("language id", langid.stage_language),
+    ("near duplicates", neardup.stage_near_duplicates),
+    ("pii", pii.stage_pii),
+    ("mix sources", mixing.stage_mix),
+    ("byte bpe", bpe.stage_encode),
+]
+
+# SQL cannot express the random field, MinHash components or the merges; tests compare with brute force.
+ORACLE_SQL = None
 
-def run(spark, sf_dir):
-    """Apply the stages to documents, each written as Parquet and reread."""
-    from geoweather.llm.common import stage
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to documents."""
+    docs = table(spark, sf_dir, "documents")
     for name, fn in STAGES:
-        docs = stage(fn(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stage(fn(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

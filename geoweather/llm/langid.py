@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoweather.llm.common import table
+from geoweather.llm.texts import text_groups
 
 SAMPLE_DOCS = 300  # per language
 SAMPLE_CHARS = 1500  # per document
@@ -288,15 +289,6 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     return train([(r.t, r.lang) for r in rows.limit(len(ids)).collect()])
 
 
-def _groups(texts: list[str]):
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text)
-        if chars >= GROUP_CHARS or i + 1 == len(texts):
-            yield start, i + 1
-            start, chars = i + 1, 0
-
-
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: HASH_BITS, lexicon of the sample
@@ -305,7 +297,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            found = [x for a, b in _groups(texts) for x in model.classify(texts[a:b])]
+            found = [x for a, b in text_groups(texts, GROUP_CHARS) for x in model.classify(texts[a:b])]
             langs, scores = ([x[k] for x in found] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -324,7 +316,7 @@ def label_words(docs: DataFrame, model: Model) -> DataFrame:
         names = np.array(model.languages)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
+            for a, b in text_groups(texts, GROUP_CHARS):
                 lengths, found = model.label(texts[a:b])
                 if not len(found):
                     continue
@@ -362,7 +354,7 @@ def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         model = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
-            found = [x for a, b in _groups(texts) for x in model.classify(texts[a:b])]
+            found = [x for a, b in text_groups(texts, GROUP_CHARS) for x in model.classify(texts[a:b])]
             yield batch.filter(pa.array([lang != "und" and score >= MIN_SCORE for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)

@@ -34,12 +34,12 @@ from __future__ import annotations
 import hashlib
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweather.llm.common import stage, table, text_or_empty
 from geoweather.llm.components import components
+from geoweather.llm.texts import MIX, scramble, text_groups, word_hashes
 
 COORDINATES, MATCHES = 128, 80
 POSTED, POSTED_MATCHES = 64, 36
@@ -48,33 +48,12 @@ PERCENT = 80
 BLOCK = 256
 BROADCAST_IDS = 1_000_000
 GROUP_CHARS = 2_000_000
-FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _SEEDS = np.random.default_rng(20).integers(0, 1 << 63, size=(2, COORDINATES), dtype=np.uint64)
 _FACTOR, _SALT = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
 
 SKETCH = "doc_id bigint, n_shingles bigint, digest string, posted array<bigint>, sketch binary"
 
 
-def scramble(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * MIX[1]
-    h = (h ^ (h >> np.uint64(27))) * MIX[2]
-    return h ^ (h >> np.uint64(31))
-
-
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (ASCII-lower-cased, split at ASCII white space), and words per text."""
-    known: dict[bytes, int] = {}
-    hashes, lengths = [], []
-    for text in texts:
-        words = text.translate(FOLD).encode("utf-8", "surrogatepass").split() if not text.isascii() else text.lower().encode().split()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        lengths.append(len(words))
-    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.array(lengths, np.int64)
-
-
 def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts, one text behind the other, and the size of each set."""
     hashes, lengths = word_hashes(texts)
@@ -104,15 +83,6 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return scramble(out + np.arange(COORDINATES, dtype=np.uint64))
 
 
-def text_groups(texts: list[str]):
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text)
-        if chars >= GROUP_CHARS or i + 1 == len(texts):
-            yield start, i + 1
-            start, chars = i + 1, 0
-
-
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     """Set size, digest of the set, posted values and one byte of each coordinate (columns of SKETCH)."""
 
@@ -120,7 +90,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
         names = [x.split()[0] for x in SKETCH.split(", ")]
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, GROUP_CHARS):
                 shingles, sizes = shingle_sets(texts[a:b], width)
                 sigs = signatures(shingles, sizes)
                 ends, row = np.cumsum(sizes), 0

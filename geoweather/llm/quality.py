@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweather.llm.common import table
+from geoweather.llm.texts import text_groups
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -165,14 +166,10 @@ def judge_group(texts: list[str]) -> list[tuple]:
 def _judge(batches):
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-        start, chars = 0, 0
-        for i, text in enumerate(texts):
-            chars += len(text)
-            if chars >= GROUP_CHARS or i + 1 == len(texts):
-                columns = zip(*judge_group(texts[start : i + 1]), strict=True)
-                arrays = [pa.array(ids[start : i + 1], pa.int64()), *(pa.array(c) for c in columns)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
-                start, chars = i + 1, 0
+        for a, b in text_groups(texts, GROUP_CHARS):
+            columns = zip(*judge_group(texts[a:b]), strict=True)
+            arrays = [pa.array(ids[a:b], pa.int64()), *(pa.array(c) for c in columns)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
 def judge_quality(docs: DataFrame) -> DataFrame:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from geoweather.llm import bpe, langid, mixing, pii, quality, urlfilter, warc
+from geoweather.llm import ann, bpe, langid, lm, mixing, neardup, pii, quality, urlfilter, warc
 
 QUERIES = {
     "op1_pii": pii.query,
     "op2_byte_bpe": bpe.query,
+    "op3_lm_scores": lm.query,
     "op4_warc": warc.query,
     "op5_url_filter": urlfilter.query,
     "op6_mix_sources": mixing.query,
     "op7_quality_rules": quality.query,
+    "op8_near_duplicates": neardup.query,
+    "op9_nearest_neighbours": ann.query,
     "op10_language_id": langid.query,
 }
 
