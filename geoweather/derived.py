@@ -2,7 +2,8 @@
 
 The test tables carry no geography, so each weather input is derived from one of
 them with integer arithmetic that DuckDB reproduces bit for bit (see
-``geoweather.oracle``).  All derivations keep every source row.
+``geoweather.oracle``).  Each source row gives one row, but for ``storm_file_names`` (distinct
+names) and ``dly_lines`` (one reading per station, day and element, picked by source priority).
 
 * ZIP gazetteer      <- customer   (one ZIP per customer)
 * stations           <- supplier   (one station per supplier, some without latitude)
@@ -18,6 +19,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoweather.operators.stations import pick_by_source_priority
+from geoweather.schemas import STORM_EVENTS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -76,19 +80,20 @@ def _element_of(event_type: Column, event_id: Column) -> Column:
     return expr
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def observations(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     e = table(spark, sf_dir, "events")
     eid, ts = F.col("event_id"), F.col("ts")
     date = ts.cast("date")
     return e.select(
+        *([eid] if with_key else []),
         F.format_string("US%09d", F.col("user_id")).alias("id"),
         date.alias("date"),
         _element_of(F.col("event_type"), eid).alias("element"),
         F.when(eid % 29 == 0, F.lit(None).cast("int")).otherwise(F.round("value").cast("int")).alias("data_value"),
         F.when(eid % 13 == 0, F.lit("T")).alias("m_flag"),
         F.when(eid % 17 == 0, F.lit("X")).alias("q_flag"),
-        F.when(F.col("user_id") % 3 == 0, F.lit("W"))
-        .when(F.col("user_id") % 3 == 1, F.lit("7"))
+        F.when(eid % 3 == 0, F.lit("W"))
+        .when(eid % 3 == 1, F.lit("7"))
         .otherwise(F.lit("S"))
         .alias("s_flag"),
         F.when(eid % 5 == 0, F.lit(None).cast("string"))
@@ -98,10 +103,29 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Storm columns with a rule of their own (or computed later); the others are filled by kind.
+NAMED_STORM_COLUMNS = (
+    "BEGIN_YEARMONTH", "BEGIN_DAY", "BEGIN_TIME", "END_YEARMONTH", "END_DAY", "END_TIME", "EPISODE_ID", "EVENT_ID", "STATE",
+    "STATE_FIPS", "YEAR", "MONTH_NAME", "EVENT_TYPE", "DAMAGE_PROPERTY", "DAMAGE_CROPS", "MAGNITUDE", "TOR_LENGTH",
+    "DATA_SOURCE", "BEGIN_DATE_TIME", "END_DATE_TIME",
+)
+
+
 def storm_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string storm staging rows; some days (key % 97) and hours (24) are invalid."""
+    """All-string storm staging rows; some days (key % 97) and hours (24) are invalid, some damage
+    amounts (key % 101) and state codes (key % 103) unreadable."""
     o = table(spark, sf_dir, "orders")
     key, cust, d = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    filled = []
+    for i, f in enumerate(f for f in STORM_EVENTS.fields if f.name not in NAMED_STORM_COLUMNS):
+        kind = f.dataType.simpleString()
+        if kind == "bigint":
+            text = _s((key + i) % (7 + i))
+        elif kind == "double":
+            text = F.concat(_s((cust + i) % (50 + i)), F.lit(".25"))
+        else:
+            text = F.when(key % (5 + i % 7) != 0, F.concat(F.lit(f"{f.name} "), _s(cust % (3 + i))))
+        filled.append(text.alias(f.name))
     ym = F.year(d) * 100 + F.month(d)
     damage_suffix = (
         F.when(key % 6 == 0, F.lit("K"))
@@ -122,14 +146,14 @@ def storm_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(cust).alias("EPISODE_ID"),
         _s(key).alias("EVENT_ID"),
         F.col("o_orderpriority").alias("STATE"),
-        _s(cust % 56).alias("STATE_FIPS"),
+        F.concat(F.when(key % 103 == 0, F.lit("X")).otherwise(F.lit("")), _s(cust % 56)).alias("STATE_FIPS"),
         _s(F.year(d)).alias("YEAR"),
         F.date_format(d, "MMMM").alias("MONTH_NAME"),
         F.when(F.col("o_orderstatus") == "F", F.lit("Hail"))
         .when(F.col("o_orderstatus") == "O", F.lit("Tornado"))
         .otherwise(F.lit("Flood"))
         .alias("EVENT_TYPE"),
-        F.concat(_s(cust % 100), damage_suffix).alias("DAMAGE_PROPERTY"),
+        F.concat(F.when(key % 101 == 0, F.lit("AB")).otherwise(F.lit("")), _s(cust % 100), damage_suffix).alias("DAMAGE_PROPERTY"),
         F.when(key % 4 == 0, F.lit(None).cast("string"))
         .when(key % 4 == 1, F.lit("0.00K"))
         .otherwise(F.concat(_s(cust % 7), F.lit("k")))
@@ -140,6 +164,7 @@ def storm_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("MAGNITUDE"),
         F.concat(_s(key % 100), F.lit(".5")).alias("TOR_LENGTH"),
         F.col("o_orderstatus").alias("DATA_SOURCE"),
+        *filled,
     )
 
 
@@ -181,13 +206,18 @@ def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comma-separated yearly-file lines (no header, empty field = missing)."""
-    o = observations(spark, sf_dir)
+    """Comma-separated yearly-file lines (no header, empty field = missing).
+
+    Lines whose event number leaves 1 to 5 at 41 are damaged: no date, an unreadable date,
+    an unreadable value, no station, no element.
+    """
+    o = observations(spark, sf_dir, with_key=True)
+    kind = F.col("event_id") % 41
     fields = [
-        F.col("id"),
-        F.date_format("date", "yyyyMMdd"),
-        F.col("element"),
-        _s(F.col("data_value")),
+        F.when(kind != 4, F.col("id")),
+        F.when(kind == 2, F.lit("2024-13-45")).when(kind != 1, F.date_format("date", "yyyyMMdd")),
+        F.when(kind != 5, F.col("element")),
+        F.when(kind == 3, F.lit("1x2")).otherwise(_s(F.col("data_value"))),
         F.col("m_flag"),
         F.col("q_flag"),
         F.col("s_flag"),
@@ -232,9 +262,9 @@ def dly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One line per station, year, month and element; each day block is
     value (5, right-aligned, -9999 when missing) + m/q/s flags (blank when none).
-    When a day has several readings the largest block text is used.
+    When several sources report a day, the reading of the highest-priority one is in the record.
     """
-    o = observations(spark, sf_dir)
+    o = pick_by_source_priority(observations(spark, sf_dir))
     block = F.concat(
         F.coalesce(F.lpad(_s(F.col("data_value")), 5, " "), F.lit("-9999")),
         F.coalesce(F.col("m_flag"), F.lit(" ")),

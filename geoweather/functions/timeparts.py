@@ -1,15 +1,9 @@
 """Year-month / day / hhmm integer parts to a wall-clock timestamp (no time zone).
 
-The rule is textual: the parts are joined as ``YYYYMM-DD HHMM`` with the day
-left-padded to 2 and the time to 4 characters (a longer value is cut to its
-leading characters) and that text is read as a time.  For integer parts the same
-rule is evaluated with arithmetic only, so no string is built per row:
-
 * year-month must have exactly 6 digits: year = ym div 100, month = ym mod 100;
-* day 0..99 is taken as is, a longer day keeps its first two digits;
-* hhmm 0..9999 gives hour = hhmm div 100, minute = hhmm mod 100, a longer value
-  keeps its first four digits; negative parts never form a valid text.
-Invalid calendar values (month 13, Feb 30, hour 24) give NULL, not an error.
+* day is 0..99, hhmm 0..9999 with hour = hhmm div 100 and minute = hhmm mod 100;
+* a longer part is not cut to fit: like any part that forms no valid calendar time
+  (month 13, Feb 30, hour 24, a negative part) it gives NULL, which callers report.
 """
 
 from __future__ import annotations
@@ -33,17 +27,11 @@ def parts_text(yearmonth, day, hhmm) -> Column:
     )
 
 
-def _leading_digits(value: Column, keep: int) -> Column:
-    """First ``keep`` digits of a non-negative integer with more than ``keep`` digits."""
-    return F.substring(value.cast("string"), 1, keep).cast("int")
-
-
 def parts_to_timestamp(yearmonth, day, hhmm) -> Column:
     """TIMESTAMP_NTZ from integer parts; NULL when a part is NULL or the parts form no valid time."""
     ym, d, t = _c(yearmonth).cast("bigint"), _c(day).cast("bigint"), _c(hhmm).cast("bigint")
-    dd = F.when(d < 100, d.cast("int")).otherwise(_leading_digits(d, 2))
-    tt = F.when(t < 10000, t.cast("int")).otherwise(_leading_digits(t, 4))
-    valid_text = ym.between(100000, 999999) & (d >= 0) & (t >= 0)
+    valid_text = ym.between(100000, 999999) & d.between(0, 99) & t.between(0, 9999)
+    dd, tt = d.cast("int"), t.cast("int")
     return F.when(
         valid_text,
         F.try_make_timestamp_ntz(

@@ -48,6 +48,119 @@ WEATHER_TYPES = (
     ("22", "Ice fog or freezing fog"),
 )
 
+# The other elements, as documented (code, description).
+OTHER_ELEMENT_NAMES = (
+    ("ACMC", "Average cloudiness midnight to midnight from 30-second ceilometer data (percent)"),
+    ("ACMH", "Average cloudiness midnight to midnight from manual observations (percent)"),
+    ("ACSC", "Average cloudiness sunrise to sunset from 30-second ceilometer data (percent)"),
+    ("ACSH", "Average cloudiness sunrise to sunset from manual observations (percent)"),
+    ("ADPT", "Average Dew Point Temperature for the day (tenths of degrees C)"),
+    ("ASLP", "Average Sea Level Pressure for the day (hPa * 10)"),
+    ("ASTP", "Average Station Level Pressure for the day (hPa * 10)"),
+    ("AWBT", "Average Wet Bulb Temperature for the day (tenths of degrees C)"),
+    ("AWDR", "Average daily wind direction (degrees)"),
+    ("AWND", "Average daily wind speed (tenths of meters per second)"),
+    ("DAEV", "Number of days included in the multiday evaporation total (MDEV)"),
+    ("DAPR", "Number of days included in the multiday precipiation total (MDPR)"),
+    ("DASF", "Number of days included in the multiday snowfall total (MDSF)"),
+    ("DATN", "Number of days included in the multiday minimum temperature (MDTN)"),
+    ("DATX", "Number of days included in the multiday maximum temperature (MDTX)"),
+    ("DAWM", "Number of days included in the multiday wind movement (MDWM)"),
+    ("DWPR", "Number of days with non-zero precipitation included in multiday precipitation total (MDPR)"),
+    ("EVAP", "Evaporation of water from evaporation pan (tenths of mm)"),
+    ("FMTM", "Time of fastest mile or fastest 1-minute wind (hours and minutes, i.e., HHMM)"),
+    ("FRGB", "Base of frozen ground layer (cm)"),
+    ("FRGT", "Top of frozen ground layer (cm)"),
+    ("FRTH", "Thickness of frozen ground layer (cm)"),
+    ("GAHT", "Difference between river and gauge height (cm)"),
+    ("MDEV", "Multiday evaporation total (tenths of mm; use with DAEV)"),
+    ("MDPR", "Multiday precipitation total (tenths of mm; use with DAPR and DWPR, if available)"),
+    ("MDSF", "Multiday snowfall total"),
+    ("MDTN", "Multiday minimum temperature (tenths of degrees C; use with DATN)"),
+    ("MDTX", "Multiday maximum temperature (tenths of degress C; use with DATX)"),
+    ("MDWM", "Multiday wind movement (km)"),
+    ("MNPN", "Daily minimum temperature of water in an evaporation pan (tenths of degrees C)"),
+    ("MXPN", "Daily maximum temperature of water in an evaporation pan (tenths of degrees C)"),
+    ("PGTM", "Peak gust time (hours and minutes, i.e., HHMM)"),
+    ("PSUN", "Daily percent of possible sunshine (percent)"),
+    ("RHAV", "Average relative humidity for the day (percent)"),
+    ("RHMN", "Minimum relative humidity for the day (percent)"),
+    ("RHMX", "Maximum relative humidity for the day (percent)"),
+    ("TAXN", "Average daily temperature computed as (TMAX+TMIN)/2.0 (tenths of degrees C)"),
+    ("TAVG", "Average daily temperature (tenths of degrees C)"),
+    ("THIC", "Thickness of ice on water (tenths of mm)"),
+    ("TOBS", "Temperature at the time of observation (tenths of degrees C)"),
+    ("TSUN", "Daily total sunshine (minutes)"),
+    ("WDF1", "Direction of fastest 1-minute wind (degrees)"),
+    ("WDF2", "Direction of fastest 2-minute wind (degrees)"),
+    ("WDF5", "Direction of fastest 5-second wind (degrees)"),
+    ("WDFG", "Direction of peak wind gust (degrees)"),
+    ("WDFI", "Direction of highest instantaneous wind (degrees)"),
+    ("WDFM", "Fastest mile wind direction (degrees)"),
+    ("WDMV", "24-hour wind movement (km)"),
+    ("WESD", "Water equivalent of snow on the ground (tenths of mm)"),
+    ("WESF", "Water equivalent of snowfall (tenths of mm)"),
+    ("WSF1", "Fastest 1-minute wind speed (tenths of meters per second)"),
+    ("WSF2", "Fastest 2-minute wind speed (tenths of meters per second)"),
+    ("WSF5", "Fastest 5-second wind speed (tenths of meters per second)"),
+    ("WSFG", "Peak gust wind speed (tenths of meters per second)"),
+    ("WSFI", "Highest instantaneous wind speed (tenths of meters per second)"),
+    ("WSFM", "Fastest mile wind speed (tenths of meters per second)"),
+)
+
+# Weather in the vicinity, element code "WV" + two digits (code, description).
+VICINITY_TYPES = (
+    ("01", "Fog, ice fog, or freezing fog (may include heavy fog)"),
+    ("03", "Thunder"),
+    ("07", "Ash, dust, sand, or other blowing obstruction"),
+    ("18", "Snow or ice crystals"),
+    ("20", "Rain or snow shower"),
+)
+
+# Soil temperature elements SN (minimum) and SX (maximum) + ground cover code + depth code.
+GROUND_COVERS = (
+    ("0", "unknown"), ("1", "grass"), ("2", "fallow"), ("3", "bare ground"), ("4", "brome grass"),
+    ("5", "sod"), ("6", "straw multch"), ("7", "grass muck"), ("8", "bare muck"),
+)
+SOIL_DEPTHS = (("1", "5 cm"), ("2", "10 cm"), ("3", "20 cm"), ("4", "50 cm"), ("5", "100 cm"), ("6", "150 cm"), ("7", "180 cm"))
+
+# Source flags (code, meaning); "" is the blank flag.
+S_FLAGS = (
+    ("", "No source (i.e., data value missing)"),
+    ("0", "U.S. Cooperative Summary of the Day (NCDC DSI-3200)"),
+    ("6", "CDMP Cooperative Summary of the Day (NCDC DSI-3206)"),
+    ("7", "U.S. Cooperative Summary of the Day -- Transmitted via WxCoder3 (NCDC DSI-3207)"),
+    ("A", "U.S. Automated Surface Observing System (ASOS) real-time data (since January 1, 2006)"),
+    ("a", "Australian data from the Australian Bureau of Meteorology"),
+    ("B", "U.S. ASOS data for October 2000-December 2005 (NCDC DSI-3211)"),
+    ("b", "Belarus update"),
+    ("C", "Environment Canada"),
+    ("D", "Short time delay US National Weather Service CF6 daily summaries provided by the High Plains Regional Climate Center"),
+    ("d", "Short time delay US National Weather Service Daily Summary Message (DSMs) provided by the High Plains Regional Climate Center"),
+    ("E", "European Climate Assessment and Dataset (Klein Tank et al., 2002)"),
+    ("F", "U.S. Fort data"),
+    ("G", "Official Global Climate Observing System (GCOS) or other government-supplied data"),
+    ("H", "High Plains Regional Climate Center real-time data"),
+    ("I", "International collection (non U.S. data received through personal contacts)"),
+    ("K", "U.S. Cooperative Summary of the Day data digitized from paper observer forms (from 2011 to present)"),
+    ("M", "Monthly METAR Extract (additional ASOS data)"),
+    ("f", "Data provided courtesy of the Fiji Met Service"),
+    ("m", "Data from the Mexican National Water Commission (Comision National del Agua -- CONAGUA)"),
+    ("N", "Community Collaborative Rain, Hail,and Snow (CoCoRaHS)"),
+    ("Q", "Data from several African countries that had been \"quarantined\", that is, withheld from public release until permission was granted from the respective meteorological services"),
+    ("R", "NCEI Reference Network Database (Climate Reference Network and Regional Climate Reference Network)"),
+    ("r", "All-Russian Research Institute of Hydrometeorological Information-World Data Center"),
+    ("S", "Global Summary of the Day (NCDC DSI-9618)"),
+    ("s", "China Meteorological Administration/National Meteorological Information Center/Climatic Data Center"),
+    ("T", "SNOwpack TELemtry (SNOTEL) data obtained from the U.S. Department of Agriculture's Natural Resources Conservation Service"),
+    ("U", "Remote Automatic Weather Station (RAWS) data obtained from the Western Regional Climate Center"),
+    ("u", "Ukraine update"),
+    ("W", "WBAN/ASOS Summary of the Day from NCDC's Integrated Surface Data (ISD)"),
+    ("X", "U.S. First-Order Summary of the Day (NCDC DSI-3210)"),
+    ("Z", "Datzilla official additions or replacements"),
+    ("z", "Uzbekistan update"),
+)
+
 # Measurement flags (code, meaning); "" is the blank flag.
 M_FLAGS = (
     ("", "no measurement information applicable"),
@@ -83,8 +196,16 @@ Q_FLAGS = (
 
 
 def element_names() -> tuple[tuple[str, str], ...]:
-    """(element, description) for the core elements and every weather type."""
-    return CORE_ELEMENT_NAMES + tuple((f"WT{n}", f"Weather type: {d}") for n, d in WEATHER_TYPES)
+    """(element, description) of every documented element; typed ones are composed from their codes."""
+    soil = tuple(
+        (f"{kind}{c}{d}", f"{name} soil temperature (tenths of degrees C): {cover}, {depth}")
+        for kind, name in (("SN", "Minimum"), ("SX", "Maximum"))
+        for c, cover in GROUND_COVERS
+        for d, depth in SOIL_DEPTHS
+    )
+    weather = tuple((f"WT{n}", f"Weather type: {d}") for n, d in WEATHER_TYPES)
+    vicinity = tuple((f"WV{n}", f"Weather in the vicinity: {d}") for n, d in VICINITY_TYPES)
+    return CORE_ELEMENT_NAMES + OTHER_ELEMENT_NAMES + soil + weather + vicinity
 
 
 def _table(spark: SparkSession, rows, key: str, value: str) -> DataFrame:
@@ -103,10 +224,15 @@ def q_flag_table(spark: SparkSession) -> DataFrame:
     return _table(spark, Q_FLAGS, "q_code", "q_flag_meaning")
 
 
+def s_flag_table(spark: SparkSession) -> DataFrame:
+    return _table(spark, S_FLAGS, "s_code", "s_flag_meaning")
+
+
 def decode_flags(df: DataFrame) -> DataFrame:
-    """Adds ``element_name``, ``m_flag_meaning`` and ``q_flag_meaning`` to each row.
+    """Adds ``element_name``, ``m_flag_meaning`` and ``q_flag_meaning`` to each row, and
+    ``s_flag_meaning`` where there is an ``s_flag``.
 
-    Unknown codes get NULL (left joins).  All three dictionaries are broadcast;
+    Unknown codes get NULL (left joins).  All dictionaries are broadcast;
     the input keeps its partitioning and is never shuffled.
     """
     spark = df.sparkSession
@@ -118,7 +244,11 @@ def decode_flags(df: DataFrame) -> DataFrame:
         .join(m, F.coalesce(df["m_flag"], F.lit("")) == m["m_code"], "left")
         .join(q, F.coalesce(df["q_flag"], F.lit("")) == q["q_code"], "left")
     )
-    return out.select(*df.columns, "element_name", "m_flag_meaning", "q_flag_meaning")
+    added = ["element_name", "m_flag_meaning", "q_flag_meaning"]
+    if "s_flag" in df.columns:
+        out = out.join(F.broadcast(s_flag_table(spark)), F.coalesce(df["s_flag"], F.lit("")) == F.col("s_code"), "left")
+        added.append("s_flag_meaning")
+    return out.select(*df.columns, *added)
 
 
 def flag_summary(obs: DataFrame) -> DataFrame:

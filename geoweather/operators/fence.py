@@ -1,4 +1,4 @@
-"""Plan guards: filters on computed columns, size-checked broadcasts."""
+"""Plan guard: filters on computed columns."""
 
 from __future__ import annotations
 
@@ -18,12 +18,3 @@ def filter_on_output(df: DataFrame, condition: Column) -> DataFrame:
     """
     fenced = df.withColumn("_fence", F.spark_partition_id())
     return fenced.where(condition & (F.col("_fence") >= 0)).drop("_fence")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast of ``df`` only when a counting pass shows at most ``max_rows`` rows.
-
-    Otherwise the frame is returned unchanged and the planner picks a shuffle join
-    (with AQE skew splitting).
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df

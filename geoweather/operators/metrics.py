@@ -22,12 +22,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.operators.fence import broadcast_if_small
 from geoweather.schemas import CORE_ELEMENTS
 
-# Broadcast the distinct-date list only while the requested range is below this
-# many days (its row count can never exceed the number of days in the range).
-MAX_BROADCAST_DAYS = 500_000
 # Broadcast the near links (zipcode, station_id, distance) up to this many rows
 # (~64 MB as a hash relation); beyond it the readings join shuffles.
 MAX_BROADCAST_LINKS = 1_000_000
@@ -71,23 +67,14 @@ def readings(
     return good.join(lk, "id").select("zipcode", "date", "element", "data_value", "distance_miles")
 
 
-def zip_date_spine(links: DataFrame, obs_in_range: DataFrame, min_date, max_date) -> DataFrame:
+def zip_date_spine(links: DataFrame, obs_in_range: DataFrame) -> DataFrame:
     """Every linked ZIP x every date that has any observation in range.
 
-    Per ZIP, the calendar days between the first and last observed date are
-    generated and semi-joined against the observed dates.  The date list is
-    bounded by the number of days in the requested range, which is checked
-    before it is broadcast.
+    The observed dates (at most one entry per day of the range) are gathered by one
+    aggregation into an array that each ZIP expands; the observations' dates are read once.
     """
-    dates = obs_in_range.select("date").distinct()
-    first = obs_in_range.select(F.min("date")).scalar()
-    last = obs_in_range.select(F.max("date")).scalar()
-    zips = links.select("zipcode").distinct()
-    grid = zips.select("zipcode", F.explode(F.sequence(first, last)).alias("date"))
-    days = (_as_date(max_date) - _as_date(min_date)).days + 1
-    if days <= MAX_BROADCAST_DAYS:
-        dates = F.broadcast(dates)
-    return grid.join(dates, "date", "left_semi").select("zipcode", "date")
+    dates = obs_in_range.agg(F.collect_set("date")).scalar()
+    return links.select("zipcode").distinct().select("zipcode", F.explode(dates).alias("date"))
 
 
 def _element_aggs(elements=CORE_ELEMENTS) -> list[Column]:
@@ -107,9 +94,9 @@ def _element_aggs(elements=CORE_ELEMENTS) -> list[Column]:
 def element_stats_long(reads: DataFrame) -> DataFrame:
     """AVG / COUNT(*) / sample STDDEV per (zipcode, date, element)."""
     return reads.groupBy("zipcode", "date", "element").agg(
-        F.avg("data_value").alias("avg_value"),
-        F.count(F.lit(1)).alias("data_count"),
-        F.stddev_samp("data_value").alias("stddev_value"),
+        F.avg("data_value").alias("mean"),
+        F.count(F.lit(1)).alias("readings"),
+        F.stddev_samp("data_value").alias("spread"),
     )
 
 
@@ -125,20 +112,23 @@ def daily_metrics(
     max_date,
     max_miles: float = 20.0,
     elements=CORE_ELEMENTS,
+    broadcast_links: bool = False,
 ) -> DataFrame:
-    """The ``zipcode_daily_metrics`` rows for [min_date, max_date]."""
+    """The ``zipcode_daily_metrics`` rows for [min_date, max_date].
+
+    ``broadcast_links`` is for callers that have counted the near links (at most
+    ``MAX_BROADCAST_LINKS``): they are then joined where the observations are read and only
+    aggregates shuffle.  Otherwise Spark chooses by size at run time.
+    """
     near = near_links(links, max_miles).select("zipcode", "station_id", "distance_miles")
-    # At most k links per ZIP: usually small enough to ship to every task, so the
-    # observations are joined where they are read and only aggregates shuffle.
-    near = broadcast_if_small(near, MAX_BROADCAST_LINKS)
     obs_r = in_date_range(obs, min_date, max_date)
-    spine = zip_date_spine(near, obs_r, min_date, max_date).select(
+    spine = zip_date_spine(near, obs_r).select(
         "zipcode",
         "date",
         F.lit(None).cast("string").alias("element"),
         F.lit(None).cast("int").alias("data_value"),
     )
-    reads = readings(obs_r, near, elements).select("zipcode", "date", "element", "data_value")
+    reads = readings(obs_r, F.broadcast(near) if broadcast_links else near, elements).select("zipcode", "date", "element", "data_value")
     wide = spine.unionByName(reads).groupBy("zipcode", "date").agg(*_element_aggs(elements))
     metric_cols = [c for e in elements for c in (e.lower(), f"{e.lower()}_count", f"{e.lower()}_stddev")]
     return wide.select(

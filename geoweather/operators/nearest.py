@@ -108,11 +108,30 @@ def nearest_stations(
     """
     if first_pass_miles is None or max_miles is None or first_pass_miles >= max_miles:
         return _search(zips, stations, k, max_miles, box_deg, cell_deg, pairs_per_task)
-    first_cell = max(MIN_CELL_DEG, math.degrees(first_pass_miles / EARTH_RADIUS_MILES))
-    first = _search(zips, stations, k, first_pass_miles, box_deg, first_cell, pairs_per_task)
-    found = first.withColumn("_found", F.count(F.lit(1)).over(Window.partitionBy("zipcode")))
-    done = found.where(F.col("_found") == F.lit(k)).drop("_found")
-    rest = zips.join(done.select("zipcode").distinct(), "zipcode", "left_anti")
+    near = first_pass(zips, stations, k, first_pass_miles, box_deg, pairs_per_task=pairs_per_task)
+    return second_pass(near, zips, stations, k, max_miles, box_deg, cell_deg, pairs_per_task)
+
+
+def first_pass(
+    zips: DataFrame, stations: DataFrame, k: int, miles: float, box_deg: float = 5.0, cell_deg: float | None = None,
+    pairs_per_task: int = 4_000_000, max_miles: float | None = None,
+) -> DataFrame:
+    """Top-``k`` stations of each ZIP within ``miles`` (small cells); callers store it for ``second_pass``."""
+    cell = max(MIN_CELL_DEG, math.degrees(miles / EARTH_RADIUS_MILES))
+    return _search(zips, stations, k, miles, box_deg, cell, pairs_per_task)
+
+
+def second_pass(
+    near: DataFrame, zips: DataFrame, stations: DataFrame, k: int, max_miles: float | None = 200.0, box_deg: float = 5.0,
+    cell_deg: float = 2.0, pairs_per_task: int = 4_000_000,
+) -> DataFrame:
+    """``near`` for ZIPs that have ``k`` stations in it, the full search for the others.
+
+    ``near`` is read twice (its ZIP counts, its rows), so it should be a stored table.
+    """
+    full = near.groupBy(F.col("zipcode").alias("_full")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.lit(k)).select("_full")
+    done = near.join(full, F.col("zipcode") == F.col("_full"), "left_semi")
+    rest = zips.join(full, F.col("zipcode") == F.col("_full"), "left_anti")
     return done.unionByName(_search(rest, stations, k, max_miles, box_deg, cell_deg, pairs_per_task))
 
 

@@ -11,12 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.operators.fence import broadcast_if_small
-
-# Code tables (countries, US states / Canadian provinces) hold a few hundred rows;
-# they are broadcast only while a count confirms they stay below this bound.
-MAX_BROADCAST_CODES = 100_000
-
 # Source flags from highest to lowest priority, as documented.
 SOURCE_PRIORITY = "Z,R,D,0,6,C,X,W,K,7,F,B,M,f,m,r,E,z,u,b,s,a,G,Q,I,A,N,T,U,H,S".split(",")
 
@@ -35,10 +29,10 @@ def name_station_codes(stations: DataFrame, countries: DataFrame, states: DataFr
 
     ``countries`` and ``states`` are (code, name) as read by ``read_countries`` /
     ``read_states``.  Both are left joins, so stations with unknown codes keep NULL
-    names; the station side is never shuffled while the code tables pass the size check.
+    names; Spark broadcasts the code tables while they are below its size threshold.
     """
-    c = broadcast_if_small(countries.select(F.col("code").alias("country_code"), F.col("name").alias("country_name")), MAX_BROADCAST_CODES)
-    st = broadcast_if_small(states.select(F.col("code").alias("state"), F.col("name").alias("state_name")), MAX_BROADCAST_CODES)
+    c = countries.select(F.col("code").alias("country_code"), F.col("name").alias("country_name"))
+    st = states.select(F.col("code").alias("state"), F.col("name").alias("state_name"))
     return station_codes(stations).join(c, "country_code", "left").join(st, "state", "left")
 
 

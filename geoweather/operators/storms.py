@@ -21,6 +21,7 @@ from geoweather.functions.damage import damage_to_dollars
 from geoweather.functions.timeparts import parts_to_timestamp
 from geoweather.operators.fence import filter_on_output
 from geoweather.schemas import STORM_EVENTS
+from geoweather.sources.storms import CORRUPT
 
 DAMAGE_COLUMNS = ("DAMAGE_PROPERTY", "DAMAGE_CROPS")
 TIME_COLUMNS = {
@@ -29,6 +30,10 @@ TIME_COLUMNS = {
 }
 
 
+# Where a row came from; kept beside the typed columns if the input has them.
+PROVENANCE = ("source_file", "file_year", "stamp")
+
+
 def _typed(name: str, dtype: T.DataType, src: Column) -> Column:
     if name in DAMAGE_COLUMNS:
         return damage_to_dollars(src)
@@ -43,20 +48,23 @@ def _present(src: Column) -> Column:
     return src.isNotNull() & (F.trim(src) != F.lit(""))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the input has fewer partitions than cores.
+def spread(df: DataFrame, splits: int) -> DataFrame:
+    """Round-robin the rows over all cores when the input has fewer splits than cores.
 
     Typing costs microseconds per value, so a handful of large input splits (a
     gzip file is one split) would leave most cores idle.  With enough input
-    partitions (any large table) this is a no-op and adds no shuffle.
+    splits (any large table) this is a no-op and adds no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if splits < cores else df
 
 
-def typed_storms(raw: DataFrame) -> DataFrame:
+def typed_storms(raw: DataFrame, splits: int | None = None) -> DataFrame:
     """Typed storm columns plus ``reject_reasons`` and ``time_issues`` (comma-joined column names, '' if none).
 
+    Columns of ``PROVENANCE`` that ``raw`` has are passed on; a row whose ``_corrupt_record`` is
+    set is rejected as MALFORMED.  ``splits`` is the number of input splits, if it is known.
+
     Three projections, each expensive conversion computed once per row: the
     checks in later steps refer to the converted columns, and Spark does not
     inline an expensive column that is used more than once.  Reasons are joined
@@ -73,7 +81,11 @@ def typed_storms(raw: DataFrame) -> DataFrame:
         if not isinstance(f.dataType, T.StringType) and f.name in have:
             raw_cols.append(src.alias(f"_raw_{f.name}"))
             checks.append(F.when(_present(F.col(f"_raw_{f.name}")) & F.col(f.name).isNull(), F.lit(f.name)))
-    step1 = spread(raw).select(*typed_cols, *raw_cols)
+    if CORRUPT in have:
+        raw_cols.append(F.col(CORRUPT).alias(f"_raw_{CORRUPT}"))
+        checks.append(F.when(F.col(f"_raw_{CORRUPT}").isNotNull(), F.lit("MALFORMED")))
+    kept = [c for c in PROVENANCE if c in have]
+    step1 = (raw if splits is None else spread(raw, splits)).select(*typed_cols, *raw_cols, *kept)
     times = [
         parts_to_timestamp(F.col(ym), F.col(day), F.col(hhmm)).alias(name)
         for name, (ym, day, hhmm) in TIME_COLUMNS.items()
@@ -88,7 +100,7 @@ def typed_storms(raw: DataFrame) -> DataFrame:
         parts_known = F.col(ym).isNotNull() & F.col(day).isNotNull() & F.col(hhmm).isNotNull()
         issues.append(F.when(parts_known & F.col(name).isNull(), F.lit(name)))
     step3 = step2.select("*", F.concat_ws(",", *issues).alias("time_issues"))
-    return step3.select(*[F.col(f.name) for f in STORM_EVENTS.fields], "reject_reasons", "time_issues")
+    return step3.select(*[F.col(f.name) for f in STORM_EVENTS.fields], "reject_reasons", "time_issues", *kept)
 
 
 def normalise_storms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -112,4 +124,5 @@ def storm_issues(typed: DataFrame) -> DataFrame:
         "YEAR",
         rejected.alias("rejected"),
         F.concat_ws(",", F.nullif("reject_reasons", F.lit("")), F.nullif("time_issues", F.lit(""))).alias("reasons"),
+        *[c for c in PROVENANCE if c in typed.columns],
     )

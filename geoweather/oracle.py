@@ -9,6 +9,9 @@ sides; counts and ranks are cast to the Spark integer types.
 
 from __future__ import annotations
 
+from geoweather.derived import NAMED_STORM_COLUMNS
+from geoweather.schemas import STORM_EVENTS
+
 # ---------------------------------------------------------------- stand-in inputs
 ZIPCODES = """
 zipcodes AS (
@@ -50,12 +53,18 @@ observations AS (
          CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST(round(value) AS INTEGER) END AS data_value,
          CASE WHEN event_id % 13 = 0 THEN 'T' END AS m_flag,
          CASE WHEN event_id % 17 = 0 THEN 'X' END AS q_flag,
-         CASE WHEN user_id % 3 = 0 THEN 'W' WHEN user_id % 3 = 1 THEN '7' ELSE 'S' END AS s_flag,
+         CASE WHEN event_id % 3 = 0 THEN 'W' WHEN event_id % 3 = 1 THEN '7' ELSE 'S' END AS s_flag,
          CASE WHEN event_id % 5 = 0 THEN NULL
               ELSE lpad(CAST(hour(ts) * 100 + minute(ts) AS VARCHAR), 4, '0') END AS obs_time,
          CAST(year(CAST(ts AS DATE)) AS INTEGER) AS year
   FROM events)"""
 
+# Storm columns that the stand-in fills by rule: (name, kind).
+FILLED = [
+    (f.name, {"bigint": "long", "double": "double"}.get(f.dataType.simpleString(), "text"))
+    for f in STORM_EVENTS.fields if f.name not in NAMED_STORM_COLUMNS
+]
+
 STORM_RAW = """
 storm_raw AS (
   SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS VARCHAR) AS BEGIN_YEARMONTH,
@@ -67,11 +76,11 @@ storm_raw AS (
          CAST(o_custkey AS VARCHAR) AS EPISODE_ID,
          CAST(o_orderkey AS VARCHAR) AS EVENT_ID,
          o_orderpriority AS STATE,
-         CAST(o_custkey % 56 AS VARCHAR) AS STATE_FIPS,
+         CASE WHEN o_orderkey % 103 = 0 THEN 'X' ELSE '' END || CAST(o_custkey % 56 AS VARCHAR) AS STATE_FIPS,
          CAST(year(o_orderdate) AS VARCHAR) AS YEAR,
          monthname(o_orderdate) AS MONTH_NAME,
          CASE WHEN o_orderstatus = 'F' THEN 'Hail' WHEN o_orderstatus = 'O' THEN 'Tornado' ELSE 'Flood' END AS EVENT_TYPE,
-         CAST(o_custkey % 100 AS VARCHAR) ||
+         CASE WHEN o_orderkey % 101 = 0 THEN 'AB' ELSE '' END || CAST(o_custkey % 100 AS VARCHAR) ||
            CASE WHEN o_orderkey % 6 = 0 THEN 'K' WHEN o_orderkey % 6 = 1 THEN 'M' WHEN o_orderkey % 6 = 2 THEN 'B'
                 WHEN o_orderkey % 6 = 3 THEN '' WHEN o_orderkey % 6 = 4 THEN '.50K' ELSE 'H' END AS DAMAGE_PROPERTY,
          CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN '0.00K'
@@ -81,8 +90,15 @@ storm_raw AS (
                    CASE WHEN o_custkey % 4 = 0 THEN '00' WHEN o_custkey % 4 = 1 THEN '25'
                         WHEN o_custkey % 4 = 2 THEN '50' ELSE '75' END END AS MAGNITUDE,
          CAST(o_orderkey % 100 AS VARCHAR) || '.5' AS TOR_LENGTH,
-         o_orderstatus AS DATA_SOURCE
-  FROM orders)"""
+         o_orderstatus AS DATA_SOURCE{filled}
+  FROM orders)""".replace("{filled}", "".join(
+    ",\n         " + (
+        f"CAST((o_orderkey + {i}) % {7 + i} AS VARCHAR)" if kind == "long"
+        else f"CAST((o_custkey + {i}) % {50 + i} AS VARCHAR) || '.25'" if kind == "double"
+        else f"CASE WHEN o_orderkey % {5 + i % 7} = 0 THEN NULL ELSE '{name} ' || CAST(o_custkey % {3 + i} AS VARCHAR) END"
+    ) + f" AS {name}"
+    for i, (name, kind) in enumerate(FILLED)
+))
 
 DAMAGE_TEXTS = """
 damage_texts AS (
@@ -109,25 +125,21 @@ def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 def dollars(t: str) -> str:
-    """Damage text rules: empty -> 0; K/M/B suffix strips that letter and scales; else number or 0."""
-    u = f"upper({t})"
-    parts = [f"CASE WHEN {t} IS NULL OR {t} = '' THEN 0.0"]
-    for letter, scale in (("K", "1000.0"), ("M", "1000000.0"), ("B", "1000000000.0")):
-        rest = f"replace({u}, '{letter}', '')"
-        parts.append(
-            f" WHEN {u} LIKE '%{letter}' THEN CASE WHEN {rest} = '' THEN 0.0 "
-            f"ELSE TRY_CAST({rest} AS DOUBLE) * {scale} END"
-        )
-    parts.append(f" ELSE COALESCE(TRY_CAST({t} AS DOUBLE), 0.0) END")
-    return "".join(parts)
+    """Amount before a K/M/B suffix times 1000 to the suffix's place in 'KMB'; plain numbers as they are, else 0."""
+    suffix = f"right(upper({t}), 1)"
+    place = f"strpos('KMB', {suffix})"
+    amount = f"nullif(translate(upper({t}), {suffix}, ''), '')"
+    scaled = f"if({amount} IS NULL, 0.0, TRY_CAST({amount} AS DOUBLE) * pow(1000, {place}))"
+    return f"if(coalesce({t}, '') = '', 0.0, if({place} > 0, {scaled}, ifnull(TRY_CAST({t} AS DOUBLE), 0.0)))"
 
 
 def parts_ts(ym: str, day: str, hhmm: str) -> str:
-    return (
-        f"CASE WHEN {ym} IS NULL OR {day} IS NULL OR {hhmm} IS NULL THEN NULL ELSE "
-        f"try_strptime(CAST({ym} AS VARCHAR) || '-' || lpad(CAST({day} AS VARCHAR), 2, '0') || ' ' || "
-        f"lpad(CAST({hhmm} AS VARCHAR), 4, '0'), '%Y%m-%d %H%M') END"
-    )
+    """The wall-clock time if all parts lie in their calendar ranges."""
+    y, m, h, mi = f"{ym} // 100", f"{ym} % 100", f"{hhmm} // 100", f"{hhmm} % 100"
+    in_month = f"{day} BETWEEN 1 AND day(last_day(make_date({y}, {m}, 1)))"
+    ok = f"if({ym} BETWEEN 100000 AND 999999 AND {m} BETWEEN 1 AND 12, {in_month}, false)"
+    ok += f" AND {hhmm} >= 0 AND {h} < 24 AND {mi} < 60"
+    return f"if({ok}, make_timestamp({y}, {m}, {day}, {h}, {mi}, 0), NULL)"
 
 
 def with_(*ctes: str) -> str:
@@ -135,22 +147,22 @@ def with_(*ctes: str) -> str:
 
 
 # ---------------------------------------------------------------- derived relations
+# The 20 nearest of a ZIP: its stations in reach, sorted in a list and cut.
 LINKS = """
+reach AS (
+  SELECT zipcodes.GEOID AS zip, INTPTLAT AS zlat, INTPTLONG AS zlon, stations.id, name, latitude, longitude, %s AS miles
+  FROM zipcodes, stations
+  WHERE latitude BETWEEN INTPTLAT - 5 AND INTPTLAT + 5 AND longitude BETWEEN INTPTLONG - 5 AND INTPTLONG + 5),
+closest AS (
+  SELECT zip, any_value(zlat) AS zlat, any_value(zlon) AS zlon,
+         list({'miles': miles, 'id': id, 'name': name, 'lat': latitude, 'lon': longitude} ORDER BY miles, id)[1:20] AS found
+  FROM reach WHERE miles <= 200 GROUP BY zip),
 links AS (
-  SELECT zipcode, station_id, station_name, station_latitude, station_longitude,
-         zipcode_latitude, zipcode_longitude, distance_miles, CAST(rn AS INTEGER) AS rank
-  FROM (
-    SELECT *, row_number() OVER (PARTITION BY zipcode ORDER BY distance_miles, station_id) AS rn
-    FROM (
-      SELECT z.GEOID AS zipcode, s.id AS station_id, s.name AS station_name,
-             s.latitude AS station_latitude, s.longitude AS station_longitude,
-             z.INTPTLAT AS zipcode_latitude, z.INTPTLONG AS zipcode_longitude,
-             %s AS distance_miles
-      FROM zipcodes z JOIN stations s
-        ON abs(z.INTPTLAT - s.latitude) <= 5 AND abs(z.INTPTLONG - s.longitude) <= 5
-      WHERE s.latitude IS NOT NULL AND s.longitude IS NOT NULL) p
-    WHERE distance_miles <= 200) r
-  WHERE rn <= 20)""" % haversine("z.INTPTLAT", "z.INTPTLONG", "s.latitude", "s.longitude")
+  SELECT zip AS zipcode, s.id AS station_id, s.name AS station_name, s.lat AS station_latitude, s.lon AS station_longitude,
+         zlat AS zipcode_latitude, zlon AS zipcode_longitude, s.miles AS distance_miles, CAST(place AS INTEGER) AS rank
+  FROM (SELECT zip, zlat, zlon, unnest(found) AS s, generate_subscripts(found, 1) AS place FROM closest))""" % haversine(
+    "INTPTLAT", "INTPTLONG", "latitude", "longitude"
+)
 
 
 ELEMENTS = ("PRCP", "SNOW", "SNWD", "TMAX", "TMIN")
@@ -158,33 +170,32 @@ MIN_DATE, MAX_DATE = "2024-01-01", "2024-12-31"
 RANGE_MIN, RANGE_MAX = "2024-01-10", "2024-01-20"
 
 
+def summaries(value: str, element: str) -> list[str]:
+    """Mean, readings and sample deviation of one element's readings, as filtered aggregates."""
+    only, m = f"FILTER (WHERE element = '{element}')", element.lower()
+    return [
+        f"avg({value}) {only} AS {m}",
+        f"CAST(nullif(count(element) {only}, 0) AS INTEGER) AS {m}_count",
+        f"stddev_samp({value}) {only} AS {m}_stddev",
+    ]
+
+
 def metric_ctes(p: str, max_miles: float, lo: str, hi: str) -> list[str]:
-    """CTEs ``{p}near, {p}obs_r, {p}reads, {p}spine, {p}stats, {p}wide, {p}metrics`` (needs links, observations)."""
-    core = ", ".join(f"'{e}'" for e in ELEMENTS)
-    pivots = []
-    outs = []
-    for e in ELEMENTS:
-        m = e.lower()
-        pivots += [
-            f"max(CASE WHEN element = '{e}' THEN avg_value END) AS {m}",
-            f"max(CASE WHEN element = '{e}' THEN data_count END) AS {m}_count",
-            f"max(CASE WHEN element = '{e}' THEN stddev_value END) AS {m}_stddev",
-        ]
-        outs += [f"w.{m}", f"CAST(w.{m}_count AS INTEGER) AS {m}_count", f"w.{m}_stddev"]
+    """CTEs ``{p}ranged, {p}linked, {p}reads, {p}spine, {p}metrics`` (needs links, observations).
+
+    A day of a ZIP is one group: its place in the calendar of observed days with whatever
+    usable readings its linked stations have that day.
+    """
+    columns = ", ".join(c for e in ELEMENTS for c in summaries("data_value", e))
     return [
-        f"\n{p}near AS (SELECT * FROM links WHERE distance_miles <= {max_miles})",
-        f"\n{p}obs_r AS (SELECT * FROM observations WHERE date BETWEEN DATE '{lo}' AND DATE '{hi}')",
-        f"\n{p}reads AS (SELECT n.zipcode, o.date, o.element, o.data_value, n.distance_miles "
-        f"FROM {p}obs_r o JOIN {p}near n ON o.id = n.station_id "
-        f"WHERE o.element IN ({core}) AND o.q_flag IS NULL)",
-        f"\n{p}spine AS (SELECT z.zipcode, d.date FROM (SELECT DISTINCT zipcode FROM {p}near) z "
-        f"CROSS JOIN (SELECT DISTINCT date FROM {p}obs_r) d)",
-        f"\n{p}stats AS (SELECT zipcode, date, element, avg(data_value) AS avg_value, count(*) AS data_count, "
-        f"stddev_samp(data_value) AS stddev_value FROM {p}reads GROUP BY zipcode, date, element)",
-        f"\n{p}wide AS (SELECT zipcode, date, {', '.join(pivots)} FROM {p}stats GROUP BY zipcode, date)",
-        f"\n{p}metrics AS (SELECT sp.zipcode, sp.date, CAST(year(sp.date) AS INTEGER) AS year, "
-        f"CAST(month(sp.date) AS INTEGER) AS month, CAST(day(sp.date) AS INTEGER) AS day, {', '.join(outs)} "
-        f"FROM {p}spine sp LEFT JOIN {p}wide w ON sp.zipcode = w.zipcode AND sp.date = w.date)",
+        f"\n{p}ranged AS (FROM observations WHERE date >= DATE '{lo}' AND date <= DATE '{hi}')",
+        f"\n{p}linked AS (SELECT zipcode, station_id, distance_miles FROM links WHERE distance_miles <= {max_miles})",
+        f"\n{p}reads AS (SELECT zipcode, date, element, data_value, distance_miles FROM {p}linked, {p}ranged "
+        f"WHERE station_id = id AND q_flag IS NULL AND list_contains({list(ELEMENTS)}, element))",
+        f"\n{p}spine AS (SELECT zipcode, unnest((SELECT list(DISTINCT date) FROM {p}ranged)) AS date "
+        f"FROM (SELECT DISTINCT zipcode FROM {p}linked))",
+        f"\n{p}metrics AS (SELECT zipcode, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
+        f"CAST(day(date) AS INTEGER) AS day, {columns} FROM {p}spine LEFT JOIN {p}reads USING (zipcode, date) GROUP BY zipcode, date)",
     ]
 
 
@@ -196,12 +207,10 @@ def rounded_metrics(rel: str) -> str:
     return f"SELECT {', '.join(cols)} FROM {rel}"
 
 
-def rounded_wide(rel: str) -> str:
-    cols = ["zipcode", "date"]
-    for e in ELEMENTS:
-        m = e.lower()
-        cols += [f"round({m}, 6) AS {m}", f"CAST({m}_count AS INTEGER) AS {m}_count", f"round({m}_stddev, 6) AS {m}_stddev"]
-    return f"SELECT {', '.join(cols)} FROM {rel}"
+def rounded_wide() -> str:
+    parts = [c for e in ELEMENTS for c in summaries("data_value", e)]
+    cols = ", ".join(c if "_count" in c else f"round({c.rsplit(' AS ', 1)[0]}, 6) AS {c.rsplit(' AS ', 1)[1]}" for c in parts)
+    return f"SELECT zipcode, date, {cols} FROM reads GROUP BY zipcode, date"
 
 
 INT_TEXT = r"\s*[+-]?\d+\s*"
@@ -214,14 +223,12 @@ def tlong(x: str) -> str:
     )
 
 
-# storm staging columns present in the stand-in, in table order, with their kind
-STORM_NUMERIC = (
-    ("BEGIN_YEARMONTH", "long"), ("BEGIN_DAY", "long"), ("BEGIN_TIME", "long"),
-    ("END_YEARMONTH", "long"), ("END_DAY", "long"), ("END_TIME", "long"),
-    ("EVENT_ID", "long"), ("STATE_FIPS", "long"), ("YEAR", "long"),
-    ("DAMAGE_PROPERTY", "damage"), ("DAMAGE_CROPS", "damage"),
-    ("MAGNITUDE", "long"), ("TOR_LENGTH", "double"),
+# storm staging columns that are not text, in table order, with their kind
+STORM_NUMERIC = tuple(
+    (f.name, "damage" if f.name.startswith("DAMAGE_") else {"bigint": "long", "double": "double"}[f.dataType.simpleString()])
+    for f in STORM_EVENTS.fields if f.dataType.simpleString() in ("bigint", "double")
 )
+STORM_TEXT = tuple(f.name for f in STORM_EVENTS.fields if f.dataType.simpleString() == "string")
 
 
 def _typed_storm_col(name: str, kind: str) -> str:
@@ -236,7 +243,7 @@ def storm_typed_cte() -> str:
     typed = ", ".join(f"{_typed_storm_col(n, k)} AS {n}" for n, k in STORM_NUMERIC)
     raw = ", ".join(f"{n} AS raw_{n}" for n, _ in STORM_NUMERIC)
     t1 = (
-        f"\nstorm_t1 AS (SELECT {typed}, {raw}, EPISODE_ID, STATE, MONTH_NAME, EVENT_TYPE, DATA_SOURCE FROM storm_raw)"
+        f"\nstorm_t1 AS (SELECT {typed}, {raw}, {', '.join(STORM_TEXT)} FROM storm_raw)"
     )
     rej = ", ".join(
         f"CASE WHEN raw_{n} IS NOT NULL AND trim(raw_{n}) <> '' AND {n} IS NULL THEN '{n}' END" for n, _ in STORM_NUMERIC
@@ -296,16 +303,17 @@ def _fixed_width() -> str:
 
 
 def _csv_text() -> str:
-    lines = (
-        "\nlines AS (SELECT concat_ws(',', COALESCE(id, ''), COALESCE(strftime(date, '%Y%m%d'), ''), "
-        "COALESCE(element, ''), COALESCE(CAST(data_value AS VARCHAR), ''), COALESCE(m_flag, ''), "
-        "COALESCE(q_flag, ''), COALESCE(s_flag, ''), COALESCE(obs_time, '')) AS value FROM observations)"
-    )
-    f = [f"NULLIF(split_part(value, ',', {i}), '')" for i in range(1, 9)]
-    return with_(OBSERVATIONS, lines) + (
-        f"SELECT {f[0]} AS id, CAST(try_strptime({f[1]}, '%Y%m%d') AS DATE) AS date, {f[2]} AS element, "
-        f"TRY_CAST({f[3]} AS INTEGER) AS data_value, {f[4]} AS m_flag, {f[5]} AS q_flag, {f[6]} AS s_flag, "
-        f"{f[7]} AS obs_time, CAST(year(CAST(try_strptime({f[1]}, '%Y%m%d') AS DATE)) AS INTEGER) AS year FROM lines"
+    """Lines whose number leaves 1 to 5 at 41 are damaged: no date, an unreadable date or value, no station, no element."""
+    pick = lambda col, kind, text, good: f"CASE WHEN n % 41 = {kind} THEN '{text}' ELSE {good} END AS {col}"
+    return with_(OBSERVATIONS.replace("SELECT printf", "SELECT event_id AS n, printf", 1)) + (
+        "SELECT nullif(id, '') AS id, date, nullif(element, '') AS element, "
+        "TRY_CAST(value_text AS INTEGER) AS data_value, m_flag, q_flag, s_flag, obs_time, CAST(year(date) AS INTEGER) AS year, "
+        "date IS NULL OR id = '' OR element = '' OR coalesce(value_text = '1x2', false) AS bad FROM (SELECT "
+        + ", ".join([
+            pick("id", 4, "", "id"), pick("element", 5, "", "element"), pick("value_text", 3, "1x2", "CAST(data_value AS VARCHAR)"),
+            "CASE WHEN n % 41 IN (1, 2) THEN NULL ELSE date END AS date",
+        ])
+        + ", m_flag, q_flag, s_flag, obs_time FROM observations)"
     )
 
 
@@ -345,14 +353,15 @@ ORACLE_SQL: dict[str, str] = {
         "JOIN zipcodes z ON o.o_custkey = z.c_custkey JOIN stations s ON l.l_suppkey = s.s_suppkey"
     ),
     "nearest_k_stations": with_(*LINK_BASE) + f"SELECT {LINK_COLS} FROM links",
+    "nearest_two_pass": with_(*LINK_BASE) + f"SELECT {LINK_COLS} FROM links",
     "nearest_k_within": with_(*LINK_BASE) + f"SELECT {LINK_COLS} FROM links WHERE distance_miles <= 20.0",
     "station_sample": with_(*LINK_BASE) + f"SELECT {LINK_COLS} FROM links ORDER BY zipcode, rank LIMIT 5",
     "link_readings": with_(*METRIC_BASE)
     + "SELECT zipcode, date, element, data_value, round(distance_miles, 6) AS distance_miles FROM reads",
     "element_stats_long": with_(*METRIC_BASE)
-    + "SELECT zipcode, date, element, round(avg_value, 6) AS avg_value, data_count, "
-    "round(stddev_value, 6) AS stddev_value FROM stats",
-    "element_stats_wide": with_(*METRIC_BASE) + rounded_wide("wide"),
+    + "SELECT zipcode, date, element, round(avg(data_value), 6) AS mean, count(*) AS readings, "
+    "round(stddev_samp(data_value), 6) AS spread FROM reads GROUP BY ALL",
+    "element_stats_wide": with_(*METRIC_BASE) + rounded_wide(),
     "zip_date_spine": with_(*METRIC_BASE) + "SELECT zipcode, date FROM spine",
     "daily_metrics": with_(*METRIC_BASE) + rounded_metrics("metrics"),
     "coverage_report": _coverage(),
@@ -405,11 +414,7 @@ ORACLE_SQL: dict[str, str] = {
         "AS selected FROM ranked"
     ),
     "lake_roundtrip": with_(STORM_RAW, STORMS, STORM_TABLE) + "SELECT * FROM storm_table",
-    "storm_normalise": with_(STORM_RAW, STORMS) + (
-        "SELECT EVENT_ID, EPISODE_ID, STATE, STATE_FIPS, YEAR, MONTH_NAME, EVENT_TYPE, BEGIN_YEARMONTH, BEGIN_DAY, "
-        "BEGIN_TIME, BEGIN_DATE_TIME, END_YEARMONTH, END_DAY, END_TIME, END_DATE_TIME, DAMAGE_PROPERTY, DAMAGE_CROPS, "
-        "MAGNITUDE, TOR_LENGTH, DATA_SOURCE FROM storms"
-    ),
+    "storm_normalise": with_(STORM_RAW, STORMS) + f"SELECT {', '.join(STORM_EVENTS.fieldNames())} FROM storms",
     "storm_issues": _storm_issues(),
 }
 
@@ -426,7 +431,7 @@ def _dly() -> str:
                        + [f"COALESCE(d{d}, '-9999   ')" for d in range(1, 32)])
     months = (
         f"\nmonths AS (SELECT id, year(date) AS y, month(date) AS m, element, {per_day} "
-        f"FROM observations GROUP BY id, year(date), month(date), element)"
+        f"FROM picked GROUP BY id, year(date), month(date), element)"
     )
     lines = f"\nlines AS (SELECT {line} AS value FROM months)"
     blocks = (
@@ -438,7 +443,8 @@ def _dly() -> str:
         "NULLIF(substring(value, 29 + (d.day - 1) * 8, 1), ' ') AS s_flag "
         "FROM lines CROSS JOIN range(1, 32) d(day))"
     )
-    return with_(OBSERVATIONS, months, lines, blocks) + (
+    picked = f"\npicked AS ({_picked_rows()})"
+    return with_(OBSERVATIONS, picked, months, lines, blocks) + (
         "SELECT id, CAST(try_strptime(printf('%04d-%02d-%02d', y, m, day), '%Y-%m-%d') AS DATE) AS date, element, "
         "TRY_CAST(raw_value AS INTEGER) AS data_value, m_flag, q_flag, s_flag, CAST(NULL AS VARCHAR) AS obs_time, "
         "y AS year FROM blocks WHERE TRY_CAST(raw_value AS INTEGER) IS NULL OR TRY_CAST(raw_value AS INTEGER) <> -9999"
@@ -448,17 +454,20 @@ def _dly() -> str:
 SOURCE_PRIORITY = "Z,R,D,0,6,C,X,W,K,7,F,B,M,f,m,r,E,z,u,b,s,a,G,Q,I,A,N,T,U,H,S".split(",")
 
 
-def _source_pick() -> str:
+def _picked_rows() -> str:
     prio = ", ".join(f"'{x}'" for x in SOURCE_PRIORITY)
     rank = f"COALESCE(list_position([{prio}], s_flag) - 1, {len(SOURCE_PRIORITY)})"
-    return with_(OBSERVATIONS) + (
-        "SELECT id, date, element, data_value, m_flag, q_flag, s_flag, obs_time, year FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY id, date, element ORDER BY {rank} NULLS FIRST, "
-        "data_value NULLS FIRST, m_flag NULLS FIRST, q_flag NULLS FIRST, s_flag NULLS FIRST, obs_time NULLS FIRST) AS rn "
-        "FROM observations) t WHERE rn = 1"
+    return (
+        "SELECT id, date, element, data_value, m_flag, q_flag, s_flag, obs_time, year FROM observations "
+        f"QUALIFY row_number() OVER (PARTITION BY id, date, element ORDER BY {rank} NULLS FIRST, "
+        "data_value NULLS FIRST, m_flag NULLS FIRST, q_flag NULLS FIRST, s_flag NULLS FIRST, obs_time NULLS FIRST) = 1"
     )
 
 
+def _source_pick() -> str:
+    return with_(OBSERVATIONS) + _picked_rows()
+
+
 ORACLE_SQL.update({
     "dly_parse": _dly(),
     "element_inventory": with_(OBSERVATIONS, STATIONS) + (
@@ -471,38 +480,68 @@ ORACLE_SQL.update({
 })
 
 
-def _values(rows, alias: str, key: str, value: str) -> str:
-    def lit(v: str) -> str:
-        return "'" + v.replace("'", "''") + "'"
-
-    body = ", ".join(f"({lit(k)}, {lit(v)})" for k, v in rows)
-    return f"(VALUES {body}) AS {alias}({key}, {value})"
-
-
-def _flag_summary() -> str:
-    from geoweather.operators.dictionaries import M_FLAGS, Q_FLAGS, element_names
+# Meanings of the codes that occur in the stand-in, typed in here and not taken from the dictionaries under test.
+SEEN_ELEMENTS = (
+    ("PRCP", "Precipitation (tenths of mm)"),
+    ("SNOW", "Snowfall (mm)"),
+    ("SNWD", "Snow depth (mm)"),
+    ("TMAX", "Maximum temperature (tenths of degrees C)"),
+    ("TMIN", "Minimum temperature (tenths of degrees C)"),
+    ("WT01", "Weather type: Fog, ice fog, or freezing fog (may include heavy fog)"),
+)
+SEEN_M = (("", "no measurement information applicable"), ("T", "trace of precipitation, snowfall, or snow depth"))
+SEEN_Q = (("", "did not fail any quality assurance check"), ("X", "failed bounds check"))
+SEEN_S = (
+    ("7", "U.S. Cooperative Summary of the Day -- Transmitted via WxCoder3 (NCDC DSI-3207)"),
+    ("S", "Global Summary of the Day (NCDC DSI-9618)"),
+    ("W", "WBAN/ASOS Summary of the Day from NCDC's Integrated Surface Data (ISD)"),
+)
 
-    return with_(OBSERVATIONS) + (
-        "SELECT c.element, e.element_name, c.m_flag, m.m_flag_meaning, c.q_flag, q.q_flag_meaning, "
-        "c.readings, c.with_value FROM ("
-        "SELECT element, m_flag, q_flag, count(*) AS readings, count(data_value) AS with_value "
-        "FROM observations GROUP BY element, m_flag, q_flag) c "
-        f"LEFT JOIN {_values(element_names(), 'e', 'element', 'element_name')} ON c.element = e.element "
-        f"LEFT JOIN {_values(M_FLAGS, 'm', 'm_code', 'm_flag_meaning')} ON coalesce(c.m_flag, '') = m.m_code "
-        f"LEFT JOIN {_values(Q_FLAGS, 'q', 'q_code', 'q_flag_meaning')} ON coalesce(c.q_flag, '') = q.q_code"
-    )
 
+def meaning(code: str, seen) -> str:
+    quote = lambda v: "'" + v.replace("'", "''") + "'"
+    return f"map {{{', '.join(f'{quote(k)}: {quote(v)}' for k, v in seen)}}}[coalesce({code}, '')]"
 
-def _flag_decode() -> str:
-    from geoweather.operators.dictionaries import M_FLAGS, Q_FLAGS, element_names
 
-    return with_(OBSERVATIONS) + (
-        "SELECT o.*, e.element_name, m.m_flag_meaning, q.q_flag_meaning FROM observations o "
-        f"LEFT JOIN {_values(element_names(), 'e', 'element', 'element_name')} ON o.element = e.element "
-        f"LEFT JOIN {_values(M_FLAGS, 'm', 'm_code', 'm_flag_meaning')} ON coalesce(o.m_flag, '') = m.m_code "
-        f"LEFT JOIN {_values(Q_FLAGS, 'q', 'q_code', 'q_flag_meaning')} ON coalesce(o.q_flag, '') = q.q_code"
-    )
+ORACLE_SQL["flag_summary"] = with_(OBSERVATIONS) + (
+    f"SELECT element, {meaning('element', SEEN_ELEMENTS)} AS element_name, m_flag, {meaning('m_flag', SEEN_M)} AS m_flag_meaning, "
+    f"q_flag, {meaning('q_flag', SEEN_Q)} AS q_flag_meaning, count(*) AS readings, count(data_value) AS with_value "
+    "FROM observations GROUP BY element, m_flag, q_flag"
+)
+ORACLE_SQL["flag_decode"] = with_(OBSERVATIONS) + (
+    f"SELECT *, {meaning('element', SEEN_ELEMENTS)} AS element_name, {meaning('m_flag', SEEN_M)} AS m_flag_meaning, "
+    f"{meaning('q_flag', SEEN_Q)} AS q_flag_meaning, {meaning('s_flag', SEEN_S)} AS s_flag_meaning FROM observations"
+)
 
 
-ORACLE_SQL["flag_summary"] = _flag_summary()
-ORACLE_SQL["flag_decode"] = _flag_decode()
+# ---------------------------------------------------------------- stored tables and files
+ORACLE_SQL["replace_years_table"] = with_(STORM_RAW, STORMS) + (
+    "SELECT EVENT_ID, EVENT_TYPE, STATE, DATA_SOURCE, YEAR FROM storms "
+    "WHERE (DATA_SOURCE = 'F') = (YEAR NOT IN (1994, 1996))"
+)
+ORACLE_SQL["replace_range_table"] = (
+    "SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS date, CAST(year(o_orderdate) AS INTEGER) AS year, "
+    "CAST(month(o_orderdate) AS INTEGER) AS month FROM orders "
+    "WHERE (o_orderstatus = 'F') <> (o_orderdate BETWEEN DATE '1995-03-10' AND DATE '1995-06-20')"
+)
+ORACLE_SQL["storm_files"] = with_(STORM_RAW) + (
+    "SELECT EVENT_ID, STATE, if(kind = 2 AND short, NULL, YEAR) AS YEAR, if(kind = 2, NULL, EVENT_TYPE) AS EVENT_TYPE, "
+    "if(kind = 0, TOR_LENGTH, NULL) AS TOR_LENGTH, if(kind = 2, NULL, MAGNITUDE) AS MAGNITUDE, kind = 2 AND short AS malformed "
+    "FROM (SELECT *, CAST(EVENT_ID AS BIGINT) % 3 AS kind, CAST(EVENT_ID AS BIGINT) % 5 = 0 AS short FROM storm_raw)"
+)
+ORACLE_SQL["observation_files"] = (
+    "SELECT name, file_year, coalesce(file_year >= 1997, false) AS selected FROM (SELECT DISTINCT "
+    "year(o_orderdate) || if(o_orderkey % 7 = 0, 'x', '') || '.csv.gz' AS name, "
+    "if(o_orderkey % 7 = 0, NULL, CAST(year(o_orderdate) AS INTEGER)) AS file_year FROM orders)"
+)
+ORACLE_SQL["inventory_parse"] = with_(OBSERVATIONS, STATIONS) + (
+    "SELECT id, round(latitude, 4) AS latitude, round(longitude, 4) AS longitude, element, "
+    "CAST(min(year(date)) AS INTEGER) AS firstyear, CAST(max(year(date)) AS INTEGER) AS lastyear "
+    "FROM observations JOIN (SELECT id, latitude, longitude FROM stations WHERE latitude IS NOT NULL) USING (id) "
+    "WHERE q_flag IS NULL GROUP BY id, latitude, longitude, element"
+)
+ORACLE_SQL["station_names"] = with_(STATIONS) + (
+    "SELECT id, left(id, 2) AS country_code, id[3] AS network_code, (SELECT r_name FROM region WHERE r_regionkey = 0) AS country_name, "
+    "state, (SELECT n_name FROM nation WHERE n_nationkey % 5 <> 0 AND state = repeat(chr(CAST(65 + n_nationkey % 26 AS INTEGER)), 2)) "
+    "AS state_name FROM stations"
+)

@@ -9,29 +9,37 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geoweather.operators.coverage import coverage
-from geoweather.operators.metrics import daily_metrics
+from geoweather.operators.metrics import MAX_BROADCAST_LINKS, daily_metrics, near_links
 from geoweather.operators.nearest import (
+    first_pass,
     link_zipcodes_to_stations,
+    second_pass,
     station_points,
     suggest_first_pass_miles,
     zipcode_points,
 )
-from geoweather.operators.preview import preview
-from geoweather.operators.storms import storm_issues, typed_storms
+from geoweather.operators.preview import filter_rows, preview
+from geoweather.operators.stations import pick_by_source_priority
+from geoweather.operators.storms import typed_storms
 from geoweather.plans import tables
-from geoweather.plans.export import export_parquet, export_report
-from geoweather.schemas import STORM_EVENTS, STATIONS, ZIPCODES, conform
+from geoweather.plans.export import export_parquet
+from geoweather.plans.storm_refresh import NO_YEAR, refresh_storms
+from geoweather.schemas import OBSERVATIONS, STATIONS, STORM_EVENTS, ZIPCODES, conform
 from geoweather.session import get_session
 from geoweather.sources.gazetteer import read_zipcodes
-from geoweather.sources.listing import list_observation_files, list_storm_files, selected_paths
-from geoweather.sources.observations import read_observations
+from geoweather.sources.ghcn_files import parse_dly_lines, read_inventory
+from geoweather.sources.listing import list_observation_files, list_storm_files, readable_paths, selected_paths
+from geoweather.sources.observations import read_observations, read_typed_observations
 from geoweather.sources.stations import read_stations
 from geoweather.sources.storms import read_storm_files
+from geoweather.streaming.storm_files import start_storm_ingest
 
 
 def _write_full(df: DataFrame, target: str) -> int:
@@ -49,22 +57,59 @@ def load_zipcodes(spark: SparkSession, source: str, target: str) -> dict:
     return {"rows": _write_full(conform(read_zipcodes(spark, source), ZIPCODES), target)}
 
 
-def ingest_observations(spark: SparkSession, source_folder: str, target: str, since_year: int | None = None) -> dict:
+def _file_years(listing: DataFrame, paths) -> dict[str, int | None]:
+    """Path -> year in the file's name (bounded by the number of source files)."""
+    rows = listing.select("path", "file_year").collect()
+    return {r.path: r.file_year for r in rows if r.path in set(paths)}
+
+
+@contextmanager
+def _staged_readable(spark: SparkSession, paths, make, name: str):
+    """``make(paths)`` staged, and the files left out because they are damaged.
+
+    Files are only read one by one after the read of all of them has failed.
+    """
+    failed: list[str] = []
+    with ExitStack() as stack:
+        try:
+            staged = stack.enter_context(tables.stage(spark, make(paths), name))
+        except Exception:
+            paths, failed = readable_paths(spark, paths)
+            if not failed:
+                raise
+            staged = stack.enter_context(tables.stage(spark, make(paths), name)) if paths else None
+        yield staged, failed
+
+
+def ingest_observations(
+    spark: SparkSession, source_folder: str, target: str, since_year: int | None = None, rejects_target: str | None = None
+) -> dict:
     """Refresh yearly observation files: the newest loaded year and every later one.
 
     The watermark is the newest ``year`` partition already loaded; files of that
-    year and later (and >= ``since_year``) are read and their year partitions are
-    replaced in one dynamic overwrite, so a failed run never leaves a year deleted.
+    year and later (and >= ``since_year``) are read, and exactly their years are
+    replaced in one dynamic overwrite, so a failed run never leaves a year deleted.  Bad rows
+    and rows of another year than their file's go to ``rejects_target``; a damaged file leaves its year as it is.
     """
-    existing = tables.read_table(spark, target)
-    watermark = tables.newest_partition(existing, "year") if existing is not None else None
+    watermark = tables.newest_partition(spark, target, "year")
     listing = list_observation_files(spark, source_folder, since_year, watermark)
     paths = selected_paths(listing)
     if not paths:
         return {"watermark_year": watermark, "files": 0, "rows_loaded": 0}
-    rows = read_observations(spark, paths)
-    counts = tables.replace_years(spark, rows, target, "year", sort_within=("date", "id"))
-    return {"watermark_year": watermark, "files": len(paths), **counts}
+    years = _file_years(listing, paths)
+    with _staged_readable(spark, paths, lambda p: read_typed_observations(spark, p), "obs-typed") as (typed, failed):
+        counts = {"rows_loaded": 0}
+        loaded = {y for p, y in years.items() if p not in failed and y is not None}
+        if typed is not None:
+            fits = F.col("file_year").isNotNull() & (F.col("year") == F.col("file_year"))
+            good = F.coalesce(~F.col("bad") & fits, F.lit(False))
+            rows = typed.where(good).select(*OBSERVATIONS.fieldNames(), "year")
+            counts = tables.replace_years(spark, rows, target, "year", loaded, sort_within=("date", "id"))
+            if rejects_target:
+                rejects = typed.where(~good).drop("bad").withColumn("file_year", F.coalesce("file_year", F.lit(NO_YEAR)))
+                rejected = tables.replace_years(spark, rejects, rejects_target, "file_year", {*loaded, NO_YEAR})
+                counts["rows_rejected"] = rejected["rows_loaded"]
+    return {"watermark_year": watermark, "files": len(paths) - len(failed), "files_failed": [os.path.basename(p) for p in failed], **counts}
 
 
 def ingest_storms(
@@ -73,26 +118,50 @@ def ingest_storms(
     """Refresh storm-event years from the newest loaded BEGIN_YEARMONTH on.
 
     The raw files (gzip, one task each) are typed once and staged under the shared
-    folder; loadable rows then replace their YEAR partitions and problem rows go
-    to ``issues_target``.
+    folder; loadable rows then replace the years of the selected files and problem rows
+    (damaged files among them) go to ``issues_target``.
     """
-    existing = tables.read_table(spark, target)
     watermark = None
-    newest_year = tables.newest_partition(existing, "YEAR") if existing is not None else None
+    newest_year = tables.newest_partition(spark, target, "YEAR")
     if newest_year is not None:
         # only the newest YEAR partition is scanned for the year-month high-water mark
+        existing = tables.require_table(spark, target, "storm events")
         newest = existing.where(F.col("YEAR") == newest_year).agg(F.max("BEGIN_YEARMONTH")).first()[0]
         watermark = newest // 100 if newest is not None else None
     listing = list_storm_files(spark, source_folder, since_year, watermark)
     paths = selected_paths(listing)
     if not paths:
         return {"watermark_year": watermark, "files": 0, "rows_loaded": 0}
-    with tables.stage(spark, typed_storms(read_storm_files(spark, paths)), "storm-typed") as typed:
-        good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
-        counts = tables.replace_years(spark, good, target, "YEAR")
-        if issues_target:
-            tables.replace_years(spark, storm_issues(typed), issues_target, "YEAR")
-    return {"watermark_year": watermark, "files": len(paths), **counts}
+    years = _file_years(listing, paths)
+
+    def typed_rows(files):
+        return typed_storms(read_storm_files(spark, files), splits=len(files))
+
+    with _staged_readable(spark, paths, typed_rows, "storm-typed") as (typed, failed):
+        bad = [(os.path.basename(p), years[p]) for p in failed]
+        if typed is None:
+            typed = spark.createDataFrame([], typed_rows([]).schema)
+        loaded = {y for p, y in years.items() if p not in failed and y is not None}
+        counts = refresh_storms(spark, typed, target, loaded, issues_target, bad)
+    return {"watermark_year": watermark, "files": len(paths) - len(failed), "files_failed": [n for n, _ in bad], **counts}
+
+
+def append_observations(spark: SparkSession, source_folder: str, target: str) -> dict:
+    """Append every observation file's good rows without replacing anything."""
+    paths = selected_paths(list_observation_files(spark, source_folder))
+    rows = read_observations(spark, paths) if paths else None
+    return {"files": len(paths), "rows": tables.append_rows(rows, target, OBSERVATIONS, ("year",)) if paths else 0}
+
+
+def load_dly(spark: SparkSession, source: str, target: str, pick: bool = False) -> dict:
+    """Monthly fixed-width station files; with ``pick`` one reading per station, day and element by source priority."""
+    rows = parse_dly_lines(spark.read.text(source))
+    rows = pick_by_source_priority(rows) if pick else rows
+    return {"rows": _write_full(rows, target)}
+
+
+def load_inventory(spark: SparkSession, source: str, target: str) -> dict:
+    return {"rows": _write_full(read_inventory(spark, source), target)}
 
 
 def read_storm_table(spark: SparkSession, path: str) -> DataFrame:
@@ -103,14 +172,20 @@ def read_storm_table(spark: SparkSession, path: str) -> DataFrame:
 def link_stations(
     spark: SparkSession, zipcodes_path: str, stations_path: str, target: str, k: int = 20, **kwargs
 ) -> dict:
-    """Full reload of ``zipcode_stations``; returns the row count and a 5-row sample."""
+    """Full reload of ``zipcode_stations``; returns the row count and a 5-row sample.
+
+    Dense stations are searched in two passes; the first is staged, so it runs once.
+    """
     zips = tables.require_table(spark, zipcodes_path, "zipcodes")
     stns = tables.require_table(spark, stations_path, "stations")
-    if "first_pass_miles" not in kwargs:
-        kwargs["first_pass_miles"] = suggest_first_pass_miles(
-            zipcode_points(zips), station_points(stns), k, kwargs.get("max_miles", 200.0)
-        )
-    rows = _write_full(link_zipcodes_to_stations(zips, stns, k=k, **kwargs), target)
+    max_miles = kwargs.get("max_miles", 200.0)
+    first_miles = kwargs.pop("first_pass_miles", None) or suggest_first_pass_miles(zipcode_points(zips), station_points(stns), k, max_miles)
+    if first_miles is None or first_miles >= max_miles:
+        rows = _write_full(link_zipcodes_to_stations(zips, stns, k=k, **kwargs), target)
+    else:
+        near = first_pass(zipcode_points(zips), station_points(stns), k=k, miles=first_miles, **kwargs)
+        with tables.stage(spark, near, "links-first") as near:
+            rows = _write_full(second_pass(near, zipcode_points(zips), station_points(stns), k=k, **kwargs), target)
     sample = [r.asDict() for r in preview(spark.read.parquet(target), ["zipcode", "rank"], 5).collect()]
     return {"rows": rows, "sample": sample}
 
@@ -129,7 +204,9 @@ def compute_daily_metrics(
     links = tables.require_table(spark, links_path, "zipcode_stations")
     max_date = dt.date.fromisoformat(str(max_date)) if max_date else dt.date.today()
     min_date = dt.date.fromisoformat(str(min_date)) if min_date else tables.resume_from(spark, target)
-    rows = daily_metrics(obs, links, min_date, max_date, max_miles=max_miles)
+    near = near_links(links, max_miles)
+    few = near.count() <= MAX_BROADCAST_LINKS  # the stored links: a count reads statistics and one column
+    rows = daily_metrics(obs, links, min_date, max_date, max_miles=max_miles, broadcast_links=few)
     counts = tables.replace_date_range(spark, rows, target, min_date, max_date)
     cov = [r.asDict() for r in coverage(spark.read.parquet(target)).collect()]
     return {"min_date": str(min_date), "max_date": str(max_date), **counts, "coverage": cov}
@@ -137,9 +214,13 @@ def compute_daily_metrics(
 
 def export_table(spark: SparkSession, source: str, dest: str, partition_by=("year", "month"), where=None) -> dict:
     df = tables.require_table(spark, source, "export source")
-    parts = [tuple(r) for r in export_report(df, partition_by, where).collect()] if partition_by else []
-    export_parquet(df, dest, partition_by=partition_by, where=where)
-    return {"partitions": len(parts), "dest": dest}
+    rows = filter_rows(df, where)
+    if not partition_by:
+        export_parquet(rows, dest, partition_by=())
+        return {"partitions": 0, "dest": dest}
+    obs = Observation("export")  # the partition keys are gathered while writing
+    export_parquet(rows.observe(obs, F.collect_set(F.struct(*partition_by)).alias("keys")), dest, partition_by=partition_by)
+    return {"partitions": len(tables.metrics(obs).get("keys") or []), "dest": dest}
 
 
 def main(argv=None) -> None:
@@ -148,7 +229,12 @@ def main(argv=None) -> None:
     a = sub.add_parser("load-stations"); a.add_argument("source"); a.add_argument("target")
     a = sub.add_parser("load-zipcodes"); a.add_argument("source"); a.add_argument("target")
     a = sub.add_parser("ingest-observations"); a.add_argument("source"); a.add_argument("target")
-    a.add_argument("--since-year", type=int)
+    a.add_argument("--since-year", type=int); a.add_argument("--rejects")
+    a = sub.add_parser("append-observations"); a.add_argument("source"); a.add_argument("target")
+    a = sub.add_parser("load-dly"); a.add_argument("source"); a.add_argument("target"); a.add_argument("--pick", action="store_true")
+    a = sub.add_parser("load-inventory"); a.add_argument("source"); a.add_argument("target")
+    a = sub.add_parser("stream-storms"); a.add_argument("source"); a.add_argument("target")
+    a.add_argument("--checkpoint", required=True); a.add_argument("--issues")
     a = sub.add_parser("ingest-storms"); a.add_argument("source"); a.add_argument("target")
     a.add_argument("--since-year", type=int); a.add_argument("--issues")
     a = sub.add_parser("link-stations"); a.add_argument("zipcodes"); a.add_argument("stations"); a.add_argument("target")
@@ -165,7 +251,16 @@ def main(argv=None) -> None:
     elif args.job == "load-zipcodes":
         out = load_zipcodes(spark, args.source, args.target)
     elif args.job == "ingest-observations":
-        out = ingest_observations(spark, args.source, args.target, args.since_year)
+        out = ingest_observations(spark, args.source, args.target, args.since_year, args.rejects)
+    elif args.job == "append-observations":
+        out = append_observations(spark, args.source, args.target)
+    elif args.job == "load-dly":
+        out = load_dly(spark, args.source, args.target, args.pick)
+    elif args.job == "load-inventory":
+        out = load_inventory(spark, args.source, args.target)
+    elif args.job == "stream-storms":
+        start_storm_ingest(spark, args.source, args.target, args.checkpoint, args.issues).awaitTermination()
+        out = {"target": args.target}
     elif args.job == "ingest-storms":
         out = ingest_storms(spark, args.source, args.target, args.since_year, args.issues)
     elif args.job == "link-stations":

@@ -3,8 +3,8 @@
 No transactional table format is assumed, so every refresh is:
 compute -> stage under the shared folder (cuts lineage; a lost executor recomputes
 only from the staged copy) -> dynamic partition overwrite of the target.
-Only partitions present in the staged data are replaced; untouched years or
-months keep their files.
+Callers name the partitions a refresh may replace; rows of other partitions never
+reach the write, so untouched years or months keep their files.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,23 @@ from pyspark.sql import functions as F
 from geoweather.session import scratch_path, shared_dir
 
 
-def observed(obs: Observation, key: str) -> int:
-    """An observed count; 0 when the write produced no metrics (an empty input can be
-    planned away entirely, and then no metric row exists)."""
+def metrics(obs: Observation) -> dict:
+    """What was observed while writing; empty if Spark planned an empty input away.
+
+    In that one case there is no metric row, which its Python bridge answers by a failed
+    assertion; any other error is raised.
+    """
     try:
-        return obs.get.get(key, 0) or 0
-    except Exception:  # noqa: BLE001
-        return 0
+        return obs.get
+    except Py4JJavaError as err:
+        if "PythonSQLUtils$.toPyRow" in str(err) and "AssertionError" in str(err):
+            return {}
+        raise
+
+
+def observed(obs: Observation, key: str) -> int:
+    """An observed count; none of an empty input."""
+    return metrics(obs).get(key) or 0
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -40,16 +51,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def newest_partition(df: DataFrame, col: str, within: str | None = None) -> int | None:
-    """Largest integer value of partition column ``col``, read from the file paths.
+def partition_numbers(spark: SparkSession, path: str, col: str) -> list[int]:
+    """Integer values of the ``col=value`` folders directly under ``path`` (a listing of folders only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(int(m.group(1)) for n in names if (m := re.fullmatch(rf"{re.escape(col)}=(-?\d+)", n)))
 
-    Uses the table's file listing (``col=value`` folders), so no rows are read;
-    ``within`` restricts the listing to paths containing that folder, e.g. ``year=2024``.
-    """
-    pattern = re.compile(rf"/{re.escape(col)}=(-?\d+)(/|$)")
-    files = [f for f in df.inputFiles() if within is None or f"/{within}/" in f]
-    values = [int(m.group(1)) for f in files if (m := pattern.search(f))]
-    return max(values) if values else None
+
+def newest_partition(spark: SparkSession, path: str, col: str) -> int | None:
+    """Largest integer value of partition column ``col`` of the table at ``path``; no rows are read."""
+    return max(partition_numbers(spark, path, col), default=None)
 
 
 def require_table(spark: SparkSession, path: str, what: str) -> DataFrame:
@@ -82,7 +96,7 @@ def stage(spark: SparkSession, df: DataFrame, name: str, partition_by=()) -> Ite
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        yield spark.read.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
         _delete_path(spark, path)
 
@@ -108,15 +122,38 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by, sort_within=(
     )
 
 
-def replace_years(spark: SparkSession, incoming: DataFrame, target: str, year_col: str, sort_within=()) -> dict:
-    """Load ``incoming`` into ``target`` partitioned by ``year_col``, replacing its years.
+def replace_years(spark: SparkSession, incoming: DataFrame, target: str, year_col: str, years, sort_within=()) -> dict:
+    """Replace the partitions ``years`` of ``target`` by the rows of ``incoming`` that lie in them.
 
-    Returns load counts gathered while writing (no extra scan).
+    Rows of any other year (or none) are left out and counted: a stray row never replaces
+    a year that is not being reloaded.  A reloaded year without rows loses its folder.
+    Counts are gathered while writing (no extra scan).
     """
+    years = sorted(int(y) for y in years)
     obs = Observation("replace_years")
-    counted = incoming.observe(obs, F.count(F.lit(1)).alias("rows_loaded"))
-    overwrite_partitions(counted, target, [year_col], sort_within)
-    return {"rows_loaded": observed(obs, "rows_loaded")}
+    wanted = F.coalesce(F.col(year_col).isin(years), F.lit(False))
+    counted = incoming.observe(
+        obs,
+        F.count(F.when(wanted, F.lit(1))).alias("rows_loaded"),
+        F.count(F.when(~wanted, F.lit(1))).alias("rows_other"),
+        F.collect_set(F.when(wanted, F.col(year_col).cast("int"))).alias("present"),
+    )
+    overwrite_partitions(counted.where(wanted), target, [year_col], sort_within)
+    found = metrics(obs)
+    present = {int(y) for y in found.get("present") or []}
+    _delete_folders(spark, target, [f"{year_col}={y}" for y in years if y not in present])
+    return {"rows_loaded": found.get("rows_loaded") or 0, "rows_other_years": found.get("rows_other") or 0}
+
+
+def append_rows(df: DataFrame, target: str, schema, partition_by=()) -> int:
+    """Append ``df``, conformed to ``schema`` (plus its partition columns), to the table at ``target``."""
+    fields = {f.name for f in schema.fields}
+    extra = [c for c in partition_by if c not in fields]
+    casts = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    obs = Observation("append")
+    w = df.select(*casts, *extra).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(target)
+    return observed(obs, "rows")
 
 
 def _months(lo: dt.date, hi: dt.date) -> list[tuple[int, int]]:
@@ -156,25 +193,28 @@ def replace_date_range(
         overwrite_partitions(new_rows.observe(obs, F.count(F.lit(1)).alias("rows_inserted")), target, list(partition_by))
         return {"rows_deleted": 0, "rows_inserted": observed(obs, "rows_inserted")}
 
+    year, month = partition_by
     months = _months(lo, hi)
-    month_no = F.col(partition_by[0]) * 12 + F.col(partition_by[1])
+    # Only the first and last month can hold rows outside the range; they are merged and staged.
+    edges = sorted({months[0], months[-1]})
+    month_no = F.col(year) * 12 + F.col(month)
+    at_edge = month_no.isin([y * 12 + m for y, m in edges])
     touched = month_no.between(lo.year * 12 + lo.month, hi.year * 12 + hi.month)  # prunes to the touched months
-    old = existing.where(touched)
-    counts = Observation("range_old")
-    old = old.observe(counts, F.count(F.when(in_range, F.lit(1))).alias("rows_deleted"))
-    merged = old.where(~in_range).unionByName(new_rows.select(*existing.columns))
+    deleted = existing.where(touched & in_range).count()
     inserted = Observation("range_ins")
-    with stage(spark, merged, "range-replace", partition_by) as staged:
-        staged_new = staged.observe(inserted, F.count(F.when(in_range, F.lit(1))).alias("rows_inserted"))
-        overwrite_partitions(staged_new, target, list(partition_by))
-        present = {(r[0], r[1]) for r in staged.select(*partition_by).distinct().collect()}
-    emptied = [f"{partition_by[0]}={y}/{partition_by[1]}={m}" for y, m in months if (y, m) not in present]
+    new_rows = new_rows.select(*existing.columns).observe(
+        inserted, F.count(F.lit(1)).alias("rows_inserted"), F.collect_set(F.struct(year, month)).alias("present")
+    )
+    with stage(spark, new_rows, "range-new", partition_by) as fresh, stage(
+        spark, existing.where(at_edge & ~in_range), "range-kept", partition_by
+    ) as kept:
+        counts = metrics(inserted)
+        overwrite_partitions(fresh.select(*existing.columns).unionByName(kept.select(*existing.columns)), target, list(partition_by))
+        present = {(r[0], r[1]) for r in counts.get("present") or []}
+        present |= {(r[0], r[1]) for r in kept.select(*partition_by).distinct().collect()}  # at most two months
+    emptied = [f"{year}={y}/{month}={m}" for y, m in months if (y, m) not in present]
     _delete_folders(spark, target, emptied)
-    return {
-        "rows_deleted": observed(counts, "rows_deleted"),
-        "rows_inserted": observed(inserted, "rows_inserted"),
-        "partitions_removed": len(emptied),
-    }
+    return {"rows_deleted": deleted, "rows_inserted": counts.get("rows_inserted") or 0, "partitions_removed": len(emptied)}
 
 
 def resume_from(spark: SparkSession, target: str, default_new=dt.date(2000, 1, 1), default_empty=dt.date(1900, 1, 1)) -> dt.date:
@@ -182,19 +222,15 @@ def resume_from(spark: SparkSession, target: str, default_new=dt.date(2000, 1, 1
 
     No table -> ``default_new``; table without dates -> ``default_empty``;
     otherwise its newest date itself (the last day is recomputed).  For a table
-    partitioned by year/month only the newest partition is read.  Any error while
-    reading falls back to ``default_new``.
+    partitioned by year/month only the newest partition is read.  A table that cannot be
+    read is an error: recomputing the whole history would hide it.
     """
-    try:
-        existing = read_table(spark, target)
-        if existing is None:
-            return default_new
-        year = newest_partition(existing, "year") if "year" in existing.columns else None
-        month = newest_partition(existing, "month", within=f"year={year}") if year is not None else None
-        if year is not None and month is not None:
-            # only the newest (year, month) partition is read
-            existing = existing.where((F.col("year") == year) & (F.col("month") == month))
-        newest = existing.agg(F.max("date")).first()[0]
-        return newest if newest is not None else default_empty
-    except Exception:  # noqa: BLE001 - unreadable table: start from the default
+    existing = read_table(spark, target)
+    if existing is None:
         return default_new
+    year = newest_partition(spark, target, "year")
+    month = newest_partition(spark, f"{target}/year={year}", "month") if year is not None else None
+    if month is not None:
+        existing = existing.where((F.col("year") == year) & (F.col("month") == month))
+    newest = existing.agg(F.max("date")).first()[0]
+    return newest if newest is not None else default_empty

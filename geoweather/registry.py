@@ -28,25 +28,28 @@ from geoweather.operators.metrics import (
     readings,
     zip_date_spine,
 )
-from geoweather.operators.nearest import link_zipcodes_to_stations
+from geoweather.operators.nearest import first_pass, link_zipcodes_to_stations, second_pass, station_points, zipcode_points
 from geoweather.operators.preview import filter_rows, partition_values, preview
 from geoweather.operators.replace import refresh_audit, replace_date_range, replace_newest_year
-from geoweather.operators.stations import element_inventory, pick_by_source_priority, station_codes
+from geoweather.operators.stations import element_inventory, name_station_codes, pick_by_source_priority, station_codes
 from geoweather.operators.storms import normalise_storms
 from geoweather.plans.export import export_parquet
-from geoweather.plans.tables import materialize
 from geoweather.schemas import CORE_ELEMENTS
+from geoweather.plans.tables import replace_date_range as refresh_range
+from geoweather.plans.tables import replace_years
 from geoweather.session import scratch_path
 from geoweather.sources.gazetteer import parse_zipcode_lines
-from geoweather.sources.ghcn_files import parse_dly_lines
+from geoweather.sources.ghcn_files import parse_dly_lines, parse_inventory_lines
 from geoweather.sources.lake import lake_view
-from geoweather.sources.listing import annotate_storm_files
+from geoweather.sources.listing import annotate_observation_files, annotate_storm_files, list_files
 from geoweather.sources.observations import parse_observation_lines
 from geoweather.sources.stations import parse_station_lines
+from geoweather.sources.storms import CORRUPT, read_storm_files
 
 # Parameters of the registered queries (the reference's defaults where it has one).
 K_NEAREST = 20
 LINK_MAX_MILES = 200.0
+FIRST_PASS_MILES = 60.0
 BOX_DEG = 5.0
 METRIC_MAX_MILES = 20.0
 MIN_DATE, MAX_DATE = "2024-01-01", "2024-12-31"
@@ -55,6 +58,8 @@ RANGE_MAX_MILES = 100.0
 SINCE_YEAR = 1997
 EXPORT_WHERE = "EVENT_TYPE = 'Hail' OR STATE = '1-URGENT'"
 EXPORT_YEAR = 1996
+RELOADED_YEARS = (1994, 1996)
+TABLE_RANGE = ("1995-03-10", "1995-06-20")
 METRIC_COLS = [c for e in CORE_ELEMENTS for c in (e.lower(), f"{e.lower()}_count", f"{e.lower()}_stddev")]
 
 
@@ -63,21 +68,31 @@ def r6(c) -> F.Column:
 
 
 # ---------------------------------------------------------------- shared inputs
-def links(spark: SparkSession, sf: str) -> DataFrame:
-    """The zipcode_stations table, computed once per query (as the stored table is in production)."""
-    return materialize(
-        link_zipcodes_to_stations(
-            derived.zipcodes(spark, sf), derived.stations(spark, sf), k=K_NEAREST, max_miles=LINK_MAX_MILES, box_deg=BOX_DEG
-        )
+def link_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The zipcode_stations rows, lazily."""
+    return link_zipcodes_to_stations(
+        derived.zipcodes(spark, sf), derived.stations(spark, sf), k=K_NEAREST, max_miles=LINK_MAX_MILES, box_deg=BOX_DEG
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written as a Parquet table under the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def links(spark: SparkSession, sf: str) -> DataFrame:
+    """The zipcode_stations table, stored once per query (as it is in production)."""
+    return stored(link_rows(spark, sf), "links")
+
+
 def obs_in_range(spark: SparkSession, sf: str) -> DataFrame:
     return in_date_range(derived.observations(spark, sf), MIN_DATE, MAX_DATE)
 
 
 def near(spark: SparkSession, sf: str, max_miles: float = METRIC_MAX_MILES) -> DataFrame:
-    return near_links(links(spark, sf), max_miles)
+    return near_links(link_rows(spark, sf), max_miles)
 
 
 def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=METRIC_MAX_MILES, lk=None) -> DataFrame:
@@ -86,9 +101,10 @@ def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=ME
 
 
 def storms(spark: SparkSession, sf: str) -> DataFrame:
-    """Normalised storm rows, typed once per query (several queries read them in two branches)."""
-    rows, _ = normalise_storms(derived.storm_raw(spark, sf))
-    return materialize(rows)
+    """Normalised storm rows; only the columns a query uses are typed."""
+    raw = derived.storm_raw(spark, sf)
+    rows, _ = normalise_storms(raw)
+    return rows
 
 
 def storm_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,7 +149,14 @@ def q_haversine_pairs(spark, sf):
 
 
 def q_nearest_k_stations(spark, sf):
-    return links(spark, sf).withColumn("distance_miles", r6("distance_miles"))
+    return link_rows(spark, sf).withColumn("distance_miles", r6("distance_miles"))
+
+
+def q_nearest_two_pass(spark, sf):
+    """The same links by the two-pass search, its first pass stored."""
+    zips, stns = zipcode_points(derived.zipcodes(spark, sf)), station_points(derived.stations(spark, sf))
+    first = stored(first_pass(zips, stns, K_NEAREST, FIRST_PASS_MILES, BOX_DEG), "links-first")
+    return second_pass(first, zips, stns, K_NEAREST, LINK_MAX_MILES, BOX_DEG).withColumn("distance_miles", r6("distance_miles"))
 
 
 def q_nearest_k_within(spark, sf):
@@ -141,7 +164,7 @@ def q_nearest_k_within(spark, sf):
 
 
 def q_station_sample(spark, sf):
-    return preview(links(spark, sf), ["zipcode", "rank"], 5).withColumn("distance_miles", r6("distance_miles"))
+    return preview(link_rows(spark, sf), ["zipcode", "rank"], 5).withColumn("distance_miles", r6("distance_miles"))
 
 
 def q_link_readings(spark, sf):
@@ -150,8 +173,8 @@ def q_link_readings(spark, sf):
 
 def q_element_stats_long(spark, sf):
     st = element_stats_long(readings(obs_in_range(spark, sf), near(spark, sf)))
-    return st.select("zipcode", "date", "element", r6("avg_value").alias("avg_value"), "data_count",
-                     r6("stddev_value").alias("stddev_value"))
+    return st.select("zipcode", "date", "element", r6("mean").alias("mean"), "readings",
+                     r6("spread").alias("spread"))
 
 
 def q_element_stats_wide(spark, sf):
@@ -159,7 +182,7 @@ def q_element_stats_wide(spark, sf):
 
 
 def q_zip_date_spine(spark, sf):
-    return zip_date_spine(near(spark, sf), obs_in_range(spark, sf), MIN_DATE, MAX_DATE)
+    return zip_date_spine(near(spark, sf), obs_in_range(spark, sf))
 
 
 def q_daily_metrics(spark, sf):
@@ -215,7 +238,7 @@ def q_fixed_width_parse(spark, sf):
 
 
 def q_csv_text_parse(spark, sf):
-    return parse_observation_lines(derived.observation_lines(spark, sf)).drop("bad")
+    return parse_observation_lines(derived.observation_lines(spark, sf))
 
 
 def q_tsv_text_parse(spark, sf):
@@ -224,6 +247,7 @@ def q_tsv_text_parse(spark, sf):
 
 def _storm_split(spark, sf):
     s = storms(spark, sf).select("EVENT_ID", "YEAR", "EVENT_TYPE", "DAMAGE_PROPERTY", "BEGIN_DATE_TIME", "DATA_SOURCE")
+    s = stored(s, "storm-split")
     existing = s.where(F.col("DATA_SOURCE") == "F").drop("DATA_SOURCE")
     incoming = s.where(F.col("DATA_SOURCE") != "F").drop("DATA_SOURCE")
     return existing, incoming
@@ -266,14 +290,72 @@ def q_lake_roundtrip(spark, sf):
     return lake_view(spark, path)
 
 
-def q_storm_normalise(spark, sf):
-    s = storms(spark, sf)
-    return s.select(
-        "EVENT_ID", "EPISODE_ID", "STATE", "STATE_FIPS", "YEAR", "MONTH_NAME", "EVENT_TYPE",
-        "BEGIN_YEARMONTH", "BEGIN_DAY", "BEGIN_TIME", "BEGIN_DATE_TIME",
-        "END_YEARMONTH", "END_DAY", "END_TIME", "END_DATE_TIME",
-        "DAMAGE_PROPERTY", "DAMAGE_CROPS", "MAGNITUDE", "TOR_LENGTH", "DATA_SOURCE",
+def q_replace_years_table(spark, sf):
+    """A stored table after the physical refresh of two years by rows of all years."""
+    path = scratch_path(spark, "years-table")
+    s = stored(storms(spark, sf).select("EVENT_ID", "EVENT_TYPE", "STATE", "DATA_SOURCE", "YEAR"), "storm-years")
+    s.where(F.col("DATA_SOURCE") == "F").write.partitionBy("YEAR").parquet(path)
+    replace_years(spark, s.where(F.col("DATA_SOURCE") != "F"), path, "YEAR", RELOADED_YEARS)
+    return spark.read.schema(s.schema).parquet(path).select("EVENT_ID", "EVENT_TYPE", "STATE", "DATA_SOURCE", "YEAR")
+
+
+def q_replace_range_table(spark, sf):
+    """A stored table of orders after the physical replacement of a date range over four months."""
+    path = scratch_path(spark, "range-table")
+    d = F.col("o_orderdate").cast("date")
+    o = derived.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", d.alias("date"), F.year(d).alias("year"), F.month(d).alias("month")
     )
+    o.where(F.col("o_orderstatus") == "F").write.partitionBy("year", "month").parquet(path)
+    refresh_range(spark, o.where(F.col("o_orderstatus") != "F"), path, *TABLE_RANGE)
+    return spark.read.schema(o.schema).parquet(path).select("o_orderkey", "o_orderstatus", "date", "year", "month")
+
+
+def q_storm_files(spark, sf):
+    """Storm rows written as CSV files of three layouts (one with short lines) and read by header name."""
+    raw = derived.storm_raw(spark, sf).select("EVENT_ID", "STATE", "YEAR", "EVENT_TYPE", "TOR_LENGTH", "MAGNITUDE")
+    key = F.col("EVENT_ID").cast("long")
+    folder = scratch_path(spark, "storm-files")
+    layouts = {0: raw.columns, 1: [c for c in reversed(raw.columns) if c != "TOR_LENGTH"]}
+    for kind, columns in layouts.items():
+        raw.where(key % 3 == kind).select(*columns).coalesce(2).write.option("header", True).csv(f"{folder}/{kind}")
+    line = F.when(key % 5 == 0, F.concat_ws(",", "EVENT_ID", "STATE")).otherwise(F.concat_ws(",", "EVENT_ID", "STATE", "YEAR"))
+    short = raw.where(key % 3 == 2).select(line.alias("EVENT_ID,STATE,YEAR"))
+    short.coalesce(2).write.options(header=True, sep="\u0001", quote="\u0000").csv(f"{folder}/2")
+    paths = [r.path for k in range(3) for r in list_files(spark, f"{folder}/{k}", "*.csv").collect()]
+    rows = read_storm_files(spark, paths)
+    return rows.select("EVENT_ID", "STATE", "YEAR", "EVENT_TYPE", "TOR_LENGTH", "MAGNITUDE", F.col(CORRUPT).isNotNull().alias("malformed"))
+
+
+def q_observation_files(spark, sf):
+    """Observation file names with their year and whether a refresh from a year on selects them."""
+    d = derived.table(spark, sf, "orders").select(F.year("o_orderdate").alias("y"), "o_orderkey")
+    names = d.select(F.concat(F.col("y").cast("string"), F.when(F.col("o_orderkey") % 7 == 0, F.lit("x")).otherwise(F.lit("")), F.lit(".csv.gz")).alias("name"))
+    return annotate_observation_files(names.distinct(), SINCE_YEAR, SINCE_YEAR - 2)
+
+
+def q_inventory_parse(spark, sf):
+    """Inventory lines written in the fixed layout and parsed."""
+    i = element_inventory(derived.observations(spark, sf), derived.stations(spark, sf)).where("latitude IS NOT NULL")
+    line = F.concat_ws(
+        " ", F.rpad("id", 11, " "), F.format_string("%8.4f", "latitude"), F.format_string("%9.4f", "longitude"),
+        "element", F.format_string("%4d", "firstyear"), F.format_string("%4d", "lastyear"),
+    )
+    return parse_inventory_lines(i.select(line.alias("value")))
+
+
+def q_station_names(spark, sf):
+    """Stations with the names of their country and state codes, taken from nations and regions."""
+    n = derived.table(spark, sf, "nation")
+    code = F.concat(F.char(F.lit(65) + F.col("n_nationkey") % 26), F.char(F.lit(65) + F.col("n_nationkey") % 26))
+    states = n.where("n_nationkey % 5 <> 0").select(code.alias("code"), F.col("n_name").alias("name"))
+    countries = derived.table(spark, sf, "region").where("r_regionkey = 0").select(F.lit("US").alias("code"), F.col("r_name").alias("name"))
+    out = name_station_codes(derived.stations(spark, sf), countries, states)
+    return out.select("id", "country_code", "network_code", "country_name", "state", "state_name")
+
+
+def q_storm_normalise(spark, sf):
+    return storms(spark, sf)
 
 
 def q_storm_issues(spark, sf):
@@ -308,6 +390,7 @@ def q_station_codes(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "haversine_pairs": q_haversine_pairs,
     "nearest_k_stations": q_nearest_k_stations,
+    "nearest_two_pass": q_nearest_two_pass,
     "nearest_k_within": q_nearest_k_within,
     "station_sample": q_station_sample,
     "link_readings": q_link_readings,
@@ -334,6 +417,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_roundtrip": q_lake_roundtrip,
     "storm_normalise": q_storm_normalise,
     "storm_issues": q_storm_issues,
+    "replace_years_table": q_replace_years_table,
+    "replace_range_table": q_replace_range_table,
+    "storm_files": q_storm_files,
+    "observation_files": q_observation_files,
+    "inventory_parse": q_inventory_parse,
+    "station_names": q_station_names,
     "dly_parse": q_dly_parse,
     "element_inventory": q_element_inventory,
     "source_priority_pick": q_source_priority_pick,

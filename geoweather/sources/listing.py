@@ -6,7 +6,7 @@ file contents are never read and the listing itself is distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweather.functions.files import base_name, storm_file_stamp, storm_file_year, yearly_file_year
@@ -14,6 +14,8 @@ from geoweather.functions.files import base_name, storm_file_stamp, storm_file_y
 # Source file name patterns.
 OBSERVATION_GLOB = "*.csv.gz"
 STORM_GLOB = "StormEvents_details*.csv.gz"
+# What Spark reports for a damaged compressed file.
+DAMAGE_SIGNS = ("FAILED_READ_FILE", "ZipException", "EOFException", "not a gzip file", "Unexpected end of", "CORRUPT")
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -47,14 +49,32 @@ def annotate_storm_files(listing: DataFrame, since_year=None, watermark_year=Non
             keep = keep & y.isNotNull() & (y >= F.lit(int(bound)))
     out = listing.select("*", y.alias("file_year"), stamp.alias("stamp"), keep.alias("passes"))
     if latest_stamp_only:
-        newest = Window.partitionBy("file_year").orderBy(F.col("stamp").desc_nulls_last(), F.col("name").desc())
-        first = F.row_number().over(newest) == 1
-        out = out.withColumn("selected", F.col("passes") & (F.col("file_year").isNull() | first))
+        # One row per year, joined back: a year's files never meet in one task.
+        newest = out.groupBy(F.col("file_year").alias("_year")).agg(
+            F.max(F.struct(F.coalesce("stamp", F.lit(-1)).alias("stamp"), "name"))["name"].alias("_newest")
+        )
+        out = out.join(newest, F.col("file_year") == F.col("_year"), "left")
+        first = F.col("name") == F.col("_newest")
+        out = out.withColumn("selected", F.col("passes") & (F.col("file_year").isNull() | first)).drop("_year", "_newest")
     else:
         out = out.withColumn("selected", F.col("passes"))
     return out.drop("passes")
 
 
+def readable_paths(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
+    """(readable, unreadable) files: each is read through once.  For use after a read of all of them failed."""
+    good, bad = [], []
+    for path in paths:
+        try:
+            spark.read.text(path).write.format("noop").mode("overwrite").save()
+            good.append(path)
+        except Exception as err:  # noqa: BLE001 - sorted out below: only damaged files are set aside
+            if not any(word in str(err) for word in DAMAGE_SIGNS):
+                raise
+            bad.append(path)
+    return good, bad
+
+
 def selected_paths(annotated: DataFrame) -> list[str]:
     """Paths to read (a file list: bounded by the number of source files, not by data)."""
     return [r.path for r in annotated.where("selected").select("path").orderBy("path").collect()]

@@ -10,19 +10,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoweather.functions.casts import INTEGER_PATTERN
+from geoweather.functions.files import yearly_file_year
 from geoweather.schemas import OBSERVATIONS, all_strings
 
 OBS_TEXT = all_strings(OBSERVATIONS)
+CORRUPT = "_corrupt_record"
 DATE_FORMAT = "yyyyMMdd"
 
 
 def type_observations(text: DataFrame) -> DataFrame:
-    """All-string observation columns -> typed ``ghcn_daily_raw`` columns plus ``year`` and ``bad``."""
+    """All-string observation columns -> typed ``ghcn_daily_raw`` columns plus ``year`` and ``bad``.
+
+    Bad: no id, date or element, an unreadable date or value, or (where the reader kept it) a
+    line with the wrong number of fields.
+    """
     date = F.try_to_date(F.col("date"), DATE_FORMAT)
     value = F.when(F.col("data_value").rlike(INTEGER_PATTERN), F.trim("data_value").try_cast("int"))
-    bad = (F.col("date").isNotNull() & date.isNull()) | (F.col("data_value").isNotNull() & value.isNull())
+    bad = date.isNull() | F.col("id").isNull() | F.col("element").isNull() | (F.col("data_value").isNotNull() & value.isNull())
+    if CORRUPT in text.columns:
+        bad = bad | F.col(CORRUPT).isNotNull()
+    kept = [c for c in ("source_file", "file_year", CORRUPT) if c in text.columns]
     return text.select(
         F.col("id"),
         date.alias("date"),
@@ -34,6 +44,7 @@ def type_observations(text: DataFrame) -> DataFrame:
         F.col("obs_time"),
         F.year(date).alias("year"),
         bad.alias("bad"),
+        *kept,
     )
 
 
@@ -45,13 +56,24 @@ def parse_observation_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def read_observation_text(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.schema(OBS_TEXT).option("header", False).option("mode", "PERMISSIVE").csv(paths)
+    """All-string rows with ``_corrupt_record``, ``source_file`` and ``file_year``."""
+    schema = T.StructType([*OBS_TEXT.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
+    rows = rows.option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
+    name = F.col("_metadata.file_name")
+    return rows.select("*", name.alias("source_file"), yearly_file_year(name).alias("file_year"))
+
+
+def read_typed_observations(spark: SparkSession, paths) -> DataFrame:
+    """Good and bad rows, typed, with ``bad``, ``source_file`` and ``file_year``."""
+    return type_observations(read_observation_text(spark, paths))
 
 
 def read_observations(spark: SparkSession, paths) -> DataFrame:
     """Typed good rows (``ghcn_daily_raw`` + ``year``)."""
-    return type_observations(read_observation_text(spark, paths)).where(~F.col("bad")).drop("bad")
+    return read_typed_observations(spark, paths).where(~F.col("bad")).select(*OBSERVATIONS.fieldNames(), "year")
 
 
 def observation_rejects(spark: SparkSession, paths) -> DataFrame:
-    return type_observations(read_observation_text(spark, paths)).where(F.col("bad")).drop("bad")
+    """Rows that cannot be loaded, with the text of lines that have the wrong number of fields."""
+    return read_typed_observations(spark, paths).where(F.col("bad")).drop("bad")

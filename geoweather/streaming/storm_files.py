@@ -5,10 +5,11 @@ version of a year arrives as a new file name and the streaming file source sees
 it exactly once.  (Yearly observation files are rewritten in place under the same
 name, which a file stream would never pick up again; they use the batch job.)
 
-Each micro-batch: keep the newest stamp per data year, type and check the rows,
-replace the batch's YEAR partitions of the target (dynamic overwrite, so a retried
-batch rewrites the same partitions: idempotent), append problem rows to an issue
-table.  Run with ``trigger(availableNow=True)`` on a schedule, or continuously.
+The stamp loaded for each year is kept in a small table beside the target.  Each micro-batch is
+typed and staged once; of its files (known by name), those whose stamp is the newest of their year
+in the batch and not below the stored one replace their years, and the others are ignored.  The result
+therefore does not depend on arrival order or batch size, and a retried batch rewrites the same
+partitions.  Run with ``trigger(availableNow=True)`` on a schedule, or continuously.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geoweather.functions.files import storm_file_stamp, storm_file_year
-from geoweather.operators.storms import storm_issues, typed_storms
-from geoweather.plans.tables import overwrite_partitions, stage
+from geoweather.operators.storms import typed_storms
+from geoweather.plans.storm_refresh import refresh_storms
+from geoweather.plans.tables import read_table, stage
 from geoweather.schemas import STORM_EVENTS, all_strings
 from geoweather.sources.listing import STORM_GLOB
 from geoweather.sources.storms import csv_options
@@ -47,28 +49,29 @@ def storm_file_stream(spark: SparkSession, landing_dir: str, max_files_per_trigg
                       storm_file_stamp(name).alias("stamp"))
 
 
-def newest_versions(batch: DataFrame) -> DataFrame:
-    """Rows of the newest creation stamp of each data year in the batch.
-
-    The newest stamp per year is a grouped max (one row per data year, at most one
-    per file in the batch), broadcast back onto the rows: no year's rows are ever
-    gathered into a single task.
-    """
-    newest = batch.groupBy("file_year").agg(F.max("stamp").alias("_newest_stamp"))
-    marked = batch.join(F.broadcast(newest), "file_year", "left")
-    keep = F.col("file_year").isNull() | (F.col("stamp") == F.col("_newest_stamp"))
-    return marked.where(keep).drop("_newest_stamp")
+def stored_stamps(spark: SparkSession, versions: str) -> dict[int, int]:
+    """Year -> stamp of the version loaded (one row a year)."""
+    table = read_table(spark, versions)
+    return {r.file_year: r.stamp for r in table.collect()} if table is not None else {}
 
 
-def _apply_batch(target: str, issues_target: str | None):
+def _apply_batch(target: str, issues_target: str | None, versions: str):
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        # Stage the typed batch once: it feeds both the table and the issue log.
-        with stage(spark, typed_storms(newest_versions(batch)), f"storm-batch-{epoch_id}") as typed:
-            good = typed.where(F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
-            overwrite_partitions(good, target, ["YEAR"])
-            if issues_target:
-                overwrite_partitions(storm_issues(typed), issues_target, ["YEAR"])
+        with stage(spark, typed_storms(batch), f"storm-batch-{epoch_id}") as typed:
+            loaded = stored_stamps(spark, versions)
+            newest: dict[int, int] = {}
+            # One row for each file of the batch.
+            for r in typed.select("file_year", "stamp").distinct().where("file_year IS NOT NULL").collect():
+                newest[r.file_year] = max(newest.get(r.file_year, 0), r.stamp or 0)
+            accepted = {y: s for y, s in newest.items() if s >= loaded.get(y, 0)}
+            now = F.lit(False)
+            for year, stamp in accepted.items():
+                now = now | ((F.col("file_year") == year) & (F.coalesce("stamp", F.lit(0)) == stamp))
+            refresh_storms(spark, typed.where(now | F.col("file_year").isNull()), target, set(accepted), issues_target)
+            if accepted:
+                rows = sorted((loaded | accepted).items())
+                spark.createDataFrame(rows, "file_year int, stamp int").coalesce(1).write.mode("overwrite").parquet(versions)
 
     return apply
 
@@ -81,10 +84,12 @@ def start_storm_ingest(
     issues_target: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    versions_target: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental ingest; with ``available_now`` it stops after the files present now."""
     stream = storm_file_stream(spark, landing_dir, max_files_per_trigger)
-    writer = stream.writeStream.foreachBatch(_apply_batch(target, issues_target)).option(
+    versions = versions_target or f"{target.rstrip('/')}_versions"
+    writer = stream.writeStream.foreachBatch(_apply_batch(target, issues_target, versions)).option(
         "checkpointLocation", checkpoint_location
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -26,7 +26,7 @@ def test_decode_keeps_rows_and_broadcasts(spark):
     obs = derived.observations(spark, SF)
     decoded = decode_flags(obs)
     plan = plan_text(decoded)
-    assert plan.count("BroadcastHashJoin") == 3
+    assert plan.count("BroadcastHashJoin") == 4
     assert "SortMergeJoin" not in plan
     rows = decoded.collect()
     assert len(rows) == obs.count()

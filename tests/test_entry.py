@@ -37,7 +37,7 @@ def test_entry_runs(spark):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ["customer", "supplier", "events", "orders", "part", "lineitem"]:
+    for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t + '.parquet')}')")
     return con
 

@@ -38,8 +38,8 @@ def test_parts_to_timestamp(spark):
         (None, 5, 905, None),
         (202401, None, 905, None),
         (202412, 31, 2359, dt.datetime(2024, 12, 31, 23, 59)),
-        (202401, 123, 0, dt.datetime(2024, 1, 12, 0, 0)),  # day text is cut to '12'
-        (202401, 5, 12345, dt.datetime(2024, 1, 5, 12, 34)),  # time text is cut to '1234'
+        (202401, 123, 0, None),  # an overlong part is no time; it is reported, not cut
+        (202401, 5, 12345, None),
         (202401, -5, 0, None),
         (20241, 5, 0, None),
         (202400, 5, 0, None),

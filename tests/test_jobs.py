@@ -79,3 +79,21 @@ def test_end_to_end_jobs(spark, tmp_path):
     assert exp["partitions"] == 2
     back = lake_view(spark, lake)
     assert back.count() == 3 and back.where(F.col("year") == 2023).count() == 1
+
+
+def test_stray_and_keyless_observations_go_to_rejects(spark, tmp_path):
+    src, target, rejects = tmp_path / "obs", str(tmp_path / "t"), str(tmp_path / "r")
+    src.mkdir()
+
+    def write(year, lines):
+        with gzip.open(src / f"{year}.csv.gz", "wt") as f:
+            f.write("\n".join(lines) + "\n")
+
+    good = [f"USC{i:08d},2022{1 + i % 12:02d}01,PRCP,{i},,,7," for i in range(20)]
+    write(2022, good)
+    jobs.ingest_observations(spark, str(src), target, rejects_target=rejects)
+    write(2024, [g.replace(",2022", ",2024") for g in good] + ["USC00000001,20220101,PRCP,1,,,7,", ",,,,,,,", "USC00000002,,PRCP,1,,,7,", "USC00000003,20240101"])
+    out = jobs.ingest_observations(spark, str(src), target, rejects_target=rejects)
+    years = {r.year: r["count"] for r in spark.read.parquet(target).groupBy("year").count().collect()}
+    assert years == {2022: 20, 2024: 20}
+    assert out["rows_rejected"] == 4 and spark.read.parquet(rejects).where("file_year = 2024").count() == 4

@@ -102,13 +102,11 @@ def test_coverage(spark):
     assert len(rows) == 5 and all(r.total == 0 and r.percentage is None for r in rows)
 
 
-def test_shuffle_join_path_gives_same_rows(spark, monkeypatch):
+def test_shuffle_join_path_gives_same_rows(spark):
     from geoweather.operators import metrics as m
 
     obs, links = _fixture(spark)
-    broadcast_rows = sorted(map(tuple, daily_metrics(obs, links, D1, D3).collect()))
-    monkeypatch.setattr(m, "MAX_BROADCAST_LINKS", 0)
-    monkeypatch.setattr(m, "MAX_BROADCAST_DAYS", 0)
+    broadcast_rows = sorted(map(tuple, daily_metrics(obs, links, D1, D3, broadcast_links=True).collect()))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         q = m.daily_metrics(obs, links, D1, D3)
@@ -131,3 +129,11 @@ def test_date_range_reaches_the_parquet_scan(spark, tmp_path):
         # whole years are pruned by folder, the exact dates are pushed into the reader
         assert "PartitionFilters: [isnotnull(year" in scan and "2024" in scan.split("PartitionFilters:")[1]
         assert "GreaterThanOrEqual(date,2024-01-01)" in scan and "LessThanOrEqual(date,2024-01-03)" in scan
+
+
+def test_observations_are_read_twice_at_most(spark, tmp_path):
+    obs, links = _fixture(spark)
+    p = str(tmp_path / "obs")
+    obs.write.parquet(p)
+    plan = plan_text(daily_metrics(spark.read.parquet(p), links, D1, D3))
+    assert plan.count("Scan parquet") <= 2

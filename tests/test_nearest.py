@@ -124,3 +124,16 @@ def test_distance_is_not_pushed_into_the_join(spark):
     plan = nearest_stations(zips, stns)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.split("\n") if "Join Inner" in line]
     assert joins and not any("ASIN" in j for j in joins)
+
+
+def test_stored_first_pass_runs_once(spark, tmp_path):
+    from geoweather.operators.nearest import first_pass, second_pass
+
+    zips, stns = _points(spark, 300, 1500, 13)
+    first = first_pass(zips, stns, 20, 60.0)
+    p = str(tmp_path / "near")
+    first.write.parquet(p)
+    both = second_pass(spark.read.parquet(p), zips, stns, 20)
+    # one spatial join in each step
+    assert plan_text(first).count("ShuffledHashJoin") == 1 and plan_text(both).count("ShuffledHashJoin") == 1
+    assert _rows(both) == _rows(brute_force(zips, stns, 20, 200.0, 5.0))

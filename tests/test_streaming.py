@@ -14,3 +14,25 @@ def test_storm_stream_available_now(spark, tmp_path):
     q = start_storm_ingest(spark, landing, target, ckpt)
     q.awaitTermination(300)
     assert sorted(r.EVENT_ID for r in spark.read.parquet(target).collect()) == [1, 3]
+
+
+def _ids(spark, path):
+    return sorted(r.EVENT_ID for r in spark.read.parquet(path).collect())
+
+
+def test_older_version_arriving_later_is_ignored(spark, tmp_path):
+    for per_trigger in (None, 1):
+        base = tmp_path / f"t{per_trigger}"
+        landing, target, ckpt, issues = (str(base / x) for x in ("landing", "storms", "ckpt", "issues"))
+        name = "StormEvents_details-ftp_v1.0_d2020_c{}.csv.gz"
+        write_storm_file(landing, name.format(20220101), [storm_row(i, 202005, 1, 100) for i in (1, 2)] + [storm_row(5, 202005, 1, 100, damage="ABCK")])
+        start_storm_ingest(spark, landing, target, ckpt, issues, max_files_per_trigger=per_trigger).awaitTermination(300)
+        assert _ids(spark, target) == [1, 2] and _ids(spark, issues) == [5]
+        write_storm_file(landing, name.format(20210101), [storm_row(8, 202005, 1, 100)])
+        start_storm_ingest(spark, landing, target, ckpt, issues, max_files_per_trigger=per_trigger).awaitTermination(300)
+        assert _ids(spark, target) == [1, 2] and _ids(spark, issues) == [5]
+        # a clean newer version clears the year's issues; a stray row of another year replaces nothing
+        write_storm_file(landing, name.format(20230101), [storm_row(5, 202005, 1, 100), storm_row(9, 201905, 1, 100)])
+        start_storm_ingest(spark, landing, target, ckpt, issues, max_files_per_trigger=per_trigger).awaitTermination(300)
+        assert _ids(spark, target) == [5]
+        assert [(r.EVENT_ID, r.reasons) for r in spark.read.parquet(issues).collect()] == [(9, "OTHER_YEAR")]

@@ -17,15 +17,61 @@ def _years(spark, rows):
 
 def test_replace_years_keeps_untouched_and_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "t")
-    tables.replace_years(spark, _years(spark, [(1, 2022, "a"), (2, 2023, "a"), (3, 2024, "a")]), target, "year")
+    tables.replace_years(spark, _years(spark, [(1, 2022, "a"), (2, 2023, "a"), (3, 2024, "a")]), target, "year", [2022, 2023, 2024])
     new = _years(spark, [(4, 2024, "b"), (5, 2025, "b")])
     for _ in range(2):
-        out = tables.replace_years(spark, new, target, "year")
+        out = tables.replace_years(spark, new, target, "year", [2024, 2025])
         got = sorted((r.id, r.year, r.v) for r in spark.read.parquet(target).collect())
         assert got == [(1, 2022, "a"), (2, 2023, "a"), (4, 2024, "b"), (5, 2025, "b")]
         assert out["rows_loaded"] == 2
 
 
+def test_replace_years_leaves_other_years_alone(spark, tmp_path):
+    target = str(tmp_path / "t")
+    old = [(i, y, "a") for i, y in enumerate([2022] * 20 + [2023] * 20 + [2024])]
+    tables.replace_years(spark, _years(spark, old), target, "year", [2022, 2023, 2024])
+    stray = _years(spark, [(100 + i, 2025, "b") for i in range(20)] + [(200, 2022, "b"), (201, None, "b")])
+    out = tables.replace_years(spark, stray, target, "year", [2024, 2025])
+    counts = {r.year: r["count"] for r in spark.read.parquet(target).groupBy("year").count().collect()}
+    assert counts == {2022: 20, 2023: 20, 2025: 20}  # 2024 was reloaded and has no rows now
+    assert out == {"rows_loaded": 20, "rows_other_years": 2}
+    empty = _years(spark, []).where("false")
+    assert tables.replace_years(spark, empty, target, "year", [2025])["rows_loaded"] == 0
+    assert tables.partition_numbers(spark, target, "year") == [2022, 2023]
+
+
+def test_append_rows_conforms(spark, tmp_path):
+    from geoweather.schemas import OBSERVATIONS
+
+    target = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", "2024-01-01", "7", 2024)], "id string, date string, data_value string, year int")
+    for _ in range(2):
+        assert tables.append_rows(rows, target, OBSERVATIONS, ("year",)) == 1
+    back = spark.read.parquet(target)
+    assert back.count() == 2 and back.select(*OBSERVATIONS.fieldNames()).schema == OBSERVATIONS
+    assert {(r.date, r.data_value, r.element) for r in back.collect()} == {(dt.date(2024, 1, 1), 7, None)}
+
+
+def test_replace_date_range_stages_edge_months_only(spark, tmp_path):
+    target, d = str(tmp_path / "m"), dt.date
+    days = [d(2024, 1, 5), d(2024, 1, 25), d(2024, 2, 10), d(2024, 3, 5), d(2024, 3, 25), d(2024, 4, 1)]
+    tables.replace_date_range(spark, _metric_rows(spark, [("z", x, 1.0) for x in days]), target, "2024-01-01", "2024-12-31")
+    new = _metric_rows(spark, [("z", d(2024, 2, 11), 9.0), ("z", d(2024, 3, 6), 9.0), ("z", d(2024, 5, 1), 9.0)])
+    res = tables.replace_date_range(spark, new, target, "2024-01-20", "2024-03-10")
+    got = sorted((r.date, r.v) for r in spark.read.parquet(target).collect())
+    assert got == [(days[0], 1.0), (d(2024, 2, 11), 9.0), (d(2024, 3, 6), 9.0), (days[4], 1.0), (days[5], 1.0)]
+    assert (res["rows_deleted"], res["rows_inserted"]) == (3, 2)
+
+
+def test_resume_from_reports_unreadable_tables(spark, tmp_path):
+    import pytest
+
+    p = str(tmp_path / "t")
+    spark.createDataFrame([(1,)], "other int").write.parquet(p)
+    with pytest.raises(Exception, match="date"):
+        tables.resume_from(spark, p)
+
+
 def test_replace_newest_year_query(spark):
     existing = _years(spark, [(1, 2022, "a"), (2, 2023, "a"), (3, 2023, "a"), (9, None, "n")])
     incoming = _years(spark, [(4, 2021, "b"), (5, 2023, "b"), (6, 2024, "b")])
