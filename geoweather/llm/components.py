@@ -21,8 +21,9 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has a link."""
     pair = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pair = stage(pair, "cc-links")
-    seen = None
-    while True:
+    checksum = (F.count("*"), F.bit_xor(F.xxhash64("u", "v")))
+    seen = pair.agg(*checksum).first()
+    while seen[0]:
         # Large star: every larger neighbour of u is linked to the smallest one around u.
         both = pair.unionByName(pair.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _least(both).select("of", F.least("of", "least").alias("least"))
@@ -32,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         joined = star.join(_least(star), F.col("u") == F.col("of"))
         small = joined.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(joined.select("u", F.col("least").alias("v")))
         pair = stage(small.where("u <> v").distinct(), "cc-small")
-        now = pair.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        now = pair.agg(*checksum).first()
         if now == seen:
             break
         seen = now

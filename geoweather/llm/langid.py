@@ -296,8 +296,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches):
         model = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            found = [x for a, b in text_groups(texts, GROUP_CHARS) for x in model.classify(texts[a:b])]
+            found = [x for _, _, texts in text_groups(batch.column(2), GROUP_CHARS) for x in model.classify(texts)]
             langs, scores = ([x[k] for x in found] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -315,9 +314,9 @@ def label_words(docs: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         names = np.array(model.languages)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_groups(texts, GROUP_CHARS):
-                lengths, found = model.label(texts[a:b])
+            ids = batch.column(0).to_pylist()
+            for a, b, texts in text_groups(batch.column(1), GROUP_CHARS):
+                lengths, found = model.label(texts)
                 if not len(found):
                     continue
                 best = found.argmax(axis=1)
@@ -353,8 +352,7 @@ def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     def work(batches):
         model = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            found = [x for a, b in text_groups(texts, GROUP_CHARS) for x in model.classify(texts[a:b])]
+            found = [x for _, _, texts in text_groups(batch.column(at), GROUP_CHARS) for x in model.classify(texts)]
             yield batch.filter(pa.array([lang != "und" and score >= MIN_SCORE for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)

@@ -88,9 +88,9 @@ def opened(data: bytes, kind) -> np.ndarray:
 def groups_of(batches, chars: int):
     """(id, doc ids, words per document, word hashes) of each group of documents; equal groups share an id."""
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in text_groups(texts, chars):
-            words, lengths = word_hashes(texts[a:b])
+        ids = batch.column(0).to_pylist()
+        for a, b, texts in text_groups(batch.column(1), chars):
+            words, lengths = word_hashes(texts)
             name = hashlib.blake2b(repr(ids[a:b]).encode() + lengths.tobytes() + words.tobytes(), digest_size=16).hexdigest()
             yield name, ids[a:b], lengths, words
 

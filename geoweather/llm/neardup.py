@@ -16,12 +16,11 @@ Long lists (a group of thousands of copies) are not expanded into pairs:
 1. each list names its most typical member (the one whose values have the longest lists) as
    hub; each node is compared with its best hub only, and components are formed;
 2. lists whose members are in one component are done.  In the others, members outside the list's
-   largest component are compared with all members, in blocks of about ``BLOCK`` by numpy.
-   A first pass confirms the best partner of each node in each block, a second
-   pass, after components are formed again, all pairs that still cross components.
+   largest component are compared with all members, in blocks of about ``BLOCK`` by numpy; a block's
+   texts are brought together once to confirm its pairs, and its links join the components.
 
 A pair between components is only skipped once its ends are connected, so no component is
-lost.  Pairs above the threshold are confirmed on the full sets (from the texts).
+lost.  All links are confirmed on the full sets.
 
 Null or wordless text has an empty set and is linked with nothing.  Rows with null doc_id
 are not linked; their component is null and they are kept.  Repeated rows share node and
@@ -47,7 +46,7 @@ PREFIX = POSTED - POSTED_MATCHES + 1
 PERCENT = 80
 BLOCK = 256
 BROADCAST_IDS = 1_000_000
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 _SEEDS = np.random.default_rng(20).integers(0, 1 << 63, size=(2, COORDINATES), dtype=np.uint64)
 _FACTOR, _SALT = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
 
@@ -89,9 +88,8 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
     def work(batches):
         names = [x.split()[0] for x in SKETCH.split(", ")]
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(1)]
-            for a, b in text_groups(texts, GROUP_CHARS):
-                shingles, sizes = shingle_sets(texts[a:b], width)
+            for a, b, texts in text_groups(batch.column(1), GROUP_CHARS):
+                shingles, sizes = shingle_sets(texts, width)
                 sigs = signatures(shingles, sizes)
                 ends, row = np.cumsum(sizes), 0
                 digests, posted, bytes_ = [], [], []
@@ -159,38 +157,54 @@ def best_hubs(posted: DataFrame, nodes: DataFrame) -> DataFrame:
     return best.select("a", (-F.col("minus")).alias("b"))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; texts are joined for these nodes only."""
-    pairs = stage(pairs, "dup-pairs")
-    wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    wanted = stage(wanted, "dup-wanted")
+def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc, text) of the nodes in ``wanted`` (column doc)."""
+    wanted = stage(wanted.distinct(), "dup-wanted")
     if wanted.count() <= BROADCAST_IDS:  # 8 bytes each; beyond, Spark shuffles both sides
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text")).join(wanted, "doc", "left_semi")
-    texts = stage(texts.dropDuplicates(["doc"]), "dup-texts")
+    return stage(texts.dropDuplicates(["doc"]), "dup-texts")
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets (sorted arrays) have the least similarity."""
+    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+
+def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
+    shingles, sizes = shingle_sets(texts, width)
+    return np.split(shingles, np.cumsum(sizes)[:-1])
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; texts are joined for these nodes only."""
+    pairs = stage(pairs, "dup-pairs")
+    texts = texts_of(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))), docs)
     both = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def work(batches):
         for batch in batches:
-            first, second = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             good = []
-            for i in range(0, len(first), 64):
-                x, nx = shingle_sets(first[i : i + 64], width)
-                y, ny = shingle_sets(second[i : i + 64], width)
-                for p, q in zip(np.split(x, np.cumsum(nx)[:-1]), np.split(y, np.cumsum(ny)[:-1]), strict=True):
-                    common = len(np.intersect1d(p, q, assume_unique=True))
-                    good.append(100 * common >= PERCENT * (len(p) + len(q) - common) and common > 0)
+            for i in range(0, batch.num_rows, 64):
+                first, second = (batch.column(c).slice(i, 64).to_pylist() for c in (2, 3))
+                good += [similar(p, q) for p, q in zip(sets_of(first, width), sets_of(second, width), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(work, "a bigint, b bigint")
 
 
-def crossing(posted: DataFrame, nodes: DataFrame, comps: DataFrame, best_only: bool) -> DataFrame:
-    """(a, b): pairs of different components that share a list and reach the match threshold.
+TASKS = "task string, nodes array<bigint>, comps array<bigint>, left binary, right binary"
+
+
+def crossing(posted: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
+    """Blocks of lists with the pairs in them that still cross components (columns of TASKS).
 
-    Per list, members outside its largest component are compared with all members, in blocks.
-    ``best_only`` returns the best partner of each of them in each block instead of all.
+    Per list, members outside its largest component are compared with all members, in blocks.  A row
+    has the nodes of a block that are in such pairs, and the pairs as places in ``nodes``.
     """
     member = posted.select("key", "node").join(comps.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     member = stage(member.select("key", "node", F.coalesce("component", "node").alias("comp")), "dup-members")
@@ -205,46 +219,49 @@ def crossing(posted: DataFrame, nodes: DataFrame, comps: DataFrame, best_only: b
     rows = member.join(lists, "key").join(facts, F.col("node") == F.col("of"))
     rows = rows.withColumn("minor", F.col("comp") != F.col("major"))
     one = F.struct("node", "comp", F.col("n_shingles").alias("size"), "minor", "sketch", "prefix")
+    zero = F.lit(0).cast("long")
     # A list of one block needs no copies: its minor members ask and answer.
     small = (F.col("blocks") == 1) & (F.col("minor_blocks") == 1)
     as_small = rows.where(small).select(
-        "key", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("minor_block"), F.lit(None).cast("boolean").alias("asks"), one.alias("m")
+        "key", zero.alias("block"), zero.alias("minor_block"), F.lit(None).cast("boolean").alias("asks"), one.alias("m")
     )
     large = rows.where(~small)
     as_member = large.select(
         "key", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("minor_blocks") - 1)).alias("minor_block"), F.lit(False).alias("asks"), one.alias("m"),
+        F.explode(F.sequence(zero, F.col("minor_blocks") - 1)).alias("minor_block"), F.lit(False).alias("asks"), one.alias("m"),
     )
     as_minor = large.where("minor").select(
-        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        "key", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("node", F.lit(1)), F.col("minor_blocks")).alias("minor_block"), F.lit(True).alias("asks"), one.alias("m"),
     )
     parts = as_small.unionByName(as_member).unionByName(as_minor)
     groups = parts.groupBy("key", "block", "minor_block").agg(F.collect_list(F.struct("asks", "m")).alias("ms"))
-    groups = groups.select(F.hash("key").alias("key"), "ms")
+    groups = groups.select(F.hash("key").alias("key"), F.concat_ws(":", "key", "block", "minor_block").alias("task"), "ms")
 
     def work(batches):
+        kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
         for batch in batches:
-            left, right = [], []
-            for key, ms in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for a, b in block_pairs(key, ms.as_py(), best_only):
-                    left.append(a)
-                    right.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            found = []
+            for i in range(batch.num_rows):
+                task = block_pairs(batch.column(0)[i].as_py(), batch.column(2)[i].as_py())
+                if task is not None:
+                    found.append((batch.column(1)[i].as_py(), *task))
+            columns = zip(*found, strict=True) if found else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in TASKS.split(", ")])
 
-    found = groups.mapInArrow(work, "a bigint, b bigint")
-    return found.distinct()
+    return groups.mapInArrow(work, TASKS)
 
 
-def block_pairs(key: int, ms: list[dict], best_only: bool):
-    """Pairs (asking node, answering node) of one block that reach the threshold across components.
+def block_pairs(key: int, ms: list[dict]):
+    """Nodes, their components, and the pairs of one block that reach the threshold across components.
 
-    A pair is reported in one of the lists it shares only: that of the smallest key in both prefixes.
+    A pair is taken in one of the lists it shares only: that of the smallest key in both
+    prefixes.  Pairs that agree most come first.
     """
     asking = [x["m"] for x in ms if x["m"]["minor"] and x["asks"] is not False]
     answering = [x["m"] for x in ms if not x["asks"]]
     if not asking or not answering:
-        return
+        return None
 
     def facts(side):
         sketches = np.frombuffer(b"".join(m["sketch"] for m in side), np.uint8).reshape(len(side), COORDINATES)
@@ -253,19 +270,67 @@ def block_pairs(key: int, ms: list[dict], best_only: bool):
     a_sketch, a_node, a_comp, a_size = facts(asking)
     b_sketch, b_node, b_comp, b_size = facts(answering)
     b_minor = np.array([m["minor"] for m in answering])
+    b_prefix = [set(m["prefix"]) for m in answering]
+    pairs = []
     for i, m in enumerate(asking):
         equal = (b_sketch == a_sketch[i]).sum(axis=1)
         low, high = np.minimum(b_size, a_size[i]), np.maximum(b_size, a_size[i])
-        good = (equal >= MATCHES) & (b_comp != a_comp[i]) & (100 * low >= PERCENT * high)
-        if not best_only:
-            good &= ~b_minor | (b_node > a_node[i])  # two minor members ask each other
-        at = np.nonzero(good)[0]
-        if best_only and len(at):
-            at = at[np.argmax(equal[at])][None]
-        mine = set(m["prefix"])
-        for j in at.tolist():
-            if best_only or min(mine.intersection(answering[j]["prefix"])) == key:
-                yield int(a_node[i]), int(b_node[j])
+        # Two minor members ask each other: the smaller one's question is enough.
+        good = (equal >= MATCHES) & (b_comp != a_comp[i]) & (100 * low >= PERCENT * high) & (~b_minor | (b_node > a_node[i]))
+        for j in np.nonzero(good)[0].tolist():
+            if min(b_prefix[j].intersection(m["prefix"])) == key:
+                pairs.append((-int(equal[j]), i, j))
+    if not pairs:
+        return None
+    pairs.sort()
+    place: dict[int, int] = {}
+    comps = []
+
+    def put(node, comp):
+        if node not in place:
+            place[node] = len(place)
+            comps.append(comp)
+        return place[node]
+
+    left = np.array([put(int(a_node[i]), int(a_comp[i])) for _, i, _ in pairs], np.uint32)
+    right = np.array([put(int(b_node[j]), int(b_comp[j])) for _, _, j in pairs], np.uint32)
+    return list(place), comps, left.tobytes(), right.tobytes()
+
+
+def confirm_blocks(tasks: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Links (a, b) among the pairs of each block, confirmed on the full sets.
+
+    A block's texts are brought together once.  Within a block, a pair is skipped if links found there
+    have connected its components already.
+    """
+    tasks = stage(tasks, "dup-tasks")
+    texts = texts_of(tasks.select(F.explode("nodes").alias("doc")), docs)
+    of_task = tasks.select(F.col("task").alias("of"), F.explode("nodes").alias("doc")).join(texts, "doc")
+    of_task = of_task.groupBy("of").agg(F.collect_list(F.struct("doc", "text")).alias("texts"))
+    joined = tasks.join(of_task, F.col("task") == F.col("of")).select("nodes", "comps", "left", "right", "texts")
+
+    def work(batches):
+        for batch in batches:
+            links = []
+            for i in range(batch.num_rows):
+                nodes, comps, left, right, texts = (c[i].as_py() for c in batch.columns)
+                text_of = {t["doc"]: t["text"] for t in texts}
+                sets = dict(zip(text_of, sets_of(list(text_of.values()), width), strict=True))
+                root = {c: c for c in comps}
+
+                def find(c, root=root):
+                    while root[c] != c:
+                        c = root[c]
+                    return c
+
+                for x, y in zip(np.frombuffer(left, np.uint32).tolist(), np.frombuffer(right, np.uint32).tolist(), strict=True):
+                    p, q = find(comps[x]), find(comps[y])
+                    if p != q and similar(sets[nodes[x]], sets[nodes[y]]):
+                        root[p] = q
+                        links.append((nodes[x], nodes[y]))
+            yield pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return joined.mapInArrow(work, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
@@ -280,10 +345,8 @@ def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
     posted = stage(postings(nodes), "dup-postings")
     links = stage(confirm(best_hubs(posted, nodes), docs, width), "dup-links")
     comps = stage(components(links), "dup-comps")
-    for best_only in (True, False):
-        more = confirm(crossing(posted, nodes, comps, best_only), docs, width)
-        links = stage(links.unionByName(more), "dup-links")
-        comps = stage(components(links), "dup-comps")
+    more = confirm_blocks(crossing(posted, nodes, comps), docs, width)
+    comps = stage(components(links.unionByName(more)), "dup-comps")
     of_set = sets.join(comps, sets["node"] == comps["node"], "left")
     of_set = of_set.select(F.col("digest").alias("of"), F.coalesce("component", sets["node"]).alias("least"))
     joined = rows.join(of_set, (rows["digest"] == of_set["of"]) & rows["doc_id"].isNotNull(), "left")

@@ -164,12 +164,11 @@ def judge_group(texts: list[str]) -> list[tuple]:
 
 
 def _judge(batches):
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-        for a, b in text_groups(texts, GROUP_CHARS):
-            columns = zip(*judge_group(texts[a:b]), strict=True)
-            arrays = [pa.array(ids[a:b], pa.int64()), *(pa.array(c) for c in columns)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
+        for a, b, texts in text_groups(batch.column(1), GROUP_CHARS):
+            columns = zip(*judge_group(texts), strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(c) for c in columns)], names=names)
 
 
 def judge_quality(docs: DataFrame) -> DataFrame:

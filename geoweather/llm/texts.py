@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -35,11 +36,15 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.array(lengths, np.int64)
 
 
-def text_groups(texts: list[str], chars_each: int):
-    """(first, end) of runs of texts with about that many characters, or one longer text."""
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text)
-        if chars >= chars_each or i + 1 == len(texts):
-            yield start, i + 1
-            start, chars = i + 1, 0
+def text_groups(column, chars_each: int):
+    """(first, end, texts) of runs of an Arrow string column with about that many bytes, or one longer text.
+
+    Only one run at a time is held as Python strings; null is the empty text.
+    """
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        size += n
+        if size >= chars_each or i + 1 == len(sizes):
+            yield start, i + 1, [t or "" for t in column.slice(start, i + 1 - start).to_pylist()]
+            start, size = i + 1, 0
