@@ -272,9 +272,13 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     """Train on the bounded sample of ``docs`` (doc_id, text, lang) that the module names."""
     by = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
     digest = F.md5(F.col("doc_id").cast("string"))
-    ranked = by.select("doc_id", "lang").withColumn(
-        "nth", F.row_number().over(Window.partitionBy("lang").orderBy(digest, "doc_id"))
-    )
+    # Digests are uniform: the smallest SAMPLE_DOCS of a language lie, but for chance, below four times
+    # their share, so only so many rows of a large language are ranked together.
+    sizes = by.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    place = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(1 << 48)
+    thinned = by.select("doc_id", "lang", place.alias("place")).join(sizes, F.col("lang") == F.col("of"))
+    thinned = thinned.where(F.col("place") * F.col("n") <= 4 * sample_docs)
+    ranked = thinned.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(digest, "doc_id")))
     picked = ranked.where(F.col("nth") <= sample_docs).select(F.col("doc_id").alias("picked")).distinct()
     ids = [r.picked for r in picked.limit(sample_docs * MAX_LANGUAGES + 1).collect()]
     if len(ids) > sample_docs * MAX_LANGUAGES:
