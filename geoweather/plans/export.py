@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from geoweather.operators.preview import filter_rows, partition_values
+from geoweather.operators.preview import filter_rows
 
 # Fixed value: rows per Parquet row group in exported files.
 ROWS_PER_ROW_GROUP = 200_000
@@ -41,8 +41,3 @@ def export_parquet(
         writer = writer.partitionBy(*cols)
     writer.parquet(path)
     return path
-
-
-def export_report(df: DataFrame, partition_by=("year", "month"), where: str | None = None) -> DataFrame:
-    """The partition combinations an export of ``df`` writes (sorted)."""
-    return partition_values(filter_rows(df, where), list(partition_by))
