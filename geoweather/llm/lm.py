@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from geoweather.llm.common import stage, table, text_or_empty
 from geoweather.llm.texts import MIX, scramble, text_groups, word_hashes
 
-ORDER = 2
+ORDER = 5
 BACKOFF = 0.4
-GROUP_CHARS = 6_000_000
-BUCKET_BYTES = 8 << 20  # of text per bucket
+GROUP_CHARS = 2_400_000
+BUCKET_BYTES = 16 << 20  # of text per bucket, counted once for each order
 EMPTY = np.uint64(0x5DEECE66D)  # hash of the n-gram of no words
 
 ASKS = "bucket bigint, id string, hashes binary, counts binary"
@@ -194,7 +194,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, chars: int = GROUP_CHAR
     """Stupid-backoff scores (columns of SCORES) of each row of ``docs`` by the counts of all other rows."""
     docs = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, int(size // BUCKET_BYTES).bit_length())
+    bits = max(0, int(size * order // BUCKET_BYTES).bit_length())
     told = stage(answers(asks(docs, order, bits, chars)), "lm-answers")
     told = told.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("told"))
     groups = packed_groups(docs, chars).join(told, "id")

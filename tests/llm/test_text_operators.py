@@ -195,6 +195,15 @@ def test_scores_match_plain_counts(spark, order, chars):
         assert got[r.doc_id].n_words == n and got[r.doc_id].log_score == pytest.approx(total, rel=1e-9)
 
 
+def test_score_query_uses_long_contexts(spark, tmp_path):
+    texts = ["a b c d e", "a b c d e", "x b c d f", "y z c d g", "q q q d h"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.log_score for r in lm.query(spark, str(tmp_path)).collect()}
+    for n, (_, total) in enumerate(plain_scores(texts, 5)):
+        assert got[n] == pytest.approx(total, rel=1e-9)
+
+
 def test_score_edges(spark):
     got = lm.score_documents(awkward(spark, "bucket n_words id"), chars=50).collect()
     assert len(got) == len(AWKWARD) and all(r.mean_score is None and r.log_score == 0 for r in got if r.n_words == 0)
