@@ -235,6 +235,22 @@ def test_nearest_neighbour_edges(spark):
     assert ann.nearest_neighbours(few, few).count() == 6
 
 
+def test_nearest_neighbours_grow_with_the_table(spark, monkeypatch):
+    small = {"K": 4, "BEAM": 12, "EXPAND": 6, "BLOCK": 20, "BASE_NODES": 50}
+    for name, value in small.items():
+        monkeypatch.setattr(ann, name, value, raising=False)
+    x = np.random.default_rng(2).normal(size=(3000, 32))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = defaultdict(set)
+    for r in ann.nearest_neighbours(df, df.where("vec_id % 100 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, 3000, 100):
+        order = np.argsort(((x - x[q]) ** 2).sum(axis=1))
+        hits += len(got[q] & set(order[1:11].tolist()))
+    assert hits / 300 >= 0.9
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language id", "near duplicates", "pii", "mix sources", "byte bpe"]
