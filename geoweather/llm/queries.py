@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoweather.llm import ann, bpe, langid, lm, mixing, neardup, pii, quality, urlfilter, warc
+from geoweather.llm import ann, bpe, langid, lexsearch, lm, mixing, neardup, pii, prefixtrie, quality, toxicity, urlfilter, warc
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_near_duplicates": neardup.query,
     "op9_nearest_neighbours": ann.query,
     "op10_language_id": langid.query,
+    "op11_prefix_trie": prefixtrie.query,
+    "op12_lexical_search": lexsearch.query,
+    "op13_toxicity": toxicity.query,
 }
 
 ORACLE_SQL = {
     "op5_url_filter": urlfilter.ORACLE_SQL,
     "op6_mix_sources": mixing.ORACLE_SQL,
+    "op11_prefix_trie": prefixtrie.ORACLE_SQL,
+    "op12_lexical_search": lexsearch.ORACLE_SQL,
 }
