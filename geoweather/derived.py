@@ -286,3 +286,64 @@ def dly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.coalesce(F.col(f"d{d}"), missing) for d in range(1, 32)],
     )
     return months.select(line.alias("value"))
+
+
+def observation_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The observations in two parts, as if the second had arrived late."""
+    o = observations(spark, sf_dir, with_key=True)
+    late = F.col("event_id") % 3 == 0
+    return o.where(~late).drop("event_id"), o.where(late).drop("event_id")
+
+
+def published_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an inventory published earlier was made of: fewer readings, and some stations a year earlier."""
+    o = observations(spark, sf_dir, with_key=True)
+    early = F.when(F.col("id").endswith("7"), F.add_months("date", -12)).otherwise(F.col("date"))
+    return o.where((F.col("event_id") % 23 != 0) & ~F.col("id").endswith("9")).withColumn("date", early).drop("event_id")
+
+
+def file_listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two listings of yearly files in one folder a customer group: some new, gone, longer or only touched in the second."""
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"), (F.col("o_custkey") % 40).alias("c"), "o_orderkey", "o_orderdate")
+    g = o.groupBy("y", "c").agg(F.sum("o_orderkey").alias("length"), F.max("o_orderdate").cast("timestamp").alias("modified"))
+    name = F.concat(_s(F.col("y")), F.lit(".csv.gz"))
+    g = g.select("c", F.concat(F.lit("/in/"), _s(F.col("c")), F.lit("/"), name).alias("path"), name.alias("name"), "length", "modified")
+    later = g.withColumn("length", F.col("length") + F.when(F.col("c") % 3 == 0, F.lit(1)).otherwise(F.lit(0)))
+    later = later.withColumn("modified", F.when(F.col("c") % 4 == 0, F.col("modified") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("modified")))
+    return g.where("c % 5 <> 1").drop("c"), later.where("c % 7 <> 2").drop("c")
+
+
+def earlier_zipcode_points(zips: DataFrame) -> DataFrame:
+    """ZIP points of before: some missing, some elsewhere, and some since given up."""
+    tail = F.substring("zipcode", 4, 2)
+    moved = F.when(tail == "33", F.col("zipcode_latitude") + 0.5).otherwise(F.col("zipcode_latitude"))
+    gone = zips.where(tail == "11").withColumn("zipcode", F.concat(F.lit("X"), F.col("zipcode")))
+    return zips.where(tail != "07").withColumn("zipcode_latitude", moved).unionByName(gone)
+
+
+def earlier_station_points(stations: DataFrame) -> DataFrame:
+    """Station points of before: some missing, some elsewhere, and some since closed."""
+    tail = F.substring("station_id", 11, 1)
+    moved = F.when(tail == "3", F.col("station_longitude") - 0.75).otherwise(F.col("station_longitude"))
+    closed = stations.where(tail == "5").withColumn("station_id", F.concat(F.lit("OLD"), F.col("station_id")))
+    return stations.where(tail != "8").withColumn("station_longitude", moved).unionByName(closed)
+
+
+def globe_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """ZIP and station points over the whole globe, from pole to pole and up to the 180th meridian."""
+
+    def coordinate(key: str, factor: int, span: int) -> Column:
+        return ((F.col(key) * factor) % (span * 100 + 1)).cast("double") / F.lit(100.0) - F.lit(span / 2.0)
+
+    z = table(spark, sf_dir, "customer").select(
+        F.format_string("%05d", "c_custkey").alias("zipcode"),
+        coordinate("c_custkey", 7919, 180).alias("zipcode_latitude"),
+        coordinate("c_custkey", 104729, 360).alias("zipcode_longitude"),
+    )
+    s = table(spark, sf_dir, "supplier").select(
+        F.format_string("US%09d", "s_suppkey").alias("station_id"),
+        F.col("s_name").alias("station_name"),
+        coordinate("s_suppkey", 7907, 180).alias("station_latitude"),
+        coordinate("s_suppkey", 104723, 360).alias("station_longitude"),
+    )
+    return z, s

@@ -64,24 +64,24 @@ def station_points(stations: DataFrame) -> DataFrame:
     )
 
 
-def _cell_salts(zips: DataFrame, stations: DataFrame, pairs_per_task: int) -> DataFrame:
+def cell_salts(zips: DataFrame, stations: DataFrame, pairs_per_task: int, cell=("cy", "cx")) -> DataFrame:
     """Per grid cell with both ZIPs and station copies: how many salts each side gets.
 
     tasks = ceil(zips * stations / pairs_per_task) is split between the sides in
     proportion to their sizes, so the copies made by salting stay small.
     """
-    n_zip = zips.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("n_zip"))
-    n_stn = stations.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("n_stn"))
-    cells = n_zip.join(n_stn, ["cy", "cx"])
+    n_zip = zips.groupBy(*cell).agg(F.count(F.lit(1)).alias("n_zip"))
+    n_stn = stations.groupBy(*cell).agg(F.count(F.lit(1)).alias("n_stn"))
+    cells = n_zip.join(n_stn, list(cell))
     tasks = F.greatest(F.lit(1.0), F.ceil(F.col("n_zip") * F.col("n_stn") / F.lit(float(pairs_per_task))))
     zip_salts = F.least(
         F.col("n_zip"), F.greatest(F.lit(1), F.ceil(F.sqrt(tasks * F.col("n_zip") / F.col("n_stn"))))
     ).cast("int")
-    cells = cells.select("cy", "cx", tasks.alias("tasks"), zip_salts.alias("zip_salts"), "n_stn")
+    cells = cells.select(*cell, tasks.alias("tasks"), zip_salts.alias("zip_salts"), "n_stn")
     stn_salts = F.least(
         F.col("n_stn"), F.greatest(F.lit(1), F.ceil(F.col("tasks") / F.col("zip_salts")))
     ).cast("int")
-    return cells.select("cy", "cx", "zip_salts", stn_salts.alias("stn_salts"))
+    return cells.select(*cell, "zip_salts", stn_salts.alias("stn_salts"))
 
 
 def nearest_stations(
@@ -203,7 +203,7 @@ def _search(
         )
     )
 
-    salts = F.broadcast(_cell_salts(z, s, pairs_per_task))
+    salts = F.broadcast(cell_salts(z, s, pairs_per_task))
     z_keyed = z.join(salts, ["cy", "cx"]).select(
         "*",
         F.pmod(F.xxhash64("zipcode"), F.col("zip_salts")).cast("int").alias("zsalt"),

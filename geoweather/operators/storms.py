@@ -103,7 +103,7 @@ def typed_storms(raw: DataFrame, splits: int | None = None) -> DataFrame:
     return step3.select(*[F.col(f.name) for f in STORM_EVENTS.fields], "reject_reasons", "time_issues", *kept)
 
 
-def normalise_storms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def normalise_storms(raw: DataFrame, splits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, issues).
 
     ``rows``: loadable rows in the ``storm_events`` schema (invalid times are NULL).
@@ -111,7 +111,7 @@ def normalise_storms(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both come from one typed projection; callers that write both should stage it
     once (see ``plans.tables.ingest_storms``).
     """
-    typed = typed_storms(raw)
+    typed = typed_storms(raw, splits)
     rows = filter_on_output(typed, F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
     return rows, storm_issues(typed)
 

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geoweather.operators.coverage import coverage
-from geoweather.operators.metrics import MAX_BROADCAST_LINKS, daily_metrics, near_links
+from geoweather.operators.link_refresh import refresh_links
+from geoweather.operators.metrics import MAX_BROADCAST_LINKS, daily_metrics, in_date_range, near_links
+from geoweather.operators.moments import merge_moments, metrics_from_moments, station_day_moments
 from geoweather.operators.nearest import (
     first_pass,
     link_zipcodes_to_stations,
@@ -28,15 +30,23 @@ from geoweather.operators.nearest import (
 from geoweather.operators.preview import filter_rows, preview
 from geoweather.operators.stations import pick_by_source_priority
 from geoweather.operators.storms import typed_storms
-from geoweather.plans import tables
+from geoweather.plans import tables, versions
 from geoweather.plans.export import export_parquet
 from geoweather.plans.storm_refresh import NO_YEAR, refresh_storms
 from geoweather.schemas import OBSERVATIONS, STATIONS, STORM_EVENTS, ZIPCODES, conform
 from geoweather.session import get_session
 from geoweather.sources.gazetteer import read_zipcodes
 from geoweather.sources.ghcn_files import parse_dly_lines, read_inventory
-from geoweather.sources.listing import list_observation_files, list_storm_files, readable_paths, selected_paths
+from geoweather.sources.listing import (
+    OBSERVATION_GLOB,
+    annotate_observation_files,
+    list_observation_files,
+    list_storm_files,
+    readable_paths,
+    selected_paths,
+)
 from geoweather.sources.observations import read_observations, read_typed_observations
+from geoweather.sources.snapshots import listing_changes, listing_snapshot, next_snapshot
 from geoweather.sources.stations import read_stations
 from geoweather.sources.storms import read_storm_files
 from geoweather.streaming.storm_files import start_storm_ingest
@@ -96,7 +106,12 @@ def ingest_observations(
     paths = selected_paths(listing)
     if not paths:
         return {"watermark_year": watermark, "files": 0, "rows_loaded": 0}
-    years = _file_years(listing, paths)
+    counts, failed = _load_observation_years(spark, paths, _file_years(listing, paths), target, rejects_target)
+    return {"watermark_year": watermark, "files": len(paths) - len(failed), "files_failed": [os.path.basename(p) for p in failed], **counts}
+
+
+def _load_observation_years(spark: SparkSession, paths, years, target: str, rejects_target: str | None) -> tuple[dict, list[str]]:
+    """Replace the years of readable files; (counts, damaged files)."""
     with _staged_readable(spark, paths, lambda p: read_typed_observations(spark, p), "obs-typed") as (typed, failed):
         counts = {"rows_loaded": 0}
         loaded = {y for p, y in years.items() if p not in failed and y is not None}
@@ -109,7 +124,32 @@ def ingest_observations(
                 rejects = typed.where(~good).drop("bad").withColumn("file_year", F.coalesce("file_year", F.lit(NO_YEAR)))
                 rejected = tables.replace_years(spark, rejects, rejects_target, "file_year", {*loaded, NO_YEAR})
                 counts["rows_rejected"] = rejected["rows_loaded"]
-    return {"watermark_year": watermark, "files": len(paths) - len(failed), "files_failed": [os.path.basename(p) for p in failed], **counts}
+    return counts, failed
+
+
+def refresh_observations(
+    spark: SparkSession, source_folder: str, target: str, snapshot: str, since_year: int | None = None, rejects_target: str | None = None
+) -> dict:
+    """Reload exactly the years whose files are new or rewritten since the last run, however old they are.
+
+    ``snapshot`` keeps the listing of what was loaded, as versions.  The new listing is taken before any file is
+    read and stored after the load: a run that stops in between, or a file rewritten meanwhile, is
+    loaded again next time.  A damaged file leaves its year as it is and is tried again; a file that is gone is
+    reported and its rows stay.
+    """
+    before = versions.read_version(spark, snapshot)
+    with tables.stage(spark, listing_snapshot(spark, source_folder, OBSERVATION_GLOB), "listing") as now:
+        changes = annotate_observation_files(listing_changes(before, now), since_year)
+        # One row for each source file that changed.
+        found = changes.where("selected AND change <> 'same'").select("path", "file_year", "change", "reload").collect()
+        years = {r.path: r.file_year for r in found if r.reload and r.file_year is not None}
+        counts, failed = {"rows_loaded": 0}, []
+        if years:
+            counts, failed = _load_observation_years(spark, sorted(years), years, target, rejects_target)
+        versions.write_version(next_snapshot(before, now, failed), snapshot)
+    gone = sorted(os.path.basename(r.path) for r in found if r.change == "removed")
+    failed_names = [os.path.basename(p) for p in failed]
+    return {"files": len(years) - len(failed), "years": sorted({y for p, y in years.items() if p not in failed}), "files_failed": failed_names, "files_gone": gone, **counts}
 
 
 def ingest_storms(
@@ -198,20 +238,68 @@ def compute_daily_metrics(
     min_date=None,
     max_date=None,
     max_miles: float = 20.0,
+    moments_path: str | None = None,
 ) -> dict:
-    """Recompute [min_date, max_date] of ``zipcode_daily_metrics`` and report coverage."""
-    obs = tables.require_table(spark, observations_path, "observations")
+    """Recompute [min_date, max_date] of ``zipcode_daily_metrics`` and report coverage.
+
+    With ``moments_path`` the rows come from that table of station-day moments and the observations are not read.
+    """
     links = tables.require_table(spark, links_path, "zipcode_stations")
     max_date = dt.date.fromisoformat(str(max_date)) if max_date else dt.date.today()
     min_date = dt.date.fromisoformat(str(min_date)) if min_date else tables.resume_from(spark, target)
     near = near_links(links, max_miles)
     few = near.count() <= MAX_BROADCAST_LINKS  # the stored links: a count reads statistics and one column
-    rows = daily_metrics(obs, links, min_date, max_date, max_miles=max_miles, broadcast_links=few)
+    if moments_path:
+        moments = tables.require_table(spark, moments_path, "station-day moments")
+        rows = metrics_from_moments(moments, F.broadcast(near) if few else near, min_date, max_date, max_miles)
+    else:
+        obs = tables.require_table(spark, observations_path, "observations")
+        rows = daily_metrics(obs, links, min_date, max_date, max_miles=max_miles, broadcast_links=few)
     counts = tables.replace_date_range(spark, rows, target, min_date, max_date)
     cov = [r.asDict() for r in coverage(spark.read.parquet(target)).collect()]
     return {"min_date": str(min_date), "max_date": str(max_date), **counts, "coverage": cov}
 
 
+def _by_month(moments: DataFrame) -> DataFrame:
+    return moments.select("*", F.year("date").alias("year"), F.month("date").alias("month"))
+
+
+def refresh_moments(spark: SparkSession, observations_path: str, target: str, min_date, max_date) -> dict:
+    """Recompute the station-day moments of [min_date, max_date] from the observations."""
+    obs = in_date_range(tables.require_table(spark, observations_path, "observations"), min_date, max_date)
+    return tables.replace_date_range(spark, _by_month(station_day_moments(obs)), target, min_date, max_date)
+
+
+def backfill_moments(spark: SparkSession, late_rows: DataFrame, target: str) -> dict:
+    """Add late observations to the stored moments; only the months they touch are read and rewritten.
+
+    Adding is not idempotent: each batch of late rows may be passed once.
+    """
+    columns = ["id", "date", "element", "readings", "valued", "total", "squares", "year", "month"]
+    fresh = _by_month(station_day_moments(late_rows.where("date IS NOT NULL"))).select(*columns)
+    with tables.stage(spark, fresh, "moments-late") as late:
+        # At most one row a month of the batch.
+        months = [(r.year, r.month) for r in late.select("year", "month").distinct().collect()]
+        stored = tables.read_table(spark, target)
+        parts = [late]
+        if stored is not None and months:
+            touched = (F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months])
+            parts.append(stored.where(touched).select(*columns))
+        with tables.stage(spark, _by_month(merge_moments(*parts)), "moments-merged") as merged:
+            if months:
+                tables.overwrite_partitions(merged, target, ["year", "month"])
+    return {"months": len(months)}
+
+
+def relink_stations(spark: SparkSession, links_path: str, zips: tuple[str, str], stations: tuple[str, str], k: int = 20, **kwargs) -> dict:
+    """Refresh the stored links after stations or ZIPs have changed; (before, after) paths of both tables."""
+    links = tables.require_table(spark, links_path, "zipcode_stations")
+    z = tuple(zipcode_points(tables.require_table(spark, p, "zipcodes")) for p in zips)
+    s = tuple(station_points(tables.require_table(spark, p, "stations")) for p in stations)
+    with tables.stage(spark, refresh_links(links, z, s, k=k, **kwargs), "links-refreshed") as fresh:
+        return {"rows": _write_full(fresh, links_path)}
+
+
 def export_table(spark: SparkSession, source: str, dest: str, partition_by=("year", "month"), where=None) -> dict:
     df = tables.require_table(spark, source, "export source")
     rows = filter_rows(df, where)
@@ -230,6 +318,13 @@ def main(argv=None) -> None:
     a = sub.add_parser("load-zipcodes"); a.add_argument("source"); a.add_argument("target")
     a = sub.add_parser("ingest-observations"); a.add_argument("source"); a.add_argument("target")
     a.add_argument("--since-year", type=int); a.add_argument("--rejects")
+    a = sub.add_parser("refresh-observations"); a.add_argument("source"); a.add_argument("target"); a.add_argument("snapshot")
+    a.add_argument("--since-year", type=int); a.add_argument("--rejects")
+    a = sub.add_parser("station-moments"); a.add_argument("observations"); a.add_argument("target")
+    a.add_argument("--min-date", required=True); a.add_argument("--max-date", required=True)
+    a = sub.add_parser("relink-stations"); a.add_argument("links"); a.add_argument("--num-stations", type=int, default=20)
+    for kind in ("zipcodes", "stations"):
+        a.add_argument(f"--{kind}", nargs=2, required=True, metavar=("BEFORE", "AFTER"))
     a = sub.add_parser("append-observations"); a.add_argument("source"); a.add_argument("target")
     a = sub.add_parser("load-dly"); a.add_argument("source"); a.add_argument("target"); a.add_argument("--pick", action="store_true")
     a = sub.add_parser("load-inventory"); a.add_argument("source"); a.add_argument("target")
@@ -241,6 +336,7 @@ def main(argv=None) -> None:
     a.add_argument("--num-stations", type=int, default=20)
     a = sub.add_parser("daily-metrics"); a.add_argument("observations"); a.add_argument("links"); a.add_argument("target")
     a.add_argument("--min-date"); a.add_argument("--max-date"); a.add_argument("--max-distance-miles", type=float, default=20.0)
+    a.add_argument("--moments")
     a = sub.add_parser("export"); a.add_argument("source"); a.add_argument("dest")
     a.add_argument("--partition-col", default="year, month"); a.add_argument("--where")
     args = p.parse_args(argv)
@@ -252,6 +348,12 @@ def main(argv=None) -> None:
         out = load_zipcodes(spark, args.source, args.target)
     elif args.job == "ingest-observations":
         out = ingest_observations(spark, args.source, args.target, args.since_year, args.rejects)
+    elif args.job == "refresh-observations":
+        out = refresh_observations(spark, args.source, args.target, args.snapshot, args.since_year, args.rejects)
+    elif args.job == "station-moments":
+        out = refresh_moments(spark, args.observations, args.target, args.min_date, args.max_date)
+    elif args.job == "relink-stations":
+        out = relink_stations(spark, args.links, tuple(args.zipcodes), tuple(args.stations), k=args.num_stations)
     elif args.job == "append-observations":
         out = append_observations(spark, args.source, args.target)
     elif args.job == "load-dly":
@@ -267,7 +369,7 @@ def main(argv=None) -> None:
         out = link_stations(spark, args.zipcodes, args.stations, args.target, k=args.num_stations)
     elif args.job == "daily-metrics":
         out = compute_daily_metrics(spark, args.observations, args.links, args.target, args.min_date, args.max_date,
-                                    args.max_distance_miles)
+                                    args.max_distance_miles, args.moments)
     else:
         cols = tuple(c.strip() for c in args.partition_col.split(",") if c.strip())
         out = export_table(spark, args.source, args.dest, cols, args.where)

@@ -17,8 +17,10 @@ from geoweather.functions.casts import round_half_even_to_long, text_to_long
 from geoweather.functions.damage import damage_to_dollars
 from geoweather.functions.geo import haversine_miles
 from geoweather.functions.timeparts import parts_to_timestamp
+from geoweather.operators.compare import reconcile_inventory
 from geoweather.operators.coverage import coverage
 from geoweather.operators.dictionaries import decode_flags, flag_summary
+from geoweather.operators.link_refresh import refresh_links
 from geoweather.operators.metrics import (
     daily_metrics,
     element_stats_long,
@@ -28,21 +30,24 @@ from geoweather.operators.metrics import (
     readings,
     zip_date_spine,
 )
-from geoweather.operators.nearest import first_pass, link_zipcodes_to_stations, second_pass, station_points, zipcode_points
+from geoweather.operators.moments import merge_moments, metrics_from_moments, station_day_moments
+from geoweather.operators.nearest import first_pass, link_zipcodes_to_stations, nearest_stations, second_pass, station_points, zipcode_points
 from geoweather.operators.preview import filter_rows, partition_values, preview
 from geoweather.operators.replace import refresh_audit, replace_date_range, replace_newest_year
+from geoweather.operators.sphere import nearest_stations_on_sphere
 from geoweather.operators.stations import element_inventory, name_station_codes, pick_by_source_priority, station_codes
 from geoweather.operators.storms import normalise_storms
 from geoweather.plans.export import export_parquet
 from geoweather.schemas import CORE_ELEMENTS
 from geoweather.plans.tables import replace_date_range as refresh_range
-from geoweather.plans.tables import replace_years
+from geoweather.plans.tables import replace_years, resume_from
 from geoweather.session import scratch_path
 from geoweather.sources.gazetteer import parse_zipcode_lines
 from geoweather.sources.ghcn_files import parse_dly_lines, parse_inventory_lines
 from geoweather.sources.lake import lake_view
-from geoweather.sources.listing import annotate_observation_files, annotate_storm_files, list_files
+from geoweather.sources.listing import annotate_observation_files, annotate_storm_files, input_splits, list_files
 from geoweather.sources.observations import parse_observation_lines
+from geoweather.sources.snapshots import listing_changes
 from geoweather.sources.stations import parse_station_lines
 from geoweather.sources.storms import CORRUPT, read_storm_files
 
@@ -59,6 +64,7 @@ SINCE_YEAR = 1997
 EXPORT_WHERE = "EVENT_TYPE = 'Hail' OR STATE = '1-URGENT'"
 EXPORT_YEAR = 1996
 RELOADED_YEARS = (1994, 1996)
+SPHERE_MILES, SPHERE_K = 700.0, 10
 TABLE_RANGE = ("1995-03-10", "1995-06-20")
 METRIC_COLS = [c for e in CORE_ELEMENTS for c in (e.lower(), f"{e.lower()}_count", f"{e.lower()}_stddev")]
 
@@ -102,11 +108,15 @@ def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=ME
 
 def storms(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised storm rows; only the columns a query uses are typed."""
-    raw = derived.storm_raw(spark, sf)
-    rows, _ = normalise_storms(raw)
+    rows, _ = normalise_storms(derived.storm_raw(spark, sf), storm_splits(spark, sf))
     return rows
 
 
+def storm_splits(spark: SparkSession, sf: str) -> int:
+    """Splits of the scan behind the storm stand-in; few of them are spread over the cores before typing."""
+    return input_splits(spark, f"{sf}/orders.parquet")
+
+
 def storm_table(spark: SparkSession, sf: str) -> DataFrame:
     """Storm rows with lake partition columns year/month."""
     s = storms(spark, sf)
@@ -359,7 +369,7 @@ def q_storm_normalise(spark, sf):
 
 
 def q_storm_issues(spark, sf):
-    _, issues = normalise_storms(derived.storm_raw(spark, sf))
+    _, issues = normalise_storms(derived.storm_raw(spark, sf), storm_splits(spark, sf))
     return issues
 
 
@@ -387,6 +397,53 @@ def q_station_codes(spark, sf):
     return station_codes(derived.stations(spark, sf)).select("id", "country_code", "network_code")
 
 
+def q_listing_changes(spark, sf):
+    """Observation files that a refresh reloads, by comparing two listings."""
+    found = annotate_observation_files(listing_changes(*derived.file_listings(spark, sf)), SINCE_YEAR - 3)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("before_modified", "after_modified")})
+
+
+def q_station_day_moments(spark, sf):
+    """Moments of all observations, merged from those of two halves."""
+    return merge_moments(*(station_day_moments(o) for o in derived.observation_halves(spark, sf)))
+
+
+def q_daily_metrics_merged(spark, sf):
+    """Daily metrics from the stored moments of two halves of the observations."""
+    halves = [stored(station_day_moments(o), "moments") for o in derived.observation_halves(spark, sf)]
+    moments = stored(merge_moments(*halves), "moments-merged")
+    return _rounded_metrics(metrics_from_moments(moments, links(spark, sf), MIN_DATE, MAX_DATE, METRIC_MAX_MILES))
+
+
+def q_links_refreshed(spark, sf):
+    """The links after stations and ZIPs were added, moved and removed, refreshed from those of before."""
+    zips, stns = zipcode_points(derived.zipcodes(spark, sf)), station_points(derived.stations(spark, sf))
+    old_zips, old_stns = derived.earlier_zipcode_points(zips), derived.earlier_station_points(stns)
+    first = nearest_stations(old_zips, old_stns, K_NEAREST, LINK_MAX_MILES, BOX_DEG)
+    fresh = refresh_links(stored(first, "links-before"), (old_zips, zips), (old_stns, stns), K_NEAREST, LINK_MAX_MILES, BOX_DEG)
+    return fresh.withColumn("distance_miles", r6("distance_miles"))
+
+
+def q_nearest_on_sphere(spark, sf):
+    """Nearest stations of points spread over the whole globe, the poles and the 180th meridian included."""
+    zips, stns = derived.globe_points(spark, sf)
+    return nearest_stations_on_sphere(zips, stns, SPHERE_K, SPHERE_MILES).withColumn("distance_miles", r6("distance_miles"))
+
+
+def q_inventory_reconciled(spark, sf):
+    """An inventory published earlier against the recomputed one."""
+    obs, stns = derived.observations(spark, sf), derived.stations(spark, sf)
+    published = element_inventory(derived.published_observations(spark, sf), stns)
+    return reconcile_inventory(published, element_inventory(obs, stns))
+
+
+def q_resume_from_table(spark, sf):
+    """Where an incremental run over the stored daily metrics starts: only the newest month's folder is read."""
+    path = scratch_path(spark, "metrics-table")
+    metrics(spark, sf).write.partitionBy("year", "month").parquet(path)
+    return spark.createDataFrame([(resume_from(spark, path),)], "resume_date date")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "haversine_pairs": q_haversine_pairs,
     "nearest_k_stations": q_nearest_k_stations,
@@ -429,4 +486,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_codes": q_station_codes,
     "flag_summary": q_flag_summary,
     "flag_decode": q_flag_decode,
+    "listing_changes": q_listing_changes,
+    "station_day_moments": q_station_day_moments,
+    "daily_metrics_merged": q_daily_metrics_merged,
+    "links_refreshed": q_links_refreshed,
+    "nearest_on_sphere": q_nearest_on_sphere,
+    "inventory_reconciled": q_inventory_reconciled,
+    "resume_from_table": q_resume_from_table,
 }

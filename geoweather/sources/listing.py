@@ -24,6 +24,14 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return files.select("path", base_name("path").alias("name"), "length").orderBy("name")
 
 
+def input_splits(spark: SparkSession, path: str) -> int:
+    """About how many splits a scan of the files at ``path`` has (their bytes over the split size; no file is read)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    length = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return -(-length // size)
+
+
 def annotate_observation_files(listing: DataFrame, since_year=None, watermark_year=None) -> DataFrame:
     """Adds ``file_year`` and ``selected``: year >= since_year and year >= watermark_year."""
     y = yearly_file_year(F.col("name"))
