@@ -614,6 +614,20 @@ def _inventory_reconciled() -> str:
     )
 
 
+def _load_audit() -> str:
+    """Rows loaded, and left out for their year, by two refreshes; the second loads one year."""
+    fig = "SELECT {n} AS run_no, '{f}' AS figure, count(*) FILTER (WHERE {c}) AS amount FROM orders WHERE o_orderstatus = '{s}'"
+    runs = []
+    for n, status, years in ((1, "F", "1994, 1996"), (2, "O", "1996")):
+        inside = f"year(o_orderdate) IN ({years})"
+        runs += [fig.format(n=n, f="rows_loaded", c=inside, s=status), fig.format(n=n, f="rows_other_years", c=f"NOT {inside}", s=status)]
+    return (
+        f"WITH runs AS ({' UNION ALL '.join(runs)})\n"
+        "SELECT 'refresh' AS job, 'orders' AS target, CAST(a.run_no AS INTEGER) AS run_no, 'done' AS outcome, a.figure, a.amount, "
+        "a.amount - b.amount AS change FROM runs a LEFT JOIN runs b ON b.figure = a.figure AND b.run_no = a.run_no - 1"
+    )
+
+
 ORACLE_SQL |= {
     "listing_changes": _listing_changes(),
     "station_day_moments": _station_day_moments(),
@@ -622,4 +636,12 @@ ORACLE_SQL |= {
     "nearest_on_sphere": _nearest_on_sphere(),
     "inventory_reconciled": _inventory_reconciled(),
     "resume_from_table": ORACLE_SQL["resume_date"],
+    "clustered_export": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders "
+    "WHERE o_custkey BETWEEN 100 AND 120",
+    "named_table": "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, max(o_orderkey) AS newest FROM orders GROUP BY 1",
+    "described_table": "SELECT CAST(position AS INTEGER) AS position, col_name, data_type, position = 4 AS is_partition FROM "
+    "(VALUES (1, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'bigint'), (3, 'o_totalprice', 'double'), (4, 'year', 'int')) "
+    "t(position, col_name, data_type)",
+    "footer_extremes": "SELECT count(*) AS orders, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, max(o_custkey) AS last_customer FROM orders",
+    "load_audit": _load_audit(),
 }

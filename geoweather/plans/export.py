@@ -17,6 +17,7 @@ def export_parquet(
     where: str | None = None,
     rows_per_group: int = ROWS_PER_ROW_GROUP,
     max_records_per_file: int | None = None,
+    cluster_by=(),
 ) -> str:
     """Write ``df`` (optionally filtered by a SQL predicate) under ``path``.
 
@@ -24,12 +25,16 @@ def export_parquet(
     partitions present in the data are replaced (dynamic overwrite); other
     partitions already in the lake are kept.  A rebalance on the partition
     columns gives each partition few, large files while AQE splits a partition
-    that holds a large share of the rows across several tasks.  Object-store
-    credentials come from the session's Hadoop configuration, never from here.
+    that holds a large share of the rows across several tasks.  With ``cluster_by`` rows are
+    range-partitioned by bounds sampled from the data and sorted, so that files and row groups hold narrow
+    ranges of these columns and readers skip most of them.  Object-store credentials come from the session's Hadoop configuration, never from here.
     """
     rows = filter_rows(df, where)
     cols = [c for c in (partition_by or ()) if c]
-    writer_df = rows.hint("rebalance", *cols) if cols else rows
+    if cluster_by:
+        writer_df = rows.repartitionByRange(*cols, *cluster_by).sortWithinPartitions(*cols, *cluster_by)
+    else:
+        writer_df = rows.hint("rebalance", *cols) if cols else rows
     writer = (
         writer_df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -32,6 +32,7 @@ from geoweather.operators.stations import pick_by_source_priority
 from geoweather.operators.storms import typed_storms
 from geoweather.plans import tables, versions
 from geoweather.plans.export import export_parquet
+from geoweather.plans.footers import from_footers
 from geoweather.plans.storm_refresh import NO_YEAR, refresh_storms
 from geoweather.schemas import OBSERVATIONS, STATIONS, STORM_EVENTS, ZIPCODES, conform
 from geoweather.session import get_session
@@ -42,6 +43,7 @@ from geoweather.sources.listing import (
     annotate_observation_files,
     list_observation_files,
     list_storm_files,
+    looks_damaged,
     readable_paths,
     selected_paths,
 )
@@ -77,13 +79,15 @@ def _file_years(listing: DataFrame, paths) -> dict[str, int | None]:
 def _staged_readable(spark: SparkSession, paths, make, name: str):
     """``make(paths)`` staged, and the files left out because they are damaged.
 
-    Files are only read one by one after the read of all of them has failed.
+    Damaged files are looked for only after the read of all files has failed with a sign of one.
     """
     failed: list[str] = []
     with ExitStack() as stack:
         try:
             staged = stack.enter_context(tables.stage(spark, make(paths), name))
-        except Exception:
+        except Exception as err:
+            if not looks_damaged(err):
+                raise
             paths, failed = readable_paths(spark, paths)
             if not failed:
                 raise
@@ -102,6 +106,7 @@ def ingest_observations(
     and rows of another year than their file's go to ``rejects_target``; a damaged file leaves its year as it is.
     """
     watermark = tables.newest_partition(spark, target, "year")
+    watermark = min([watermark, *tables.pending_years(spark, target)]) if watermark is not None else None
     listing = list_observation_files(spark, source_folder, since_year, watermark)
     paths = selected_paths(listing)
     if not paths:
@@ -144,6 +149,10 @@ def refresh_observations(
         found = changes.where("selected AND change <> 'same'").select("path", "file_year", "change", "reload").collect()
         years = {r.path: r.file_year for r in found if r.reload and r.file_year is not None}
         counts, failed = {"rows_loaded": 0}, []
+        # Years of a refresh that stopped half-way are loaded again, whatever the listing says.
+        pending = set(tables.pending_years(spark, target))
+        again = annotate_observation_files(now, since_year).where("selected").select("path", "file_year").collect() if pending else []
+        years |= {r.path: r.file_year for r in again if r.file_year in pending}
         if years:
             counts, failed = _load_observation_years(spark, sorted(years), years, target, rejects_target)
         versions.write_version(next_snapshot(before, now, failed), snapshot)
@@ -164,10 +173,10 @@ def ingest_storms(
     watermark = None
     newest_year = tables.newest_partition(spark, target, "YEAR")
     if newest_year is not None:
-        # only the newest YEAR partition is scanned for the year-month high-water mark
-        existing = tables.require_table(spark, target, "storm events")
-        newest = existing.where(F.col("YEAR") == newest_year).agg(F.max("BEGIN_YEARMONTH")).first()[0]
+        # the year-month high-water mark comes from the footers of the newest YEAR partition
+        newest = from_footers(spark, target, [F.max("BEGIN_YEARMONTH").alias("ym")], F.col("YEAR") == newest_year).first().ym
         watermark = newest // 100 if newest is not None else None
+        watermark = min([watermark, *tables.pending_years(spark, target)]) if watermark is not None else None
     listing = list_storm_files(spark, source_folder, since_year, watermark)
     paths = selected_paths(listing)
     if not paths:

@@ -19,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from geoweather.plans import versions
+from geoweather.plans.footers import from_footers
 from geoweather.session import scratch_path, shared_dir
 
 
@@ -122,14 +124,71 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by, sort_within=(
     )
 
 
+INTENT = "paths array<string>, partition_by array<string>, emptied array<string>, years array<int>"
+
+
+def _intent_path(target: str) -> str:
+    return f"{target.rstrip('/')}_intent"
+
+
+def _announce(spark: SparkSession, target: str, paths=(), partition_by=(), emptied=(), years=()) -> None:
+    """Record what a refresh is about to do to ``target``."""
+    row = (list(paths), list(partition_by), list(emptied), list(years))
+    versions.write_version(spark.createDataFrame([row], INTENT).coalesce(1), _intent_path(target), kept=1)
+
+
+def _intent(spark: SparkSession, target: str):
+    found = versions.read_version(spark, _intent_path(target))
+    return found.first() if found is not None else None
+
+
+def pending_years(spark: SparkSession, target: str) -> list[int]:
+    """Years whose last refresh was announced but not finished; their source files must be loaded again."""
+    intent = _intent(spark, target)
+    return sorted(intent.years) if intent is not None else []
+
+
+def _settle_years(spark: SparkSession, target: str, years) -> None:
+    """These years are done; others that are still pending stay on record."""
+    rest = sorted(set(pending_years(spark, target)) - set(years))
+    if rest:
+        _announce(spark, target, years=rest)
+    else:
+        _delete_path(spark, _intent_path(target))
+
+
+def recover(spark: SparkSession, target: str) -> bool:
+    """Finish a range refresh of ``target`` that was announced but not completed; True if there was one.
+
+    The staged rows are written again (a dynamic overwrite can be repeated), emptied partitions removed, and the
+    staged copies and the record deleted.
+    """
+    intent = _intent(spark, target)
+    if intent is None or not intent.paths:
+        return False
+    parts = [spark.read.parquet(path) for path in intent.paths if read_table(spark, path) is not None]
+    if parts:
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        overwrite_partitions(rows, target, intent.partition_by)
+    _delete_folders(spark, target, intent.emptied)
+    _delete_path(spark, _intent_path(target))
+    for path in intent.paths:
+        _delete_path(spark, path)
+    return True
+
+
 def replace_years(spark: SparkSession, incoming: DataFrame, target: str, year_col: str, years, sort_within=()) -> dict:
     """Replace the partitions ``years`` of ``target`` by the rows of ``incoming`` that lie in them.
 
     Rows of any other year (or none) are left out and counted: a stray row never replaces
     a year that is not being reloaded.  A reloaded year without rows loses its folder.
-    Counts are gathered while writing (no extra scan).
+    Counts are gathered while writing (no extra scan).  The years are announced before the table is touched and
+    the record goes when all is done, so a refresh that stops in between is known (``pending_years``).
     """
     years = sorted(int(y) for y in years)
+    _announce(spark, target, years=sorted({*years, *pending_years(spark, target)}))
     obs = Observation("replace_years")
     wanted = F.coalesce(F.col(year_col).isin(years), F.lit(False))
     counted = incoming.observe(
@@ -142,6 +201,7 @@ def replace_years(spark: SparkSession, incoming: DataFrame, target: str, year_co
     found = metrics(obs)
     present = {int(y) for y in found.get("present") or []}
     _delete_folders(spark, target, [f"{year_col}={y}" for y in years if y not in present])
+    _settle_years(spark, target, years)
     return {"rows_loaded": found.get("rows_loaded") or 0, "rows_other_years": found.get("rows_other") or 0}
 
 
@@ -182,8 +242,10 @@ def replace_date_range(
     Only the (year, month) partitions that overlap the range are read and rewritten:
     each becomes (its rows outside the range) + (new rows).  A touched partition that
     ends up empty is removed, since a dynamic overwrite never deletes a partition the
-    data does not mention.
+    data does not mention.  New and kept rows are staged and announced before the table is touched, so a
+    refresh that stops half-way is finished, from the staged rows, at the start of the next.
     """
+    recover(spark, target)
     lo, hi = dt.date.fromisoformat(str(min_date)), dt.date.fromisoformat(str(max_date))
     in_range = F.col("date").between(F.lit(lo), F.lit(hi))
     new_rows = new_rows.where(in_range)
@@ -205,15 +267,22 @@ def replace_date_range(
     new_rows = new_rows.select(*existing.columns).observe(
         inserted, F.count(F.lit(1)).alias("rows_inserted"), F.collect_set(F.struct(year, month)).alias("present")
     )
-    with stage(spark, new_rows, "range-new", partition_by) as fresh, stage(
-        spark, existing.where(at_edge & ~in_range), "range-kept", partition_by
-    ) as kept:
+    paths = [scratch_path(spark, name) for name in ("range-replace-new", "range-replace-kept")]
+    try:
+        new_rows.write.partitionBy(*partition_by).parquet(paths[0])
+        existing.where(at_edge & ~in_range).write.partitionBy(*partition_by).parquet(paths[1])
         counts = metrics(inserted)
-        overwrite_partitions(fresh.select(*existing.columns).unionByName(kept.select(*existing.columns)), target, list(partition_by))
         present = {(r[0], r[1]) for r in counts.get("present") or []}
-        present |= {(r[0], r[1]) for r in kept.select(*partition_by).distinct().collect()}  # at most two months
-    emptied = [f"{year}={y}/{month}={m}" for y, m in months if (y, m) not in present]
-    _delete_folders(spark, target, emptied)
+        kept = read_table(spark, paths[1])
+        if kept is not None:
+            present |= {(r[0], r[1]) for r in kept.select(*partition_by).distinct().collect()}  # at most two months
+        emptied = [f"{year}={y}/{month}={m}" for y, m in months if (y, m) not in present]
+        _announce(spark, target, paths, partition_by, emptied)
+    except Exception:
+        for path in paths:
+            _delete_path(spark, path)
+        raise
+    recover(spark, target)  # from here on a stopped refresh is finished by the next one
     return {"rows_deleted": deleted, "rows_inserted": counts.get("rows_inserted") or 0, "partitions_removed": len(emptied)}
 
 
@@ -221,16 +290,14 @@ def resume_from(spark: SparkSession, target: str, default_new=dt.date(2000, 1, 1
     """Start date for an incremental run.
 
     No table -> ``default_new``; table without dates -> ``default_empty``;
-    otherwise its newest date itself (the last day is recomputed).  For a table
-    partitioned by year/month only the newest partition is read.  A table that cannot be
+    otherwise its newest date itself (the last day is recomputed), from the Parquet footers.  For a table
+    partitioned by year/month only those of the newest partition are read.  A table that cannot be
     read is an error: recomputing the whole history would hide it.
     """
-    existing = read_table(spark, target)
-    if existing is None:
+    if read_table(spark, target) is None:
         return default_new
     year = newest_partition(spark, target, "year")
     month = newest_partition(spark, f"{target}/year={year}", "month") if year is not None else None
-    if month is not None:
-        existing = existing.where((F.col("year") == year) & (F.col("month") == month))
-    newest = existing.agg(F.max("date")).first()[0]
+    inside = (F.col("year") == year) & (F.col("month") == month) if month is not None else None
+    newest = from_footers(spark, target, [F.max("date").alias("date")], inside).first()[0]
     return newest if newest is not None else default_empty

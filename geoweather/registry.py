@@ -7,6 +7,7 @@ engines may compute with different last bits are rounded to 6 digits on both sid
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,10 @@ from geoweather.operators.replace import refresh_audit, replace_date_range, repl
 from geoweather.operators.sphere import nearest_stations_on_sphere
 from geoweather.operators.stations import element_inventory, name_station_codes, pick_by_source_priority, station_codes
 from geoweather.operators.storms import normalise_storms
+from geoweather.plans.audit import audited, run_history
+from geoweather.plans.catalog import describe_table, drop_table, open_table, register_table
 from geoweather.plans.export import export_parquet
+from geoweather.plans.footers import from_footers
 from geoweather.schemas import CORE_ELEMENTS
 from geoweather.plans.tables import replace_date_range as refresh_range
 from geoweather.plans.tables import replace_years, resume_from
@@ -64,6 +68,7 @@ SINCE_YEAR = 1997
 EXPORT_WHERE = "EVENT_TYPE = 'Hail' OR STATE = '1-URGENT'"
 EXPORT_YEAR = 1996
 RELOADED_YEARS = (1994, 1996)
+CLUSTER_GROUP, CLUSTER_RANGE = 1000, (100, 120)
 SPHERE_MILES, SPHERE_K = 700.0, 10
 TABLE_RANGE = ("1995-03-10", "1995-06-20")
 METRIC_COLS = [c for e in CORE_ELEMENTS for c in (e.lower(), f"{e.lower()}_count", f"{e.lower()}_stddev")]
@@ -444,6 +449,54 @@ def q_resume_from_table(spark, sf):
     return spark.createDataFrame([(resume_from(spark, path),)], "resume_date date")
 
 
+def q_clustered_export(spark, sf):
+    """Orders exported in ranges of customers and read back for a few of them: statistics skip the other row groups."""
+    path = scratch_path(spark, "clustered")
+    o = derived.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    export_parquet(o, path, partition_by=("year",), rows_per_group=CLUSTER_GROUP, cluster_by=("o_custkey", "o_orderkey"))
+    back = lake_view(spark, path)
+    return back.where(F.col("o_custkey").between(*CLUSTER_RANGE)).select("o_orderkey", "o_custkey", "o_orderstatus", F.col("year").cast("int").alias("year"))
+
+
+def _named_orders(spark, sf) -> str:
+    """Orders in a partitioned folder under a name of the catalog."""
+    path, name = scratch_path(spark, "named"), f"orders_{uuid.uuid4().hex[:12]}"
+    o = derived.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    o.hint("rebalance", "year").write.partitionBy("year").parquet(path)
+    register_table(spark, name, path, o.schema, ("year",))
+    return name
+
+
+def q_named_table(spark, sf):
+    """A table read by its name."""
+    return open_table(spark, _named_orders(spark, sf)).groupBy("year").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("newest"))
+
+
+def q_described_table(spark, sf):
+    """The columns of a named table as the catalog describes them."""
+    name = _named_orders(spark, sf)
+    found = describe_table(spark, name)
+    drop_table(spark, name)
+    return found
+
+
+def q_footer_extremes(spark, sf):
+    """Rows and extremes of a stored table, from Parquet footers alone."""
+    aggs = [F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"), F.max("o_custkey").alias("last_customer")]
+    row = from_footers(spark, f"{sf}/orders.parquet", aggs).first()
+    return spark.createDataFrame([tuple(row)], "orders bigint, first_key bigint, last_key bigint, last_customer bigint")
+
+
+def q_load_audit(spark, sf):
+    """Figures of two audited refreshes of a stored table, the second beside the first."""
+    path, audit = scratch_path(spark, "audited"), scratch_path(spark, "audit")
+    o = derived.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    for status, years in (("F", RELOADED_YEARS), ("O", RELOADED_YEARS[1:])):
+        rows = o.where(F.col("o_orderstatus") == status)
+        audited(spark, audit, "refresh", "orders", lambda rows=rows, years=years: replace_years(spark, rows, path, "year", years))
+    return run_history(spark.read.parquet(audit))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "haversine_pairs": q_haversine_pairs,
     "nearest_k_stations": q_nearest_k_stations,
@@ -493,4 +546,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_on_sphere": q_nearest_on_sphere,
     "inventory_reconciled": q_inventory_reconciled,
     "resume_from_table": q_resume_from_table,
+    "clustered_export": q_clustered_export,
+    "named_table": q_named_table,
+    "described_table": q_described_table,
+    "footer_extremes": q_footer_extremes,
+    "load_audit": q_load_audit,
 }

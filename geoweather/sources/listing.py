@@ -6,6 +6,10 @@ file contents are never read and the listing itself is distributed.
 
 from __future__ import annotations
 
+import re
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,7 @@ from geoweather.functions.files import base_name, storm_file_stamp, storm_file_y
 # Source file name patterns.
 OBSERVATION_GLOB = "*.csv.gz"
 STORM_GLOB = "StormEvents_details*.csv.gz"
+CHECK_BYTES = 1 << 20
 # What Spark reports for a damaged compressed file.
 DAMAGE_SIGNS = ("FAILED_READ_FILE", "ZipException", "EOFException", "not a gzip file", "Unexpected end of", "CORRUPT")
 
@@ -69,18 +74,60 @@ def annotate_storm_files(listing: DataFrame, since_year=None, watermark_year=Non
     return out.drop("passes")
 
 
+def looks_damaged(err: Exception) -> bool:
+    """Whether a failed read may come from a damaged file, and not from a full disk or a bug."""
+    return any(sign in str(err) for sign in DAMAGE_SIGNS)
+
+
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
+def _check_gzip(batches):
+    """(path, damaged) of (path, content) rows: each .gz is decompressed to its end in pieces, its checksum included."""
+    for batch in batches:
+        damaged = []
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            bad = False
+            if path.endswith(".gz"):
+                rest = memoryview(content.as_buffer())
+                bad = not len(rest)
+                try:
+                    while len(rest) and not bad:  # one member after the other
+                        member, at = zlib.decompressobj(31), 0
+                        while at < len(rest) and not member.eof:
+                            piece = rest[at : at + CHECK_BYTES]
+                            at += len(piece)
+                            member.decompress(piece, 0)
+                        bad = not member.eof
+                        rest = rest[at - len(member.unused_data) :]
+                except zlib.error:
+                    bad = True
+            damaged.append(bad)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(damaged, pa.bool_())], names=["path", "damaged"])
+
+
 def readable_paths(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
-    """(readable, unreadable) files: each is read through once.  For use after a read of all of them failed."""
-    good, bad = [], []
-    for path in paths:
-        try:
-            spark.read.text(path).write.format("noop").mode("overwrite").save()
-            good.append(path)
-        except Exception as err:  # noqa: BLE001 - sorted out below: only damaged files are set aside
-            if not any(word in str(err) for word in DAMAGE_SIGNS):
-                raise
-            bad.append(path)
-    return good, bad
+    """(readable, unreadable) files, found in one job.  For use after a read of all of them has failed.
+
+    A file is one record here, compressed, so a task holds one file (or several small ones of a split) at a time.
+    """
+    paths = list(paths)
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    found = files.mapInArrow(_check_gzip, "path string, damaged boolean").where("damaged").collect()  # one row a damaged file
+    bad = {_plain(r.path) for r in found}
+    return [p for p in paths if _plain(p) not in bad], [p for p in paths if _plain(p) in bad]
+
+
+def first_lines(spark: SparkSession, paths) -> DataFrame:
+    """(path, line, lines): first line and number of lines of each file that has a line, in one job.
+
+    A damaged file counts as far as it can be read; a strict read of it fails later.
+    """
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(list(paths))
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = lines.select(F.col("_metadata.file_path").alias("path"), at.alias("at"), "value")
+    return rows.groupBy("path").agg(F.min_by("value", "at").alias("line"), F.count(F.lit(1)).alias("lines"))
 
 
 def selected_paths(annotated: DataFrame) -> list[str]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from geoweather.functions.files import storm_file_year
 from geoweather.schemas import STORM_EVENTS
-from geoweather.sources.listing import STORM_GLOB, list_files
+from geoweather.sources.listing import STORM_GLOB, first_lines, list_files
 
 
 CORRUPT = "_corrupt_record"
@@ -25,16 +25,16 @@ def csv_options() -> dict[str, str]:
 
 
 def header_groups(spark: SparkSession, paths) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header: column names in order -> paths (one line of each file is read).
+    """Files by their header: column names in order -> paths, found in one job over all files.
 
     A file without a line has no rows and is in no group.
     """
+    paths = list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        first = spark.read.text(path).first()
-        if first is not None:
-            names = next(csv.reader([first[0].lstrip("\ufeff")]), [])
-            groups.setdefault(tuple(n.strip() for n in names), []).append(path)
+    if paths:
+        for r in sorted(first_lines(spark, paths).collect()):  # one row a file
+            names = next(csv.reader([r.line.lstrip("\ufeff")]), [])
+            groups.setdefault(tuple(n.strip() for n in names), []).append(r.path)
     return groups
 
 

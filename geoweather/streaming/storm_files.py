@@ -26,7 +26,7 @@ from geoweather.functions.files import base_name, storm_file_stamp, storm_file_y
 from geoweather.operators.storms import typed_storms
 from geoweather.plans import tables, versions
 from geoweather.plans.storm_refresh import refresh_storms
-from geoweather.sources.listing import STORM_GLOB, readable_paths
+from geoweather.sources.listing import STORM_GLOB, looks_damaged, readable_paths
 from geoweather.sources.storms import read_storm_files
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -81,7 +81,9 @@ def _apply_batch(target: str, issues_target: str | None, stamps: str):
 
         try:
             good = load(paths, [])
-        except Exception:
+        except Exception as err:
+            if not looks_damaged(err):
+                raise
             paths, failed = readable_paths(spark, paths)
             if not failed:
                 raise
