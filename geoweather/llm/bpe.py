@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.llm.common import table
+from geoweather.llm.common import table, tidy
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -312,19 +312,32 @@ class Codec:
             joined = ",".join(map(self.digits.__getitem__, ids))
             said.update(("," + joined if n else joined).encode())
             n += len(ids)
-            back.update(b"".join(map(self.machine.bytes_of.__getitem__, ids)))
             part, pending = self.machine.feed(pending, ids)
+            back.update(part.encode())
             chars += len(part)
+        if pending:
+            back.update("�".encode())
         return n, said.hexdigest(), back.hexdigest(), chars + bool(pending)
 
+    def forget(self) -> None:
+        """Drop everything that is remembered of texts seen; tables of the vocabulary stay."""
+        self.pieces, self.older = {}, {}
+        self.transducer.agrees.clear()
+        self.transducer.reset()
+        self.machine.moves.clear()
+
 
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode_documents(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """Token count and digests of ids and decoded bytes (columns of SCHEMA) for each row of ``docs``."""
+def encode_documents(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, forget: bool = False) -> DataFrame:
+    """Token count and digests of ids and of the state machine's output (columns of SCHEMA) for each row of ``docs``.
+
+    A worker keeps its codec from task to task; with ``forget`` only the vocabulary's tables, so that
+    later jobs in the same workers have the memory.
+    """
 
     def work(batches):
         c = codec(path, pattern)
@@ -337,6 +350,10 @@ def encode_documents(docs: DataFrame, path: str = VOCABULARY, pattern: str = PAT
                 [batch.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], names=names
             )
 
+    def end():
+        codec(path, pattern).forget()
+
+    work = tidy(work, end) if forget else work
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, SCHEMA)
 
 
@@ -371,4 +388,4 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def stage_encode(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: doc_id with token count and digests."""
-    return encode_documents(docs)
+    return encode_documents(docs, forget=True)

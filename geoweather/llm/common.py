@@ -8,6 +8,11 @@ read more than once are written to the cluster's shared folder and reread
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +36,27 @@ def text_or_empty(col: str = "text") -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker, which the next task reuses, to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(work: Callable[[Iterator], Iterator], after: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """``work`` over Arrow batches, with ``after`` and ``give_back`` run when its task ends."""
+
+    def worked(batches):
+        try:
+            yield from work(batches)
+        finally:
+            if after is not None:
+                after()
+            give_back()
+
+    return worked

@@ -18,7 +18,7 @@ and ``SAMPLE_CHARS`` characters of each, from a place that the digest picks.  Th
 is bounded and sent to executors.
 
 Null text, or text without a letter, is ``und`` with score 0, and so is every text if there is
-nothing to learn from.  A null doc_id is neither learned from nor held out.  Repeated rows
+nothing to learn from.  Of more than ``MAX_LANGUAGES`` labels the most frequent are learned.  A null doc_id is neither learned from nor held out.  Repeated rows
 get the same answer; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoweather.llm.common import table
+from geoweather.llm.common import table, tidy
 from geoweather.llm.texts import text_groups
 
 SAMPLE_DOCS = 300  # per language
@@ -273,24 +273,25 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     by = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
     digest = F.md5(F.col("doc_id").cast("string"))
     # Digests are uniform: the smallest SAMPLE_DOCS of a language lie, but for chance, below four times
-    # their share, so only so many rows of a large language are ranked together.
-    sizes = by.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    # their share, so only so many rows of a large language are ranked together.  The shares are those of
+    # the MAX_LANGUAGES most frequent languages; labels beyond them are not learned.
+    sizes = by.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    known = docs.sparkSession.createDataFrame([(r.lang, 4 * sample_docs / r.n) for r in sizes.collect()], "of string, share double")
     place = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(1 << 48)
-    thinned = by.select("doc_id", "lang", place.alias("place")).join(sizes, F.col("lang") == F.col("of"))
-    thinned = thinned.where(F.col("place") * F.col("n") <= 4 * sample_docs)
+    thinned = by.select("doc_id", "lang", place.alias("place")).join(F.broadcast(known), F.col("lang") == F.col("of"))
+    thinned = thinned.where(F.col("place") <= F.col("share"))
     ranked = thinned.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(digest, "doc_id")))
     picked = ranked.where(F.col("nth") <= sample_docs).select(F.col("doc_id").alias("picked")).distinct()
-    ids = [r.picked for r in picked.limit(sample_docs * MAX_LANGUAGES + 1).collect()]
-    if len(ids) > sample_docs * MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    ids = [r.picked for r in picked.collect()]  # at most sample_docs * MAX_LANGUAGES
     if not ids:
         return Model([], {})
     spark = docs.sparkSession
     room = F.greatest(F.lit(1), F.length("text") - sample_chars)
     start = F.conv(F.substring(digest, 1, 7), 16, 10).cast("int") % room + 1
     sample = by.join(F.broadcast(spark.createDataFrame([(i,) for i in ids], "picked bigint")), F.col("doc_id") == F.col("picked"))
-    rows = sample.where("text IS NOT NULL").select("doc_id", F.substring("text", start, F.lit(sample_chars)).alias("t"), "lang").distinct()
-    return train([(r.t, r.lang) for r in rows.limit(len(ids)).collect()])
+    rows = sample.where("text IS NOT NULL").select(digest.alias("place"), F.substring("text", start, F.lit(sample_chars)).alias("t"), "lang")
+    rows = rows.join(F.broadcast(known), F.col("lang") == F.col("of"), "left_semi").distinct().orderBy("place", "t", "lang").limit(len(ids))
+    return train([(r.t, r.lang) for r in rows.collect()])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -359,4 +360,4 @@ def stage_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
             found = [x for _, _, texts in text_groups(batch.column(at), GROUP_CHARS) for x in model.classify(texts)]
             yield batch.filter(pa.array([lang != "und" and score >= MIN_SCORE for lang, score in found], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(tidy(work), docs.schema)

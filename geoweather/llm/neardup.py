@@ -1,9 +1,9 @@
 """MinHash near-duplicates by an inverted join of signature coordinates.
 
-A document's set are its distinct word shingles; equal sets are one node.  A signature has
+A document's set are its distinct word shingles; equal sets are one node, named by their smallest doc_id.  A signature has
 ``COORDINATES`` min-hashes.  Nodes are posted under (coordinate, value) for the first ``POSTED``
 coordinates.  Two sets with the least similarity agree on at least ``POSTED_MATCHES`` of
-them and on ``MATCHES`` of all coordinates, but for about one pair in 500,000.
+them and on ``MATCHES`` of all coordinates, but for about one pair in 180,000.
 
 * Prefix merging: values are ordered by the length of their lists, shortest first.  Two nodes
   that agree on POSTED_MATCHES coordinates meet in the first
@@ -24,7 +24,8 @@ lost.  All links are confirmed on the full sets.
 
 Null or wordless text has an empty set and is linked with nothing.  Rows with null doc_id
 are not linked; their component is null and they are kept.  Repeated rows share node and
-component; a doc_id that stands for several texts is compared by one of its sets.  An empty
+component; a doc_id that stands for several texts has a node for each of their sets.  Very long texts are read
+whole; a block's texts are held together, so memory is bounded by ``BLOCK`` texts of a list.  An empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.llm.common import stage, table, text_or_empty
+from geoweather.llm.common import stage, table, text_or_empty, tidy
 from geoweather.llm.components import components
 from geoweather.llm.texts import MIX, scramble, text_groups, word_hashes
 
@@ -50,7 +51,10 @@ GROUP_CHARS = 1_000_000
 _SEEDS = np.random.default_rng(20).integers(0, 1 << 63, size=(2, COORDINATES), dtype=np.uint64)
 _FACTOR, _SALT = _SEEDS[0] * np.uint64(2) + np.uint64(1), _SEEDS[1]
 
-SKETCH = "doc_id bigint, n_shingles bigint, digest string, posted array<bigint>, sketch binary"
+# Nodes of further texts of one doc_id lie below all doc_ids (which are taken to be above this bound).
+FURTHER = -(1 << 62)
+
+SKETCH = "doc_id bigint, text_key bigint, n_shingles bigint, digest string, posted array<bigint>, sketch binary"
 
 
 def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +92,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
     def work(batches):
         names = [x.split()[0] for x in SKETCH.split(", ")]
         for batch in batches:
-            for a, b, texts in text_groups(batch.column(1), GROUP_CHARS):
+            for a, b, texts in text_groups(batch.column(2), GROUP_CHARS):
                 shingles, sizes = shingle_sets(texts, width)
                 sigs = signatures(shingles, sizes)
                 ends, row = np.cumsum(sizes), 0
@@ -105,7 +109,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                         bytes_.append(None)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, b - a),
+                        *(batch.column(i).slice(a, b - a) for i in (0, 1)),
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.string()),
                         pa.array(posted, pa.list_(pa.int64())),
@@ -114,7 +118,12 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                     names=names,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(work, SKETCH)
+    return docs.select(F.col("doc_id").cast("long"), text_key(), text_or_empty().alias("text")).mapInArrow(tidy(work), SKETCH)
+
+
+def text_key():
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(text_or_empty()).alias("text_key")
 
 
 def postings(nodes: DataFrame) -> DataFrame:
@@ -157,13 +166,15 @@ def best_hubs(posted: DataFrame, nodes: DataFrame) -> DataFrame:
     return best.select("a", (-F.col("minus")).alias("b"))
 
 
-def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, text) of the nodes in ``wanted`` (column doc)."""
-    wanted = stage(wanted.distinct(), "dup-wanted")
-    if wanted.count() <= BROADCAST_IDS:  # 8 bytes each; beyond, Spark shuffles both sides
+def texts_of(wanted: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc, text) of the nodes in ``wanted`` (column doc), from the row that stands for each node's set."""
+    rows = sets.select(F.col("node").alias("doc"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
+    wanted = stage(rows.join(wanted.distinct(), "doc", "left_semi"), "dup-wanted")
+    if wanted.count() <= BROADCAST_IDS:  # 24 bytes each; beyond, Spark shuffles both sides
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text")).join(wanted, "doc", "left_semi")
-    return stage(texts.dropDuplicates(["doc"]), "dup-texts")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), text_or_empty().alias("text"))
+    found = texts.join(wanted, (F.col("doc_id") == F.col("rep_id")) & (F.col("text_key") == F.col("rep_key")))
+    return stage(found.select("doc", "text").dropDuplicates(["doc"]), "dup-texts")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -179,10 +190,10 @@ def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
     return np.split(shingles, np.cumsum(sizes)[:-1])
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def confirm(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; texts are joined for these nodes only."""
     pairs = stage(pairs, "dup-pairs")
-    texts = texts_of(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))), docs)
+    texts = texts_of(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))), docs, sets)
     both = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
@@ -194,7 +205,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                 good += [similar(p, q) for p, q in zip(sets_of(first, width), sets_of(second, width), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(work, "a bigint, b bigint")
+    return both.mapInArrow(tidy(work), "a bigint, b bigint")
 
 
 TASKS = "task string, nodes array<bigint>, comps array<bigint>, left binary, right binary"
@@ -249,7 +260,7 @@ def crossing(posted: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame
             columns = zip(*found, strict=True) if found else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in TASKS.split(", ")])
 
-    return groups.mapInArrow(work, TASKS)
+    return groups.mapInArrow(tidy(work), TASKS)
 
 
 def block_pairs(key: int, ms: list[dict]):
@@ -297,14 +308,14 @@ def block_pairs(key: int, ms: list[dict]):
     return list(place), comps, left.tobytes(), right.tobytes()
 
 
-def confirm_blocks(tasks: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def confirm_blocks(tasks: DataFrame, docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
     """Links (a, b) among the pairs of each block, confirmed on the full sets.
 
     A block's texts are brought together once.  Within a block, a pair is skipped if links found there
     have connected its components already.
     """
     tasks = stage(tasks, "dup-tasks")
-    texts = texts_of(tasks.select(F.explode("nodes").alias("doc")), docs)
+    texts = texts_of(tasks.select(F.explode("nodes").alias("doc")), docs, sets)
     of_task = tasks.select(F.col("task").alias("of"), F.explode("nodes").alias("doc")).join(texts, "doc")
     of_task = of_task.groupBy("of").agg(F.collect_list(F.struct("doc", "text")).alias("texts"))
     joined = tasks.join(of_task, F.col("task") == F.col("of")).select("nodes", "comps", "left", "right", "texts")
@@ -330,29 +341,57 @@ def confirm_blocks(tasks: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                         links.append((nodes[x], nodes[y]))
             yield pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return joined.mapInArrow(work, "a bigint, b bigint")
+    return joined.mapInArrow(tidy(work), "a bigint, b bigint")
+
+
+def distinct_sets(usable: DataFrame) -> DataFrame:
+    """(digest, rep, least, node) of every different set: a row that has it, its smallest doc_id, and its node.
+
+    The node is that doc_id; of several sets with one smallest doc_id, all but the first get numbers below FURTHER.
+    """
+    sets = usable.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"))
+    sets = stage(sets.select("digest", "rep", F.col("rep.doc_id").alias("least")), "dup-distinct")
+    first = sets.groupBy("least").agg(F.min("digest").alias("first")).select("first")
+    own = sets.join(first, F.col("digest") == F.col("first"), "left")
+    number = F.lit(FURTHER) - 1 - F.monotonically_increasing_id()
+    node = F.when(F.col("first").isNotNull(), F.col("least")).otherwise(number)
+    return stage(own.select("digest", "rep", "least", node.alias("node")), "dup-sets")
+
+
+def labelled(sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(digest, group_id, label): the component of each set, and the smallest doc_id in it."""
+    names = comps.withColumnRenamed("node", "of")
+    found = sets.join(names, F.col("node") == F.col("of"), "left")
+    found = found.select("digest", "least", F.coalesce("component", "node").alias("group_id"))
+    # The smallest node is the smallest doc_id, unless further texts of a doc_id are in the component.
+    further = found.where(F.col("group_id") < FURTHER)
+    label = further.groupBy(F.col("group_id").alias("of_group")).agg(F.min("least").alias("label"))
+    named = further.join(label, F.col("group_id") == F.col("of_group")).select("digest", "group_id", "label")
+    return found.where(F.col("group_id") >= FURTHER).select("digest", "group_id", F.col("group_id").alias("label")).unionByName(named)
 
 
 def near_duplicates(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
+    """(doc_id, n_shingles, component_id, kept, text_key, group_id) for each row of ``docs``.
+
+    ``text_key`` tells the texts of one doc_id apart, ``group_id`` the components.
+    """
     rows = stage(sketch(docs, width), "dup-sketch")
     usable = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    sets = usable.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    sets = stage(sets, "dup-sets")
-    nodes = usable.join(sets, (usable["digest"] == sets["digest"]) & (usable["doc_id"] == sets["node"]))
-    one = F.min(F.struct(usable["digest"], "n_shingles", "posted", "sketch")).alias("one")
-    nodes = stage(nodes.groupBy("node").agg(one).select("node", "one.n_shingles", "one.posted", "one.sketch"), "dup-nodes")
+    sets = distinct_sets(usable)
+    reps = sets.select("node", F.col("digest").alias("of"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
+    at = (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("rep_id")) & (F.col("text_key") == F.col("rep_key"))
+    nodes = usable.join(reps, at).select("node", "n_shingles", "posted", "sketch")
+    nodes = stage(nodes.dropDuplicates(["node"]), "dup-nodes")
     posted = stage(postings(nodes), "dup-postings")
-    links = stage(confirm(best_hubs(posted, nodes), docs, width), "dup-links")
+    links = stage(confirm(best_hubs(posted, nodes), docs, sets, width), "dup-links")
     comps = stage(components(links), "dup-comps")
-    more = confirm_blocks(crossing(posted, nodes, comps), docs, width)
+    more = confirm_blocks(crossing(posted, nodes, comps), docs, sets, width)
     comps = stage(components(links.unionByName(more)), "dup-comps")
-    of_set = sets.join(comps, sets["node"] == comps["node"], "left")
-    of_set = of_set.select(F.col("digest").alias("of"), F.coalesce("component", sets["node"]).alias("least"))
+    of_set = labelled(sets, comps).withColumnRenamed("digest", "of")
     joined = rows.join(of_set, (rows["digest"] == of_set["of"]) & rows["doc_id"].isNotNull(), "left")
-    component = F.coalesce("least", "doc_id")
+    component = F.coalesce("label", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_key", "group_id")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -361,8 +400,14 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document (the smallest doc_id) of each group on shingles of five words."""
-    found = near_duplicates(docs, 5).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("keep")).distinct()
-    alone = docs.where("doc_id IS NULL")
-    kept = docs.join(found, docs["doc_id"] == found["keep"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(alone)
+    """Pipeline stage: one text (of the smallest doc_id) of each group on shingles of five words.
+
+    Texts without a word are in no group and stay, and so do all rows without doc_id; rows that agree in doc_id and text are one.
+    """
+    found = near_duplicates(docs, 5).where("kept AND doc_id IS NOT NULL")
+    grouped = found.where("group_id IS NOT NULL").groupBy("group_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+    keep = grouped.select("one.*").unionByName(found.where("group_id IS NULL").select("doc_id", "text_key").distinct())
+    keep = keep.select(F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_key"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_key(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = rows.join(keep, (F.col("id") == F.col("keep_id")) & (F.col("text_key") == F.col("keep_key")), "left_semi")
+    return kept.dropDuplicates(["id", "text_key"]).select("row.*").unionByName(docs.where("doc_id IS NULL"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.llm.common import stage, table, text_or_empty
+from geoweather.llm.common import stage, table, text_or_empty, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -257,4 +257,4 @@ def stage_pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                 arrays[at["n_chars"]] = pa.array(counts, arrays[at["n_chars"]].type)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return keyed.select(*[docs[n] for n in names], "added").mapInArrow(work, fields)
+    return keyed.select(*[docs[n] for n in names], "added").mapInArrow(tidy(work), fields)

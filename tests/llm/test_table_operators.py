@@ -4,14 +4,17 @@ import base64
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from geoweather.llm import ann, langid, mixing, neardup, urlfilter, warc
+from geoweather.llm import ann, bpe, langid, mixing, neardup, pii, urlfilter, warc
 from geoweather.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -273,3 +276,95 @@ def test_pipeline_stages_in_order(spark):
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 100
+
+
+# ---------------------------------------------------------------- repeated and null ids
+def test_mix_cuts_row_by_row_under_equal_and_null_ids(spark):
+    rows = [(None if i < 800 else i, f"{'w ' * 15}{i % 300}", "en", "a", 0) for i in range(1000)]
+    rows += [(7, "same words here", "en", "a", 0)] * 40 + [(5000 + i, "v " * 30, "en", "b", 0) for i in range(900)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix_sources(df, None).collect()
+    assert len(got) == len(rows)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 30
+        copies = {r.copies for r in mine}
+        assert len(copies) <= 2 and max(copies) - min(copies) <= 1
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix_sources(df, None).collect()), key=str)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    con.register("labels", labels.toArrow())
+    found = con.execute(mixing.ORACLE_SQL).fetchall()
+    plain = sorted(((r.doc_id, r.size, r.source_size, r.target, r.taken) for r in got), key=str)
+    assert sorted(found, key=str) == plain
+    staged = mixing.stage_mix(spark, df, SF)
+    assert staged.columns == df.columns
+
+
+def test_stage_mix_gives_the_copies_of_the_mix(spark):
+    rows = [(i % 50 if i % 3 else None, f"text {i % 60} " * 6, "en", "a" if i % 4 else "b", i) for i in range(400)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("digest", F.lit("clash")).withColumn("copies", F.lit(9))
+    want = defaultdict(int)
+    for r in mixing.mix_sources(df, spark.read.parquet(f"{SF}/labels.parquet")).collect():
+        want[r.doc_id, r.source, r.digest] += r.copies
+    got = defaultdict(int)
+    for r in mixing.stage_mix(spark, df, SF).collect():
+        got[r.doc_id, r.source, hashlib.md5(r.text.encode()).hexdigest()] += 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert mixing.stage_mix(spark, df.limit(0), SF).count() == 0
+
+
+def test_near_duplicates_keep_all_texts_of_a_repeated_id(spark):
+    rng = random.Random(4)
+
+    def text(n=60):
+        return " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+
+    a, b, c, d = text(), text(), text(), text()
+    near_b, near_c = b + " end", c.replace(c.split()[0], "zz", 1)
+    rows = [(1, a), (1, b), (2, near_b), (3, c), (4, near_c), (4, d), (5, d), (6, text()), (1, a), (9, ""), (9, None), (9, " ")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).withColumn("text_key", F.lit(1)).withColumn("group_id", F.lit(2))
+    got = {(r.doc_id, r.text_key): r.component_id for r in neardup.near_duplicates(df, 5).collect()}
+    key = {t: spark.createDataFrame([(t,)], "text string").select(neardup.text_key()).first()[0] for _, t in rows if t}
+    assert [got[i, key[t]] for i, t in rows[:8]] == [1, 1, 1, 3, 3, 4, 4, 6]
+    kept = neardup.stage_near_duplicates(spark, df, SF)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.text and r.text.strip()) == sorted([(1, a), (1, b), (3, c), (4, d), (6, rows[7][1])])
+    assert {r.doc_id for r in kept.collect()} == {1, 3, 4, 6, 9}
+
+
+def test_near_duplicates_of_long_texts(spark):
+    long = " ".join(f"w{i % 7919}" for i in range(60_000))
+    df = spark.createDataFrame([(1, long, "en", "s", 0), (2, long + " more", "en", "s", 0), (3, "other", "en", "s", 0)], DOCS)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 5).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_last_three_stages_equal_plain_versions(spark):
+    """Masked texts from the operator's spans, copies by the SQL of the mix, ids by the tiktoken library."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(120)
+    ranks = bpe.codec(bpe.VOCABULARY, bpe.PATTERN).transducer.ranks
+    library = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    masked = pii.stage_pii(spark, docs, SF).cache()
+    spans = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in masked.collect():
+        cut = [tuple(map(int, s.split(":")[1:])) for s in (spans[r.doc_id] or "").split(",") if s]
+        inside = {i for a, b in cut for i in range(a, b)}
+        rest = "".join(ch for i, ch in enumerate(texts[r.doc_id]) if i not in inside)
+        assert re.sub(r"<[A-Z]+>", "", r.text) == re.sub(r"<[A-Z]+>", "", rest)
+    con = duckdb.connect()
+    con.register("documents", masked.toArrow())
+    con.execute(f"CREATE VIEW labels AS SELECT * FROM read_parquet('{SF}/labels.parquet')")
+    size = {i: n for i, n, *_ in con.execute(mixing.ORACLE_SQL).fetchall()}
+    copies = {i: taken // n if n else None for i, n, _, _, taken in con.execute(mixing.ORACLE_SQL).fetchall()}
+    mixed = mixing.stage_mix(spark, masked, SF).cache()
+    times = Counter(r.doc_id for r in mixed.collect())
+    assert all(times.get(i, 0) == n for i, n in copies.items() if size[i])
+    out = bpe.stage_encode(spark, mixed, SF).collect()
+    text = {r.doc_id: r.text for r in masked.collect()}
+    assert Counter(r.doc_id for r in out) == times
+    for r in out:
+        ids = library.encode_ordinary(text[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
