@@ -79,7 +79,8 @@ def looks_damaged(err: Exception) -> bool:
     return any(sign in str(err) for sign in DAMAGE_SIGNS)
 
 
-def _plain(path: str) -> str:
+def plain_path(path: str) -> str:
+    """A local path without its scheme, however many slashes that has."""
     return re.sub("^file:/+", "/", path)
 
 
@@ -115,8 +116,8 @@ def readable_paths(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
     paths = list(paths)
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
     found = files.mapInArrow(_check_gzip, "path string, damaged boolean").where("damaged").collect()  # one row a damaged file
-    bad = {_plain(r.path) for r in found}
-    return [p for p in paths if _plain(p) not in bad], [p for p in paths if _plain(p) in bad]
+    bad = {plain_path(r.path) for r in found}
+    return [p for p in paths if plain_path(p) not in bad], [p for p in paths if plain_path(p) in bad]
 
 
 def first_lines(spark: SparkSession, paths) -> DataFrame:

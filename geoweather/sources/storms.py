@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from geoweather.functions.files import storm_file_year
 from geoweather.schemas import STORM_EVENTS
-from geoweather.sources.listing import STORM_GLOB, first_lines, list_files
+from geoweather.sources.listing import STORM_GLOB, first_lines, list_files, plain_path, readable_paths
 
 
 CORRUPT = "_corrupt_record"
@@ -27,12 +27,17 @@ def csv_options() -> dict[str, str]:
 def header_groups(spark: SparkSession, paths) -> dict[tuple[str, ...], list[str]]:
     """Files by their header: column names in order -> paths, found in one job over all files.
 
-    A file without a line has no rows and is in no group.
+    A file without a line has no rows and is in no group; if it has none because it is damaged, that is an error.
     """
     paths = list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
     if paths:
-        for r in sorted(first_lines(spark, paths).collect()):  # one row a file
+        found = sorted(first_lines(spark, paths).collect())  # one row a file
+        seen = {plain_path(r.path) for r in found}
+        silent = [p for p in paths if plain_path(p) not in seen]
+        if silent and (bad := readable_paths(spark, silent)[1]):
+            raise OSError(f"FAILED_READ_FILE: {', '.join(bad)}")
+        for r in found:
             names = next(csv.reader([r.line.lstrip("\ufeff")]), [])
             groups.setdefault(tuple(n.strip() for n in names), []).append(r.path)
     return groups

@@ -74,8 +74,12 @@ def test_damaged_file_is_tried_again_and_a_stopped_run_repeats(spark, tmp_path,
     assert jobs.refresh_observations(spark, src, target, snap)["files_failed"] == ["2022.csv.gz"]
     write_year(src, 2022, [line(2022, 4)])
 
-    def stop(*_):
-        raise RuntimeError("stopped before the snapshot")
+    write = versions.write_version
+
+    def stop(df, path, **more):
+        if not path.endswith("_intent"):
+            raise RuntimeError("stopped before the snapshot")
+        return write(df, path, **more)
 
     with monkeypatch.context() as m:
         m.setattr(versions, "write_version", stop)

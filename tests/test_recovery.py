@@ -48,7 +48,7 @@ def test_headers_of_many_files_take_as_many_jobs_as_of_few(spark, tmp_path):
         assert sorted(os.path.basename(p) for p in groups[("C", "A")]) == [f"f{i:03d}.csv.gz" for i in range(1, n, 3)]
         lines = {os.path.basename(r.path): r.lines for r in first_lines(spark, paths).collect()}
         assert lines["f002.csv.gz"] == 3 and lines["f004.csv.gz"] == 1 and "g-empty.csv.gz" not in lines
-    assert jobs_needed[200] <= jobs_needed[12] + 1 <= 4  # Spark lists more than 32 paths in a job of its own
+    assert jobs_needed[200] <= jobs_needed[12] + 1 <= 6  # Spark lists more than 32 paths in a job of its own; one file has no line and is tested
 
 
 def test_damaged_files_are_found_in_one_job(spark, tmp_path):

@@ -87,8 +87,12 @@ def test_batch_stopped_between_rows_and_stamps_is_run_again(spark, tmp_path, mon
     _run(spark, tmp_path)
     write_storm_file(landing, name.format(20230101), [storm_row(2, 202005, 1, 100)])
 
-    def stop(*_):
-        raise RuntimeError("stopped before the stamps")
+    write = versions.write_version
+
+    def stop(df, path, **more):
+        if not path.endswith("_intent"):
+            raise RuntimeError("stopped before the stamps")
+        return write(df, path, **more)
 
     with monkeypatch.context() as m:
         m.setattr(versions, "write_version", stop)
