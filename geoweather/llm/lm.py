@@ -5,7 +5,8 @@ occurrences are taken off): log of c(n-gram) / c(context) for the longest n-gram
 log(1 / ``BACKOFF``) for each order backed off; a word not seen elsewhere counts as one in a corpus
 of one word more.  ``ORDER`` is the longest n-gram; the empty n-gram's count is the corpus size.
 
-Scale.  Documents are worked off in groups of about ``GROUP_CHARS`` characters.  A group's distinct
+Scale.  Documents are worked off in groups of about ``GROUP_CHARS`` characters, hashed and stored once (asking and
+scoring read the same stored groups, so no group can be lost between the two).  A group's distinct
 n-gram hashes (64 bits), summed, are cut into buckets by their leading bits and shuffled as packed
 arrays, one row a group and bucket: counts are combined before the shuffle, and a frequent
 n-gram is one entry a group.  Each bucket merges its arrays to its part of the count table, joins it with
@@ -100,12 +101,24 @@ def _rows(columns: list[list], schema: str, kinds) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def asks(docs: DataFrame, order: int, bits: int, chars: int) -> DataFrame:
-    """Packed n-grams and counts of every group, one row a bucket that has any (columns of ASKS)."""
+def stored_words(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and words per document of the group in row i of a batch with the columns lengths, vocabulary, words."""
+    lengths, vocabulary, numbers = (batch.column(c)[i].as_py() for c in ("lengths", "vocabulary", "words"))
+    hashes = np.frombuffer(vocabulary, np.uint64)
+    return hashes[opened(numbers, np.uint32)] if len(hashes) else np.zeros(0, np.uint64), np.array(lengths, np.int64)
+
+
+def asks(groups: DataFrame, order: int, bits: int) -> DataFrame:
+    """Packed n-grams and counts of every group (columns of GROUPS), one row a bucket that has any (columns of ASKS)."""
+
+    def group_asks(batches):
+        for batch in batches:
+            for i, name in enumerate(batch.column("id").to_pylist()):
+                words, lengths = stored_words(batch, i)
+                yield name, *group_counts(words, lengths, order)
 
     def work(batches):
-        for name, _, lengths, words in groups_of(batches, chars):
-            unique, counts = group_counts(words, lengths, order)
+        for name, unique, counts in group_asks(batches):
             bucket = (unique >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(unique), np.int64)
             starts = np.nonzero(np.r_[True, bucket[1:] != bucket[:-1]])[0]
             ends = np.r_[starts[1:], len(unique)]
@@ -115,7 +128,7 @@ def asks(docs: DataFrame, order: int, bits: int, chars: int) -> DataFrame:
                 ASKS, (pa.int64(), pa.string(), pa.binary(), pa.binary()),
             )
 
-    return docs.mapInArrow(work, ASKS)
+    return groups.select("id", "lengths", "vocabulary", "words").mapInArrow(work, ASKS)
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -195,18 +208,18 @@ def score_documents(docs: DataFrame, order: int = ORDER, chars: int = GROUP_CHAR
     docs = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(size * order // BUCKET_BYTES).bit_length())
-    told = stage(answers(asks(docs, order, bits, chars)), "lm-answers")
+    groups = stage(packed_groups(docs, chars), "lm-groups")
+    told = stage(answers(asks(groups, order, bits)), "lm-answers")
     told = told.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("told"))
-    groups = packed_groups(docs, chars).join(told, "id")
+    groups = groups.join(told, "id")
 
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, lengths = batch.column(1)[i].as_py(), np.array(batch.column(2)[i].as_py(), np.int64)
-                vocabulary = np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
-                words = vocabulary[opened(batch.column(4)[i].as_py(), np.uint32)] if len(vocabulary) else np.zeros(0, np.uint64)
+                ids = batch.column("doc_ids")[i].as_py()
+                words, lengths = stored_words(batch, i)
                 unique, _ = group_counts(words, lengths, order)
-                total = np.concatenate([opened(x["counts"], np.uint64) for x in batch.column(5)[i].as_py()])
+                total = np.concatenate([opened(x["counts"], np.uint64) for x in batch.column("told")[i].as_py()])
                 score, off, unseen = score_group(words, lengths, unique, total, order)
                 mean = [s / n if n else None for s, n in zip(score.tolist(), lengths.tolist(), strict=True)]
                 yield _rows([ids, lengths, score, mean, off, unseen], SCORES, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()])
