@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoweather.plans.tables import _delete_path
 from geoweather.session import scratch_path
 
 
@@ -23,11 +24,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and return a frame over the files."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str, once: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and return a frame over the files.
+
+    With ``once``, ``df`` is not run again: its shuffle files are deleted as soon as it is written.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    if once:
+        spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete the files of frames made by ``stage``, which nothing reads any more."""
+    for df in staged:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            _delete_path(df.sparkSession, folder)
 
 
 def text_or_empty(col: str = "text") -> Column:

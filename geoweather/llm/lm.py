@@ -10,7 +10,14 @@ scoring read the same stored groups, so no group can be lost between the two).
 n-gram hashes (64 bits), summed, are cut into buckets by their leading bits and shuffled as packed
 arrays, one row a group and bucket: counts are combined before the shuffle, and a frequent
 n-gram is one entry a group.  Each bucket merges its arrays to its part of the count table, joins it with
-the arrays and answers every group.  Groups and answers are joined, and scores summed per document.
+the arrays and answers every group, with counts only for the n-grams that other groups have too.
+
+Counts are asked for twice.  First for words and pairs of words; words without a pair that occurs in
+another document are scored at once.  Then for longer n-grams, and only for those whose pairs all
+occur in another document: an n-gram seen elsewhere has no other pairs, and an n-gram that is not
+asked for occurs in one document only, so this drops no count that a score needs.  Words that no
+such n-gram holds are not kept for the second time.  Scores are summed per document.  Shuffles and tables
+are deleted when the next table is written.
 
 Words are split at ASCII white space, A-Z lower-cased.  Null and wordless texts have 0 words,
 score 0 and null mean.  Rows that repeat are documents of their own.  An empty table gives an
@@ -27,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.llm.common import stage, table, text_or_empty
+from geoweather.llm.common import discard, stage, table, text_or_empty
 from geoweather.llm.texts import MIX, scramble, text_groups, word_hashes
 
 ORDER = 5
@@ -36,9 +43,12 @@ GROUP_CHARS = 2_400_000
 BUCKET_BYTES = 16 << 20  # of text per bucket, counted once for each order
 EMPTY = np.uint64(0x5DEECE66D)  # hash of the n-gram of no words
 
+FIRST = 2  # orders up to this one are asked for first
+
 ASKS = "bucket bigint, id string, hashes binary, counts binary"
-ANSWERS = "bucket bigint, id string, counts binary"
+ANSWERS = "bucket bigint, id string, seen binary, more binary"
 GROUPS = "id string, doc_ids array<bigint>, lengths array<bigint>, vocabulary binary, words binary"
+OPEN = GROUPS + ", pairs binary, context binary, score array<double>, off array<bigint>, unseen array<bigint>"
 SCORES = "doc_id bigint, n_words bigint, log_score double, mean_score double, n_backed_off bigint, n_unseen bigint"
 
 
@@ -54,14 +64,61 @@ def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.
     return out
 
 
-def group_counts(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def first_grams(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """n-grams asked for first, the document of each (-1 for EMPTY, the first one), and the positions of each order."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    at = [np.nonzero(place >= n)[0] for n in range(min(order, FIRST))]
+    hashes = ngram_hashes(words, lengths, min(order, FIRST))
+    grams = [np.full(1, EMPTY), *[h[x] for h, x in zip(hashes, at, strict=True)]]
+    return np.concatenate(grams), np.concatenate([np.full(1, -1), *[doc[x] for x in at]]), at
+
+
+def later_grams(words: np.ndarray, lengths: np.ndarray, paired: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Longer n-grams whose pairs all end at a position of ``paired``, the document of each, and the positions of each order."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    at, now = [], paired
+    for _ in range(FIRST, order):  # the pair that ends one word earlier belongs to the same document, as this pair begins there
+        now = now & np.r_[False, now[:-1]][: len(now)]
+        at.append(np.nonzero(now)[0])
+    hashes = ngram_hashes(words, lengths, order)[FIRST:]
+    none = np.zeros(0, np.uint64)
+    return np.concatenate([none, *[h[x] for h, x in zip(hashes, at, strict=True)]]), np.concatenate([none.astype(np.int64), *[doc[x] for x in at]]), at
+
+
+def counted(grams: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-grams of a group with their counts; the empty one counts all words."""
-    grams = np.concatenate([np.full(1, EMPTY), *ngram_hashes(words, lengths, order)])
     unique, counts = np.unique(grams, return_counts=True)
-    counts[np.searchsorted(unique, EMPTY)] = len(words)
+    at = np.searchsorted(unique, EMPTY)
+    if at < len(unique) and unique[at] == EMPTY:
+        counts[at] = n_words
     return unique, counts
 
 
+def elsewhere(grams: np.ndarray, docs: np.ndarray, told: list[dict], bits: int) -> np.ndarray:
+    """Count of each n-gram in all documents but its own; ``told`` are the answers in order of the buckets."""
+    if not len(grams):
+        return np.zeros(0)
+    by = np.argsort(grams, kind="stable")  # documents ascend among equal n-grams
+    g, d = grams[by], docs[by]
+    new = np.r_[True, g[1:] != g[:-1]]
+    gram, run = np.cumsum(new) - 1, np.cumsum(new | np.r_[True, d[1:] != d[:-1]]) - 1
+    out = np.empty(len(g))
+    out[by] = np.bincount(gram)[gram] + told_counts(told, g[new], bits)[gram] - np.bincount(run)[run]
+    return out
+
+
+def told_counts(told: list[dict], unique: np.ndarray, bits: int) -> np.ndarray:
+    """Other groups' counts of a group's sorted distinct n-grams."""
+    bucket = unique >> np.uint64(64 - bits) if bits else np.zeros(len(unique), np.uint64)
+    starts = np.nonzero(np.r_[True, bucket[1:] != bucket[:-1]])[0]
+    out = np.zeros(len(unique))
+    for x, a, b in zip(told, starts, np.r_[starts[1:], len(unique)], strict=True):
+        seen = np.unpackbits(np.frombuffer(x["seen"], np.uint8), count=b - a).astype(bool)
+        out[a:b][seen] = opened(x["more"], np.uint64)
+    return out
+
+
 def pack_sorted(hashes: np.ndarray) -> bytes:
     """Differences in six bytes each, after the first value; in eight if one is larger."""
     steps = np.diff(hashes)
@@ -79,11 +136,14 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def squeezed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    """Compressed, all lowest bytes first, so that the empty high bytes of small numbers take no room."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def opened(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def groups_of(batches, chars: int):
@@ -104,18 +164,29 @@ def _rows(columns: list[list], schema: str, kinds) -> pa.RecordBatch:
 def stored_words(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and words per document of the group in row i of a batch with the columns lengths, vocabulary, words."""
     lengths, vocabulary, numbers = (batch.column(c)[i].as_py() for c in ("lengths", "vocabulary", "words"))
-    hashes = np.frombuffer(vocabulary, np.uint64)
-    return hashes[opened(numbers, np.uint32)] if len(hashes) else np.zeros(0, np.uint64), np.array(lengths, np.int64)
+    words = unpack_sorted(vocabulary)[opened(numbers, np.uint32)] if vocabulary else np.zeros(0, np.uint64)
+    return words, np.array(lengths, np.int64)
+
+
+def packed_words(words: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted vocabulary and numbers in it; the vocabulary of no words is empty."""
+    vocabulary, numbers = np.unique(words, return_inverse=True)
+    return pack_sorted(vocabulary) if len(vocabulary) else b"", squeezed(numbers.astype(np.uint32))
 
 
-def asks(groups: DataFrame, order: int, bits: int) -> DataFrame:
-    """Packed n-grams and counts of every group (columns of GROUPS), one row a bucket that has any (columns of ASKS)."""
+def asks(groups: DataFrame, order: int, bits: int, first: bool) -> DataFrame:
+    """Packed n-grams and counts of every group (columns of GROUPS, or of OPEN for the longer n-grams), one row a bucket that has any (columns of ASKS)."""
 
     def group_asks(batches):
         for batch in batches:
             for i, name in enumerate(batch.column("id").to_pylist()):
                 words, lengths = stored_words(batch, i)
-                yield name, *group_counts(words, lengths, order)
+                if first:
+                    grams, _, _ = first_grams(words, lengths, order)
+                else:
+                    grams, _, _ = later_grams(words, lengths, opened(batch.column("pairs")[i].as_py(), np.uint64) > 0, order)
+                if len(grams):
+                    yield name, *counted(grams, len(words))
 
     def work(batches):
         for name, unique, counts in group_asks(batches):
@@ -128,23 +199,28 @@ def asks(groups: DataFrame, order: int, bits: int) -> DataFrame:
                 ASKS, (pa.int64(), pa.string(), pa.binary(), pa.binary()),
             )
 
-    return groups.select("id", "lengths", "vocabulary", "words").mapInArrow(work, ASKS)
+    return groups.select("id", "lengths", "vocabulary", "words", *[] if first else ["pairs"]).mapInArrow(work, ASKS)
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """Each bucket's count table joined with the arrays that asked (columns of ANSWERS)."""
+    """Each bucket's count table joined with the arrays that asked (columns of ANSWERS).
+
+    ``seen`` has a bit for each n-gram, set if other groups have it, ``more`` their counts of those.
+    """
 
     def answer(bucket, rows):
         hashes = [unpack_sorted(h) for _, h, _ in rows]
-        counts = np.concatenate([opened(c, np.uint32) for _, _, c in rows]).astype(np.float64)
+        counts = [opened(c, np.uint32) for _, _, c in rows]
         _, place = np.unique(np.concatenate(hashes), return_inverse=True)
-        total = np.bincount(place, weights=counts).astype(np.uint64)
+        total = np.bincount(place, weights=np.concatenate(counts).astype(np.float64)).astype(np.uint64)
         ends = np.cumsum([len(h) for h in hashes])
         out = {}
-        for (name, _, _), h, end in zip(rows, hashes, ends, strict=True):
+        for (name, _, _), own, end in zip(rows, counts, ends, strict=True):
             if name not in out:
-                out[name] = squeezed(total[place[end - len(h) : end]])
-        return _rows([[bucket] * len(out), list(out), list(out.values())], ANSWERS, (pa.int64(), pa.string(), pa.binary()))
+                more = total[place[end - len(own) : end]] - own
+                out[name] = np.packbits(more > 0).tobytes(), squeezed(more[more > 0])
+        columns = [[bucket] * len(out), list(out), *map(list, zip(*out.values(), strict=True))]
+        return _rows(columns, ANSWERS, (pa.int64(), pa.string(), pa.binary(), pa.binary()))
 
     def work(batches):
         now, rows = None, []
@@ -166,65 +242,113 @@ def packed_groups(docs: DataFrame, chars: int) -> DataFrame:
 
     def work(batches):
         for name, ids, lengths, words in groups_of(batches, chars):
-            vocabulary, numbers = np.unique(words, return_inverse=True)
+            vocabulary, numbers = packed_words(words)
             yield _rows(
-                [[name], [ids], [lengths.tolist()], [vocabulary.tobytes()], [squeezed(numbers.astype(np.uint32))]],
+                [[name], [ids], [lengths.tolist()], [vocabulary], [numbers]],
                 GROUPS, (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()),
             )
 
     return docs.mapInArrow(work, GROUPS)
 
 
-def score_group(words: np.ndarray, lengths: np.ndarray, unique: np.ndarray, total: np.ndarray, order: int):
-    """Per document: sum of log scores, words backed off, words unseen elsewhere.
-
-    ``total`` has the corpus counts of the n-grams in ``unique``.
-    """
+def begin(words: np.ndarray, lengths: np.ndarray, told: list[dict], order: int, bits: int):
+    """Counts of pairs elsewhere and of their contexts (0 if not seen elsewhere), and sums of the other words' scores per document."""
     n = len(words)
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    size = total[np.searchsorted(unique, EMPTY)]
-    elsewhere = [(size - lengths[doc]).astype(np.float64)]
-    for grams in ngram_hashes(words, lengths, order):
-        at = np.searchsorted(unique, grams)
-        _, back, own = np.unique(doc * len(unique) + at, return_inverse=True, return_counts=True)
-        elsewhere.append(total[at].astype(np.float64) - own[back])
-    log_score, done = np.zeros(n), np.zeros(n, bool)
-    most = np.minimum(order, place + 1)
-    backed_off = np.zeros(n, bool)
-    for k in range(order, 0, -1):
-        context = elsewhere[0] if k == 1 else np.r_[0.0, elsewhere[k - 1][:-1]]
-        now = ~done & (k <= most) & (elsewhere[k] > 0)
-        log_score[now] = np.log(elsewhere[k][now] / context[now]) + (most - k)[now] * np.log(BACKOFF)
-        backed_off |= now & (k < most)
-        done |= now
-    log_score[~done] = -np.log(elsewhere[0][~done] + 1) + most[~done] * np.log(BACKOFF)
+    grams, docs, at = first_grams(words, lengths, order)
+    counts = elsewhere(grams, docs, told, bits)
+    doc, most = docs[1 : n + 1], np.minimum(order, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1)
+    others, single = counts[0] + n - lengths[doc], counts[1 : n + 1]  # counts[0]: words of other groups
+    pairs, context = np.zeros(n), np.zeros(n)
+    if order > 1:
+        pairs[at[1]] = counts[n + 1 :]
+        context[at[1]] = np.where(pairs[at[1]] > 0, single[at[1] - 1], 0)
+    seen, paired = single > 0, pairs > 0
+    score = np.zeros(n)
+    score[seen] = np.log(single[seen] / others[seen])
+    score[~seen] = -np.log(others[~seen] + 1)
+    score += np.where(seen, most - 1, most) * np.log(BACKOFF)
+    score[paired] = 0.0
+    add = lambda w: np.bincount(doc, weights=w, minlength=len(lengths))
+    off, unseen = add(~paired & (~seen | (most > 1))), add(~seen)
+    return pairs.astype(np.uint64), context.astype(np.uint64), add(score), off.astype(np.int64), unseen.astype(np.int64)
+
+
+def finish(words: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, context: np.ndarray, told: list[dict], order: int, bits: int):
+    """Sums of scores, and of words backed off, per document, of the words that end a pair seen elsewhere."""
+    n, paired = len(words), pairs > 0
+    doc, most = np.repeat(np.arange(len(lengths)), lengths), np.minimum(order, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1)
+    score, reached = np.zeros(n), np.full(n, FIRST)
+    score[paired] = np.log(pairs[paired] / context[paired]) + (most[paired] - FIRST) * np.log(BACKOFF)
+    if order > FIRST:
+        grams, docs, at = later_grams(words, lengths, paired, order)
+        counts = elsewhere(grams, docs, told, bits)
+        before, start = pairs.astype(np.float64), 0
+        for k, x in enumerate(at, FIRST + 1):
+            now, start = np.zeros(n), start + len(x)
+            now[x] = counts[start - len(x) : start]
+            x = x[now[x] > 0]
+            score[x] = np.log(now[x] / before[x - 1]) + (most[x] - k) * np.log(BACKOFF)
+            reached[x], before = k, now
     add = lambda w: np.bincount(doc, weights=w, minlength=len(lengths))
-    return add(log_score), add(backed_off | ~done).astype(np.int64), add(~done).astype(np.int64)
+    return add(score), add(paired & (reached < most)).astype(np.int64)
+
+
+def with_answers(groups: DataFrame, answered: DataFrame) -> DataFrame:
+    """``groups`` with the answers in order of the buckets (null if nothing was asked)."""
+    told = answered.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("bucket", "seen", "more"))).alias("told"))
+    return groups.join(told, "id", "left")
+
+
+def opened_groups(groups: DataFrame, order: int, bits: int) -> DataFrame:
+    """What is left to do for every group after the first answers (columns of OPEN)."""
+    kinds = (
+        pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(),
+        pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()),
+    )
+
+    def work(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, lengths = stored_words(batch, i)
+                pairs, context, *sums = begin(words, lengths, batch.column("told")[i].as_py(), order, bits)
+                paired = pairs > 0
+                kept = paired | np.r_[paired[1:], False][: len(paired)]
+                rest = np.where(kept, words, words[kept][0] if kept.any() else EMPTY)
+                same = [batch.column(c)[i].as_py() for c in ("id", "doc_ids", "lengths")]
+                columns = [*same, *packed_words(rest), squeezed(pairs), squeezed(context), *[x.tolist() for x in sums]]
+                yield _rows([[c] for c in columns], OPEN, kinds)
+
+    return groups.select("id", "doc_ids", "lengths", "vocabulary", "words", "told").mapInArrow(work, OPEN)
 
 
 def score_documents(docs: DataFrame, order: int = ORDER, chars: int = GROUP_CHARS) -> DataFrame:
     """Stupid-backoff scores (columns of SCORES) of each row of ``docs`` by the counts of all other rows."""
     docs = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, int(size * order // BUCKET_BYTES).bit_length())
-    groups = stage(packed_groups(docs, chars), "lm-groups")
-    told = stage(answers(asks(groups, order, bits)), "lm-answers")
-    told = told.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("told"))
-    groups = groups.join(told, "id")
+    bits = [max(0, int(size * n // BUCKET_BYTES).bit_length()) for n in (min(order, FIRST), max(1, order - FIRST))]
+    groups = stage(packed_groups(docs, chars), "lm-groups", once=True)
+    told = stage(answers(asks(groups, order, bits[0], first=True)), "lm-answers", once=True)
+    left = stage(opened_groups(with_answers(groups, told), order, bits[0]), "lm-open", once=True)
+    discard(groups, told)
+    if order > FIRST:
+        told = stage(answers(asks(left, order, bits[1], first=False)), "lm-longer", once=True)
+        left = with_answers(left, told)
+    else:
+        left = left.withColumn("told", F.lit(None).cast("array<struct<bucket:bigint,seen:binary,more:binary>>"))
 
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = batch.column("doc_ids")[i].as_py()
                 words, lengths = stored_words(batch, i)
-                unique, _ = group_counts(words, lengths, order)
-                total = np.concatenate([opened(x["counts"], np.uint64) for x in batch.column("told")[i].as_py()])
-                score, off, unseen = score_group(words, lengths, unique, total, order)
+                pairs, context = (opened(batch.column(c)[i].as_py(), np.uint64) for c in ("pairs", "context"))
+                ids, score, off, unseen, told = (batch.column(c)[i].as_py() for c in ("doc_ids", "score", "off", "unseen", "told"))
+                more, more_off = finish(words, lengths, pairs, context, told or [], order, bits[1])
+                score, off = np.array(score) + more, np.array(off, np.int64) + more_off
                 mean = [s / n if n else None for s, n in zip(score.tolist(), lengths.tolist(), strict=True)]
                 yield _rows([ids, lengths, score, mean, off, unseen], SCORES, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()])
 
-    return groups.select("id", "doc_ids", "lengths", "vocabulary", "words", "told").mapInArrow(work, SCORES)
+    used = ("doc_ids", "lengths", "vocabulary", "words", "pairs", "context", "score", "off", "unseen", "told")
+    return left.select(*used).mapInArrow(work, SCORES)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

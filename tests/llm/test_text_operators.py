@@ -186,7 +186,7 @@ def plain_scores(rows, order):
     return out
 
 
-@pytest.mark.parametrize(("order", "chars"), [(2, 6_000_000), (3, 20_000)])
+@pytest.mark.parametrize(("order", "chars"), [(1, 20_000), (2, 6_000_000), (2, 20_000), (3, 20_000), (5, 20_000), (5, 6_000_000)])
 def test_scores_match_plain_counts(spark, order, chars):
     rows = documents(spark).select("doc_id", "text").orderBy("doc_id").limit(60).collect()
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -195,6 +195,26 @@ def test_scores_match_plain_counts(spark, order, chars):
         assert got[r.doc_id].n_words == n and got[r.doc_id].log_score == pytest.approx(total, rel=1e-9)
 
 
+def test_query_scores_match_plain_counts_on_whole_table(spark):
+    rows = documents(spark).select("doc_id", "text").orderBy("doc_id").collect()
+    want = {r.doc_id: x for r, x in zip(rows, plain_scores([r.text for r in rows], lm.ORDER), strict=True)}
+    got = {r.doc_id: (r.n_words, r.log_score) for r in lm.query(spark, SF).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == n and got[k][1] == pytest.approx(total, rel=1e-9) for k, (n, total) in want.items())
+
+
+def test_scores_of_repeated_groups(spark, monkeypatch):
+    """Equal groups of equal rows share an id; each counts for the other."""
+    texts = ["a b c d e f", "a b c x", "", "b c d e", "q r s", None]
+    df = spark.createDataFrame([(i % 6, texts[i % 6]) for i in range(24)], "doc_id bigint, text string").repartition(5, "doc_id")
+    for buckets in (1 << 20, 8):
+        monkeypatch.setattr(lm, "BUCKET_BYTES", buckets)
+        got = {(r.doc_id, r.log_score) for r in lm.score_documents(df, 5, 1).collect()}
+        assert len(got) == 6
+        for i, total in got:
+            assert total == pytest.approx(plain_scores(texts * 4, 5)[i][1], rel=1e-9)
+
+
 def test_score_query_uses_long_contexts(spark, tmp_path):
     texts = ["a b c d e", "a b c d e", "x b c d f", "y z c d g", "q q q d h"] * 2
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -218,6 +238,7 @@ def test_sorted_hashes_pack_and_unpack():
         for top in (1 << 20, 1 << 63):
             h = np.unique(rng.integers(0, top, n, dtype=np.uint64))
             assert not len(h) or (lm.unpack_sorted(lm.pack_sorted(h)) == h).all()
+            assert (lm.opened(lm.squeezed(h), np.uint64) == h).all()
 
 
 # ---------------------------------------------------------------- quality
