@@ -12,7 +12,8 @@ arrays, one row a group and bucket: counts are combined before the shuffle, and
 n-gram is one entry a group.  Each bucket merges its arrays to its part of the count table, joins it with
 the arrays and answers every group, with counts only for the n-grams that other groups have too.
 
-Counts are asked for twice.  First for words and pairs of words; words without a pair that occurs in
+Counts are asked for order by order, so that one order's n-grams at a time lie in shuffle files.  First for words and
+pairs of words; words without a pair that occurs in
 another document are scored at once.  Then for longer n-grams, and only for those whose pairs all
 occur in another document: an n-gram seen elsewhere has no other pairs, and an n-gram that is not
 asked for occurs in one document only, so this drops no count that a score needs.  Words that no
@@ -34,18 +35,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.llm.common import discard, stage, table, text_or_empty
+from geoweather.llm.common import discard, stage, table, text_or_empty, tidy
 from geoweather.llm.texts import MIX, scramble, text_groups, word_hashes
 
 ORDER = 5
 BACKOFF = 0.4
 GROUP_CHARS = 2_400_000
-BUCKET_BYTES = 16 << 20  # of text per bucket, counted once for each order
+BUCKET_BYTES = 8 << 20  # of text per bucket of an order
 EMPTY = np.uint64(0x5DEECE66D)  # hash of the n-gram of no words
 
 FIRST = 2  # orders up to this one are asked for first
+FREQUENT = 255  # words of a group that are numbered first
 
-ASKS = "bucket bigint, id string, hashes binary, counts binary"
+ASKS = "bucket bigint, id string, hashes binary, counts binary"  # of n-grams of one order
 ANSWERS = "bucket bigint, id string, seen binary, more binary"
 GROUPS = "id string, doc_ids array<bigint>, lengths array<bigint>, vocabulary binary, words binary"
 OPEN = GROUPS + ", pairs binary, context binary, score array<double>, off array<bigint>, unseen array<bigint>"
@@ -64,35 +66,21 @@ def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.
     return out
 
 
-def first_grams(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """n-grams asked for first, the document of each (-1 for EMPTY, the first one), and the positions of each order."""
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    at = [np.nonzero(place >= n)[0] for n in range(min(order, FIRST))]
-    hashes = ngram_hashes(words, lengths, min(order, FIRST))
-    grams = [np.full(1, EMPTY), *[h[x] for h, x in zip(hashes, at, strict=True)]]
-    return np.concatenate(grams), np.concatenate([np.full(1, -1), *[doc[x] for x in at]]), at
-
+def places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Document of each word, and how many words of the document come before it."""
+    return np.repeat(np.arange(len(lengths)), lengths), np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
-def later_grams(words: np.ndarray, lengths: np.ndarray, paired: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Longer n-grams whose pairs all end at a position of ``paired``, the document of each, and the positions of each order."""
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    at, now = [], paired
-    for _ in range(FIRST, order):  # the pair that ends one word earlier belongs to the same document, as this pair begins there
-        now = now & np.r_[False, now[:-1]][: len(now)]
-        at.append(np.nonzero(now)[0])
-    hashes = ngram_hashes(words, lengths, order)[FIRST:]
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *[h[x] for h, x in zip(hashes, at, strict=True)]]), np.concatenate([none.astype(np.int64), *[doc[x] for x in at]]), at
 
+def asked(words: np.ndarray, lengths: np.ndarray, order: int, paired: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the n-grams of this order that are asked for, and their hashes.
 
-def counted(grams: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct n-grams of a group with their counts; the empty one counts all words."""
-    unique, counts = np.unique(grams, return_counts=True)
-    at = np.searchsorted(unique, EMPTY)
-    if at < len(unique) and unique[at] == EMPTY:
-        counts[at] = n_words
-    return unique, counts
+    Those are all up to ``FIRST``; longer ones if all their pairs end at a position of ``paired``.
+    """
+    at = places(lengths)[1] >= order - 1
+    for k in range(order - 1 if order > FIRST else 0):
+        at &= np.r_[np.zeros(k, bool), paired][: len(paired)]
+    at = np.nonzero(at)[0]
+    return at, ngram_hashes(words, lengths, order)[-1][at]
 
 
 def elsewhere(grams: np.ndarray, docs: np.ndarray, told: list[dict], bits: int) -> np.ndarray:
@@ -164,29 +152,42 @@ def _rows(columns: list[list], schema: str, kinds) -> pa.RecordBatch:
 def stored_words(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and words per document of the group in row i of a batch with the columns lengths, vocabulary, words."""
     lengths, vocabulary, numbers = (batch.column(c)[i].as_py() for c in ("lengths", "vocabulary", "words"))
-    words = unpack_sorted(vocabulary)[opened(numbers, np.uint32)] if vocabulary else np.zeros(0, np.uint64)
-    return words, np.array(lengths, np.int64)
+    return unpacked_words(vocabulary, numbers), np.array(lengths, np.int64)
 
 
 def packed_words(words: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted vocabulary and numbers in it; the vocabulary of no words is empty."""
-    vocabulary, numbers = np.unique(words, return_inverse=True)
-    return pack_sorted(vocabulary) if len(vocabulary) else b"", squeezed(numbers.astype(np.uint32))
+    """Vocabulary, the ``FREQUENT`` most frequent words first, and numbers in it; the vocabulary of few words has no second part."""
+    vocabulary, numbers, counts = np.unique(words, return_inverse=True, return_counts=True)
+    rare = np.ones(len(vocabulary), bool)
+    rare[np.argsort(-counts, kind="stable")[:FREQUENT]] = False
+    new = np.where(rare, np.cumsum(rare) - 1 + np.count_nonzero(~rare), np.cumsum(~rare) - 1)
+    parts = [pack_sorted(part) if len(part) else b"" for part in (vocabulary[~rare], vocabulary[rare])]
+    return len(parts[0]).to_bytes(4, "little") + parts[0] + parts[1], squeezed(new[numbers].astype(np.uint32))
+
+
+def unpacked_words(vocabulary: bytes, numbers: bytes) -> np.ndarray:
+    end = 4 + int.from_bytes(vocabulary[:4], "little")
+    parts = [unpack_sorted(part) if part else np.zeros(0, np.uint64) for part in (vocabulary[4:end], vocabulary[end:])]
+    return np.concatenate(parts)[opened(numbers, np.uint32)]
+
 
+def asks(groups: DataFrame, order: int, bits: int) -> DataFrame:
+    """Packed n-grams of one order and their counts of every group, one row a bucket that has any (columns of ASKS).
 
-def asks(groups: DataFrame, order: int, bits: int, first: bool) -> DataFrame:
-    """Packed n-grams and counts of every group (columns of GROUPS, or of OPEN for the longer n-grams), one row a bucket that has any (columns of ASKS)."""
+    ``groups`` has the columns of GROUPS, of OPEN beyond ``FIRST``.  With the words, EMPTY is asked for; it counts all words.
+    """
+    later = order > FIRST
 
     def group_asks(batches):
         for batch in batches:
             for i, name in enumerate(batch.column("id").to_pylist()):
                 words, lengths = stored_words(batch, i)
-                if first:
-                    grams, _, _ = first_grams(words, lengths, order)
-                else:
-                    grams, _, _ = later_grams(words, lengths, opened(batch.column("pairs")[i].as_py(), np.uint64) > 0, order)
-                if len(grams):
-                    yield name, *counted(grams, len(words))
+                _, grams = asked(words, lengths, order, opened(batch.column("pairs")[i].as_py(), np.uint64) > 0 if later else None)
+                unique, counts = np.unique(grams if order > 1 else np.r_[EMPTY, grams], return_counts=True)
+                if order == 1:
+                    counts[np.searchsorted(unique, EMPTY)] = len(words)
+                if len(unique):
+                    yield name, unique, counts
 
     def work(batches):
         for name, unique, counts in group_asks(batches):
@@ -199,7 +200,7 @@ def asks(groups: DataFrame, order: int, bits: int, first: bool) -> DataFrame:
                 ASKS, (pa.int64(), pa.string(), pa.binary(), pa.binary()),
             )
 
-    return groups.select("id", "lengths", "vocabulary", "words", *[] if first else ["pairs"]).mapInArrow(work, ASKS)
+    return groups.select("id", "lengths", "vocabulary", "words", *["pairs"] * later).mapInArrow(tidy(work), ASKS)
 
 
 def answers(asked: DataFrame) -> DataFrame:
@@ -234,7 +235,7 @@ def answers(asked: DataFrame) -> DataFrame:
         if rows:
             yield answer(now, rows)
 
-    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, ANSWERS)
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(work), ANSWERS)
 
 
 def packed_groups(docs: DataFrame, chars: int) -> DataFrame:
@@ -248,20 +249,21 @@ def packed_groups(docs: DataFrame, chars: int) -> DataFrame:
                 GROUPS, (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()),
             )
 
-    return docs.mapInArrow(work, GROUPS)
+    return docs.mapInArrow(tidy(work), GROUPS)
 
 
-def begin(words: np.ndarray, lengths: np.ndarray, told: list[dict], order: int, bits: int):
+def begin(words: np.ndarray, lengths: np.ndarray, told: list[list[dict]], order: int, bits: int):
     """Counts of pairs elsewhere and of their contexts (0 if not seen elsewhere), and sums of the other words' scores per document."""
     n = len(words)
-    grams, docs, at = first_grams(words, lengths, order)
-    counts = elsewhere(grams, docs, told, bits)
-    doc, most = docs[1 : n + 1], np.minimum(order, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1)
-    others, single = counts[0] + n - lengths[doc], counts[1 : n + 1]  # counts[0]: words of other groups
+    doc, place = places(lengths)
+    most = np.minimum(order, place + 1)
+    counts = elsewhere(np.r_[EMPTY, words], np.r_[-1, doc], told[0], bits)
+    others, single = counts[0] + n - lengths[doc], counts[1:]  # counts[0]: words of other groups
     pairs, context = np.zeros(n), np.zeros(n)
     if order > 1:
-        pairs[at[1]] = counts[n + 1 :]
-        context[at[1]] = np.where(pairs[at[1]] > 0, single[at[1] - 1], 0)
+        at, grams = asked(words, lengths, 2, None)
+        pairs[at] = elsewhere(grams, doc[at], told[1], bits)
+        context[at] = np.where(pairs[at] > 0, single[at - 1], 0)
     seen, paired = single > 0, pairs > 0
     score = np.zeros(n)
     score[seen] = np.log(single[seen] / others[seen])
@@ -273,32 +275,45 @@ def begin(words: np.ndarray, lengths: np.ndarray, told: list[dict], order: int,
     return pairs.astype(np.uint64), context.astype(np.uint64), add(score), off.astype(np.int64), unseen.astype(np.int64)
 
 
-def finish(words: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, context: np.ndarray, told: list[dict], order: int, bits: int):
+def finish(words: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, context: np.ndarray, told: list[list[dict]], order: int, bits: int):
     """Sums of scores, and of words backed off, per document, of the words that end a pair seen elsewhere."""
-    n, paired = len(words), pairs > 0
-    doc, most = np.repeat(np.arange(len(lengths)), lengths), np.minimum(order, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1)
-    score, reached = np.zeros(n), np.full(n, FIRST)
+    paired = pairs > 0
+    doc, place = places(lengths)
+    most = np.minimum(order, place + 1)
+    score, reached = np.zeros(len(words)), np.full(len(words), FIRST)
     score[paired] = np.log(pairs[paired] / context[paired]) + (most[paired] - FIRST) * np.log(BACKOFF)
-    if order > FIRST:
-        grams, docs, at = later_grams(words, lengths, paired, order)
-        counts = elsewhere(grams, docs, told, bits)
-        before, start = pairs.astype(np.float64), 0
-        for k, x in enumerate(at, FIRST + 1):
-            now, start = np.zeros(n), start + len(x)
-            now[x] = counts[start - len(x) : start]
-            x = x[now[x] > 0]
-            score[x] = np.log(now[x] / before[x - 1]) + (most[x] - k) * np.log(BACKOFF)
-            reached[x], before = k, now
+    before = pairs.astype(np.float64)
+    for k in range(FIRST + 1, order + 1):
+        at, grams = asked(words, lengths, k, paired)
+        now = np.zeros(len(words))
+        now[at] = elsewhere(grams, doc[at], told[k - FIRST - 1], bits)
+        at = at[now[at] > 0]
+        score[at] = np.log(now[at] / before[at - 1]) + (most[at] - k) * np.log(BACKOFF)
+        reached[at], before = k, now
     add = lambda w: np.bincount(doc, weights=w, minlength=len(lengths))
     return add(score), add(paired & (reached < most)).astype(np.int64)
 
 
-def with_answers(groups: DataFrame, answered: DataFrame) -> DataFrame:
-    """``groups`` with the answers in order of the buckets (null if nothing was asked)."""
-    told = answered.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("bucket", "seen", "more"))).alias("told"))
+def with_answers(groups: DataFrame, answered: list[DataFrame]) -> DataFrame:
+    """``groups`` with ``told``: for each of these answers those of the group, in order of the buckets."""
+    rows = None
+    for n, one in enumerate(answered):
+        one = one.select("id", F.lit(n).alias("n"), "bucket", "seen", "more")
+        rows = one if rows is None else rows.unionByName(one)
+    if rows is None:
+        return groups.withColumn("told", F.lit(None).cast("array<struct<n:int,bucket:bigint,seen:binary,more:binary>>"))
+    told = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "bucket", "seen", "more"))).alias("told"))
     return groups.join(told, "id", "left")
 
 
+def told_to(batch: pa.RecordBatch, i: int, n: int) -> list[list[dict]]:
+    """The answers of each of ``n`` orders to the group in row i, in order of the buckets."""
+    out = [[] for _ in range(n)]
+    for x in batch.column("told")[i].as_py() or []:
+        out[x["n"]].append(x)
+    return out
+
+
 def opened_groups(groups: DataFrame, order: int, bits: int) -> DataFrame:
     """What is left to do for every group after the first answers (columns of OPEN)."""
     kinds = (
@@ -310,7 +325,7 @@ def opened_groups(groups: DataFrame, order: int, bits: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 words, lengths = stored_words(batch, i)
-                pairs, context, *sums = begin(words, lengths, batch.column("told")[i].as_py(), order, bits)
+                pairs, context, *sums = begin(words, lengths, told_to(batch, i, min(order, FIRST)), order, bits)
                 paired = pairs > 0
                 kept = paired | np.r_[paired[1:], False][: len(paired)]
                 rest = np.where(kept, words, words[kept][0] if kept.any() else EMPTY)
@@ -318,37 +333,37 @@ def opened_groups(groups: DataFrame, order: int, bits: int) -> DataFrame:
                 columns = [*same, *packed_words(rest), squeezed(pairs), squeezed(context), *[x.tolist() for x in sums]]
                 yield _rows([[c] for c in columns], OPEN, kinds)
 
-    return groups.select("id", "doc_ids", "lengths", "vocabulary", "words", "told").mapInArrow(work, OPEN)
+    return groups.select("id", "doc_ids", "lengths", "vocabulary", "words", "told").mapInArrow(tidy(work), OPEN)
 
 
 def score_documents(docs: DataFrame, order: int = ORDER, chars: int = GROUP_CHARS) -> DataFrame:
     """Stupid-backoff scores (columns of SCORES) of each row of ``docs`` by the counts of all other rows."""
     docs = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = [max(0, int(size * n // BUCKET_BYTES).bit_length()) for n in (min(order, FIRST), max(1, order - FIRST))]
+    bits = max(0, int(size // BUCKET_BYTES).bit_length())
+
+    def told(groups, orders):
+        return [stage(answers(asks(groups, n, bits)), f"lm-answers-{n}", once=True) for n in orders]
+
     groups = stage(packed_groups(docs, chars), "lm-groups", once=True)
-    told = stage(answers(asks(groups, order, bits[0], first=True)), "lm-answers", once=True)
-    left = stage(opened_groups(with_answers(groups, told), order, bits[0]), "lm-open", once=True)
-    discard(groups, told)
-    if order > FIRST:
-        told = stage(answers(asks(left, order, bits[1], first=False)), "lm-longer", once=True)
-        left = with_answers(left, told)
-    else:
-        left = left.withColumn("told", F.lit(None).cast("array<struct<bucket:bigint,seen:binary,more:binary>>"))
+    first = told(groups, range(1, min(order, FIRST) + 1))
+    left = stage(opened_groups(with_answers(groups, first), order, bits), "lm-open", once=True)
+    discard(groups, *first)
+    left = with_answers(left, told(left, range(FIRST + 1, order + 1)))
 
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 words, lengths = stored_words(batch, i)
                 pairs, context = (opened(batch.column(c)[i].as_py(), np.uint64) for c in ("pairs", "context"))
-                ids, score, off, unseen, told = (batch.column(c)[i].as_py() for c in ("doc_ids", "score", "off", "unseen", "told"))
-                more, more_off = finish(words, lengths, pairs, context, told or [], order, bits[1])
+                ids, score, off, unseen = (batch.column(c)[i].as_py() for c in ("doc_ids", "score", "off", "unseen"))
+                more, more_off = finish(words, lengths, pairs, context, told_to(batch, i, max(0, order - FIRST)), order, bits)
                 score, off = np.array(score) + more, np.array(off, np.int64) + more_off
                 mean = [s / n if n else None for s, n in zip(score.tolist(), lengths.tolist(), strict=True)]
                 yield _rows([ids, lengths, score, mean, off, unseen], SCORES, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()])
 
     used = ("doc_ids", "lengths", "vocabulary", "words", "pairs", "context", "score", "off", "unseen", "told")
-    return left.select(*used).mapInArrow(work, SCORES)
+    return left.select(*used).mapInArrow(tidy(work), SCORES)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
