@@ -28,15 +28,17 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweather.llm.common import discard, stage, table, text_or_empty, tidy
-from geoweather.llm.texts import MIX, scramble, text_groups, word_hashes
+from geoweather.llm.texts import MIX, folded_words, text_groups
 
 ORDER = 5
 BACKOFF = 0.4
@@ -54,33 +56,46 @@ OPEN = GROUPS + ", pairs binary, context binary, score array<double>, off array<
 SCORES = "doc_id bigint, n_words bigint, log_score double, mean_score double, n_backed_off bigint, n_unseen bigint"
 
 
-def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]:
-    """Per order from 1, the hash of the n-gram that ends at each word; EMPTY where the text begins later."""
-    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out, h = [], words
-    for n in range(1, order + 1):
-        if n > 1:
-            before = np.r_[np.zeros(1, np.uint64), out[-1][:-1]][: len(words)]
-            h = scramble(before * MIX[0] + words + np.uint64(n))
-        out.append(np.where(place >= n - 1, h, EMPTY))
+def longer(hashes: np.ndarray, words: np.ndarray, order: int) -> np.ndarray:
+    """Hashes of the n-grams of this order that end at each word, from those of one word less; valid if the document has so many words there."""
+    out = np.zeros_like(words)
+    np.multiply(hashes[:-1], MIX[0], out=out[1:])
+    out += words
+    out += np.uint64(order)
+    shifted = out >> np.uint64(30)
+    for factor, shift in ((MIX[1], 27), (MIX[2], 31)):
+        out ^= shifted
+        out *= factor
+        np.right_shift(out, np.uint64(shift), out=shifted)
+    out ^= shifted
     return out
 
 
+def ngram_hashes(words: np.ndarray, order: int) -> np.ndarray:
+    """Hashes of the n-grams of this order that end at each word (a word's is its own)."""
+    hashes = words
+    for n in range(2, order + 1):
+        hashes = longer(hashes, words, n)
+    return hashes
+
+
 def places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Document of each word, and how many words of the document come before it."""
     return np.repeat(np.arange(len(lengths)), lengths), np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
-def asked(words: np.ndarray, lengths: np.ndarray, order: int, paired: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the n-grams of this order that are asked for, and their hashes.
+def asked(lengths: np.ndarray, order: int, paired: np.ndarray | None) -> np.ndarray:
+    """Positions where the n-grams of this order end that are asked for.
 
     Those are all up to ``FIRST``; longer ones if all their pairs end at a position of ``paired``.
     """
-    at = places(lengths)[1] >= order - 1
-    for k in range(order - 1 if order > FIRST else 0):
-        at &= np.r_[np.zeros(k, bool), paired][: len(paired)]
-    at = np.nonzero(at)[0]
-    return at, ngram_hashes(words, lengths, order)[-1][at]
+    if order <= FIRST:
+        return np.nonzero(places(lengths)[1] >= order - 1)[0]
+    at = paired.copy()  # a document's first word ends no pair
+    for k in range(1, order - 1):
+        at[:k] = False
+        at[k:] &= paired[:-k]
+    return np.nonzero(at)[0]
 
 
 def elsewhere(grams: np.ndarray, docs: np.ndarray, told: list[dict], bits: int) -> np.ndarray:
@@ -124,24 +139,39 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def squeezed(values: np.ndarray) -> bytes:
-    """Compressed, all lowest bytes first, so that the empty high bytes of small numbers take no room."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Compressed, all lowest bytes first; as many bytes of each number as the largest one has."""
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)[:, :width].T
+    return bytes([width]) + len(values).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def opened(data: bytes, kind) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    out = np.zeros((int.from_bytes(data[1:9], "little"), np.dtype(kind).itemsize), np.uint8)
+    if data[0]:
+        out[:, : data[0]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[9:]), np.uint8).reshape(data[0], -1).T
+    return out.view(kind).ravel()
+
+
+def numbered_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words in order of their first places, each word's number among them, words of each text."""
+    known: defaultdict[bytes, int] = defaultdict()
+    known.default_factory = known.__len__
+    numbers, lengths = [np.zeros(0, np.uint32)], []
+    for text in texts:
+        words = folded_words(text)
+        numbers.append(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+        lengths.append(len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known)), np.concatenate(numbers), np.array(lengths, np.int64)
 
 
 def groups_of(batches, chars: int):
-    """(id, doc ids, words per document, word hashes) of each group of documents; equal groups share an id."""
+    """(id, doc ids, vocabulary, word numbers, words per document) of each group of documents; equal groups share an id."""
     for batch in batches:
         ids = batch.column(0).to_pylist()
         for a, b, texts in text_groups(batch.column(1), chars):
-            words, lengths = word_hashes(texts)
-            name = hashlib.blake2b(repr(ids[a:b]).encode() + lengths.tobytes() + words.tobytes(), digest_size=16).hexdigest()
-            yield name, ids[a:b], lengths, words
+            vocabulary, numbers, lengths = numbered_words(texts)
+            said = repr(ids[a:b]).encode(), lengths.tobytes(), vocabulary.tobytes(), numbers.tobytes()
+            yield hashlib.blake2b(b"".join(said), digest_size=16).hexdigest(), ids[a:b], vocabulary, numbers, lengths
 
 
 def _rows(columns: list[list], schema: str, kinds) -> pa.RecordBatch:
@@ -149,26 +179,29 @@ def _rows(columns: list[list], schema: str, kinds) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def stored_words(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and words per document of the group in row i of a batch with the columns lengths, vocabulary, words."""
+def stored_words(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vocabulary, word numbers and words per document of the group in row i of a batch with the columns lengths, vocabulary, words."""
     lengths, vocabulary, numbers = (batch.column(c)[i].as_py() for c in ("lengths", "vocabulary", "words"))
-    return unpacked_words(vocabulary, numbers), np.array(lengths, np.int64)
+    return unpacked_vocabulary(vocabulary), opened(numbers, np.uint32), np.array(lengths, np.int64)
 
 
-def packed_words(words: np.ndarray) -> tuple[bytes, bytes]:
-    """Vocabulary, the ``FREQUENT`` most frequent words first, and numbers in it; the vocabulary of few words has no second part."""
-    vocabulary, numbers, counts = np.unique(words, return_inverse=True, return_counts=True)
-    rare = np.ones(len(vocabulary), bool)
-    rare[np.argsort(-counts, kind="stable")[:FREQUENT]] = False
-    new = np.where(rare, np.cumsum(rare) - 1 + np.count_nonzero(~rare), np.cumsum(~rare) - 1)
-    parts = [pack_sorted(part) if len(part) else b"" for part in (vocabulary[~rare], vocabulary[rare])]
-    return len(parts[0]).to_bytes(4, "little") + parts[0] + parts[1], squeezed(new[numbers].astype(np.uint32))
+def packed_words(vocabulary: np.ndarray, numbers: np.ndarray) -> tuple[bytes, bytes]:
+    """Words that occur, the ``FREQUENT`` most frequent ones in front, each part sorted; and numbers in that order."""
+    counts = np.bincount(numbers, minlength=len(vocabulary))
+    by = np.argsort(vocabulary)
+    by = by[counts[by] > 0]
+    rare = np.ones(len(by), bool)
+    rare[np.argsort(-counts[by], kind="stable")[:FREQUENT]] = False
+    by = np.r_[by[~rare], by[rare]]
+    new = np.zeros(len(vocabulary), np.uint32)
+    new[by] = np.arange(len(by))
+    parts = [pack_sorted(part) if len(part) else b"" for part in np.split(vocabulary[by], [np.count_nonzero(~rare)])]
+    return len(parts[0]).to_bytes(4, "little") + parts[0] + parts[1], squeezed(new[numbers])
 
 
-def unpacked_words(vocabulary: bytes, numbers: bytes) -> np.ndarray:
-    end = 4 + int.from_bytes(vocabulary[:4], "little")
-    parts = [unpack_sorted(part) if part else np.zeros(0, np.uint64) for part in (vocabulary[4:end], vocabulary[end:])]
-    return np.concatenate(parts)[opened(numbers, np.uint32)]
+def unpacked_vocabulary(data: bytes) -> np.ndarray:
+    end = 4 + int.from_bytes(data[:4], "little")
+    return np.concatenate([unpack_sorted(part) if part else np.zeros(0, np.uint64) for part in (data[4:end], data[end:])])
 
 
 def asks(groups: DataFrame, order: int, bits: int) -> DataFrame:
@@ -181,8 +214,10 @@ def asks(groups: DataFrame, order: int, bits: int) -> DataFrame:
     def group_asks(batches):
         for batch in batches:
             for i, name in enumerate(batch.column("id").to_pylist()):
-                words, lengths = stored_words(batch, i)
-                _, grams = asked(words, lengths, order, opened(batch.column("pairs")[i].as_py(), np.uint64) > 0 if later else None)
+                vocabulary, numbers, lengths = stored_words(batch, i)
+                words = vocabulary[numbers]
+                paired = opened(batch.column("pairs")[i].as_py(), np.uint64) > 0 if later else None
+                grams = ngram_hashes(words, order)[asked(lengths, order, paired)]
                 unique, counts = np.unique(grams if order > 1 else np.r_[EMPTY, grams], return_counts=True)
                 if order == 1:
                     counts[np.searchsorted(unique, EMPTY)] = len(words)
@@ -242,8 +277,8 @@ def packed_groups(docs: DataFrame, chars: int) -> DataFrame:
     """Words of every group as numbers of its own vocabulary (columns of GROUPS)."""
 
     def work(batches):
-        for name, ids, lengths, words in groups_of(batches, chars):
-            vocabulary, numbers = packed_words(words)
+        for name, ids, vocabulary, numbers, lengths in groups_of(batches, chars):
+            vocabulary, numbers = packed_words(vocabulary, numbers)
             yield _rows(
                 [[name], [ids], [lengths.tolist()], [vocabulary], [numbers]],
                 GROUPS, (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()),
@@ -261,8 +296,8 @@ def begin(words: np.ndarray, lengths: np.ndarray, told: list[list[dict]], order:
     others, single = counts[0] + n - lengths[doc], counts[1:]  # counts[0]: words of other groups
     pairs, context = np.zeros(n), np.zeros(n)
     if order > 1:
-        at, grams = asked(words, lengths, 2, None)
-        pairs[at] = elsewhere(grams, doc[at], told[1], bits)
+        at = asked(lengths, 2, None)
+        pairs[at] = elsewhere(ngram_hashes(words, 2)[at], doc[at], told[1], bits)
         context[at] = np.where(pairs[at] > 0, single[at - 1], 0)
     seen, paired = single > 0, pairs > 0
     score = np.zeros(n)
@@ -282,11 +317,10 @@ def finish(words: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, context: n
     most = np.minimum(order, place + 1)
     score, reached = np.zeros(len(words)), np.full(len(words), FIRST)
     score[paired] = np.log(pairs[paired] / context[paired]) + (most[paired] - FIRST) * np.log(BACKOFF)
-    before = pairs.astype(np.float64)
+    before, hashes = pairs.astype(np.float64), ngram_hashes(words, FIRST)
     for k in range(FIRST + 1, order + 1):
-        at, grams = asked(words, lengths, k, paired)
-        now = np.zeros(len(words))
-        now[at] = elsewhere(grams, doc[at], told[k - FIRST - 1], bits)
+        at, hashes, now = asked(lengths, k, paired), longer(hashes, words, k), np.zeros(len(words))
+        now[at] = elsewhere(hashes[at], doc[at], told[k - FIRST - 1], bits)
         at = at[now[at] > 0]
         score[at] = np.log(now[at] / before[at - 1]) + (most[at] - k) * np.log(BACKOFF)
         reached[at], before = k, now
@@ -324,13 +358,13 @@ def opened_groups(groups: DataFrame, order: int, bits: int) -> DataFrame:
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                words, lengths = stored_words(batch, i)
-                pairs, context, *sums = begin(words, lengths, told_to(batch, i, min(order, FIRST)), order, bits)
+                vocabulary, numbers, lengths = stored_words(batch, i)
+                pairs, context, *sums = begin(vocabulary[numbers], lengths, told_to(batch, i, min(order, FIRST)), order, bits)
                 paired = pairs > 0
                 kept = paired | np.r_[paired[1:], False][: len(paired)]
-                rest = np.where(kept, words, words[kept][0] if kept.any() else EMPTY)
+                numbers = np.where(kept, numbers, numbers[np.argmax(kept)] if len(numbers) else 0)
                 same = [batch.column(c)[i].as_py() for c in ("id", "doc_ids", "lengths")]
-                columns = [*same, *packed_words(rest), squeezed(pairs), squeezed(context), *[x.tolist() for x in sums]]
+                columns = [*same, *packed_words(vocabulary, numbers), squeezed(pairs), squeezed(context), *[x.tolist() for x in sums]]
                 yield _rows([[c] for c in columns], OPEN, kinds)
 
     return groups.select("id", "doc_ids", "lengths", "vocabulary", "words", "told").mapInArrow(tidy(work), OPEN)
@@ -354,10 +388,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, chars: int = GROUP_CHAR
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                words, lengths = stored_words(batch, i)
+                vocabulary, numbers, lengths = stored_words(batch, i)
                 pairs, context = (opened(batch.column(c)[i].as_py(), np.uint64) for c in ("pairs", "context"))
                 ids, score, off, unseen = (batch.column(c)[i].as_py() for c in ("doc_ids", "score", "off", "unseen"))
-                more, more_off = finish(words, lengths, pairs, context, told_to(batch, i, max(0, order - FIRST)), order, bits)
+                more, more_off = finish(vocabulary[numbers], lengths, pairs, context, told_to(batch, i, max(0, order - FIRST)), order, bits)
                 score, off = np.array(score) + more, np.array(off, np.int64) + more_off
                 mean = [s / n if n else None for s, n in zip(score.tolist(), lengths.tolist(), strict=True)]
                 yield _rows([ids, lengths, score, mean, off, unseen], SCORES, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()])

@@ -239,8 +239,9 @@ def test_sorted_hashes_pack_and_unpack():
             h = np.unique(rng.integers(0, top, n, dtype=np.uint64))
             assert not len(h) or (lm.unpack_sorted(lm.pack_sorted(h)) == h).all()
             assert (lm.opened(lm.squeezed(h), np.uint64) == h).all()
-            words = rng.choice(h, 3 * n) if n else h
-            assert (lm.unpacked_words(*lm.packed_words(words)) == words).all()
+            numbers = rng.integers(0, len(h), 3 * n).astype(np.uint32) if n else np.zeros(0, np.uint32)
+            vocabulary, packed = lm.packed_words(h[::-1], numbers)
+            assert (lm.unpacked_vocabulary(vocabulary)[lm.opened(packed, np.uint32)] == h[::-1][numbers]).all()
 
 
 # ---------------------------------------------------------------- quality
