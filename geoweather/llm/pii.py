@@ -3,16 +3,18 @@
 Base finds (email, ip, card, phone) are fixed text rules over whole texts; they are always
 reported.  They are also the seeds: the words around a find are lexical patterns
 (two words before it, one before, one after), and things that look like an identifier of
-a kind without meeting its base rule (obfuscated at-signs, numbers with other separators
-or too few digits) are candidates.  All of them form a graph of patterns and instances, an
-edge being a context in which an instance was seen.  Spark scores it in ``ROUNDS`` rounds:
+a kind without meeting its base rule (obfuscated at-signs, addresses with bracketed or spelled
+dots, IPv6 addresses, numbers of 7 to 19 digits with other separators) are candidates.  All of them form a
+graph of patterns and instances, an edge being a context in which an instance was seen.  Spark
+scores it in rounds, until one takes up no new candidate:
 
 * a pattern's score for a kind is the share of its instances believed to be of that kind,
   and it is trusted with at least ``MIN_SUPPORT`` believed instances and ``MIN_SHARE``;
 * a candidate's belief is 1 - prod(1 - share) over its trusted patterns, and it is taken up
   if that reaches ``MIN_BELIEF`` for a kind it looks like.
 
-Occurrences of candidates so taken up are added as spans.  Belief in a seed is always 1.
+Occurrences of candidates so taken up are added as spans.  Belief in a seed is always 1.  Beliefs
+never fall from round to round, so a candidate once taken up stays, and the rounds come to an end.
 
 Null text counts as empty: no spans.  Repeated rows are each reported, and count once in the
 graph; an empty table gives an empty result; other columns are ignored.  Base rules run in
@@ -23,6 +25,7 @@ pattern or instance is summed before the shuffle or split by Spark's skew handli
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -32,7 +35,6 @@ from pyspark.sql import functions as F
 from geoweather.llm.common import stage, table, text_or_empty, tidy
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 MIN_SUPPORT = 5.0
 MIN_SHARE = 0.8
 MIN_BELIEF = 0.9
@@ -45,9 +47,14 @@ IP = re.compile(r"[0-9]++((?:\.[0-9]++){3})?+")
 CARD = re.compile(r"[0-9]((?:[ -]?[0-9])++)?+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
+DIGITS = re.compile("[0-9]+")
 NOT_DIGIT = re.compile("[^0-9]+")
-# Candidates: numbers of 7 to 19 digits with separators, and names at a domain in another spelling.
-NUMBER = re.compile(r"[+(]?[0-9](?:[ ()./_-]{0,2}+[0-9]){6,18}+(?![0-9])")
+# Candidates: numbers with separators (whole runs, so that no tail of a longer one is taken), names at a domain in
+# another spelling, four numbers with bracketed or spelled dots, and groups of hexadecimal digits between colons.
+NUMBER = re.compile(r"[+(]?[0-9](?:[ ()./_-]{0,2}+[0-9])*+")
+DOTS = r"(?: ?(?:\[ ?(?:\.|dot) ?\]|\( ?(?:\.|dot) ?\)) ?| dot )"
+SPELLED_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{DOTS}[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+COLONS = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{0,4}:){2,7}+[0-9A-Fa-f]{0,4}(?![\w:])")
 AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?: ?[\[(] ?at ?[\])] ?|@)[A-Za-z0-9-]{1,63}(?:(?: ?[\[(] ?dot ?[\])] ?|\.)[A-Za-z0-9-]{1,63}){0,8}")
 
 OCCURRENCE = "struct<kind:int,looks:int,first:bigint,last:bigint,instance:string,patterns:array<string>>"
@@ -95,14 +102,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def is_ipv6(text: str) -> bool:
+    """An address with at least two groups of digits (``::`` and ``::1`` also occur in program text)."""
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return sum(map(bool, text.split(":"))) >= 2
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]):
     """(looks, start, end): bit k of looks is set if the thing could be of kind k."""
     found = []
     if DIGIT.search(text):
         for m in NUMBER.finditer(text):
-            digits = NOT_DIGIT.sub("", m.group())
-            looks = 8 * (7 <= len(digits) <= 15) | 4 * (13 <= len(digits) <= 19)
-            found.append((looks, *m.span()))
+            digits = len(NOT_DIGIT.sub("", m.group()))
+            looks = 8 * (7 <= digits <= 15) | 4 * (13 <= digits <= 19)
+            if looks:
+                found.append((looks, *m.span()))
+        if "dot" in text.lower() or "." in text:
+            found += [(2, *m.span()) for m in SPELLED_IP.finditer(text) if all(int(n) <= 255 for n in DIGITS.findall(m.group()))]
+    if ":" in text:
+        found += [(2, *m.span()) for m in COLONS.finditer(text) if is_ipv6(m.group())]
     if "@" in text or "at]" in text or "at)" in text or "at ]" in text or "at )" in text:
         found += [(1, *m.span()) for m in AT.finditer(text)]
     # Drop what overlaps a base span: both lists in order of start.
@@ -123,10 +144,11 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 
 def instance(text: str) -> str:
-    """Key of an identifier: a digest of its digits, or of its lower-cased text with plain signs."""
+    """Key of an identifier: a digest of its digits, or of its lower-cased text with plain signs if it has an at-sign, letters or four dotted numbers."""
     plain = re.sub(r" ?[\[(] ?at ?[\])] ?", "@", text.lower())
-    plain = re.sub(r" ?[\[(] ?dot ?[\])] ?", ".", plain)
-    return hashlib.sha256((plain if "@" in plain else NOT_DIGIT.sub("", plain)).encode("utf-8", "surrogatepass")).hexdigest()[:32]
+    plain = re.sub(r" ?[\[(] ?(?:dot|\.) ?[\])] ?| dot ", ".", plain)
+    whole = "@" in plain or ":" in plain or IP.fullmatch(plain)
+    return hashlib.sha256((plain if whole else NOT_DIGIT.sub("", plain)).encode("utf-8", "surrogatepass")).hexdigest()[:32]
 
 
 def spans_text(spans) -> str:
@@ -163,7 +185,7 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(work, SCANNED)
 
 
-def believed(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def believed(scanned: DataFrame) -> DataFrame:
     """(instance, kind): candidates that the scored graph takes up."""
     seen = scanned.select(F.explode("found").alias("f")).select("f.*")
     edges = stage(seen.select(F.explode("patterns").alias("pattern"), "instance").distinct(), "pii-edges")
@@ -172,8 +194,8 @@ def believed(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     looks = seen.where("kind < 0").select("instance", "looks").distinct().join(seeds.select("instance"), "instance", "left_anti")
     looks = stage(looks.groupBy("instance").agg(F.bit_or("looks").alias("looks")), "pii-looks")
     sizes = stage(edges.groupBy("pattern").agg(F.count("*").alias("size")).where(F.col("size") >= MIN_SUPPORT), "pii-sizes")
-    beliefs = seeds
-    for _ in range(rounds):
+    beliefs, n_taken, n_before = seeds, 0, -1
+    while n_taken > n_before:
         support = edges.join(beliefs, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("support"))
         trusted = support.where(F.col("support") >= MIN_SUPPORT).join(sizes, "pattern")
         trusted = trusted.select("pattern", "kind", (F.col("support") / F.col("size")).alias("share")).where(F.col("share") >= MIN_SHARE)
@@ -181,8 +203,9 @@ def believed(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         doubt = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("share")))))
         scored = edges.join(trusted, "pattern").join(looks, "instance")
         scored = scored.where(F.expr("shiftright(looks, kind) & 1 = 1")).groupBy("instance", "kind").agg((1 - doubt).alias("belief"))
-        beliefs = stage(seeds.unionByName(scored.where(F.col("belief") >= MIN_BELIEF)), "pii-beliefs")
-    return beliefs.join(looks.select("instance"), "instance", "left_semi").select("instance", "kind")
+        taken = stage(scored.where(F.col("belief") >= MIN_BELIEF), "pii-taken")
+        beliefs, n_before, n_taken = seeds.unionByName(taken), n_taken, taken.count()
+    return taken.select("instance", "kind")
 
 
 def discovered(scanned: DataFrame) -> DataFrame:
@@ -196,9 +219,9 @@ def discovered(scanned: DataFrame) -> DataFrame:
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for each row of ``docs``.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, n_added) for each row of ``docs``.
 
-    Counts and base_sha256 are of the base finds; ``spans`` has all, ``n_added`` of them by context.
+    Counts and base_sha256 are of the base finds; ``spans`` has all ``n_spans``, ``n_added`` of them by context.
     """
     scanned = stage(scan(docs), "pii-scan")
     added = stage(discovered(scanned), "pii-added")
@@ -209,6 +232,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     said = F.transform(every, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["first"], s["last"]))
     return scanned.join(added, keyed, "left").select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(said, ",").alias("spans"),
+        F.size(every).cast("long").alias("n_spans"),
         F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_added"),
     )
 

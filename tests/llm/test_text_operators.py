@@ -92,6 +92,74 @@ def test_context_discovers_unseen_identifiers(spark):
     assert got[101].spans == ""
 
 
+def test_context_discovers_addresses(spark):
+    rows = [(i, f"server address: 10.0.{i}.7 is down", "en", "s", 0) for i in range(30)]
+    new = ["10[.]0[.]0[.]9", "10 dot 4 dot 0 dot 9", "10(dot)5(dot)0(dot)9", "2001:db8::8a2e:370:7334", "1:2:3:4:5:6:7:8"]
+    rows += [(100 + i, f"server address: {x} is down", "en", "s", 0) for i, x in enumerate(new)]
+    clean = ["300[.]0[.]0[.]9", "12:30:45", "std::map", "a::b::c", "1" * 25, "1234 5678 " * 6]
+    rows += [(200 + i, f"server address: {x} is down", "en", "s", 0) for i, x in enumerate(clean)]
+    rows += [(300, "elsewhere 10[.]0[.]0[.]8 said", "en", "s", 0)]
+    got = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[100 + i] for i in range(len(new))] == [f"ip:16:{16 + len(x)}" for x in new]
+    assert not any(got[i] for i in got if i >= 200)
+
+
+def plain_believed(rows):
+    """The scored graph by plain loops over (kind, looks, instance, patterns) of all finds."""
+    edges = {(p, i) for _, _, i, ps in rows for p in ps}
+    seeds = {(i, k): 1.0 for k, _, i, _ in rows if k >= 0}
+    known = {i for i, _ in seeds}
+    looks = {}
+    for k, look, i, _ in rows:
+        if k < 0 and i not in known:
+            looks[i] = looks.get(i, 0) | look
+    members, contexts = {}, {}
+    for p, i in edges:
+        members.setdefault(p, set()).add(i)
+        contexts.setdefault(i, set()).add(p)
+    taken = {}
+    while True:
+        belief = seeds | taken
+        share = {}
+        for p, instances in members.items():
+            for k in range(4):
+                support = sum(belief.get((i, k), 0.0) for i in instances)
+                if support >= pii.MIN_SUPPORT and support / len(instances) >= pii.MIN_SHARE:
+                    share[p, k] = support / len(instances)
+        new = {}
+        for i, look in looks.items():
+            for k in range(4):
+                found = [max(1e-9, 1 - share[p, k]) for p in contexts.get(i, ()) if (p, k) in share]
+                if look >> k & 1 and found and 1 - math.prod(found) >= pii.MIN_BELIEF:
+                    new[i, k] = 1 - math.prod(found)
+        if len(new) == len(taken):
+            return set(new)
+        taken = new
+
+
+def test_scored_graph_matches_plain_loops(spark):
+    rng = random.Random(5)
+    ways = [lambda n: f"u{n}@h{n}.org", lambda n: f"u{n}[at]h{n}.org", lambda n: f"10.0.{n % 250}.{n % 9}", lambda n: f"10[.]0[.]{n % 250}[.]7", lambda n: f"+49 30 555{n:04d}", lambda n: f"030-555{n:04d}"]
+    texts = []
+    for n in range(500):
+        kind = rng.randrange(3)
+        said = [["mail", "write", "to"], ["host", "server", "at"], ["call", "phone", "dial"]][kind if rng.random() < 0.97 else rng.randrange(3)]
+        texts.append(f"{rng.choice(said)} {rng.choice(said)} {ways[2 * kind + (rng.random() < 0.09)](n % 400)} {rng.choice(said)} now")
+    # a chain: each context is learned from identifiers that the one before has discovered
+    texts += [f"far s0 u{j}@seed.org" for j in range(1500)]
+    for step, n in enumerate((300, 60, 12, 2)):
+        texts += [f"far s{k} u{j}[at]c{step}.org" for k in (step, step + 1) for j in range(n)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    scanned = pii.scan(df).cache()
+    rows = [(f.kind, f.looks, f.instance, f.patterns) for r in scanned.collect() for f in r.found]
+    want = plain_believed(rows)
+    got = {(r.instance, r.kind) for r in pii.believed(scanned).collect()}
+    assert got == want and len(want) > 374 and {k for _, k in want} == {0, 1, 3}
+    rows = [(f.kind, f.looks, f.instance, f.patterns) for r in pii.scan(documents(spark)).collect() for f in r.found]
+    got = {(r.instance, r.kind) for r in pii.believed(pii.scan(documents(spark))).collect()}
+    assert got == plain_believed(rows)
+
+
 def test_pii_edges_and_stage(spark):
     got = pii.find_pii(awkward(spark, "n_email spans found")).collect()
     assert len(got) == len(AWKWARD) and all(r.spans == "" for r in got)
