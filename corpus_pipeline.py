@@ -19,7 +19,7 @@ STAGES = [
     ("byte bpe", bpe.stage_encode),
 ]
 
-# SQL cannot express the random field, MinHash components or the merges; tests compare with brute force.
+# SQL cannot express the random field, MinHash components or the merges; tests compare the operators, not yet all of run(), with brute force.
 ORACLE_SQL = None
 
 
