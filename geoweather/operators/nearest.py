@@ -6,42 +6,23 @@ The semantics are: every (ZIP, station) pair whose coordinates differ by at most
 ``box_deg`` on each axis, whose haversine distance is at most ``max_miles``, ranked
 by distance per ZIP, keeping ranks 1..k.
 
-Instead of a nested-loop join, both sides get integer grid cells:
-
-* a ZIP lives in exactly one cell ``(cy, cx)``;
-* a station is copied into every cell that can hold a ZIP passing the box and the
-  distance limit (latitude gap <= max_miles / R; longitude gap bounded from the
-  haversine formula at the station's latitude), so each candidate pair meets in
-  the ZIP's cell exactly once.
-
-Cells are equi-join keys, so the join is a hash-partitioned shuffle join.  Dense
-cells are split: per cell, ``zip_salts x station_salts`` tasks share the pairs; a
-ZIP picks one zip-salt and is copied to every station-salt, a station picks one
-station-salt and is copied to every zip-salt.  The per-cell statistics table has
-at most one row per grid cell, a bound fixed by the grid geometry, so it is safe to
-broadcast.  After the exact predicates a ``row_number`` window keeps the top k;
-Spark plans it with a partial group limit before the shuffle on ``zipcode``.
+Instead of a nested-loop join, ZIPs meet stations in grid cells that follow the density of the
+stations (``operators.gridsearch``), so the pairs grow with the ZIPs times k, not with ZIPs times
+stations.  The exact predicates decide, and a ``row_number`` window keeps the top k; Spark plans
+it with a partial group limit before the shuffle on ``zipcode``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.functions.geo import (
-    EARTH_RADIUS_MILES,
-    cell_index,
-    cell_range,
-    haversine_miles,
-    latitude_reach_deg,
-    longitude_reach_deg,
-)
-from geoweather.operators.fence import filter_on_output
-
-# Smallest grid cell accepted: keeps the cell-statistics table (one row per cell)
-# bounded by 721 x 1441 rows, so broadcasting it is always safe.
+from geoweather.functions.geo import EARTH_RADIUS_MILES, cell_index, haversine_miles
+from geoweather.operators.gridsearch import Space, nearest_in_space
+
+# Smallest base cell accepted; it is halved where stations are dense.
 MIN_CELL_DEG = 0.25
 
 
@@ -64,26 +45,6 @@ def station_points(stations: DataFrame) -> DataFrame:
     )
 
 
-def cell_salts(zips: DataFrame, stations: DataFrame, pairs_per_task: int, cell=("cy", "cx")) -> DataFrame:
-    """Per grid cell with both ZIPs and station copies: how many salts each side gets.
-
-    tasks = ceil(zips * stations / pairs_per_task) is split between the sides in
-    proportion to their sizes, so the copies made by salting stay small.
-    """
-    n_zip = zips.groupBy(*cell).agg(F.count(F.lit(1)).alias("n_zip"))
-    n_stn = stations.groupBy(*cell).agg(F.count(F.lit(1)).alias("n_stn"))
-    cells = n_zip.join(n_stn, list(cell))
-    tasks = F.greatest(F.lit(1.0), F.ceil(F.col("n_zip") * F.col("n_stn") / F.lit(float(pairs_per_task))))
-    zip_salts = F.least(
-        F.col("n_zip"), F.greatest(F.lit(1), F.ceil(F.sqrt(tasks * F.col("n_zip") / F.col("n_stn"))))
-    ).cast("int")
-    cells = cells.select(*cell, tasks.alias("tasks"), zip_salts.alias("zip_salts"), "n_stn")
-    stn_salts = F.least(
-        F.col("n_stn"), F.greatest(F.lit(1), F.ceil(F.col("tasks") / F.col("zip_salts")))
-    ).cast("int")
-    return cells.select(*cell, "zip_salts", stn_salts.alias("stn_salts"))
-
-
 def nearest_stations(
     zips: DataFrame,
     stations: DataFrame,
@@ -174,71 +135,67 @@ def _search(
     cell_deg: float,
     pairs_per_task: int,
 ) -> DataFrame:
-    """One grid pass: exact top-k within the box and ``max_miles``."""
+    """One search: exact top-k within the box and ``max_miles``."""
     if cell_deg < MIN_CELL_DEG:
         raise ValueError(f"cell_deg must be >= {MIN_CELL_DEG}")
-    lat_reach = latitude_reach_deg(max_miles, box_deg)
-
-    z = zips.where(F.col("zipcode_latitude").isNotNull() & F.col("zipcode_longitude").isNotNull()).select(
-        "zipcode",
-        "zipcode_latitude",
-        "zipcode_longitude",
-        cell_index("zipcode_latitude", cell_deg).alias("cy"),
-        cell_index("zipcode_longitude", cell_deg).alias("cx"),
-    )
-    s = (
-        stations.where(F.col("station_latitude").isNotNull() & F.col("station_longitude").isNotNull())
-        .select(
-            "station_id",
-            "station_name",
-            "station_latitude",
-            "station_longitude",
-            F.explode(cell_range("station_latitude", lat_reach, cell_deg)).alias("cy"),
+    z = zips.where(F.col("zipcode_latitude").isNotNull() & F.col("zipcode_longitude").isNotNull())
+    s = stations.where(F.col("station_latitude").isNotNull() & F.col("station_longitude").isNotNull())
+    z = z.withColumns({"_p0": F.col("zipcode_latitude"), "_p1": F.col("zipcode_longitude")})
+    s = s.withColumns({"_p0": F.col("station_latitude"), "_p1": F.col("station_longitude")})
+
+    def distance(station: Column) -> Column:
+        return haversine_miles("zipcode_latitude", "zipcode_longitude", station["station_latitude"], station["station_longitude"])
+
+    def passes(station: Column, miles: Column) -> Column:
+        box = F.lit(float(box_deg))
+        inside = (F.abs(F.col("zipcode_latitude") - station["station_latitude"]) <= box) & (
+            F.abs(F.col("zipcode_longitude") - station["station_longitude"]) <= box
         )
-        .select(
-            "*",
-            F.explode(
-                cell_range("station_longitude", longitude_reach_deg("station_latitude", max_miles, box_deg), cell_deg)
-            ).alias("cx"),
-        )
-    )
-
-    salts = F.broadcast(cell_salts(z, s, pairs_per_task))
-    z_keyed = z.join(salts, ["cy", "cx"]).select(
-        "*",
-        F.pmod(F.xxhash64("zipcode"), F.col("zip_salts")).cast("int").alias("zsalt"),
-        F.explode(F.sequence(F.lit(0), F.col("stn_salts") - 1)).alias("ssalt"),
-    )
-    s_keyed = s.join(salts, ["cy", "cx"]).select(
-        "*",
-        F.pmod(F.xxhash64("station_id"), F.col("stn_salts")).cast("int").alias("ssalt"),
-        F.explode(F.sequence(F.lit(0), F.col("zip_salts") - 1)).alias("zsalt"),
-    )
-    z_keyed = z_keyed.drop("zip_salts", "stn_salts")
-    s_keyed = s_keyed.drop("zip_salts", "stn_salts")
-
-    pairs = z_keyed.join(s_keyed.hint("shuffle_hash"), ["cy", "cx", "zsalt", "ssalt"]).where(
-        (F.abs(F.col("zipcode_latitude") - F.col("station_latitude")) <= F.lit(float(box_deg)))
-        & (F.abs(F.col("zipcode_longitude") - F.col("station_longitude")) <= F.lit(float(box_deg)))
-    )
-    pairs = pairs.select(
-        "zipcode",
-        "station_id",
-        "station_name",
-        "station_latitude",
-        "station_longitude",
-        "zipcode_latitude",
-        "zipcode_longitude",
-        haversine_miles(
-            "zipcode_latitude", "zipcode_longitude", "station_latitude", "station_longitude"
-        ).alias("distance_miles"),
-    )
-    if max_miles is not None:
-        pairs = filter_on_output(pairs, F.col("distance_miles") <= F.lit(float(max_miles)))
-
-    by_zip = Window.partitionBy("zipcode").orderBy("distance_miles", "station_id")
-    ranked = pairs.withColumn("rank", F.row_number().over(by_zip)).where(F.col("rank") <= F.lit(k))
-    return ranked.withColumn("rank", F.col("rank").cast("int"))
+        return inside if max_miles is None else inside & (miles <= F.lit(float(max_miles)))
+
+    return nearest_in_space(z, s, _degrees(max_miles, box_deg, cell_deg), k, passes, distance, pairs_per_task)
+
+
+def _degrees(max_miles: float | None, box_deg: float, cell_deg: float) -> Space:
+    """Cells of latitude and longitude, distances in miles."""
+    half_turn = math.pi * EARTH_RADIUS_MILES
+    limit = half_turn if max_miles is None else min(float(max_miles), half_turn)
+
+    def away(low: Column, high: Column) -> Column:
+        """Largest |latitude| between two, 90 at most."""
+        return F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(90.0))
+
+    def bound(size: Column) -> Column:
+        # Both gaps are at most two cells; the cosines are largest at the block's edge nearest the equator.
+        low, high = (F.col("_c0") - 1) * size, (F.col("_c0") + 2) * size
+        nearest = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(F.least(F.abs(low), F.abs(high)))
+        cos = F.cos(F.radians(nearest))
+        hav = F.pow(F.sin(F.radians(size)), 2) * (F.lit(1.0) + cos * cos)
+        return F.lit(2 * EARTH_RADIUS_MILES * (1 + 1e-9)) * F.asin(F.sqrt(F.least(hav, F.lit(1.0)))) + F.lit(1e-6)
+
+    def settles(size: Column, miles: Column) -> Column:
+        # No pair of a block may fail the box or the limit; past the poles the bound does not hold.
+        low, high = (F.col("_c0") - 1) * size, (F.col("_c0") + 2) * size
+        return (size * 2 <= F.lit(min(box_deg, 90.0) * (1 - 1e-9))) & (miles <= F.lit(limit)) & (low >= -90) & (high <= 90)
+
+    def hav_of(miles: Column) -> Column:
+        return F.pow(F.sin(miles / F.lit(2 * EARTH_RADIUS_MILES)), 2)
+
+    def reach(miles: Column) -> list[Column]:
+        box = F.lit(float(box_deg))
+        lat = F.least(box, F.degrees(miles / F.lit(EARTH_RADIUS_MILES)) + F.lit(1e-6))
+        cos = F.cos(F.radians(F.least(away(F.col("_lo0"), F.col("_hi0")) + lat, F.lit(90.0))))
+        ratio = hav_of(miles) / F.greatest(cos * cos, F.lit(1e-12))
+        lon = F.degrees(F.lit(2.0) * F.asin(F.sqrt(F.least(ratio, F.lit(1.0))))) + F.lit(1e-6)
+        return [lat, F.when(ratio < 1, F.least(box, lon)).otherwise(box)]
+
+    def within(miles: Column) -> Column:
+        gaps = [F.greatest(F.lit(0.0), F.col(f"_lo{i}") - F.col(f"_p{i}"), F.col(f"_p{i}") - F.col(f"_hi{i}")) for i in (0, 1)]
+        lat, lon = (F.pow(F.sin(F.radians(F.least(g, F.lit(180.0))) / 2), 2) for g in gaps)
+        cos = F.cos(F.radians(away(F.col("_lo0"), F.col("_hi0")))) * F.cos(F.radians("_p0"))
+        return lat + cos * lon <= hav_of(miles) * F.lit(1 + 1e-9) + F.lit(1e-12)
+
+    return Space(2, float(cell_deg), bound, settles, F.lit(limit), reach, None, within)
 
 
 def link_zipcodes_to_stations(zipcodes: DataFrame, stations: DataFrame, **kwargs) -> DataFrame:

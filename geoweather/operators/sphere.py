@@ -1,29 +1,25 @@
 """Nearest stations anywhere on Earth, without a degree box.
 
 Latitude and longitude become unit vectors; two points are within a great-circle distance d exactly if
-their chord is at most 2 sin(d / 2R).  The grid is cubic cells of space of twice that chord: a ZIP lies in
-one cell, a station is copied to the cells its cube of one chord to every side touches (at most
-two along each axis), so every pair within reach meets once, in the ZIP's cell.  Nothing is special about the poles
-or the 180th meridian.  Cells are equi-join keys, split by salts where both sides are dense;
-the exact haversine distance decides.
+their chord is at most 2 sin(d / 2R).  The grid is cubic cells of space, as fine as the stations are dense
+(``operators.gridsearch``), in base cells of twice that chord.  Nothing is special about the poles
+or the 180th meridian; the exact haversine distance decides.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoweather.functions.geo import EARTH_RADIUS_MILES, haversine_miles
-from geoweather.operators.fence import filter_on_output
-from geoweather.operators.nearest import cell_salts
+from geoweather.operators.gridsearch import Space, nearest_in_space
 
-# Cells are at least this wide (radii): with one row per cell of the surface, their statistics stay broadcastable.
+# Base cells are at least this wide (radii).
 MIN_CELL = 0.005
 # Absorbs rounding of vectors and distances; the exact distance is checked after the join.
 MARGIN = 1e-9
-CELL = ("gx", "gy", "gz")
 
 
 def unit_vector(lat, lon) -> list[Column]:
@@ -48,37 +44,38 @@ def nearest_stations_on_sphere(
     if max_miles is None or max_miles < 0:
         raise ValueError("max_miles must bound the search")
     chord = chord_of(max_miles) + MARGIN
-    cell = max(MIN_CELL, 2 * chord)
+    axes = range(3)
 
-    def index(c: Column) -> Column:
-        return F.floor(c / F.lit(cell)).cast("int")
+    def bound(size: Column) -> Column:
+        """The diagonal of two cells, as far as a ZIP of a cell can be from a station of its block."""
+        return size * F.lit(2 * math.sqrt(3.0) * (1 + 1e-9)) + F.lit(MARGIN)
 
+    def touches(size: Column) -> Column:
+        sides = [(F.col(f"_c{i}") * size, (F.col(f"_c{i}") + 1) * size) for i in axes]
+        least = sum((F.pow(F.greatest(F.lit(0.0), low, -high), 2) for low, high in sides), F.lit(0.0))
+        most = sum((F.pow(F.greatest(F.abs(low), F.abs(high)), 2) for low, high in sides), F.lit(0.0))
+        return (least <= F.lit(1 + 1e-9)) & (most >= F.lit(1 - 1e-9))
+
+    def within(far: Column) -> Column:
+        gaps = [F.greatest(F.lit(0.0), F.col(f"_lo{i}") - F.col(f"_p{i}"), F.col(f"_p{i}") - F.col(f"_hi{i}")) for i in axes]
+        return sum((g * g for g in gaps), F.lit(0.0)) <= (far + F.lit(MARGIN)) * (far + F.lit(MARGIN))
+
+    space = Space(
+        axes=3,
+        base=max(MIN_CELL, 2 * chord),
+        bound=bound,
+        settles=lambda size, far: far <= F.lit(chord_of(max_miles)),
+        full=F.lit(chord),
+        reach=lambda far: [far + F.lit(MARGIN)] * 3,
+        touches=touches,
+        within=within,
+    )
     z = zips.where("zipcode_latitude IS NOT NULL AND zipcode_longitude IS NOT NULL")
-    z = z.select("*", *[index(c).alias(name) for name, c in zip(CELL, unit_vector("zipcode_latitude", "zipcode_longitude"))])
+    z = z.withColumns({f"_p{i}": c for i, c in enumerate(unit_vector("zipcode_latitude", "zipcode_longitude"))})
     s = stations.where("station_latitude IS NOT NULL AND station_longitude IS NOT NULL")
-    s = s.select("*", *[c.alias(f"_{name}") for name, c in zip(CELL, unit_vector("station_latitude", "station_longitude"))])
-    for name in CELL:
-        c = F.col(f"_{name}")
-        s = s.withColumn(name, F.explode(F.sequence(index(c - F.lit(chord)), index(c + F.lit(chord)))))
-    s = s.drop(*[f"_{name}" for name in CELL])
-    salts = F.broadcast(cell_salts(z, s, pairs_per_task, CELL))
-    z_keyed = z.join(salts, list(CELL)).select(
-        "*", F.pmod(F.xxhash64("zipcode"), F.col("zip_salts")).cast("int").alias("zsalt"), F.explode(F.sequence(F.lit(0), F.col("stn_salts") - 1)).alias("ssalt")
-    )
-    s_keyed = s.join(salts, list(CELL)).select(
-        "*", F.pmod(F.xxhash64("station_id"), F.col("stn_salts")).cast("int").alias("ssalt"), F.explode(F.sequence(F.lit(0), F.col("zip_salts") - 1)).alias("zsalt")
-    )
-    drop = ("zip_salts", "stn_salts")
-    pairs = z_keyed.drop(*drop).join(s_keyed.drop(*drop).hint("shuffle_hash"), [*CELL, "zsalt", "ssalt"]).select(
-        "zipcode",
-        "station_id",
-        "station_name",
-        "station_latitude",
-        "station_longitude",
-        "zipcode_latitude",
-        "zipcode_longitude",
-        haversine_miles("zipcode_latitude", "zipcode_longitude", "station_latitude", "station_longitude").alias("distance_miles"),
-    )
-    pairs = filter_on_output(pairs, F.col("distance_miles") <= F.lit(float(max_miles)))
-    by_zip = Window.partitionBy("zipcode").orderBy("distance_miles", "station_id")
-    return pairs.withColumn("rank", F.row_number().over(by_zip).cast("int")).where(F.col("rank") <= k)
+    s = s.withColumns({f"_p{i}": c for i, c in enumerate(unit_vector("station_latitude", "station_longitude"))})
+
+    def distance(station: Column) -> Column:
+        return haversine_miles("zipcode_latitude", "zipcode_longitude", station["station_latitude"], station["station_longitude"])
+
+    return nearest_in_space(z, s, space, k, lambda _, miles: miles <= F.lit(float(max_miles)), distance, pairs_per_task)

@@ -137,3 +137,31 @@ def test_stored_first_pass_runs_once(spark, tmp_path):
     # one spatial join in each step
     assert plan_text(first).count("ShuffledHashJoin") == 1 and plan_text(both).count("ShuffledHashJoin") == 1
     assert _rows(both) == _rows(brute_force(zips, stns, 20, 200.0, 5.0))
+
+
+def _join_rows(df):
+    """Rows put out by the largest hash join of a plan that has run."""
+    found, todo = [0], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        elif node.nodeName() == "ShuffledHashJoin":
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return max(found)
+
+
+def test_pairs_do_not_grow_with_the_stations_in_reach(spark):
+    rnd = random.Random(3)
+    places = [(40 + rnd.randrange(40) / 40, -75 + rnd.randrange(40) / 40) for _ in range(300)]
+    zips = [(f"{i % 190:05d}", 40 + rnd.random(), -75 + rnd.random()) for i in range(200)]  # some zipcodes twice
+    zips += [("rural", 41.9, -76.4), ("far", 43.5, -75.0)]
+    stns = [(f"S{i:05d}", f"n{i}", *rnd.choice(places)) for i in range(3000)]  # about ten on each point
+    z, s = spark.createDataFrame(zips, ZIP_SCHEMA), spark.createDataFrame(stns, STN_SCHEMA)
+    got = nearest_stations(z, s, k=5, max_miles=200.0)
+    assert _rows(got) == _rows(brute_force(z, s, 5, 200.0, 5.0))
+    got.collect()
+    assert _join_rows(got) < 10 * len(zips)
