@@ -48,22 +48,23 @@ def _present(src: Column) -> Column:
     return src.isNotNull() & (F.trim(src) != F.lit(""))
 
 
-def spread(df: DataFrame, splits: int) -> DataFrame:
+def spread(df: DataFrame, splits: int, waves: int = 1) -> DataFrame:
     """Round-robin the rows over all cores when the input has fewer splits than cores.
 
     Typing costs microseconds per value, so a handful of large input splits (a
     gzip file is one split) would leave most cores idle.  With enough input
-    splits (any large table) this is a no-op and adds no shuffle.
+    splits (any large table) this is a no-op and adds no shuffle.  ``waves`` is the number of
+    parts per core: with as many as there are full splits, a part stays a fraction of one split.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(cores * max(waves, 1)) if splits < cores else df
 
 
-def typed_storms(raw: DataFrame, splits: int | None = None) -> DataFrame:
+def typed_storms(raw: DataFrame, splits: int | None = None, waves: int = 1) -> DataFrame:
     """Typed storm columns plus ``reject_reasons`` and ``time_issues`` (comma-joined column names, '' if none).
 
     Columns of ``PROVENANCE`` that ``raw`` has are passed on; a row whose ``_corrupt_record`` is
-    set is rejected as MALFORMED.  ``splits`` is the number of input splits, if it is known.
+    set is rejected as MALFORMED.  ``splits`` is the number of input splits, if it is known (``waves``: see ``spread``).
 
     Three projections, each expensive conversion computed once per row: the
     checks in later steps refer to the converted columns, and Spark does not
@@ -85,7 +86,7 @@ def typed_storms(raw: DataFrame, splits: int | None = None) -> DataFrame:
         raw_cols.append(F.col(CORRUPT).alias(f"_raw_{CORRUPT}"))
         checks.append(F.when(F.col(f"_raw_{CORRUPT}").isNotNull(), F.lit("MALFORMED")))
     kept = [c for c in PROVENANCE if c in have]
-    step1 = (raw if splits is None else spread(raw, splits)).select(*typed_cols, *raw_cols, *kept)
+    step1 = (raw if splits is None else spread(raw, splits, waves)).select(*typed_cols, *raw_cols, *kept)
     times = [
         parts_to_timestamp(F.col(ym), F.col(day), F.col(hhmm)).alias(name)
         for name, (ym, day, hhmm) in TIME_COLUMNS.items()
@@ -103,7 +104,7 @@ def typed_storms(raw: DataFrame, splits: int | None = None) -> DataFrame:
     return step3.select(*[F.col(f.name) for f in STORM_EVENTS.fields], "reject_reasons", "time_issues", *kept)
 
 
-def normalise_storms(raw: DataFrame, splits: int | None = None) -> tuple[DataFrame, DataFrame]:
+def normalise_storms(raw: DataFrame, splits: int | None = None, waves: int = 1) -> tuple[DataFrame, DataFrame]:
     """(rows, issues).
 
     ``rows``: loadable rows in the ``storm_events`` schema (invalid times are NULL).
@@ -111,7 +112,7 @@ def normalise_storms(raw: DataFrame, splits: int | None = None) -> tuple[DataFra
     Both come from one typed projection; callers that write both should stage it
     once (see ``plans.tables.ingest_storms``).
     """
-    typed = typed_storms(raw, splits)
+    typed = typed_storms(raw, splits, waves)
     rows = filter_on_output(typed, F.col("reject_reasons") == "").select(*[f.name for f in STORM_EVENTS.fields])
     return rows, storm_issues(typed)
 

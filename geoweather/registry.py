@@ -113,7 +113,8 @@ def metrics(spark: SparkSession, sf: str, lo=MIN_DATE, hi=MAX_DATE, max_miles=ME
 
 def storms(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised storm rows; only the columns a query uses are typed."""
-    rows, _ = normalise_storms(derived.storm_raw(spark, sf), storm_splits(spark, sf))
+    splits = storm_splits(spark, sf)
+    rows, _ = normalise_storms(derived.storm_raw(spark, sf), splits, waves=splits)
     return rows
 
 
@@ -374,7 +375,8 @@ def q_storm_normalise(spark, sf):
 
 
 def q_storm_issues(spark, sf):
-    _, issues = normalise_storms(derived.storm_raw(spark, sf), storm_splits(spark, sf))
+    splits = storm_splits(spark, sf)
+    _, issues = normalise_storms(derived.storm_raw(spark, sf), splits, waves=splits)
     return issues
 
 

@@ -87,3 +87,14 @@ def test_overlong_parts_are_reported_not_cut(spark):
     times = {r.EVENT_ID: r.BEGIN_DATE_TIME for r in rows.collect()}
     assert times == {1: None, 2: None, 3: dt.datetime(2024, 1, 5, 9, 30)}
     assert {r.EVENT_ID for r in issues.collect()} == {1, 2}
+
+
+def test_spread_rows_stay_a_fraction_of_a_split(spark):
+    from geoweather.operators.storms import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(12 * cores).coalesce(1)
+    for waves in (0, 1, 3):
+        sizes = spread(rows, 1, waves).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert sum(sizes) == 12 * cores and len(sizes) == cores * max(waves, 1)
+    assert spread(rows, cores) is rows
