@@ -18,7 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoweather.operators.metrics import in_date_range, near_links, zip_date_spine
+from geoweather.operators.metrics import in_date_range, near_links, observed_dates
+from geoweather.operators.places import link_columns, spread
 from geoweather.schemas import CORE_ELEMENTS
 
 KEYS = ("id", "date", "element")
@@ -65,22 +66,19 @@ def metrics_from_moments(
 ) -> DataFrame:
     """The rows of ``operators.metrics.daily_metrics`` over the observations behind ``moments``.
 
-    The moments have one row per station, day and element, so the join with the links moves no more than that, and one
-    aggregation on (zipcode, date) reduces both the spine and the moments.
+    The moments have one row per station, day and element; they are spread over the linked ZIPs place by place, with the
+    spine, and one aggregation on (zipcode, date) reduces both without a shuffle.
     """
-    near = near_links(links, max_miles).select("zipcode", F.col("station_id").alias("id"))
+    near = near_links(links, max_miles)
     inside = in_date_range(moments, min_date, max_date)
-    spine = zip_date_spine(near, inside)
-    sums = [F.col(c) for c in SUMS]
-    found = inside.where(F.col("element").isin(*elements)).join(near, "id").select("zipcode", "date", "element", *sums)
-    empty = [F.lit(None).cast("string").alias("element"), *[F.lit(None).cast(kind).alias(c) for c, kind in SUMS.items()]]
-    rows = spine.select("zipcode", "date", *empty).unionByName(found)
+    found = inside.where(F.col("element").isin(*elements)).select(*KEYS, *SUMS)
+    rows = spread(found, near.select(*link_columns(near)), observed_dates(inside))
     aggs = [
         F.coalesce(F.sum(F.when(F.col("element") == e, F.col(c))), F.lit(0)).cast(kind).alias(f"_{e.lower()}_{c}")
         for e in elements
         for c, kind in SUMS.items()
     ]
-    wide = rows.groupBy("zipcode", "date").agg(*aggs)
+    wide = rows.groupBy("place", "zipcode", "date").agg(*aggs)
     figures = [c for e in elements for c in _figures(e)]
     return wide.select(
         "zipcode", "date", F.year("date").alias("year"), F.month("date").alias("month"), F.dayofmonth("date").alias("day"), *figures

@@ -188,13 +188,13 @@ def q_link_readings(spark, sf):
 
 
 def q_element_stats_long(spark, sf):
-    st = element_stats_long(readings(obs_in_range(spark, sf), near(spark, sf)))
+    st = element_stats_long(readings(obs_in_range(spark, sf), near(spark, sf), by_place=True))
     return st.select("zipcode", "date", "element", r6("mean").alias("mean"), "readings",
                      r6("spread").alias("spread"))
 
 
 def q_element_stats_wide(spark, sf):
-    return _rounded_metrics(element_stats_wide(readings(obs_in_range(spark, sf), near(spark, sf))))
+    return _rounded_metrics(element_stats_wide(readings(obs_in_range(spark, sf), near(spark, sf), by_place=True)))
 
 
 def q_zip_date_spine(spark, sf):
