@@ -254,6 +254,32 @@ def test_nearest_neighbours_grow_with_the_table(spark, monkeypatch):
     assert hits / 300 >= 0.9
 
 
+def test_measured_rows_of_a_query_do_not_grow_with_the_table(spark, monkeypatch):
+    """With 16 times as many nodes a query's rows grow by less than the root of that, and queries outside the index still find theirs."""
+    for name, value in {"K": 12, "BEAM": 40, "EXPAND": 10, "BLOCK": 20, "BASE_NODES": 250}.items():
+        monkeypatch.setattr(ann, name, value)
+    kept, measured = [], ann.measured
+
+    def counted(*args):
+        kept.append(ann.stage(measured(*args), "counted"))
+        return kept[-1]
+
+    monkeypatch.setattr(ann, "measured", counted)
+    x = np.random.default_rng(5).normal(size=(4020, 16))
+    asked = spark.createDataFrame([(10_000 + i, v) for i, v in enumerate(x[4000:].tolist())], "vec_id bigint, embedding array<double>")
+    rows = {}
+    for n in (250, 4000):
+        kept.clear()
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(x[:n].tolist())], "vec_id bigint, embedding array<double>")
+        got = defaultdict(set)
+        for r in ann.nearest_neighbours(df, asked).collect():
+            got[r.query_id - 10_000].add(r.vec_id)
+        rows[n] = sum(k.count() for k in kept)
+        near = [set(np.argsort(((x[:n] - x[4000 + q]) ** 2).sum(axis=1))[:10].tolist()) for q in range(20)]
+        assert sum(len(got[q] & near[q]) for q in range(20)) / 200 >= 0.9
+    assert rows[4000] <= 4 * rows[250]
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language id", "near duplicates", "pii", "mix sources", "byte bpe"]
