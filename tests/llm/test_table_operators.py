@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import tiktoken
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -280,6 +281,36 @@ def test_measured_rows_of_a_query_do_not_grow_with_the_table(spark, monkeypatch)
     assert rows[4000] <= 4 * rows[250]
 
 
+def test_nearest_neighbour_rounds_and_steps_take_few_shuffles(spark, monkeypatch):
+    """Each shuffle costs as many tasks as there are partitions; the tables that the rounds write are no crowd of tiny files."""
+    for name, value in {"K": 6, "BEAM": 20, "EXPAND": 8, "BLOCK": 20}.items():
+        monkeypatch.setattr(ann, name, value)
+    shuffles, files, stage = defaultdict(list), defaultdict(list), ann.stage
+
+    def counted(df, name, **options):
+        shuffles[name].append(plan_text(df).count("Exchange hashpartitioning"))
+        staged = stage(df, name, **options)
+        files[name].append(len(staged.inputFiles()))
+        return staged
+
+    monkeypatch.setattr(ann, "stage", counted)
+    x = np.random.default_rng(3).normal(size=(600, 8)).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert ann.nearest_neighbours(df, df.where("vec_id % 100 = 0")).count() == 60
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    cores = spark.sparkContext.defaultParallelism
+    assert len(shuffles["ann-graph"]) > 1 and max(shuffles["ann-graph"]) <= 4
+    assert len(shuffles["ann-beam"]) > 2 and max(shuffles["ann-beam"][1:]) <= 4
+    assert max(files["ann-graph"] + files["ann-beam"]) <= max(8, cores)
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language id", "near duplicates", "pii", "mix sources", "byte bpe"]
