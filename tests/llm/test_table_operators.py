@@ -311,6 +311,29 @@ def test_nearest_neighbour_rounds_and_steps_take_few_shuffles(spark, monkeypatch
     assert max(files["ann-graph"] + files["ann-beam"]) <= max(8, cores)
 
 
+def test_nearest_neighbours_send_no_unpacked_rows_to_every_task(spark, monkeypatch):
+    """Lists are packed in files smaller than any limit of Spark's; what they unpack to passes the driver only up to ``WHOLE`` bytes."""
+    for name, value in {"K": 6, "BEAM": 20, "EXPAND": 8, "BLOCK": 20}.items():
+        monkeypatch.setattr(ann, name, value)
+    plans, stage = defaultdict(list), ann.stage
+
+    def seen(df, name, **options):
+        plans[name].append(plan_text(df))
+        return stage(df, name, **options)
+
+    monkeypatch.setattr(ann, "stage", seen)
+    x = np.random.default_rng(4).normal(size=(600, 8)).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    rows = {}
+    for whole in (16_000_000, 0):
+        plans.clear()
+        monkeypatch.setattr(ann, "WHOLE", whole, raising=False)
+        rows[whole] = sorted(map(tuple, ann.nearest_neighbours(df, df.where("vec_id % 100 = 0")).collect()))
+    assert len(plans["ann-graph"]) > 1 and len(plans["ann-beam"]) > 2
+    assert not [p for p in plans["ann-graph"] + plans["ann-beam"][1:] if "Broadcast" in p]
+    assert len({str(r) for r in rows.values()}) == 1
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language id", "near duplicates", "pii", "mix sources", "byte bpe"]
